@@ -5,20 +5,31 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import packing, secret_scan
+from textmill.llm import near_dup, packing, quality, secret_scan
 from textmill.llm.common import table, written
 
 
-def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts are replaced; every document stays, its n_chars follow its text."""
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a quality rule, or are outliers of their language and source, go."""
+    return quality.keep(docs)
+
+
+def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return near_dup.one_of_each(docs)
+
+
+def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced; every document stays, and n_chars follows its text."""
     return secret_scan.redacted(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 2048 tokens."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
-STAGES = [("secret_scan", secrets), ("packing", packed)]
+STAGES = [("quality_rules", good), ("near_dup", different), ("secret_scan", no_secrets), ("packing", packed)]
 #: Several stages have no SQL form.
 ORACLE_SQL: str | None = None
 

@@ -5,15 +5,21 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.session import ship
+
 _made: list[tuple[SparkSession, str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the input folder. Arrow batches are kept small for the Python workers: texts can be long."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -80,3 +86,47 @@ class BoundedCache(dict):
             return whole
         self.update(got)
         return self
+
+
+#: Rows that small() broadcasts at most.
+SMALL_ROWS = 200_000
+
+
+def small(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
+    """df with a broadcast hint if it has been counted to have few rows; Spark picks a join by shuffle else."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, list[int]]]:
+    """Tables that hold whole runs of rows with equal first `keys` columns (none null), and the places where runs begin and the last ends.
+
+    The rows must come with equal keys together. A run is held until it ends, so its size must be bounded."""
+    held: list[pa.RecordBatch] = []
+
+    def changes(b: pa.RecordBatch | pa.Table) -> np.ndarray:
+        new = np.zeros(b.num_rows, bool)
+        new[0] = True
+        for c in range(keys):
+            v = b.column(c).to_numpy(zero_copy_only=False) if isinstance(b, pa.RecordBatch) else b.column(c).to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        return np.flatnonzero(new)
+
+    def flush() -> tuple[pa.Table, list[int]]:
+        t = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        return t, [*changes(t).tolist(), t.num_rows]
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        begins = changes(b)
+        last = [held[-1].column(c)[held[-1].num_rows - 1].as_py() for c in range(keys)] if held else None
+        if held and last != [b.column(c)[0].as_py() for c in range(keys)]:
+            yield flush()
+        if len(begins) > 1:  # the run at the end may go on in the next batch
+            held.append(b.slice(0, begins[-1]))
+            yield flush()
+            b = b.slice(begins[-1])
+        held.append(b)
+    if held:
+        yield flush()

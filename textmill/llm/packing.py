@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.llm.common import BoundedCache, no_null_text, written
+from textmill.llm.common import BoundedCache, no_null_text, small, written
 from textmill.llm.token_counts import balanced
 
 END_ID = 1
@@ -169,7 +169,7 @@ def pack(docs: DataFrame, path: str, length: int = 2048, window_sequences: int =
     b = before.withColumnsRenamed({"source": "b_source", "block": "b_block"})
     bases = inner.join(b, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("block") == F.col("b_block"))).select(F.col("source").alias("b_source"), F.col("part").alias("b_part"), (F.col("before") + F.col("inner")).alias("queue_base"))
     bases = written(bases, "packing-bases")
-    placed = tokens.join(_small(bases), F.col("source").eqNullSafe(F.col("b_source")) & (F.col("part") == F.col("b_part"))).select("doc_id", "source", (F.col("start") + F.col("queue_base")).alias("at"), "n", "ids")
+    placed = tokens.join(small(bases), F.col("source").eqNullSafe(F.col("b_source")) & (F.col("part") == F.col("b_part"))).select("doc_id", "source", (F.col("start") + F.col("queue_base")).alias("at"), "n", "ids")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds: dict[tuple[int, int], tuple[int, int, int]] = {}
@@ -214,9 +214,3 @@ def pack(docs: DataFrame, path: str, length: int = 2048, window_sequences: int =
 
 
 NAMES = ["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window"]
-#: Rows of (source, part, offset) that are broadcast at most; more are joined by a shuffle.
-SMALL_ROWS = 200_000
-
-
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df

@@ -5,21 +5,55 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import packing, secret_scan, token_counts
+from textmill.llm import bpe, chat, embedding_dup, lm, near_dup, packing, pii, quality, secret_scan, token_counts
 from textmill.llm.common import table
 
+#: The pseudonyms' key where the session doesn't name one in spark.textmill.pii.key.
+DEMO_KEY = "textmill demonstration key"
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), spark.conf.get("spark.textmill.pii.key", DEMO_KEY))
+
+
+def op2_embedding_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_paths(chat.linear(rows.unionByName(more))))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan(table(spark, sf_dir, "documents"))
+    return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents"))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op6_secret_scan, op8_packing)}
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_embedding_dup, op3_token_counts, op4_bpe, op5_chat, op6_secret_scan, op7_quality, op8_packing, op9_lm, op10_near_dup)}
 SQL: dict[str, str] = {}

@@ -10,7 +10,6 @@ leftmost and don't overlap, and a match that fails its length rule still takes i
 
 from __future__ import annotations
 
-import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -20,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.common import no_null_text
+from textmill.session import ship
 
 KINDS = ("assign", "access", "hex", "checked")
 BASE = KINDS[:3]
@@ -81,10 +81,6 @@ class Scanner:
         return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def joined(spans: list[Span]) -> str:
-    return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
-
-
 def redact(text: str, spans: list[Span]) -> str:
     """text with each stretch that spans cover replaced by [SECRET]."""
     out, at = [], 0
@@ -105,26 +101,38 @@ def _the_scanner() -> Scanner:
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, n_checked, base_sha256, spans for each row of docs."""
+    """doc_id and found (kind, start, end by start, then kind) for each row of docs."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = _the_scanner()
+        spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for b in batches:
-            found = [s.spans(t) for t in b.column(1).to_pylist()]
-            counts = [pa.array([sum(x[0] == k for x in f) for f in found], pa.int64()) for k in KINDS]
-            base = [hashlib.sha256(joined([x for x in f if x[0] in BASE]).encode()).hexdigest() for f in found]
-            yield pa.RecordBatch.from_arrays([b.column(0), *counts, pa.array(base, pa.string()), pa.array([joined(f) for f in found], pa.string())], names=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+            found = [[dict(zip(("kind", "start", "end"), x, strict=True)) for x in s.spans(t)] for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, spans)], names=["doc_id", "found"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(F.col(id_column).alias("doc_id"), no_null_text(text_column).alias("text")).mapInArrow(rows, f"doc_id {kind}, n_assign long, n_access long, n_hex long, n_checked long, base_sha256 string, spans string")
+    return docs.select(F.col(id_column).alias("doc_id"), no_null_text(text_column).alias("text")).mapInArrow(rows, f"doc_id {kind}, found array<struct<kind:string,start:bigint,end:bigint>>")
+
+
+def digests(scanned: DataFrame) -> DataFrame:
+    """doc_id, the number of spans of each kind, a digest of the base kinds' and all spans as text."""
+    said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    of = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+    counts = [of(kind).alias(f"n_{kind}") for kind in KINDS]
+    base = F.filter("found", lambda s: s["kind"].isin(*BASE))
+    return scanned.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said("found").alias("spans"))
 
 
 def redacted(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """docs with the secrets in its texts replaced; all columns and rows stay. A null text stays null."""
+    """docs with the secrets in its texts replaced, and n_chars, where there is such a column, counted anew; all columns and rows stay. A null text stays null."""
+    ship(docs.sparkSession)
 
     @F.pandas_udf("string")
     def clean(texts):
         s = _the_scanner()
         return texts.map(lambda t: t if t is None else redact(t, s.spans(t)))
 
-    return docs.withColumn(text_column, clean(F.col(text_column)))
+    out = docs.withColumn(text_column, clean(F.col(text_column)))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col(text_column).isNotNull(), F.length(text_column)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out
