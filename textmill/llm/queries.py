@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from textmill.llm import bpe, chat, embedding_dup, lm, near_dup, packing, pii, quality, secret_scan, token_counts
-from textmill.llm.common import table
+from textmill.llm.common import table, written
 
 #: The pseudonyms' key where the session doesn't name one in spark.textmill.pii.key.
 DEMO_KEY = "textmill demonstration key"
@@ -32,7 +32,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = r"\### Assistant: </turn> ok"
     more = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
-    return chat.digests(chat.format_paths(chat.linear(rows.unionByName(more))))
+    return chat.digests(chat.format_paths(written(chat.linear(rows.unionByName(more)), "messages")))
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
