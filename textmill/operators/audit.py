@@ -66,13 +66,13 @@ def hyphens(rows: DataFrame, fields: list[str], keep: list[str]) -> DataFrame:
 
 
 def duplicate_ids(rows: DataFrame, key: str = "id") -> DataFrame:
-    return rows.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    return rows.select(F.col(key).alias("id")).groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
 def check_unique(rows: DataFrame, key: str = "id") -> None:
     found = duplicate_ids(rows, key).limit(20).collect()
     if found:
-        raise ValueError(f"ids that aren't unique: {[r[key] for r in found]}")
+        raise ValueError(f"ids that aren't unique: {[r['id'] for r in found]}")
 
 
 def report(counters: dict[str, dict[str, float]], spark) -> DataFrame:

@@ -14,7 +14,7 @@ from textmill.functions.text import is_nonblank, strip
 def keep_longest(rows: DataFrame, key: list[str], length: Column, order: list[str]) -> DataFrame:
     """One row for each key (null is a value): the longest, of equals the first by `order`. A shuffle on the key; the best is
     found before it by max_by-style aggregation of the winner's order only, so a hot key moves no rows it won't keep."""
-    best = F.max(F.struct(length.alias("n"), *[(-F.col(c)).alias(c) for c in order]))
+    best = F.max(F.struct(length.alias("_length"), *[(-F.col(c)).alias(c) for c in order]))
     winners = rows.groupBy(*key).agg(best.alias("_w")).select(*[F.col(f"_w.{c}").alias(f"_{c}") for c in order])
     on = reduce(lambda a, b: a & b, [F.col(c) == -F.col(f"_{c}") for c in order])
     return rows.join(winners, on, "left_semi")

@@ -37,20 +37,24 @@ def _marker(pattern: str) -> Column:
     return F.coalesce(F.col("text").rlike(f"(?iu){pattern}"), F.lit(False))
 
 
-_doc = Window.partitionBy("doc_id").orderBy("line_no")
-_before = _doc.rowsBetween(Window.unboundedPreceding, -1)
-_so_far = _doc.rowsBetween(Window.unboundedPreceding, 0)
+def _doc():
+    return Window.partitionBy("doc_id").orderBy("line_no")
 
 
-def _last(value: Column, window=_before) -> Column:
-    return F.last(value, ignorenulls=True).over(window)
+def _so_far():
+    return _doc().rowsBetween(Window.unboundedPreceding, 0)
+
+
+def _last(value: Column, here: bool = False) -> Column:
+    """The last value before a line, or up to it."""
+    return F.last(value, ignorenulls=True).over(_doc().rowsBetween(Window.unboundedPreceding, 0 if here else -1))
 
 
 def real_items(lines: DataFrame, g: Grammar) -> DataFrame:
     """lines with `lettered` (its shape) and `item`: lettered, and a judgement stands within LOOKAHEAD lines, itself included, before the next lettered one."""
     d = lines.withColumns({"lettered": _has(g.lettered), "_j": _marker(g.judgement)})
-    j = F.min(F.when(F.col("_j"), F.col("line_no"))).over(_doc.rowsBetween(0, LOOKAHEAD - 1))
-    b = F.min(F.when(F.col("lettered"), F.col("line_no"))).over(_doc.rowsBetween(1, LOOKAHEAD - 1))
+    j = F.min(F.when(F.col("_j"), F.col("line_no"))).over(_doc().rowsBetween(0, LOOKAHEAD - 1))
+    b = F.min(F.when(F.col("lettered"), F.col("line_no"))).over(_doc().rowsBetween(1, LOOKAHEAD - 1))
     return d.withColumns({"_jn": j, "_bn": b}).withColumn("item", F.col("lettered") & F.col("_jn").isNotNull() & (F.col("_bn").isNull() | (F.col("_jn") < F.col("_bn")))).drop("_j", "_jn", "_bn")
 
 
@@ -71,7 +75,7 @@ def classified(lines: DataFrame, g: Grammar) -> DataFrame:
         "us": _has(g.umbrella_start), "ue": _has(g.umbrella_end), "nar": _marker(g.narration), "ss": _has(g.sub_start), "cx": _has(g.context), "ts": _has(g.topic_start),
         "lab": _has(g.label), "low": F.col("text").rlike(r"^\p{Ll}"), "heading": _has(g.intervention) | (F.col("text").isin(*g.pairs) if g.pairs else F.lit(False)),
         "mark": F.when(_marker(g.judgement), "judgement").when(_marker(g.evidence), "evidence").when(_marker(g.considerations), "considerations"),
-        "next_item": F.coalesce(F.lead("lettered").over(_doc), F.lit(False)),
+        "next_item": F.coalesce(F.lead("lettered").over(_doc()), F.lit(False)),
     })
     # 1: a heading before an item
     d = d.withColumn("r1", F.col("heading") & F.col("next_item"))
@@ -86,7 +90,7 @@ def classified(lines: DataFrame, g: Grammar) -> DataFrame:
     d = d.withColumn("left3", F.col("left2") & ~F.col("r6") & ~F.col("r7") & ~F.col("r8"))
     # topic
     event = F.when(F.col("r6"), 0).when(F.col("left3"), F.when(F.col("ts"), 1).when(F.col("cx"), 0))
-    d = d.withColumns({"t_open": F.coalesce(_last(event), F.lit(0)) == 1, "t_no": F.sum((F.col("left3") & F.col("ts")).cast("int")).over(_so_far)})
+    d = d.withColumns({"t_open": F.coalesce(_last(event), F.lit(0)) == 1, "t_no": F.sum((F.col("left3") & F.col("ts")).cast("int")).over(_so_far())})
     within = F.col("left3") & ~F.col("ts") & F.col("t_open")
     topic = Window.partitionBy("doc_id", "t_no").orderBy("line_no")
     d = d.withColumn("_in", within)
@@ -104,7 +108,7 @@ def classified(lines: DataFrame, g: Grammar) -> DataFrame:
     })
     d = d.withColumn("left4", F.col("left3") & ~F.col("r9") & ~F.col("_inside"))
     d = d.withColumns({"r14": F.col("left4") & F.col("cx"), "left5": F.col("left4") & ~F.col("cx")})
-    d = d.withColumns({"r15": F.col("left5") & F.col("item"), "orphan": F.when(F.col("r14"), F.sum(F.col("r14").cast("int")).over(_so_far) - 1)})
+    d = d.withColumns({"r15": F.col("left5") & F.col("item"), "orphan": F.when(F.col("r14"), F.sum(F.col("r14").cast("int")).over(_so_far()) - 1)})
     d = d.withColumn("r16", F.col("left5") & ~F.col("r15") & F.col("lab"))
     plain = F.col("left5") & ~F.col("r15") & ~F.col("r16")
     all_ = F.col("r2") | F.col("r6") | F.col("r9") | F.col("r14")
@@ -140,9 +144,9 @@ def segmented(lines: DataFrame, g: Grammar, late_intervention: bool = False) ->
     rule = F.col("rule")
     is_ = lambda *n: rule.isin(*n)
     reset = is_(2, 6, 9, 14, 18)
-    d = d.withColumns({"row": F.sum((reset | is_(15, 16)).cast("int")).over(_so_far), "q": F.sum((reset | is_(15)).cast("int")).over(_so_far)})
+    d = d.withColumns({"row": F.sum((reset | is_(15, 16)).cast("int")).over(_so_far()), "q": F.sum((reset | is_(15)).cast("int")).over(_so_far())})
     # buffers of the collecting layers: the texts since the layer was opened
-    d = d.withColumns({"u_no": F.sum(is_(2).cast("int")).over(_so_far), "s_no": F.sum(is_(6).cast("int")).over(_so_far), "t_no": F.sum(is_(9).cast("int")).over(_so_far)})
+    d = d.withColumns({"u_no": F.sum(is_(2).cast("int")).over(_so_far()), "s_no": F.sum(is_(6).cast("int")).over(_so_far()), "t_no": F.sum(is_(9).cast("int")).over(_so_far())})
     upto = lambda c: Window.partitionBy("doc_id", c).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     u_text, s_text, t_text = _joined(F.when(is_(4), F.col("text")), upto("u_no")), _joined(F.when(is_(8), F.col("text")), upto("s_no")), _joined(F.when(is_(13), F.col("text")), upto("t_no"))
     d = d.withColumns({
@@ -162,9 +166,9 @@ def segmented(lines: DataFrame, g: Grammar, late_intervention: bool = False) ->
     sub = F.when(reset, empty).when(is_(7), F.col("s_buffer"))
     adopted = F.when(is_(15), F.col("pending.v"))
     intervention = F.when(is_(9, 18), empty).when(is_(14), F.coalesce("_os", empty)).when(adopted.isNotNull(), adopted).when(F.col("u_close"), empty)
-    d = d.withColumns({"topic": _last(topic, _so_far), "divided": _last(divided, _so_far), "sub": _last(sub, _so_far), "intervention": _last(intervention, _so_far)})
+    d = d.withColumns({"topic": _last(topic, True), "divided": _last(divided, True), "sub": _last(sub, True), "intervention": _last(intervention, True)})
     if late_intervention:  # the heading that the row's closing question adopts
-        d = d.withColumn("intervention", F.when(F.lead("rule").over(_doc) == 15, F.coalesce(F.when(F.lead("pending.v").over(_doc).isNotNull(), F.lead("pending.v").over(_doc)), F.col("intervention"))).otherwise(F.col("intervention")))
+        d = d.withColumn("intervention", F.when(F.lead("rule").over(_doc()) == 15, F.coalesce(F.when(F.lead("pending.v").over(_doc()).isNotNull(), F.lead("pending.v").over(_doc())), F.col("intervention"))).otherwise(F.col("intervention")))
     marks = {"judgement": g.judgement, "evidence": g.evidence, "considerations": g.considerations}
     behind = F.coalesce(*[F.when(F.col("mark") == m, F.get(F.split("text", f"(?iu){p}", 2), F.lit(1))) for m, p in marks.items()])
     said = F.when(is_(20), behind).otherwise(F.col("text"))
