@@ -1,0 +1,29 @@
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from textmill.functions.patterns import Grammar
+from textmill.streaming import records
+
+G = Grammar()
+
+
+def run(df, name):
+    q = df.writeStream.format("memory").queryName(name).outputMode("append").start()
+    q.processAllAvailable()
+    q.stop()
+    return df.sparkSession.table(name).collect()
+
+
+def test_streams(spark, tmp_path):
+    lines = spark.createDataFrame([("d", i, t) for i, t in enumerate(["• one", " ", "Garden handbook 2", "two"])], "doc_id string, line_no int, raw string")
+    lines.write.parquet(f"{tmp_path}/lines")
+    got = run(records.cleaned_lines(spark.readStream.schema(lines.schema).parquet(f"{tmp_path}/lines"), G), "cleaned")
+    assert sorted((r.text, r.bullet) for r in got) == [("one", True), ("two", False)]
+    at = lambda m: datetime(2024, 1, 1, 0, m)
+    rows = spark.createDataFrame([(at(m), "No evidence" if m % 3 == 0 else "yes", "None") for m in range(30)], "ts timestamp, evidence string, considerations string")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/rows")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/rows")
+    assert len(run(records.filtered_records(stream, G), "filtered")) == 20
+    got = run(records.removal_rates(stream, "ts", "1 minute", "10 minutes", F.col("evidence") == "yes"), "rates")
+    assert sorted((r.n, r.n_kept) for r in got) == [(10, 6), (10, 7)]

@@ -1,0 +1,25 @@
+"""Streams: the operators that look at one row at a time work on a stream as they do on a table; counts by key are windowed."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from textmill.functions.patterns import Grammar
+from textmill.functions.text import clean_line, is_bullet
+from textmill.operators.curate import filtered
+
+
+def cleaned_lines(stream: DataFrame, g: Grammar) -> DataFrame:
+    """A stream of (doc_id, line_no, raw) with text and bullet, without blank lines and page furniture."""
+    return stream.withColumns({"text": clean_line(F.col("raw"), g), "bullet": is_bullet(F.col("raw"))}).filter(F.col("text") != "")
+
+
+def filtered_records(stream: DataFrame, g: Grammar) -> DataFrame:
+    return filtered(stream, g)
+
+
+def removal_rates(stream: DataFrame, time: str, late: str, window: str, kept) -> DataFrame:
+    """Rows and kept rows by event-time window; rows later than `late` are left out."""
+    w = stream.withWatermark(time, late).groupBy(F.window(time, window))
+    return w.agg(F.count("*").alias("n"), F.count_if(kept).alias("n_kept")).select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), "n", "n_kept")
