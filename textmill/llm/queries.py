@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textmill.llm import bpe, chat, embedding_dup, lm, near_dup, packing, pii, quality, secret_scan, token_counts
 from textmill.llm.common import table, written
+from textmill.llm.sql import SQL  # noqa: F401
 
 #: The pseudonyms' key where the session doesn't name one in spark.textmill.pii.key.
 DEMO_KEY = "textmill demonstration key"
@@ -56,4 +57,3 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_embedding_dup, op3_token_counts, op4_bpe, op5_chat, op6_secret_scan, op7_quality, op8_packing, op9_lm, op10_near_dup)}
-SQL: dict[str, str] = {}
