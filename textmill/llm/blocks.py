@@ -2,9 +2,12 @@
 
 A block is a run of a task's texts (BLOCK_BYTES of text, or BLOCK_WORDS distinct words, at most a text over). What has to
 be looked up for each distinct word goes through a shuffle once for each block that has the word, packed by word bucket,
-instead of once for each place; texts go through it as codes. The three kinds of rows are written to the shared folder:
+instead of once for each place; texts go through it as codes. Codes number a block's words by how often they occur, so most are small. The three kinds of rows are written
+to the shared folder:
 
-d: a text's codes; w: a bucket of a block's words with their codes (and counts); g: a bucket of a block's pairs.
+d: a text; the first of each few carries the codes of all of them, packed together
+w: a bucket of a block's words with their codes (and counts)
+g: a bucket of a block's pairs
 """
 
 from __future__ import annotations
@@ -23,11 +26,13 @@ from textmill.llm.common import written
 
 BLOCK_BYTES = 32 << 20
 BLOCK_WORDS = 600_000
-FIELDS = "kind string, block long, doc_id {id}, flag boolean, bucket int, n long, x binary, y binary, z binary"
+#: Codes that are packed together.
+PACK = 1 << 17
+FIELDS = "kind string, block long, seq int, doc_id {id}, flag boolean, bucket int, n long, x binary, y binary, z binary"
 
 
-def squeezed(a: np.ndarray | bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(a if isinstance(a, bytes) else a.tobytes())
+def squeezed(a: np.ndarray | bytes, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(a if isinstance(a, bytes) else a.tobytes())
 
 
 def loose(b: bytes, dtype: str | None = None):
@@ -35,18 +40,43 @@ def loose(b: bytes, dtype: str | None = None):
     return raw if dtype is None else np.frombuffer(raw, dtype)
 
 
-def narrow(codes: np.ndarray) -> bytes:
-    """Codes in 16 bits where they fit, a byte in front says."""
-    small = not len(codes) or codes.max() < 1 << 16
-    return b"\2" + squeezed(codes.astype("<u2")) if small else b"\4" + squeezed(codes.astype("<u4"))
+def planes(values: np.ndarray) -> bytes:
+    """Small numbers by byte planes: the high ones are nearly all zero."""
+    return squeezed(np.ascontiguousarray(values.astype("<u4").view("u1").reshape(-1, 4).T), 3)
 
 
-def wide(b: bytes) -> np.ndarray:
-    return loose(b[1:], f"<u{b[0]}")
+def of_planes(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(loose(b, "u1").reshape(4, -1).T).view("<u4").reshape(-1)
+
+
+def ranks(codes: np.ndarray) -> bytes:
+    """Frequency ranks: how many bits each has (which compresses well), then those below the highest, packed by that number (which don't)."""
+    r = codes.astype(np.int64) + 1
+    size = np.frexp(r.astype(np.float64))[1].astype(np.uint8) - np.uint8(1)
+    head = squeezed(size)
+    out = [len(head).to_bytes(4, "little"), head]
+    for k in range(1, int(size.max(initial=0)) + 1):
+        low = r[size == k] - (1 << k)
+        bits = np.unpackbits(low.astype(">u4").view("u1").reshape(-1, 4), axis=1)[:, 32 - k :]
+        out.append(np.packbits(bits).tobytes())
+    return b"".join(out)
+
+
+def of_ranks(b: bytes) -> np.ndarray:
+    at = 4 + int.from_bytes(b[:4], "little")
+    size = loose(b[4:at], "u1")
+    out = np.zeros(len(size), np.int64)
+    for k in range(1, int(size.max(initial=0)) + 1):
+        mine = size == k
+        n = int(mine.sum())
+        raw = np.frombuffer(b, np.uint8, -(-n * k // 8), at)
+        at += len(raw)
+        out[mine] = np.unpackbits(raw)[: n * k].reshape(n, k) @ (1 << np.arange(k - 1, -1, -1)) + (1 << k) - 1
+    return out.astype(np.uint32)
 
 
 def word_blob(words: list[bytes]) -> bytes:
-    return squeezed(np.fromiter(map(len, words), "<u4", len(words)).tobytes() + b"".join(words))
+    return squeezed(np.fromiter(map(len, words), "<u4", len(words)).tobytes() + b"".join(words), 9)
 
 
 def blob_words(blob: bytes, n: int) -> list[bytes]:
@@ -68,35 +98,53 @@ class Block:
     def __init__(self, number: int, buckets: int, pairs: int = 0):
         self.number, self.buckets, self.pairs = number, buckets, pairs
         self.codes, self.bytes = _Codes(), 0
-        self.counted: list[np.ndarray] = []
+        self.texts: list[tuple] = []  # document, flag, codes
 
     def full(self) -> bool:
         return self.bytes >= BLOCK_BYTES or len(self.codes) >= BLOCK_WORDS
 
-    def add(self, words: list[bytes], size: int, counted: bool) -> np.ndarray:
-        codes = np.fromiter(map(self.codes.__getitem__, words), np.uint32, len(words))
+    def add(self, doc, flag: bool, words: list[bytes], size: int) -> None:
+        self.texts.append((doc, flag, np.fromiter(map(self.codes.__getitem__, words), np.uint32, len(words))))
         self.bytes += size
-        if counted:
-            self.counted.append(codes)
-        return codes
 
     def rows(self, with_counts: bool) -> Iterator[tuple]:
         words = list(self.codes)
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-        counts = np.bincount(np.concatenate(self.counted), minlength=len(words)) if self.counted else np.zeros(len(words), np.int64)
+        n = len(words)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
+        seen = np.bincount(np.concatenate([c for *_, c in self.texts]), minlength=n)
         of = (hashes % np.uint64(self.buckets)).astype(np.int64)
-        order = np.argsort(of, kind="stable")
+        by_word = np.empty(n, np.int64)
+        by_word[sorted(range(n), key=words.__getitem__)] = np.arange(n)
+        order = np.lexsort((by_word, of, -seen))
+        new = np.empty(n, np.uint32)
+        new[order] = np.arange(n, dtype=np.uint32)
+        counted = [c for _, flag, c in self.texts if flag] if with_counts else []
+        counts = np.bincount(np.concatenate(counted), minlength=n) if counted else np.zeros(n, np.int64)
+        held, size, seq = [], 0, 0
+        for doc, flag, codes in self.texts:
+            held.append((doc, flag, new[codes]))
+            size += len(codes)
+            if size >= PACK:
+                yield from self._texts(held, seq)
+                seq += len(held)
+                held, size = [], 0
+        yield from self._texts(held, seq)
+        order = order[np.argsort(of[order], kind="stable")]
         cuts = np.searchsorted(of[order], np.arange(self.buckets + 1))
         for k in range(self.buckets):
             mine = order[cuts[k] : cuts[k + 1]]
             if len(mine):
-                yield "w", self.number, None, None, k, len(mine), word_blob([words[i] for i in mine]), squeezed(mine.astype("<u4")), squeezed(counts[mine].astype("<u4")) if with_counts else None
-        if self.pairs and self.counted:
-            yield from self._pairs(hashes)
+                yield "w", self.number, None, None, None, k, len(mine), word_blob([words[i] for i in mine]), squeezed(np.diff(new[mine], prepend=np.uint32(0))), squeezed(counts[mine].astype("<u4")) if with_counts else None
+        if self.pairs and counted:
+            yield from self._pairs(hashes, counted)
+
+    def _texts(self, held: list[tuple], seq: int) -> Iterator[tuple]:
+        for i, (doc, flag, codes) in enumerate(held):
+            yield "d", self.number, seq + i, doc, flag, None, len(codes), ranks(np.concatenate([c for *_, c in held])) if i == 0 else None, None, None
 
-    def _pairs(self, hashes: np.ndarray) -> Iterator[tuple]:
+    def _pairs(self, hashes: np.ndarray, counted: list[np.ndarray]) -> Iterator[tuple]:
         chains = []
-        for c in self.counted:
+        for c in counted:
             h = np.concatenate([[START], hashes[c], [END]]).astype(np.uint64)
             chains.append(pair_hash(h[:-1], h[1:]))
         found, n = np.unique(np.concatenate(chains), return_counts=True)
@@ -106,7 +154,7 @@ class Block:
             if a < b:
                 rest = found[a:b] & np.uint64((1 << 40) - 1)
                 step = np.diff(rest, prepend=np.uint64(0))
-                yield "g", self.number, None, None, k, int(b - a), squeezed((step & np.uint64(0xFFFFFFFF)).astype("<u4")), squeezed((step >> np.uint64(32)).astype("u1")), squeezed(n[a:b].astype("<u4"))
+                yield "g", self.number, None, None, None, k, int(b - a), squeezed((step & np.uint64(0xFFFFFFFF)).astype("<u4")), squeezed((step >> np.uint64(32)).astype("u1")), squeezed(n[a:b].astype("<u4"))
 
 
 START, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFE8D6A31)
@@ -164,9 +212,7 @@ def block_table(docs: DataFrame, split: Callable[[str], list[bytes]], buckets: i
                     if block is None:
                         block = Block(base, buckets, PAIR_BUCKETS if pairs else 0)
                         base += 1
-                    words = split(text)
-                    codes = block.add(words, len(text), flag and with_counts)
-                    yield "d", block.number, doc, flag, None, len(words), narrow(codes), None, None
+                    block.add(doc, flag, split(text), len(text))
                     if block.full():
                         yield from block.rows(with_counts)
                         block = None
@@ -182,11 +228,30 @@ def _schema(id_type) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_type
 
     b = pa.binary()
-    return pa.schema([("kind", pa.string()), ("block", pa.int64()), ("doc_id", to_arrow_type(id_type)), ("flag", pa.bool_()), ("bucket", pa.int32()), ("n", pa.int64()), ("x", b), ("y", b), ("z", b)])
+    return pa.schema([("kind", pa.string()), ("block", pa.int64()), ("seq", pa.int32()), ("doc_id", to_arrow_type(id_type)), ("flag", pa.bool_()), ("bucket", pa.int32()), ("n", pa.int64()), ("x", b), ("y", b), ("z", b)])
+
+
+def word_codes(y: bytes) -> np.ndarray:
+    """The codes of a bucket's words, in their order."""
+    return np.cumsum(loose(y, "<u4"), dtype=np.int64)
+
+
+class Packed:
+    """Hands out the codes of texts in the order of their rows."""
+
+    def __init__(self):
+        self.codes, self.at = np.zeros(0, np.uint32), 0
+
+    def take(self, x: bytes | None, n: int) -> np.ndarray:
+        if x is not None:
+            self.codes, self.at = of_ranks(x), 0
+        self.at += n
+        return self.codes[self.at - n : self.at]
 
 
 def by_block(table: DataFrame, answers: DataFrame) -> DataFrame:
-    """A block's answers (block, bucket, n, x, y, z) and then its texts, beside one another in a partition."""
-    d = table.filter(F.col("kind") == "d").select(F.lit(1).alias("turn"), "block", "doc_id", "flag", "n", "x", F.lit(None).cast("binary").alias("y"), F.lit(None).cast("binary").alias("z"))
-    a = answers.select(F.lit(0).alias("turn"), "block", F.lit(None).cast(table.schema["doc_id"].dataType).alias("doc_id"), F.lit(None).cast("boolean").alias("flag"), "n", "x", "y", "z")
-    return d.unionByName(a).repartition("block").sortWithinPartitions("block", "turn")
+    """A block's answers (block, n, x, y, z; seq is -1) and then its texts, beside one another in a partition:
+    block, seq, doc_id, flag, n, x, y, z."""
+    d = table.filter(F.col("kind") == "d").select("block", "seq", "doc_id", "flag", "n", "x", F.lit(None).cast("binary").alias("y"), F.lit(None).cast("binary").alias("z"))
+    a = answers.select("block", F.lit(-1).alias("seq"), F.lit(None).cast(table.schema["doc_id"].dataType).alias("doc_id"), F.lit(None).cast("boolean").alias("flag"), "n", "x", "y", "z")
+    return d.unionByName(a).repartition("block").sortWithinPartitions("block", "seq")

@@ -86,7 +86,7 @@ def _word_ids(table: DataFrame, path: str) -> DataFrame:
                 keys = blocks.blob_words(x, n)
                 known = words.ids.ensure(keys)
                 ids = [known[k] for k in keys]
-                out.append((block, n, y, blocks.squeezed(np.fromiter(map(len, ids), "<u4", n) // 4), blocks.squeezed(b"".join(ids))))
+                out.append((block, n, y, blocks.planes(np.fromiter(map(len, ids), "<u4", n) // 4), blocks.planes(np.frombuffer(b"".join(ids), "<u4"))))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate([pa.int64(), pa.int64(), *[pa.binary()] * 3])], names=["block", "n", "x", "y", "z"])
 
     w = table.filter(F.col("kind") == "w").select("bucket", "block", "n", "x", "y").repartition("bucket").sortWithinPartitions("bucket")
@@ -101,16 +101,16 @@ def encode_decode(docs: DataFrame, path: str, id_column: str = "doc_id", text_co
     kind = table.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, texts = None, [], []
+        at, ids, texts, packed = None, [], [], blocks.Packed()
         piece = pieces.value
         for b in batches:
             out = []
             size = 0
-            for turn, block, doc, n, x, y, z in zip(*(b.column(c).to_pylist() for c in (0, 1, 2, 4, 5, 6, 7)), strict=True):
+            for block, seq, doc, n, x, y, z in zip(*(b.column(c).to_pylist() for c in (0, 1, 2, 4, 5, 6, 7)), strict=True):
                 if block != at:
                     at, ids, texts = block, [], []
-                if turn == 0:
-                    codes, lengths, flat = blocks.loose(x, "<u4"), blocks.loose(y, "<u4"), blocks.loose(z)
+                if seq < 0:
+                    codes, lengths, flat = blocks.word_codes(x), blocks.of_planes(y), blocks.of_planes(z).tobytes()
                     if len(ids) <= (top := int(codes.max())):
                         ids += [b""] * (top + 1 - len(ids))
                         texts += [b""] * (top + 1 - len(texts))
@@ -120,7 +120,7 @@ def encode_decode(docs: DataFrame, path: str, id_column: str = "doc_id", text_co
                         ids[c] = flat[4 * s : 4 * e]
                         texts[c] = b"".join(said[s:e])
                     continue
-                codes = blocks.wide(x).tolist() if n else []
+                codes = packed.take(x, n).tolist()
                 mine = b"".join(map(ids.__getitem__, codes))
                 text = b"".join(map(texts.__getitem__, codes)).decode("utf-8", "replace")
                 out.append((doc, len(mine) // 4, mine, text))
