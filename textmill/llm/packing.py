@@ -20,6 +20,8 @@ id are packed each; an empty table gives no pieces.
 from __future__ import annotations
 
 import bisect
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from fractions import Fraction
@@ -30,17 +32,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.llm.common import BoundedCache, no_null_text, small, written
+from textmill.llm.common import no_null_text, small, written
 from textmill.llm.token_counts import balanced
 
 END_ID = 1
 
 
+#: A full stop or comma beside another mark, with which it is one word to the tokenizer.
+_touching = re.compile(r"[.,](?:(?=[^\w\s]|[_\x1c-\x1f])|(?<=[^\w\s].)|(?<=[_\x1c-\x1f].))")
+
+
 class WordEncoder:
     """ids of a text, as little-endian 16-bit integers: the text is cut at ASCII white space, which the tokenizer drops,
-    and each distinct word is encoded once while the cache holds it."""
+    and each distinct word is encoded once while the cache holds it.
 
-    def __init__(self, path: str):
+    There are fewer distinct words in lower case and without full stops and commas behind them, so texts are brought
+    to that first where it is what the tokenizer does itself. New words of letters are encoded in one string, and the
+    tokens that end a word tell them apart.
+    """
+
+    def __init__(self, path: str, limit: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -48,17 +59,61 @@ class WordEncoder:
             raise ValueError(f"{path}: ids don't fit 16 bits")
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words = BoundedCache(self.encode, 600_000)
-
-    def encode(self, words: list[bytes]) -> list[bytes]:
+        self.limit, self.words, self.older = limit, {}, {}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for piece, i in vocabulary.items() if piece.endswith(suffix)]] = True
+
+    @staticmethod
+    def cut(text: str) -> list[bytes]:
+        """Words whose ids one after the other are the text's."""
+        if "<|" in text or "'" in text or "\u0130" in text or "\u03a3" in text or not unicodedata.is_normalized("NFC", text):
+            return text.encode().split()
+        if _touching.search(text):
+            return text.lower().encode().split()
+        return text.lower().encode().replace(b".", b" .").replace(b",", b" ,").split()
+
+    def _each(self, words: list[bytes]) -> list[bytes]:
+        return [np.array(e.ids, "<u2").tobytes() for batch in balanced([w.decode() for w in words]) for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
+
+    def _joined(self, words: list[bytes]) -> list[bytes]:
         out: list[bytes] = []
-        for batch in balanced([w.decode() for w in words]):
-            out += [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
+        for at in range(0, len(words), 2000):
+            part = words[at : at + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u2")
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                raw = ids.tobytes()
+                out += [raw[2 * a : 2 * b] for a, b in zip([0, *ends], ends, strict=False)]
+            else:  # a word is more than one to the tokenizer
+                out += self._each(part)
         return out
 
-    def ids(self, text: str) -> bytes:
-        words = text.encode().split()
-        return b"".join(map(self.words.ensure(words).__getitem__, words))
+    def known(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """A mapping that has every one of words. When it is full, what it has is set aside for one more turn: words
+        that occur again come back from there."""
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > self.limit:
+            self.words, self.older = {}, self.words
+            new = words
+        back = new.intersection(self.older)
+        self.words.update((w, self.older[w]) for w in back)
+        new = new.difference(back)
+        letters = [w for w in new if len(w) <= 100 and w.decode().isalpha()]
+        rest = list(new.difference(letters))
+        self.words.update(zip(letters, self._joined(letters), strict=True))
+        self.words.update(zip(rest, self._each(rest), strict=True))
+        return self.words
+
+    def many(self, texts: list[str]) -> Iterator[bytes]:
+        """ids of each text; new words are encoded together for about a megabyte of texts."""
+        for batch in balanced(texts):
+            cut = [self.cut(t) for t in batch]
+            known = self.known(set().union(*cut))
+            for words in cut:
+                yield b"".join(map(known.__getitem__, words))
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -78,8 +133,8 @@ def token_table(docs: DataFrame, path: str, id_column: str = "doc_id", text_colu
         served: dict = {}
         for b in batches:
             sources, starts, ns, ids = b.column(1).to_pylist(), [], [], []
-            for s, t in zip(sources, b.column(2).to_pylist(), strict=True):
-                x = e.ids(t) + end
+            for s, x in zip(sources, e.many(b.column(2).to_pylist()), strict=True):
+                x += end
                 ids.append(x)
                 ns.append(len(x) // 2)
                 starts.append(served.get(s, 0))
