@@ -270,5 +270,5 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """docs without the documents that near_duplicates() doesn't keep; all columns stay."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = small(written(near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct(), "near-copies"))
+    return docs.alias("d").join(gone.alias("g"), F.col("d.doc_id") == F.col("g.doc_id"), "left_anti")
