@@ -23,14 +23,14 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.llm.common import written
+from textmill.llm.common import small, written
 
 #: Documents that a cell must have at least for estimates of its own.
 LEAST = 100
 SHARE = 0.75
 STEPS = 4
-#: Chance that a clean normal document is rejected.
-REJECT = 1e-7
+#: Chance that a clean normal document is rejected: small beside the documents of a large corpus.
+REJECT = 1e-12
 SCALE = 10_000
 #: Name, and standard deviation that is taken as noise in any case.
 FEATURES = (("word_length", 0.08), ("symbols", 0.35), ("dup_lines", 0.7), ("repeats", 0.7), ("marks", 0.15))
@@ -199,5 +199,6 @@ def assess(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 def keep(docs: DataFrame) -> DataFrame:
     """The rows of docs that assess() keeps, with all their columns."""
     verdict = assess(docs, key=True)
-    gone = verdict.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left_anti")
+    gone = small(written(verdict.filter(~F.col("kept")).select("doc_id", "text_key").distinct(), "quality-rejects"))
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.xxhash64("d.text") == F.col("g.text_key"))
+    return docs.alias("d").join(gone.alias("g"), same, "left_anti")
