@@ -120,6 +120,7 @@ def test_models(spark):
     assert out["1"].question == "q eno" and out["1"].options == {"a": "tfel thgir", "b": "nan"} and out["2"].options is None and out["1"].subtopic == ""
     made = {r.id: r for r in model.rebuilt_composites(df, G, "en").collect()}
     assert made["1"].query.startswith("- Topic: T") and made["1"].short_answer == "yes" and made["2"].query == "keep" and made["1"].justification == "- Evidence: e"
+    assert model.translated_labels(("Evidence", "Notes"), model.stub_translator) == ("ecnedivE", "setoN")
     assert model.rebuilt_composites(df, G, "en", reuse_existing=True).filter("id = '1'").first().query == "old"
 
 

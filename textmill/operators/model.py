@@ -112,3 +112,8 @@ def rebuilt_composites(records: DataFrame, g: Grammar, language: str, reuse_exis
         "query": F.when(guided, query).otherwise(c("query")),
         "justification": F.when(guided, justification(c("evidence"), c("considerations"), labels or g.justification_labels, dash=labels is None)).otherwise(c("justification")),
     })
+
+
+def translated_labels(labels: tuple[str, ...], loader: Loader) -> tuple[str, ...]:
+    """A few fixed phrases through the same function, once, on the driver."""
+    return tuple(loader()(list(labels), LONGEST))
