@@ -430,3 +430,16 @@ def test_pipeline(spark, folder):
     assert ids[1] == {i for i in want if u.find(i) == i} and ids[2] == ids[1]
     assert {r.doc_id for r in docs.collect()} == ids[1]
     assert {r.doc_id for r in c.run(spark, folder).collect()} == ids[1]
+
+
+def test_null_ids(spark, tmp_path):
+    """Rows without an id, and rows with the same id, each give a row."""
+    rows = [(None, "a b c d e f g", "en", "s", 1), (None, None, None, None, None), (5, "a b c d e f g", "en", "s", 1), (5, "other words here in this one text", "en", None, 1), (6, "a b c d e f g", None, "s", 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    for name, query in Q.QUERIES.items():
+        if name not in ("op2_embedding_dup", "op5_chat", "op8_packing"):
+            got = sorted(r.doc_id or 0 for r in query(spark, str(tmp_path)).collect())
+            assert got == [0, 0, 5, 5, 6], name
+    assert sum(r.length for r in Q.op8_packing(spark, str(tmp_path)).collect()) > 20
+    near = Q.op10_near_dup(spark, str(tmp_path)).filter("doc_id = 6").first()
+    assert near.component_id in (5, 6) and near.n_shingles == 3
