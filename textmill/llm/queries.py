@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textmill.llm import bpe, chat, embedding_dup, lm, near_dup, packing, pii, quality, secret_scan, token_counts
 from textmill.llm.common import table, written
@@ -32,7 +33,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = r"\### Assistant: </turn> ok"
-    more = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
     return chat.digests(chat.format_paths(written(chat.linear(rows.unionByName(more)), "messages")))
 
 
