@@ -9,11 +9,11 @@ are all candidate neighbours. Regions are worked from their longest common prefi
    the region as a whole, each class and the smallest one (a number of candidates linear in the rows, however large the region);
 2. these candidates are confirmed on full sets and joined to components. A region whose classes are then all in one
    component is done, however large: more links in it can't change the result;
-3. what is left is worked in full: all pairs of a region in different components, in blocks, compared by signatures; a pair
-   whose estimate is over LEAST_ESTIMATE is confirmed on full sets.
+3. what is left is worked in full: all pairs of a region in different components, in blocks, compared by longer sketches (SKETCH
+   minima, a byte each) that are made for these classes only; a pair whose estimate is over LEAST_SKETCH is confirmed on full sets.
 
-Two texts of similarity 0.75 share no region with probability (1 - 0.75**DEPTH)**TREES (below 2e-5); an estimate is 0.15
-below the truth with a probability of about 3e-4. Nothing is capped: a region of any size is split over tasks.
+Two texts of similarity 0.75 share no region with probability (1 - 0.75**DEPTH)**TREES (below 2e-5); a sketch
+falls under LEAST_SKETCH with a probability of about 1e-5. Nothing is capped: a region of any size is split over tasks.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing; fewer than five words
 are one shingle; of documents with the same id and different texts, the set with the smallest digest stands for the id
@@ -37,11 +37,14 @@ NUM, DEN = 75, 100  # similarity of links: DEN * intersection >= NUM * union
 TREES, DEPTH = 28, 4
 SIGNATURE = TREES * DEPTH
 LEAST_ESTIMATE = 0.60
+SKETCH, LEAST_SKETCH = 1024, 0.69
 BLOCK = 256
 _lower = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _random = np.random.default_rng(20240229)
 _odd = _random.integers(0, 1 << 63, SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _xor = _random.integers(0, 1 << 63, SIGNATURE, dtype=np.uint64)
+_odd2 = _random.integers(0, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_xor2 = _random.integers(0, 1 << 63, SKETCH, dtype=np.uint64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -71,13 +74,21 @@ class Shingler:
         return np.unique(_mixed(h))
 
 
+def _minima(h: np.ndarray, xor: np.ndarray, odd: np.ndarray) -> np.ndarray:
+    low = np.full(len(odd), np.iinfo(np.uint64).max, np.uint64)
+    for a in range(0, len(h), 512):
+        np.minimum(low, ((h[a : a + 512, None] ^ xor) * odd).min(axis=0), out=low)
+    return low
+
+
 def signature(h: np.ndarray) -> np.ndarray:
     """SIGNATURE minima, as 32-bit values."""
-    low = np.full(SIGNATURE, np.iinfo(np.uint64).max, np.uint64)
-    for a in range(0, len(h), 2048):
-        part = h[a : a + 2048, None]
-        np.minimum(low, ((part ^ _xor) * _odd).min(axis=0), out=low)
-    return (low >> np.uint64(32)).astype(np.uint32)
+    return (_minima(h, _xor, _odd) >> np.uint64(32)).astype(np.uint32)
+
+
+def sketch(h: np.ndarray) -> np.ndarray:
+    """SKETCH minima of other orders, a byte of a hash of each."""
+    return (_mixed(_minima(h, _xor2, _odd2)) & np.uint64(255)).astype(np.uint8)
 
 
 _shinglers: list[Shingler] = []
@@ -156,8 +167,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     """
     pairs = written(pairs, "candidates")
     salted = pairs.select("a", F.pmod(F.xxhash64("b"), F.lit(1 << 20)).cast("int").alias("salt"), "b")
-    need = written(classes.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id").select("id", "set_key"), "needed")
-    sets = written(set_table(docs.join(small(need), "id")), "sets")
+    sets = set_table(docs, classes.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id").select("id", "set_key"))
     fewer = salted.groupBy("a").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts"))
     salted = salted.join(fewer, "a").select("a", F.pmod("salt", F.col("parts")).alias("salt"), "b")
     heads = salted.select("a", "salt").distinct().join(sets.withColumnRenamed("id", "a"), "a").select("a", "salt", F.lit(None).cast(pairs.schema["b"].dataType).alias("b"), "hashes")
@@ -183,41 +193,63 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     return written(dealt.mapInArrow(rows, f"a {kind}, b {kind}"), "confirmed")
 
 
-def set_table(docs: DataFrame) -> DataFrame:
-    """id, hashes (sorted 64-bit integers) for each row of docs (id, text, set_key) whose set has that digest."""
+def _of_sets(docs: DataFrame, need: DataFrame, name: str, made) -> DataFrame:
+    """id, NAME (made of the set) for the rows of docs (id, text) whose set has the digest in need (id, set_key); written to the shared folder."""
     import xxhash
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = _shingler()
         for b in batches:
-            sets = [s.hashes(t or "").tobytes() for t in b.column(1).to_pylist()]
-            mine = [xxhash.xxh3_128_digest(h) == k for h, k in zip(sets, b.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["id", "hashes"]).filter(pa.array(mine))
+            ids, out = [], []
+            for i, t, k in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
+                h = s.hashes(t or "")
+                if xxhash.xxh3_128_digest(h.tobytes()) == k:
+                    ids.append(i)
+                    out.append(made(h).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, b.column(0).type), pa.array(out, pa.binary())], names=["id", name])
 
-    return docs.select("id", "text", "set_key").mapInArrow(rows, f"id {docs.schema['id'].dataType.simpleString()}, hashes binary")
+    some = docs.join(small(written(need, "needed")), "id").select("id", "text", "set_key")
+    return written(some.mapInArrow(rows, f"id {docs.schema['id'].dataType.simpleString()}, {name} binary"), name)
 
 
-def rest_pairs(regions: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """All pairs of a region whose classes are in different components and whose signatures are similar.
+def set_table(docs: DataFrame, need: DataFrame) -> DataFrame:
+    """id, hashes (sorted 64-bit integers)."""
+    return _of_sets(docs, need, "hashes", lambda h: h)
 
-    The rows of the region's largest component only meet the others, so a large settled component isn't compared with itself.
-    Rows are dealt to blocks of about BLOCK rows, and each two blocks meet in a task of their own.
-    """
+
+def sketch_table(docs: DataFrame, need: DataFrame) -> DataFrame:
+    """id, mark; a row for each id."""
+    return _of_sets(docs, need, "mark", sketch).groupBy("id").agg(F.min("mark").alias("mark"))
+
+
+def open_rows(regions: DataFrame, roots: DataFrame) -> DataFrame:
+    """region, id, root, large (the region's largest component) for regions whose classes are in different components."""
     root = F.coalesce("root", F.col("id")).alias("root")
-    rows = regions.drop("deep").join(roots.withColumnRenamed("node", "id"), "id", "left").select("region", "id", root)
+    rows = regions.select("region", "id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("region", "id", root)
     count = rows.groupBy("region", "root").agg(F.count("*").alias("n")).groupBy("region").agg(F.count("*").alias("k"), F.max(F.struct("n", "root"))["root"].alias("large"))
-    rows = written(rows.join(count.filter(F.col("k") > 1).select("region", "large"), "region"), "open-regions")
+    return written(rows.join(count.filter(F.col("k") > 1).select("region", "large"), "region"), "open-regions")
+
+
+def dealt_rows(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """region, x, y, own, id, root, mark: rows dealt to blocks of about BLOCK rows of which each two meet. The rows of the
+    region's largest component only meet the others, so a large settled component isn't compared with itself."""
     major = F.col("root") == F.col("large")
     sizes = rows.groupBy("region").agg(F.ceil(F.count_if(major) / BLOCK).cast("int").alias("ka"), F.ceil(F.count_if(~major) / BLOCK).cast("int").alias("kb"))
     rows = rows.join(sizes, "region").withColumn("other", ~major)
     # blocks of the settled component are 0 .. ka - 1, the others follow; x <= y number the two blocks of a meeting
     own = F.when(F.col("other"), F.col("ka") + F.pmod(F.xxhash64("id"), F.col("kb"))).otherwise(F.pmod(F.xxhash64("id"), F.greatest(F.col("ka"), F.lit(1)))).cast("int")
     all_, others = F.sequence(F.lit(0), F.col("ka") + F.col("kb") - 1), F.sequence(F.col("ka"), F.col("ka") + F.col("kb") - 1)
-    meet = F.when(F.col("other"), all_).otherwise(others)
-    dealt = rows.withColumn("own", own).withColumn("with", F.explode(meet))
+    dealt = rows.withColumn("own", own).withColumn("with", F.explode(F.when(F.col("other"), all_).otherwise(others)))
     dealt = dealt.select("region", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"), "own", "id", "root")
-    dealt = dealt.join(classes.select("id", "sig"), "id").repartition("region", "x", "y").sortWithinPartitions("region", "x", "y", "own", "id")
-    cols = ["region", "x", "y", "own", "id", "root", "sig"]
+    dealt = dealt.join(marks, "id").repartition("region", "x", "y").sortWithinPartitions("region", "x", "y", "own", "id")
+    return dealt.select("region", "x", "y", "own", "id", "root", "mark")
+
+
+def rest_pairs(regions: DataFrame, classes: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFrame:
+    """All pairs of a region whose classes are in different components and whose sketches are similar."""
+    rows = open_rows(regions, roots)
+    need = classes.join(rows.select("id").distinct(), "id").select("id", "set_key")
+    dealt = dealt_rows(rows, sketch_table(docs, need))
 
     def pairs_of(own: np.ndarray, x: int, y: int, ids: np.ndarray, roots: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left = np.flatnonzero(own == x)
@@ -228,7 +260,7 @@ def rest_pairs(regions: DataFrame, classes: DataFrame, roots: DataFrame) -> Data
             open_ = roots[i, None] != roots[right]
             if not open_.any():
                 continue
-            close = (sig[i, None, :] == sig[right]).mean(axis=2) >= LEAST_ESTIMATE
+            close = np.count_nonzero(sig[i, None, :] == sig[right], axis=2) >= LEAST_SKETCH * SKETCH
             p, q = np.nonzero(open_ & close)
             found.append((ids[i[p]], ids[right[q]]))
         if not found:
@@ -239,7 +271,7 @@ def rest_pairs(regions: DataFrame, classes: DataFrame, roots: DataFrame) -> Data
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, edges in whole_runs(batches, 3):
             v = [t.column(c).to_numpy() for c in range(6)]
-            sig = np.frombuffer(b"".join(t.column(6).to_pylist()), np.uint32).reshape(-1, SIGNATURE)
+            sig = np.frombuffer(b"".join(t.column(6).to_pylist()), np.uint8).reshape(-1, SKETCH)
             kind = t.column(4).type
             for s, e in zip(edges, edges[1:], strict=False):
                 a, b = pairs_of(v[3][s:e], v[1][s], v[2][s], v[4][s:e], v[5][s:e], sig[s:e])
@@ -248,7 +280,7 @@ def rest_pairs(regions: DataFrame, classes: DataFrame, roots: DataFrame) -> Data
                     yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], names=["a", "b"])
 
     kind = classes.schema["id"].dataType.simpleString()
-    return dealt.select(*cols).mapInArrow(rows_of, f"a {kind}, b {kind}").distinct()
+    return dealt.mapInArrow(rows_of, f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -260,7 +292,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     found = regions(classes)
     links = confirmed(similar(star_pairs(found), classes), texts, classes)
-    more = confirmed(rest_pairs(found, classes, components(links)), texts, classes)
+    more = confirmed(rest_pairs(found, classes, components(links), texts), texts, classes)
     same = sig.join(classes.select("set_key", "id"), "set_key").filter(F.col("doc_id") != F.col("id")).select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     roots = components(links.unionByName(more).unionByName(same))
     r = roots.withColumnsRenamed({"node": "_node", "root": "_root"})
