@@ -1,7 +1,7 @@
 """BPE encoding and decoding through a table of distinct words.
 
 Texts are split into words at places that no pre-token crosses (before a single space, around a single line feed: see
-token_counts). Every distinct word of the corpus is encoded once, in the task of its bucket, and its ids go back to the
+token_counts; before a full stop or comma behind a letter or digit). Every distinct word of the corpus is encoded once, in the task of its bucket, and its ids go back to the
 blocks whose texts have it; there ids are joined back by position. Decoding looks each id up in the id-to-piece table
 (as long as the vocabulary, so it can be broadcast) and joins the pieces of a text.
 
@@ -25,6 +25,8 @@ from textmill.llm.token_counts import balanced
 
 _two_spaces = re.compile(r"\s\s|^ | $|\n \Z|\0")
 _cut = re.compile(r"(?<=\S)(?= \S)")
+#: A full stop or comma beside another mark, or behind white space, with which it is one pre-token.
+_touching = re.compile(r"[.,](?:(?=[^\w\s]|[_\x1c-\x1f])|(?<=[^\w\s].)|(?<=[_\x1c-\x1f].)|(?<=\s.))")
 
 
 def split_words(text: str) -> list[bytes]:
@@ -33,7 +35,10 @@ def split_words(text: str) -> list[bytes]:
         return []
     if _two_spaces.search(text):
         return [w.encode() for w in _cut.split(text)]
-    return [w for w in text.encode().replace(b"\n", b"\0\n\0").replace(b" ", b"\0 ").split(b"\0") if w]
+    raw = text.encode().replace(b"\n", b"\0\n\0").replace(b" ", b"\0 ")
+    if not _touching.search(text):
+        raw = raw.replace(b".", b"\0.").replace(b",", b"\0,")
+    return [w for w in raw.split(b"\0") if w]
 
 
 class Words:
