@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm import blocks
-from textmill.llm.common import BoundedCache, no_null_text
+from textmill.llm.common import BoundedCache, held, no_null_text
 from textmill.llm.token_counts import balanced
 
 _two_spaces = re.compile(r"\s\s|^ | $|\n \Z|\0")
@@ -57,15 +57,6 @@ class Words:
         return out
 
 
-_words: dict[str, Words] = {}
-
-
-def the_words(path: str) -> Words:
-    if path not in _words:
-        _words[path] = Words(path)
-    return _words[path]
-
-
 def piece_table(path: str) -> list[bytes]:
     """Bytes of each id, by the byte-level rule: visible Latin-1 characters stand for themselves, the other bytes in order for 256 and up."""
     from tokenizers import Tokenizer
@@ -84,7 +75,7 @@ def _word_ids(table: DataFrame, path: str) -> DataFrame:
     """block, bucket, n, x (codes), y (number of ids of each), z (ids): each distinct word is encoded in its bucket's task."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = the_words(path)
+        words = held(Words, path)
         for b in batches:
             out = []
             for block, n, x, y in zip(*(b.column(c).to_pylist() for c in (1, 2, 3, 4)), strict=True):

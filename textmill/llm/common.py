@@ -63,6 +63,18 @@ def no_null_text(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+_held: dict[tuple, object] = {}
+
+
+def held(make, *key):
+    """make(*key), kept in this Python worker until something else is asked for: workers outlive stages, and the caches of
+    an earlier operator would stay in memory beside the next one's."""
+    if (make, *key) not in _held:
+        _held.clear()
+        _held[make, *key] = make(*key)
+    return _held[make, *key]
+
+
 class BoundedCache(dict):
     """A dict that misses through fill(keys) and is emptied when it would pass `limit` entries, so its memory is bounded
     whatever the vocabulary; only speed depends on what it holds."""

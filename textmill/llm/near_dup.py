@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import BoundedCache, no_null_text, small, whole_runs, written
+from textmill.llm.common import BoundedCache, held, no_null_text, small, whole_runs, written
 from textmill.llm.components import components
 
 WORDS = 5
@@ -58,7 +58,7 @@ class Shingler:
     def __init__(self):
         import xxhash
 
-        self.words = BoundedCache(lambda keys: [xxhash.xxh3_64_intdigest(k) for k in keys], 500_000)
+        self.words = BoundedCache(lambda keys: [xxhash.xxh3_64_intdigest(k) for k in keys], 100_000)
 
     def hashes(self, text: str) -> np.ndarray:
         """The text's shingle set as sorted distinct 64-bit hashes."""
@@ -91,21 +91,12 @@ def sketch(h: np.ndarray) -> np.ndarray:
     return (_mixed(_minima(h, _xor2, _odd2)) & np.uint64(255)).astype(np.uint8)
 
 
-_shinglers: list[Shingler] = []
-
-
-def _shingler() -> Shingler:
-    if not _shinglers:
-        _shinglers.append(Shingler())
-    return _shinglers[0]
-
-
 def signatures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_shingles, set_key (a 128-bit digest of the set; null for an empty set), sig for each row of docs, written to the shared folder."""
     import xxhash
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = _shingler()
+        s = held(Shingler)
         for b in batches:
             n, key, sig = [], [], []
             for t in b.column(1).to_pylist():
@@ -198,7 +189,7 @@ def _of_sets(docs: DataFrame, need: DataFrame, name: str, made) -> DataFrame:
     import xxhash
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = _shingler()
+        s = held(Shingler)
         for b in batches:
             ids, out = [], []
             for i, t, k in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.llm.common import no_null_text, small, written
+from textmill.llm.common import held, no_null_text, small, written
 from textmill.llm.token_counts import balanced
 
 END_ID = 1
@@ -51,7 +51,7 @@ class WordEncoder:
     tokens that end a word tell them apart.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -116,20 +116,11 @@ class WordEncoder:
                 yield b"".join(map(known.__getitem__, words))
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
-
-
 def token_table(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
     """doc_id, source, part, start (the tokens of the same source before it in the same part), n, ids: written to the shared folder."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, part, end = encoder(path), TaskContext.get().partitionId(), np.array([END_ID], "<u2").tobytes()
+        e, part, end = held(WordEncoder, path), TaskContext.get().partitionId(), np.array([END_ID], "<u2").tobytes()
         served: dict = {}
         for b in batches:
             sources, starts, ns, ids = b.column(1).to_pylist(), [], [], []

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import BoundedCache, no_null_text
+from textmill.llm.common import BoundedCache, held, no_null_text
 
 BATCH_BYTES = 1 << 20
 _two_spaces = re.compile(r"\s\s|^ | $|\n \Z")
@@ -81,20 +81,11 @@ class Counter:
         return out
 
 
-_counters: dict[str, Counter] = {}
-
-
-def counter(path: str) -> Counter:
-    if path not in _counters:
-        _counters[path] = Counter(path)
-    return _counters[path]
-
-
 def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) for each row of docs, by the tokenizer file at path."""
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = counter(path)
+        c = held(Counter, path)
         for b in batches:
             n = c.count(b.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
