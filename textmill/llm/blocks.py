@@ -76,14 +76,25 @@ def of_ranks(b: bytes) -> np.ndarray:
 
 
 def word_blob(words: list[bytes]) -> bytes:
-    return squeezed(np.fromiter(map(len, words), "<u4", len(words)).tobytes() + b"".join(words), 9)
+    """Words as the length they share with the one before, and the rest: sorted neighbours share much."""
+    n, wide = len(words), 16
+    length = np.fromiter(map(len, words), np.int64, n)
+    m = np.array([w[:wide] for w in words], f"S{wide}").view("u1").reshape(n, wide)
+    shared = np.zeros(n, np.int64)
+    shared[1:] = np.minimum(np.logical_and.accumulate(m[1:] == m[:-1], axis=1).sum(axis=1), np.minimum(np.minimum(length[1:], length[:-1]), wide))
+    rest = [w[k:] for w, k in zip(words, shared.tolist(), strict=True)]
+    sizes = np.ascontiguousarray((length - shared).astype("<u4").view("u1").reshape(n, 4).T)
+    return squeezed(shared.astype("u1").tobytes() + sizes.tobytes() + b"".join(rest), 9)
 
 
 def blob_words(blob: bytes, n: int) -> list[bytes]:
     raw = loose(blob)
-    ends = np.cumsum(np.frombuffer(raw, "<u4", n)).tolist()
-    body = raw[4 * n :]
-    return [body[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    ends = np.cumsum(np.ascontiguousarray(np.frombuffer(raw, "u1", 4 * n, n).reshape(4, n).T).view("<u4").reshape(-1), dtype=np.int64).tolist()
+    body, out, last = raw[5 * n :], [], b""
+    for k, a, b in zip(raw[:n], [0, *ends], ends, strict=False):
+        last = last[:k] + body[a:b]
+        out.append(last)
+    return out
 
 
 class _Codes(dict):
