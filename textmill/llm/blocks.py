@@ -106,13 +106,13 @@ class _Codes(dict):
 class Block:
     """One block under way. pairs: also gathers the pairs of neighbours of flagged texts, as hashes."""
 
-    def __init__(self, number: int, buckets: int, pairs: int = 0):
-        self.number, self.buckets, self.pairs = number, buckets, pairs
+    def __init__(self, number: int, buckets: int, pairs: int = 0, most: int = BLOCK_BYTES):
+        self.number, self.buckets, self.pairs, self.most = number, buckets, pairs, most
         self.codes, self.bytes = _Codes(), 0
         self.texts: list[tuple] = []  # document, flag, codes
 
     def full(self) -> bool:
-        return self.bytes >= BLOCK_BYTES or len(self.codes) >= BLOCK_WORDS
+        return self.bytes >= self.most or len(self.codes) >= BLOCK_WORDS
 
     def add(self, doc, flag: bool, words: list[bytes], size: int) -> None:
         self.texts.append((doc, flag, np.fromiter(map(self.codes.__getitem__, words), np.uint32, len(words))))
@@ -154,11 +154,14 @@ class Block:
             yield "d", self.number, seq + i, doc, flag, None, len(codes), ranks(np.concatenate([c for *_, c in held])) if i == 0 else None, None, None
 
     def _pairs(self, hashes: np.ndarray, counted: list[np.ndarray]) -> Iterator[tuple]:
-        chains = []
+        every, at = np.empty(sum(len(c) + 1 for c in counted), np.uint64), 0
         for c in counted:
             h = np.concatenate([[START], hashes[c], [END]]).astype(np.uint64)
-            chains.append(pair_hash(h[:-1], h[1:]))
-        found, n = np.unique(np.concatenate(chains), return_counts=True)
+            every[at : at + len(c) + 1] = pair_hash(h[:-1], h[1:])
+            at += len(c) + 1
+        every.sort()
+        first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        found, n = every[first], np.diff(np.append(first, len(every)))
         cuts = np.searchsorted(found >> np.uint64(40), np.arange(self.pairs + 1).astype(np.uint64))
         for k in range(self.pairs):
             a, b = cuts[k], cuts[k + 1]
@@ -207,7 +210,7 @@ def buckets_for(docs: DataFrame) -> int:
     return max(64, min(16_384, docs.rdd.getNumPartitions()))
 
 
-def block_table(docs: DataFrame, split: Callable[[str], list[bytes]], buckets: int, with_counts: bool = False, pairs: bool = False) -> DataFrame:
+def block_table(docs: DataFrame, split: Callable[[str], list[bytes]], buckets: int, with_counts: bool = False, pairs: bool = False, most: int = BLOCK_BYTES) -> DataFrame:
     """The rows above for docs (doc_id, flag, text): flagged texts are counted."""
     id_type = docs.schema["doc_id"].dataType
     fields = FIELDS.format(id=id_type.simpleString())
@@ -221,7 +224,7 @@ def block_table(docs: DataFrame, split: Callable[[str], list[bytes]], buckets: i
             for b in batches:
                 for doc, flag, text in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
                     if block is None:
-                        block = Block(base, buckets, PAIR_BUCKETS if pairs else 0)
+                        block = Block(base, buckets, PAIR_BUCKETS if pairs else 0, most)
                         base += 1
                     block.add(doc, flag, split(text), len(text))
                     if block.full():
