@@ -360,6 +360,27 @@ def test_filter():
     assert (small.counts(pairs[counts == 49]) > 0).all()
 
 
+def test_filter_holds_every_pair(spark):
+    """However small the filter is asked to be, no counted pair reads below its level, and few above."""
+    texts = [sentence(300) for _ in range(60)]
+    toks = [t.encode().translate(LOW).split() for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = by_id(lm.score(df, filter_bytes=8 * 256).collect())
+    train = [ws for i, ws in enumerate(toks) if not got[i].held_out]
+    assert 0 < len(train) < len(texts)
+    one = collections.Counter(w for ws in train for w in [*ws, b"\n"])
+    two = collections.Counter(p for ws in train for p in zip([b"\n", *ws], [*ws, b"\n"]))
+    n, v, off = sum(one.values()), len(one), 0.0
+    for i, ws in enumerate(toks):
+        want = 0.0
+        for a, b in zip([b"\n", *ws], [*ws, b"\n"]):
+            both = min(float(lm.count_of(lm.levels_of(np.array([two[a, b]])))[0]), one[a], one[b]) if two[a, b] else 0.0
+            want += math.log10((both + lm.STRENGTH * (one[b] + 1) / (n + v + 1)) / (one[a] + lm.STRENGTH))
+        assert got[i].score > want - 1e-6
+        off += got[i].score - want
+    assert off < 0.02 * sum(map(len, toks))
+
+
 def brute_near(docs):
     sets = {}
     for i, x in docs:

@@ -104,7 +104,7 @@ class _Codes(dict):
 
 
 class Block:
-    """One block under way. pairs: also gathers the pairs of neighbours of flagged texts, as hashes."""
+    """One block under way. pairs: also gathers the pairs of neighbours of all texts, as hashes, with their counts in flagged texts."""
 
     def __init__(self, number: int, buckets: int, pairs: int = 0, most: int = BLOCK_BYTES):
         self.number, self.buckets, self.pairs, self.most = number, buckets, pairs, most
@@ -146,29 +146,38 @@ class Block:
             mine = order[cuts[k] : cuts[k + 1]]
             if len(mine):
                 yield "w", self.number, None, None, None, k, len(mine), word_blob([words[i] for i in mine]), squeezed(np.diff(new[mine], prepend=np.uint32(0))), squeezed(counts[mine].astype("<u4")) if with_counts else None
-        if self.pairs and counted:
-            yield from self._pairs(hashes, counted)
+        if self.pairs:
+            yield from self._pairs(hashes, counted, [c for _, flag, c in self.texts if not flag])
 
     def _texts(self, held: list[tuple], seq: int) -> Iterator[tuple]:
         for i, (doc, flag, codes) in enumerate(held):
             yield "d", self.number, seq + i, doc, flag, None, len(codes), ranks(np.concatenate([c for *_, c in held])) if i == 0 else None, None, None
 
-    def _pairs(self, hashes: np.ndarray, counted: list[np.ndarray]) -> Iterator[tuple]:
-        every, at = np.empty(sum(len(c) + 1 for c in counted), np.uint64), 0
-        for c in counted:
-            h = np.concatenate([[START], hashes[c], [END]]).astype(np.uint64)
-            every[at : at + len(c) + 1] = pair_hash(h[:-1], h[1:])
-            at += len(c) + 1
-        every.sort()
-        first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-        found, n = every[first], np.diff(np.append(first, len(every)))
+    def _pairs(self, hashes: np.ndarray, counted: list[np.ndarray], others: list[np.ndarray]) -> Iterator[tuple]:
+        found, n = distinct_pairs(hashes, counted)
+        more, _ = distinct_pairs(hashes, others)
+        own, found = found, np.union1d(found, more)
+        every = np.zeros(len(found), np.int64)
+        every[np.searchsorted(found, own)] = n
         cuts = np.searchsorted(found >> np.uint64(40), np.arange(self.pairs + 1).astype(np.uint64))
         for k in range(self.pairs):
             a, b = cuts[k], cuts[k + 1]
             if a < b:
                 rest = found[a:b] & np.uint64((1 << 40) - 1)
                 step = np.diff(rest, prepend=np.uint64(0))
-                yield "g", self.number, None, None, None, k, int(b - a), squeezed((step & np.uint64(0xFFFFFFFF)).astype("<u4")), squeezed((step >> np.uint64(32)).astype("u1")), squeezed(n[a:b].astype("<u4"))
+                yield "g", self.number, None, None, None, k, int(b - a), squeezed((step & np.uint64(0xFFFFFFFF)).astype("<u4")), squeezed((step >> np.uint64(32)).astype("u1")), squeezed(every[a:b].astype("<u4"))
+
+
+def distinct_pairs(hashes: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct pairs of neighbours in texts (codes), start and end included, and how often each occurs."""
+    every, at = np.empty(sum(len(c) + 1 for c in texts), np.uint64), 0
+    for c in texts:
+        h = np.concatenate([[START], hashes[c], [END]]).astype(np.uint64)
+        every[at : at + len(c) + 1] = pair_hash(h[:-1], h[1:])
+        at += len(c) + 1
+    every.sort()
+    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
+    return every[first], np.diff(np.append(first, len(every)))
 
 
 START, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFE8D6A31)

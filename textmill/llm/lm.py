@@ -3,9 +3,10 @@
 Training texts give exact word counts (over dictionary blocks, see blocks) and the counts of pairs of neighbours, start
 and end included. Pair counts are quantised to levels, the logarithm to base BASE; the filter holds a pair once for each
 level up to its own, so a count is read by probing level after level until one isn't there, and errors only raise it.
-The filter is cut into PAIR_BUCKETS segments, each built in the task that sums its pairs. A segment takes as many of
-its most frequent pairs as keep it below half full, so the whole filter has FILTER_BYTES whatever the corpus: that is
-what is broadcast.
+The filter is cut into PAIR_BUCKETS segments. A segment is built in the task that sums its bucket's pairs, as large as all
+of them need to leave it FILL full (FILTER_BYTES are the least in all), so every counted pair is in it whatever the corpus.
+Nothing is broadcast: the same task holds the bucket's pairs of every block, trained on or not, probes its segment for
+them, and the levels go back to their blocks as the word counts do.
 
 A text's score sums log10 of (pair + STRENGTH * unigram) / (history + STRENGTH), where unigram is (c + 1) / (N + V + 1) and
 history the exact count of the word before.
@@ -27,7 +28,10 @@ from pyspark.sql import functions as F
 from textmill.llm import blocks
 from textmill.llm.common import no_null_text, written
 
+#: The least size of the filter.
 FILTER_BYTES = 32 << 20
+#: Share of a segment's bits that are set at most: an absent pair is read as present with a chance of FILL ** PROBES.
+FILL = 0.2
 #: Smaller blocks than for encoding alone: a block's pairs are sorted in memory.
 BLOCK_BYTES = 12 << 20
 PROBES = 3
@@ -105,55 +109,71 @@ def count_of(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, (low + high) / 2, 0.0)
 
 
+def segment_bytes(counts: np.ndarray, least: int) -> int:
+    """The bytes of a segment for all pairs with these counts."""
+    return max(least, math.ceil(int(levels_of(counts).sum()) * PROBES / -math.log(1 - FILL) / 8))
+
+
 def segment(pairs: np.ndarray, counts: np.ndarray, size: int) -> bytes:
-    """A segment of `size` bytes of the filter, with as many of the most frequent pairs as leave it half empty."""
+    """A segment of `size` bytes of the filter, with every pair."""
     level, bits = levels_of(counts), 8 * size
-    order = np.lexsort((pairs, -counts))
-    keep = order[np.cumsum(level[order] * PROBES) <= bits * math.log(2)]
-    pairs, level = pairs[keep], level[keep]
     flags = np.zeros(bits, np.bool_)
     for k in range(1, int(level.max(initial=0)) + 1):
+        pairs, level = pairs[level >= k], level[level >= k]
         for p in range(PROBES):
-            flags[_places(pairs[level >= k], k, p, bits)] = True
+            flags[_places(pairs, k, p, bits)] = True
     return np.packbits(flags, bitorder="little").tobytes()
 
 
-def _segments(table: DataFrame, size: int) -> DataFrame:
-    """bucket, bits: the filter's segments. A bucket's sorted pairs are summed block by block, and no pair is in two buckets."""
+def _pair_levels(table: DataFrame, least: int) -> DataFrame:
+    """block, n (a bucket), x (what the filter says of the levels of the block's pairs in it, in their order). A bucket's sorted
+    pairs are summed block by block, no pair is in two buckets, and rows stay packed until both passes over them are made."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def finish(bucket: int, held: list) -> pa.RecordBatch:
-            pairs, inverse = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
-            counts = np.bincount(inverse, np.concatenate([c for _, c in held]), len(pairs))
-            return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([segment(pairs, counts, size)], pa.binary())], names=["bucket", "bits"])
-
+        def summed(some: list) -> tuple[np.ndarray, np.ndarray]:
+            pairs, inverse = np.unique(np.concatenate([p for p, _ in some]), return_inverse=True)
+            return pairs, np.bincount(inverse, np.concatenate([c for _, c in some]), len(pairs))
+
+        def finish(bucket: int, held: list) -> Iterator[pa.RecordBatch]:
+            some = [(np.zeros(0, np.uint64), np.zeros(0))]
+            for _, x, y, z in held:
+                counts = loose(z, "<u4")
+                some.append((pair_rest(x, y)[counts > 0], counts[counts > 0]))
+                if len(some) > 64:  # keeps what is unpacked near the number of distinct pairs
+                    some = [summed(some)]
+            pairs, counts = summed(some)
+            size = segment_bytes(counts, least)
+            made = Filter({0: segment(pairs, counts, size)}, size)
+            for at in range(0, len(held), 64):
+                part = held[at : at + 64]
+                levels = [blocks.squeezed(made.levels(pair_rest(x, y)).astype("u1")) for _, x, y, _ in part]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([bucket] * len(part), pa.int64()), pa.array(levels, pa.binary())], names=["block", "n", "x"])
+
+        loose, pair_rest = blocks.loose, blocks.pair_rest
         at, held = None, []
         for b in batches:
-            for bucket, x, y, z in zip(*(b.column(c).to_pylist() for c in range(4)), strict=True):
+            for bucket, *row in zip(*(b.column(c).to_pylist() for c in range(5)), strict=True):
                 if bucket != at and held:
-                    yield finish(at, held)
+                    yield from finish(at, held)
                     held = []
                 at = bucket
-                held.append((blocks.pair_rest(x, y), blocks.loose(z, "<u4")))
-                if len(held) > 64:  # keeps what is held near the number of distinct pairs
-                    pairs, inverse = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
-                    held = [(pairs, np.bincount(inverse, np.concatenate([c for _, c in held]), len(pairs)))]
+                held.append(tuple(row))
         if held:
-            yield finish(at, held)
+            yield from finish(at, held)
 
-    g = table.filter(F.col("kind") == "g").select("bucket", "x", "y", "z").repartition("bucket").sortWithinPartitions("bucket")
-    return g.mapInArrow(rows, "bucket int, bits binary")
+    g = table.filter(F.col("kind") == "g").select("bucket", "block", "x", "y", "z").repartition("bucket").sortWithinPartitions("bucket")
+    return written(g.mapInArrow(rows, "block long, n long, x binary"), "pair-levels")
 
 
 class Filter:
     def __init__(self, segments: dict[int, bytes], size: int):
-        self.bits = np.zeros((blocks.PAIR_BUCKETS, size), np.uint8)
+        self.bits = np.zeros((max(segments, default=0) + 1, size), np.uint8)
         for k, b in segments.items():
             self.bits[k] = np.frombuffer(b, np.uint8)
         self.flat, self.size = self.bits.reshape(-1), size
 
-    def counts(self, pairs: np.ndarray) -> np.ndarray:
-        """What the filter says of each pair's count."""
+    def levels(self, pairs: np.ndarray) -> np.ndarray:
+        """What the filter says of each pair's level."""
         level = np.zeros(len(pairs), np.int64)
         base = (pairs >> np.uint64(40)).astype(np.int64) * self.size
         rest = pairs & np.uint64((1 << 40) - 1)
@@ -165,7 +185,11 @@ class Filter:
             if not len(open_):
                 break
             level[open_] = k
-        return count_of(level)
+        return level
+
+    def counts(self, pairs: np.ndarray) -> np.ndarray:
+        """What the filter says of each pair's count."""
+        return count_of(self.levels(pairs))
 
 
 def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -173,45 +197,60 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, id_column: str = "d
     rows_in = docs.select(F.col(id_column).alias("doc_id"), (~held_out(id_column)).alias("flag"), no_null_text(text_column).alias("text"))
     table = blocks.block_table(rows_in, split_words, blocks.buckets_for(docs), with_counts=True, pairs=True, most=BLOCK_BYTES)
     sums = _word_sums(table)
-    size = filter_bytes // blocks.PAIR_BUCKETS
-    segments = {r["bucket"]: bytes(r["bits"]) for r in written(_segments(table, size), "pair-filter").collect()}  # filter_bytes in all
-    made = docs.sparkSession.sparkContext.broadcast((Filter(segments, size).bits.tobytes(), size))
+    levels = _pair_levels(table, filter_bytes // blocks.PAIR_BUCKETS)
     ends = table.filter((F.col("kind") == "d") & F.col("flag")).count()
     tokens, distinct = sums.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     total, kinds = tokens + ends, distinct + (ends > 0)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, size = made.value
-        pair_counts = Filter({}, 8)
-        pair_counts.flat, pair_counts.size = np.frombuffer(bits, np.uint8), size
         less = math.log10(total + kinds + 1)
-        at, c, h, packed = None, np.zeros(0, np.int64), np.zeros(0, np.uint64), blocks.Packed()
+
+        def finish(words: list, parts: dict[int, bytes], texts: list) -> Iterator[pa.RecordBatch]:
+            top = max((int(codes.max()) for codes, _, _ in words), default=-1) + 1
+            c, h = np.zeros(top, np.int64), np.zeros(top, np.uint64)
+            for codes, y, z in words:
+                c[codes], h[codes] = y, z
+            begins = np.cumsum([0, *(len(codes) + 1 for *_, codes in texts)])
+            own, history, pairs = np.empty(begins[-1], np.int64), np.empty(begins[-1], np.int64), np.empty(begins[-1], np.uint64)
+            for (*_, codes), s, e in zip(texts, begins, begins[1:], strict=False):
+                own[s : e - 1], own[e - 1] = c[codes], ends
+                history[s], history[s + 1 : e] = ends, c[codes]
+                chain = np.concatenate([[blocks.START], h[codes], [blocks.END]]).astype(np.uint64)
+                pairs[s:e] = blocks.pair_hash(chain[:-1], chain[1:])
+            found, inverse = np.unique(pairs, return_inverse=True)  # in the order of the block's buckets of pairs
+            level = np.concatenate([blocks.loose(parts[k], "u1") for k in sorted(parts)])
+            if len(level) != len(found):
+                raise ValueError(f"{len(found)} pairs in a block, levels of {len(level)}")
+            both = np.minimum(count_of(level.astype(np.int64))[inverse], np.minimum(own, history))
+            base = np.log10(own + 1) - less
+            p = np.log10((both + STRENGTH * np.power(10, base)) / (history + STRENGTH))
+            at = begins[:-1]
+            sums = zip(np.add.reduceat((own > 0).astype(np.int64), at).tolist(), np.add.reduceat(base, at).tolist(), np.add.reduceat(p, at).tolist(), strict=True)
+            out = [(doc, not flag, len(codes) + 1, known, total, b, q) for (doc, flag, codes), (known, b, q) in zip(texts, sums, strict=True)]
+            for k in range(0, len(out), 1000):
+                yield blocks.record_batch(out[k : k + 1000], schema)
+
+        at, packed = None, blocks.Packed()
+        words, parts, texts = [], {}, []
         for b in batches:
-            out = []
             for block, seq, doc, flag, n, x, y, z in zip(*(b.column(i).to_pylist() for i in range(8)), strict=True):
                 if block != at:
-                    at, c, h = block, np.zeros(0, np.int64), np.zeros(0, np.uint64)
-                if seq < 0:
-                    codes = blocks.word_codes(x)
-                    if len(c) <= (top := int(codes.max())):
-                        more = top + 1 - len(c)
-                        c, h = np.concatenate([c, np.zeros(more, np.int64)]), np.concatenate([h, np.zeros(more, np.uint64)])
-                    c[codes], h[codes] = blocks.loose(y, "<i8"), np.frombuffer(z, "<u8")
-                    continue
-                codes = packed.take(x, n)
-                own = np.append(c[codes], ends)
-                history = np.concatenate([[ends], c[codes]])
-                chain = np.concatenate([[blocks.START], h[codes], [blocks.END]]).astype(np.uint64)
-                pairs, inverse = np.unique(blocks.pair_hash(chain[:-1], chain[1:]), return_inverse=True)
-                both = np.minimum(pair_counts.counts(pairs)[inverse], np.minimum(own, history))
-                base = np.log10(own + 1) - less
-                p = (both + STRENGTH * np.power(10, base)) / (history + STRENGTH)
-                out.append((doc, not flag, n + 1, int((own > 0).sum()), total, float(base.sum()), float(np.log10(p).sum())))
-            if out:
-                yield blocks.record_batch(out, schema)
+                    if texts:
+                        yield from finish(words, parts, texts)
+                    at, words, parts, texts = block, [], {}, []
+                if seq >= 0:
+                    texts.append((doc, flag, packed.take(x, n)))
+                elif y is None:
+                    parts[n] = x
+                else:
+                    words.append((blocks.word_codes(x), blocks.loose(y, "<i8"), np.frombuffer(z, "<u8")))
+        if texts:
+            yield from finish(words, parts, texts)
 
     id_type = blocks._schema(table.schema["doc_id"].dataType).field("doc_id").type
     fields = [("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
     schema = pa.schema([("doc_id", id_type), *fields])
     kind = table.schema["doc_id"].dataType.simpleString()
-    return blocks.by_block(table, sums).mapInArrow(rows, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    none = F.lit(None).cast("binary")
+    answers = sums.select("block", "n", "x", "y", "z").unionByName(levels.select("block", "n", "x", none.alias("y"), none.alias("z")))
+    return blocks.by_block(table, answers).mapInArrow(rows, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
