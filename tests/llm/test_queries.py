@@ -381,6 +381,15 @@ def test_filter_holds_every_pair(spark):
     assert off < 0.02 * sum(map(len, toks))
 
 
+def test_large_counts():
+    """Counts have no top level: millions are read back within their level."""
+    counts = np.array([1, 11_222, 20_000, 3_000_000, 7_000_000_000])
+    pairs = np.arange(5, dtype=np.uint64) * np.uint64(1_000_003)
+    size = 1 << 14
+    said = lm.Filter({0: lm.segment(pairs, counts, size)}, size).counts(pairs)
+    assert (said >= counts / lm.BASE).all() and (said <= counts * lm.BASE).all()
+
+
 def brute_near(docs):
     sets = {}
     for i, x in docs:

@@ -2,7 +2,8 @@
 
 Training texts give exact word counts (over dictionary blocks, see blocks) and the counts of pairs of neighbours, start
 and end included. Pair counts are quantised to levels, the logarithm to base BASE; the filter holds a pair once for each
-level up to its own, so a count is read by probing level after level until one isn't there, and errors only raise it.
+level up to its own, so a count is read by probing level after level until one isn't there, and errors only raise it. The
+largest count seen says how many levels there are.
 The filter is cut into PAIR_BUCKETS segments. A segment is built in the task that sums its bucket's pairs, as large as all
 of them need to leave it FILL full (FILTER_BYTES are the least in all), so every counted pair is in it whatever the corpus.
 Nothing is broadcast: the same task holds the bucket's pairs of every block, trained on or not, probes its segment for
@@ -36,7 +37,6 @@ FILL = 0.2
 BLOCK_BYTES = 12 << 20
 PROBES = 3
 BASE = 1.5
-LEVELS = 24
 STRENGTH = 4.0
 _lower = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -99,7 +99,7 @@ def _places(pairs: np.ndarray, level: int, probe: int, bits: int) -> np.ndarray:
 
 
 def levels_of(counts: np.ndarray) -> np.ndarray:
-    return np.minimum(1 + np.floor(np.log(counts) / math.log(BASE) + 1e-9), LEVELS).astype(np.int64)
+    return (1 + np.floor(np.log(counts) / math.log(BASE) + 1e-9)).astype(np.int64)
 
 
 def count_of(level: np.ndarray) -> np.ndarray:
@@ -143,7 +143,7 @@ def _pair_levels(table: DataFrame, least: int) -> DataFrame:
                     some = [summed(some)]
             pairs, counts = summed(some)
             size = segment_bytes(counts, least)
-            made = Filter({0: segment(pairs, counts, size)}, size)
+            made = Filter({0: segment(pairs, counts, size)}, size, int(levels_of(counts).max(initial=0)))
             for at in range(0, len(held), 64):
                 part = held[at : at + 64]
                 levels = [blocks.squeezed(made.levels(pair_rest(x, y)).astype("u1")) for _, x, y, _ in part]
@@ -165,12 +165,18 @@ def _pair_levels(table: DataFrame, least: int) -> DataFrame:
     return written(g.mapInArrow(rows, "block long, n long, x binary"), "pair-levels")
 
 
+#: The level of the largest count that there can be.
+MOST_LEVELS = int(levels_of(np.array([(1 << 63) - 1]))[0])
+
+
 class Filter:
-    def __init__(self, segments: dict[int, bytes], size: int):
+    """Segments of one size; most: the level of their largest count, where that is known."""
+
+    def __init__(self, segments: dict[int, bytes], size: int, most: int = MOST_LEVELS):
         self.bits = np.zeros((max(segments, default=0) + 1, size), np.uint8)
         for k, b in segments.items():
             self.bits[k] = np.frombuffer(b, np.uint8)
-        self.flat, self.size = self.bits.reshape(-1), size
+        self.flat, self.size, self.most = self.bits.reshape(-1), size, most
 
     def levels(self, pairs: np.ndarray) -> np.ndarray:
         """What the filter says of each pair's level."""
@@ -178,7 +184,7 @@ class Filter:
         base = (pairs >> np.uint64(40)).astype(np.int64) * self.size
         rest = pairs & np.uint64((1 << 40) - 1)
         open_ = np.arange(len(pairs))
-        for k in range(1, LEVELS + 1):
+        for k in range(1, self.most + 1):
             for p in range(PROBES):
                 at = _places(rest[open_], k, p, 8 * self.size).astype(np.int64)
                 open_ = open_[self.flat[base[open_] + (at >> 3)] >> (at & 7).astype(np.uint8) & 1 == 1]
