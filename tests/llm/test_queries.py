@@ -278,6 +278,25 @@ def test_outliers(spark):
     assert [i for i in got if not got[i].kept] == sorted(i for i in range(300) if i % 5 == 0) or {i for i in got if not got[i].kept} == {i for i in range(300) if i % 5 == 0}
 
 
+def test_repeated_lines(spark):
+    """In a clean cell, documents with 25 to 50 % repeated lines go though they pass the base rule, and those with 5 % stay."""
+    r = random.Random(3)
+    line = lambda: " ".join(r.choice(WORDS[12:]) for _ in range(8))
+    rows = [(i, "\n".join(line() for _ in range(40)), "en", "a") for i in range(300)]
+    for i, extra in enumerate((2, 10, 14, 17, 18)):  # further copies of one line among 40
+        same = line()
+        rows.append((1000 + i, "\n".join([same] * (extra + 1) + [line() for _ in range(39 - extra)]), "en", "a"))
+    got = by_id(quality.assess(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect())
+    assert not any(got[i].base_failed for i in got)
+    assert {i for i in got if not got[i].kept} == {1001, 1002, 1003, 1004}
+
+
+def test_each_statistic_can_reject():
+    """Repeated lines, and repeated words within the base rule, pass the cutoff alone where a cell has no scatter of its own."""
+    noise, cutoff = dict(quality.FEATURES), quality.chi2_quantile(1 - quality.REJECT, quality.P)
+    assert (math.log1p(50) / noise["repeats"]) ** 2 > cutoff and (math.log1p(50) / noise["dup_lines"]) ** 2 > cutoff
+
+
 def test_chi_square():
     assert abs(quality.chi2_below(11.0705, 5) - 0.95) < 1e-4 and abs(quality.chi2_quantile(0.975, 5) - 12.8325) < 1e-3
 
