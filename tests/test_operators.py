@@ -167,3 +167,13 @@ def test_sources(spark, tmp_path, capsys):
     s = spark.createDataFrame([("all", "num_records", 2)], "section string, key string, value long")
     tables.write_summary(s, f"file://{d}/s.json")
     assert '"num_records": 2' in (tmp_path / "s.json").read_text()
+
+
+def test_all_customers_published(spark, tmp_path):
+    """Customers of six digits and more are published as well."""
+    from textmill.plans import queries as plans
+
+    rows = [(k, "TOYS", f"c{k}", 1) for k in (7, 99_999, 100_000, 1_234_567)]
+    spark.createDataFrame(rows, "c_custkey long, c_mktsegment string, c_name string, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    ids = {r.id for r in plans.alias_publish(spark, str(tmp_path)).collect()}
+    assert ids == {"cust_00007", "cust_99999", "cust_100000", "cust_1234567"}

@@ -230,7 +230,7 @@ def justification(spark, sf_dir):
 @query("""SELECT 'cust_' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS id, 'market' AS source, c_mktsegment AS topic, c_name AS question, CAST(c_nationkey AS VARCHAR) AS judgement, CAST(c_nationkey AS VARCHAR) AS short_answer,
 concat_ws(chr(10), '- Topic: ' || c_mktsegment, '- Question: ' || c_name) AS query, 'train' AS split FROM customer WHERE c_nationkey % 5 <> 0 AND c_custkey < 100000""")
 def alias_publish(spark, sf_dir):
-    c = read(spark, sf_dir, "customer").filter(F.col("c_custkey") < 100_000)
+    c = read(spark, sf_dir, "customer")
     raw = c.select(F.col("c_custkey"), F.col("c_mktsegment").alias("Tema "), F.col("c_name").alias("Clinical-Question"), F.when(F.col("c_nationkey") % 5 != 0, F.col("c_nationkey").cast("string")).otherwise("  ").alias("JUDGEMENT"))
     aliases = {"topic": ["topic", "tema"], "question": ["question", "clinical question"], "judgement": ["judgment", "judgement"]}
     out = publish.normalised(raw, aliases, G, "market", "cust", F.col("c_custkey"), split="train")
