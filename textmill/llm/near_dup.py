@@ -1,9 +1,9 @@
-"""MinHash near-duplicates by an LSH forest, confirmed on full shingle sets.
+"""MinHash near-duplicates by fixed bands of signatures (not a sorted LSH forest), confirmed on full shingle sets.
 
 A text, lower-cased A-Z, gives the set of 64-bit hashes of its 5-word shingles, and SIGNATURE minima of it. Texts with
-equal sets are one class from the start. The forest has TREES sorted orders of the signatures: order t begins at value
+equal sets are one class from the start. There are TREES orders of a signature's values: order t begins at value
 DEPTH * t and goes on around. Classes that share the first DEPTH values in an order form a region of that tree; those
-are all candidate neighbours. Regions are worked from their longest common prefixes up, with a depth that adapts:
+are all candidate neighbours. Prefixes are hashed to keys, nothing is sorted, and there are two fixed depths:
 
 1. deep: in each region the classes that share 2 * DEPTH values are candidates with the smallest of them, and so are, in
    the region as a whole, each class and the smallest one (a number of candidates linear in the rows, however large the region);
@@ -12,7 +12,7 @@ are all candidate neighbours. Regions are worked from their longest common prefi
 3. what is left is worked in full: all pairs of a region in different components, in blocks, compared by longer sketches (SKETCH
    minima, a byte each) that are made for these classes only; a pair whose estimate is over LEAST_SKETCH is confirmed on full sets.
 
-Two texts of similarity 0.75 share no region with probability (1 - 0.75**DEPTH)**TREES (below 2e-5); a sketch
+Two texts of similarity 0.75 share no region with probability (1 - 0.75**DEPTH)**TREES (2.4e-5); a sketch
 falls under LEAST_SKETCH with a probability of about 1e-5. Nothing is capped: a region of any size is split over tasks.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing; fewer than five words
