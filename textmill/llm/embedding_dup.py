@@ -1,7 +1,7 @@
 """Embedding near-duplicates by randomised rotation and binary codes.
 
 A vector is rotated at random; the signs are its binary code, and the inner product of the code (as a unit vector)
-with the vector itself is stored as its correction factor. <code(x), y> / factor(x) is then an unbiased estimate of the
+with the vector itself is its correction factor; both are made anew in each block that has the vector. <code(x), y> / factor(x) is then an unbiased estimate of the
 cosine of x and y. For a cosine c, its error has the scale sqrt((1 - f**2) / f**2) * sqrt(1 - c**2) / sqrt(dim - 1); a pair is recomputed in double
 precision if the estimate is not below the wanted cosine by more than CONFIDENCE times that scale (a chance of 2e-9 to
 miss), and no pair is linked without.
