@@ -60,3 +60,17 @@ def test_ratio_and_names(spark):
     t = spark.createDataFrame([(1, 2, 3)], "`A b` int, `a-B` int, c int")
     assert t.select(find_column(t, ["x", "a_b"])).first()[0] == 2 and t.select(find_column(t, ["x"])).first()[0] == ""
     assert ordered(t, ["c"]).columns == ["c", "A b", "a-B"] and inserted(t, "c", F.lit(1), 0).columns[0] == "c"
+
+
+def test_hostile_texts_end(spark):
+    """Runs of 100000 repeats take neither the stack nor quadratic time."""
+    texts = ["a1" + ",1" * 100_000 + " b", "a1" + "-1" * 100_000 + "x", "NPK1" + ".2" * 100_000, "x" + " " * 100_000 + "y", " " * 100_000 + "z ", "a" * 100_000 + "- b"]
+    assert [len(t) for t in values(spark, lambda c: T.strip_footnotes(c, G), texts)[:3]] == [3, 200_003, 3]
+    assert values(spark, lambda c: T.footnote_count(c, G), texts)[:3] == [100_001, 0, 100_001]
+    assert values(spark, T.strip, texts)[3:5] == [texts[3], "z"]
+    assert values(spark, T.token_count, texts)[3] == 2
+
+
+def test_footnotes_behind_units_and_names(spark):
+    items = ["kg/m2 x", "Mg/M21, y", "km/h3 z", "Media4 a", "it’5 b", "a1,2345 b", "a1-2-3x", "a7.8, b", "kg/m2,3 x"]
+    assert values(spark, lambda c: T.strip_footnotes(c, G), items) == ["kg/m2 x", "Mg/M21, y", "km/h z", "Media4 a", "it’ b", "a,2345 b", "a1-2-3x", "a, b", "kg/m2,3 x"]

@@ -37,6 +37,9 @@ class Grammar:
     pairs: tuple[str, ...] = ()
     label: str = r"^\d+\.\s"
     acronyms: tuple[str, ...] = ("NPK", "DNA")
+    # fixed values: units and a name whose numbers are no footnotes
+    units: tuple[str, ...] = ("kg/m", "mg/m", "cm/m")
+    numbered: tuple[str, ...] = ("Media",)
     cross_reference: str = r"\bsee\s+(?:the\s+)?previous\s+sections?\b"
     no_evidence: tuple[str, ...] = ("No evidence", "No studies were found", "Not applicable")
     empty_considerations: tuple[str, ...] = ("None", "None.", "N/A")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from textmill.functions.patterns import Grammar, any_of
 
-STRIP = r"(?U)^\s+|\s+$"
+#: Unicode's white space. Trimming by characters is linear; an expression for what is at the end isn't.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: Bullets that mark a raw line as an item, and the marks that are taken off with them.
 BULLETS = "•▪"
 ITEM_MARKS = BULLETS + r"\-–*"
@@ -15,7 +16,7 @@ ITEM_MARKS = BULLETS + r"\-–*"
 
 def strip(c: Column) -> Column:
     """Without white space, of any kind, at both ends."""
-    return F.regexp_replace(c, STRIP, "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def is_present(c: Column) -> Column:
@@ -62,27 +63,33 @@ def cut_narration(c: Column, g: Grammar) -> Column:
     return F.when(c.rlike(f"(?iu){g.narration}"), F.when(at > 0, F.regexp_extract(before, r"(?s)^(.*[.?!]) ", 1)).otherwise(F.lit(""))).otherwise(c)
 
 
-NUMBERS = r"\d{1,3}(?:[,\-–.]\d{1,3})*"
 BEHIND = r"(?=[\s.,;:)\]]|$)"
-#: A number glued to a lower-case letter or a closing mark is a footnote's, but not behind a unit such as kg/m.
-GENERAL = rf"(?<![a-z]/[a-z]{{1,2}})(?<=[\p{{Ll}})%\]”»\"])({NUMBERS}){BEHIND}"
+#: Numbers in a row. What a list may end with is decided range by range, and no step back is ever needed, so a list of any length takes no stack.
+_RANGE = rf"\d{{1,3}}+(?!\d)(?:[\-–]\d{{1,3}}+(?!\d))*+{BEHIND}"
+NUMBERS = rf"{_RANGE}(?:[,.]{_RANGE})*+"
+
+
+def footnotes_general(g: Grammar | None = None) -> str:
+    """A number glued to a lower-case letter or a closing mark, but not behind a unit or a name that carries numbers."""
+    g = g or Grammar()
+    return rf"(?<!(?iu:{any_of(g.units)}))(?<!{any_of(g.numbered)})(?<=[\p{{Ll}})%\]”’»\"])({NUMBERS})"
 
 
 def footnotes_acronym(g: Grammar) -> str:
-    return rf"(?<!\p{{L}})({any_of(g.acronyms)})({NUMBERS}){BEHIND}"
+    return rf"(?<!\p{{L}})({any_of(g.acronyms)})({NUMBERS})"
 
 
 def strip_footnotes(c: Column, g: Grammar | None = None) -> Column:
-    if g is not None and g.acronyms:
-        c = F.regexp_replace(c, footnotes_acronym(g), "$1")
-    return F.regexp_replace(c, GENERAL, "")
+    c = F.regexp_replace(c, footnotes_general(g), "")
+    return F.regexp_replace(c, footnotes_acronym(g), "$1") if g is not None and g.acronyms else c
 
 
 def footnote_count(c: Column, g: Grammar | None = None) -> Column:
     """How many numbers strip_footnotes takes out: a list counts each, a range its two ends."""
-    runs = F.regexp_extract_all(c, F.lit(GENERAL), F.lit(1))
+    runs = F.regexp_extract_all(c, F.lit(footnotes_general(g)), F.lit(1))
     if g is not None and g.acronyms:
-        runs = F.concat(runs, F.regexp_extract_all(c, F.lit(footnotes_acronym(g)), F.lit(2)))
+        left = F.regexp_replace(c, footnotes_general(g), "")
+        runs = F.concat(runs, F.regexp_extract_all(left, F.lit(footnotes_acronym(g)), F.lit(2)))
     return F.coalesce(F.aggregate(F.transform(runs, lambda r: F.regexp_count(r, F.lit(r"\d+"))), F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long")
 
 

@@ -31,17 +31,29 @@ def word_chunks(c: Column) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(WORDS)), " "))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, which is made once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def pieces(sentence: Column, budget: int, length: Length = token_count) -> Column:
-    """A sentence as (text, tokens, alone): whole if it fits; a tabular one cut behind colons and semicolons, its parts standing
-    alone; parts that are still over the budget cut every WORDS words."""
-    piece = lambda t, alone: F.struct(t.alias("text"), length(t).cast("long").alias("tokens"), alone.alias("alone"))
-    cut = lambda t, alone: F.when(length(t) <= budget, F.array(piece(t, alone))).otherwise(F.transform(word_chunks(t), lambda w: piece(w, alone)))
-    parts = F.filter(F.split(sentence, r"(?<=[:;])\s+"), is_nonblank)
-    tabular = F.flatten(F.transform(parts, lambda p: cut(p, F.lit(True))))
-    return F.when(is_tabular(sentence), tabular).when(length(sentence) <= budget, F.array(piece(sentence, F.lit(False)))).otherwise(F.flatten(F.transform(F.array(sentence), lambda s: cut(s, F.lit(False)))))
+    """A sentence as (text, tokens, alone): whole if it fits and isn't tabular. Else it is cut behind colons and semicolons, its
+    parts stand alone, and those still over the budget are cut every WORDS words. Without such a cut, a sentence over the budget is cut every WORDS words."""
+    piece = lambda t, n, alone: F.struct(t.alias("text"), n.cast("long").alias("tokens"), F.lit(alone).alias("alone"))
+    words = lambda t, alone: F.transform(word_chunks(t), lambda w: piece(w, length(w), alone))
+
+    def part(t: Column) -> Column:
+        return let(length(t), lambda n: F.when(n <= budget, F.array(piece(t, n, True))).otherwise(words(t, True)))
+
+    def of(n: Column) -> Column:
+        whole = F.array(piece(sentence, n, False))
+        cut = let(F.filter(F.split(sentence, r"(?<=[:;])\s+"), is_nonblank), lambda parts: F.when(F.size(parts) > 1, F.flatten(F.transform(parts, part))).when(n <= budget, whole).otherwise(words(sentence, False)))
+        return F.when((n <= budget) & ~is_tabular(sentence), whole).otherwise(cut)
 
+    return let(length(sentence), of)
 
-def packed(items: Column, budget: int) -> Column:
+
+def packed(items: Column, budget: int | Column) -> Column:
     """Runs of consecutive pieces whose tokens are within the budget, joined by spaces; a piece that stands alone is a run."""
     first = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("open"), F.lit(0).cast("long").alias("n"))
 
@@ -65,18 +77,19 @@ def fits(c: Column, budget: int = BUDGET, length: Length = token_count) -> Colum
 
 def plan(c: Column, budget: int = BUDGET, length: Length = token_count) -> Column:
     """A text as paragraphs of chunks. A text or paragraph that fits is one chunk, unless it is near the budget and has several
-    sentences: those are packed to a smaller budget."""
-    near = int(budget * MARGIN)
+    sentences: those are packed to a smaller budget, while a sentence is still cut only over the whole one."""
+
+    def alone(t: Column) -> Column:
+        """Fits, and isn't near the budget with several sentences."""
+        short = F.length(t) <= CHARACTERS
+        return F.when(short, let(length(t), lambda n: (n <= budget) & ((n <= budget * MARGIN) | (F.size(sentences(t)) <= 1)))).otherwise(F.lit(False))
 
     def of(p: Column) -> Column:
-        several = (length(p) > near) & (F.size(sentences(p)) > 1)
-        goal = F.flatten(F.transform(sentences(p), lambda s: pieces(s, near, length)))
-        wide = F.flatten(F.transform(sentences(p), lambda s: pieces(s, budget, length)))
-        return F.when(fits(p, budget, length), F.when(several, packed(goal, near)).otherwise(F.array(p))).otherwise(packed(wide, budget))
-
-    paragraphs = F.filter(F.split(c, r"\n{2,}"), is_nonblank)
-    whole = fits(c, budget, length) & ~((length(c) > near) & (F.size(sentences(c)) > 1))
-    return F.when(~is_nonblank(c), F.array().cast("array<array<string>>")).when(whole, F.array(F.array(c))).otherwise(F.transform(paragraphs, of))
+        goal = F.when(fits(p, budget, length), F.lit(int(budget * MARGIN))).otherwise(F.lit(budget))
+        return F.when(alone(p), F.array(p)).otherwise(let(goal, lambda most: packed(F.flatten(F.transform(sentences(p), lambda s: pieces(s, budget, length))), most)))
+
+    paragraphs = F.filter(F.split(c, "\n\n"), is_nonblank)
+    return F.when(~is_nonblank(c), F.array().cast("array<array<string>>")).when(alone(c), F.array(F.array(c))).otherwise(F.transform(paragraphs, of))
 
 
 def chunks(texts: DataFrame, budget: int = BUDGET, length: Length = token_count, key: tuple[str, ...] = ("id", "field")) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.patterns import Grammar, any_of
 from textmill.functions.text import is_nonblank, strip
+from textmill.session import small
 
 
 def keep_longest(rows: DataFrame, key: list[str], length: Column, order: list[str]) -> DataFrame:
@@ -86,21 +87,27 @@ def ensured_id(value: Column, prefix: str, ordinal: Column) -> Column:
 
 def suffix_number(c: Column) -> Column:
     """The number an id ends with."""
-    return F.regexp_extract(c, r"(\d+)$", 1).try_cast("bigint") if hasattr(c, "try_cast") else F.regexp_extract(c, r"(\d+)$", 1).cast("bigint")
+    return F.regexp_extract(c, r"(\d+)$", 1).try_cast("bigint")
 
 
 def by_suffix(rows: DataFrame, group: str = "guidebook", name: str = "id") -> DataFrame:
     return rows.orderBy(group, suffix_number(F.col(name)), name)
 
 
-def patched(rows: DataFrame, patches: DataFrame, fields: list[str], key: str = "id") -> DataFrame:
+def patched(rows: DataFrame, patches: DataFrame, fields: list[str], key: str = "id", order: tuple[str, ...] = ()) -> DataFrame:
     """rows with the patches (id, field, find, replacement, ord) applied to the first row of each id, in order: each replaces
-    the first occurrence of its text and does nothing where there is none. n_applied counts those that did something."""
+    the first occurrence of its text and does nothing where there is none. n_applied counts those that did something.
+
+    The first row is the first by `order`, or as the table is read. Only rows whose id has a patch are joined and ranked."""
     grouped = patches.groupBy(F.col(key).alias("_key")).agg(*[F.array_sort(F.collect_list(F.when(F.col("field") == f, F.struct("ord", "find", "replacement")))).alias(f"_{f}") for f in fields])
-    out = rows.join(F.broadcast(grouped), F.col(key) == F.col("_key"), "left")
+    ids = small(patches.select(F.col(key).alias("_key")).distinct())
+    others = rows.join(ids, F.col(key) == F.col("_key"), "left_anti").withColumn("n_applied", F.lit(0).cast("long"))
+    some = rows.withColumn("_at", F.monotonically_increasing_id()).join(ids, F.col(key) == F.col("_key"), "left_semi")
+    some = some.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order, "_at")))
+    out = some.join(grouped, (F.col(key) == F.col("_key")) & (F.col("_rank") == 1), "left")
 
     def fold(s: Column, p: Column) -> Column:
-        at = F.instr_(s["v"], p["find"]) if hasattr(F, "instr_") else F.locate_(p["find"], s["v"]) if hasattr(F, "locate_") else F.call_function("instr", s["v"], p["find"])
+        at = F.call_function("instr", s["v"], p["find"])
         new = F.concat(F.substr(s["v"], F.lit(1), at - 1), p["replacement"], F.substr(s["v"], at + F.length(p["find"])))
         return F.when(at > 0, F.struct(new.alias("v"), (s["n"] + 1).alias("n"))).otherwise(s)
 
@@ -112,7 +119,7 @@ def patched(rows: DataFrame, patches: DataFrame, fields: list[str], key: str = "
     out = out.withColumn("n_applied", n.cast("long"))
     for f in fields:
         out = out.withColumn(f, F.col(f"_r{f}.v"))
-    return out.select(*rows.columns, "n_applied")
+    return others.unionByName(out.select(*rows.columns, "n_applied"))
 
 
 def rebuilt(splits: dict[str, DataFrame], position: int = 1) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.functions.patterns import Grammar
-from textmill.functions.text import clean_line
+from textmill.functions.text import WHITE, clean_line
 
 LEAST, MOST = 2, 20
 MARKS = r"[.,;:!?)\]»”\"]*"
@@ -22,30 +22,31 @@ MARKS = r"[.,;:!?)\]»”\"]*"
 
 def candidates(lines: DataFrame, g: Grammar | None = None) -> DataFrame:
     """doc_id, line_no, next_no, head, tail, marks for each broken word of lines (doc_id, line_no, raw)."""
-    blank = (clean_line(F.col("raw"), g) == "") | ~F.col("raw").rlike(r"(?U)\S")
-    ahead = Window.partitionBy("doc_id").orderBy("line_no").rowsBetween(1, Window.unboundedFollowing)
-    following = F.first(F.when(~blank, F.struct("line_no", "raw")), ignorenulls=True).over(ahead)
-    d = lines.withColumns({"_next": following, "_blank": blank})
-    head = F.regexp_extract(F.regexp_replace("raw", r"(?U)\s+$", ""), r"(\p{L}+)-$", 1)
+    full = lines.filter((clean_line(F.col("raw"), g) != "") & F.col("raw").rlike(r"(?U)\S"))
+    following = F.lead(F.struct("line_no", "raw")).over(Window.partitionBy("doc_id").orderBy("line_no"))
+    d = full.withColumn("_next", following)
+    head = F.regexp_extract(F.rtrim("raw", F.lit(WHITE)), r"(?<!\p{L})(\p{L}++)-$", 1)
     tail = F.regexp_extract("_next.raw", r"^\s*(\p{L}+)", 1)
     marks = F.regexp_extract("_next.raw", rf"^\s*\p{{L}}+({MARKS})", 1)
-    d = d.filter(~F.col("_blank")).select("doc_id", "line_no", F.col("_next.line_no").alias("next_no"), head.alias("head"), tail.alias("tail"), marks.alias("marks"))
+    d = d.select("doc_id", "line_no", F.col("_next.line_no").alias("next_no"), head.alias("head"), tail.alias("tail"), marks.alias("marks"))
     return d.filter(F.length("head").between(LEAST, MOST) & F.length("tail").between(LEAST, MOST))
 
 
 def document_words(lines: DataFrame) -> DataFrame:
-    """doc_id, word, joined (a maximal run of letters) or not (a hyphenated pair) for what stands in each document."""
-    runs = F.transform(F.regexp_extract_all("raw", F.lit(r"\p{L}+"), F.lit(0)), lambda w: F.struct(F.lower(w).alias("word"), F.lit(True).alias("joined")))
-    pairs = F.transform(F.regexp_extract_all("raw", F.lit(r"(?<![\p{L}-])(\p{L}+-\p{L}+)(?![\p{L}])"), F.lit(1)), lambda w: F.struct(F.lower(w).alias("word"), F.lit(False).alias("joined")))
-    return lines.select("doc_id", F.explode(F.concat(runs, pairs)).alias("w")).select("doc_id", "w.word", "w.joined").distinct()
+    """doc_id, word for the maximal runs of letters that can be a joined word, and the hyphenated pairs, that stand in each document."""
+    runs = F.filter(F.regexp_extract_all("raw", F.lit(r"\p{L}+"), F.lit(0)), lambda w: F.length(w).between(2 * LEAST, 2 * MOST))
+    pairs = F.when(F.contains("raw", F.lit("-")), F.regexp_extract_all("raw", F.lit(r"(?<![\p{L}-])(\p{L}++-\p{L}++)"), F.lit(1)))
+    words = F.concat(runs, F.coalesce(pairs, F.array().cast("array<string>")))
+    return lines.select("doc_id", F.explode(F.array_distinct(F.transform(words, F.lower))).alias("word")).distinct()
 
 
 def decided(lines: DataFrame, g: Grammar | None = None, vocabulary: DataFrame | None = None) -> DataFrame:
-    """candidates() with has_joined, has_compound, merge."""
+    """candidates() with has_joined, has_compound, merge. Only documents that have a candidate give their words, once for both kinds."""
     c = candidates(lines, g).withColumns({"_j": F.lower(F.concat("head", "tail")), "_c": F.lower(F.concat_ws("-", "head", "tail"))})
-    words = document_words(lines)
-    j = words.filter("joined").select(F.col("doc_id").alias("_jd"), F.col("word").alias("_jw"))
-    p = words.filter(~F.col("joined")).select(F.col("doc_id").alias("_pd"), F.col("word").alias("_pw"))
+    some = lines.join(c.select(F.col("doc_id").alias("_d")).distinct(), F.col("doc_id") == F.col("_d"), "left_semi")
+    words = document_words(some)
+    j = words.select(F.col("doc_id").alias("_jd"), F.col("word").alias("_jw"))
+    p = words.select(F.col("doc_id").alias("_pd"), F.col("word").alias("_pw"))
     c = c.join(j, (F.col("doc_id") == F.col("_jd")) & (F.col("_j") == F.col("_jw")), "left").join(p, (F.col("doc_id") == F.col("_pd")) & (F.col("_c") == F.col("_pw")), "left")
     c = c.withColumns({"has_joined": F.col("_jw").isNotNull(), "has_compound": F.col("_pw").isNotNull()})
     known: Column = F.lit(False)

@@ -37,21 +37,29 @@ def gate(source: DataFrame, target: DataFrame, fields: list[str], exempt: DataFr
 
 
 def gate_totals(checked: DataFrame) -> DataFrame:
-    """field, n, n_empty, n_truncated, n_pending, median and least ratio."""
+    """field, n, n_empty, n_truncated, n_pending, and the median and least ratio of what isn't empty."""
     of = lambda s: F.count_if(F.col("status") == s)
-    return checked.groupBy("field").agg(F.count("*").alias("n"), of("EMPTY").alias("n_empty"), of("truncated").alias("n_truncated"), of("pending").alias("n_pending"), F.median("ratio").alias("median_ratio"), F.min("ratio").alias("min_ratio"))
+    ratio = F.when(F.col("status") != "EMPTY", F.col("ratio"))
+    return checked.groupBy("field").agg(F.count("*").alias("n"), of("EMPTY").alias("n_empty"), of("truncated").alias("n_truncated"), of("pending").alias("n_pending"), F.median(ratio).alias("median_ratio"), F.min(ratio).alias("min_ratio"))
+
+
+def failed(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col("status").isin("EMPTY", "truncated"))
 
 
 def failures(checked: DataFrame, key: str = "id", most: int = FAILURES) -> DataFrame:
-    return checked.filter(F.col("status").isin("EMPTY", "truncated")).orderBy(key, "field").limit(most)
+    """The first failures; how many there are in all is check_gate's to say."""
+    return failed(checked).orderBy(key, "field").limit(most)
 
 
 def check_gate(checked: DataFrame, parity: DataFrame, key: str = "id") -> None:
-    """An error that names the first failures, if there is any."""
+    """An error that names the first failures and counts the others, if there is any."""
     p = parity.first()
     bad = failures(checked, key).collect()
     if bad or p["missing_in_target"] or p["missing_in_source"]:
-        raise ValueError(f"missing in target {p['missing_in_target']}, in source {p['missing_in_source']}; " + "; ".join(f"{r[key]} {r['field']} {r['status']} {r['ratio']:.0%}" for r in bad))
+        more = failed(checked).count() - len(bad) if len(bad) == FAILURES else 0
+        said = [f"{r[key]} {r['field']} {r['status']} {r['ratio']:.0%}" for r in bad] + ([f"and {more} more"] if more else [])
+        raise ValueError(f"missing in target {p['missing_in_target']}, in source {p['missing_in_source']}; " + "; ".join(said))
 
 
 def quality_pairs(source: DataFrame, target: DataFrame, fields: list[str], key: str = "id", shortest: int = 1) -> DataFrame:

@@ -353,7 +353,7 @@ def parallel_gate(spark, sf_dir):
     return parallel.gate(s, t, ["body", "head"], exempt).withColumn("ratio", F.round("ratio", 6))
 
 
-@query(f"WITH {SIDES}, x AS (SELECT *, CASE WHEN trim(mt, ' ' || chr(10)) = '' THEN 'EMPTY' WHEN ratio < 0.3 THEN 'truncated' ELSE 'ok' END AS status FROM g) SELECT field, count(*) AS n, count_if(status = 'EMPTY') AS n_empty, count_if(status = 'truncated') AS n_truncated, count_if(status = 'pending') AS n_pending, round(median(ratio), 6) AS median_ratio, round(min(ratio), 6) AS min_ratio FROM x GROUP BY field")
+@query(f"WITH {SIDES}, x AS (SELECT *, CASE WHEN trim(mt, ' ' || chr(10)) = '' THEN 'EMPTY' WHEN ratio < 0.3 THEN 'truncated' ELSE 'ok' END AS status FROM g) SELECT field, count(*) AS n, count_if(status = 'EMPTY') AS n_empty, count_if(status = 'truncated') AS n_truncated, count_if(status = 'pending') AS n_pending, round(median(ratio) FILTER (WHERE status <> 'EMPTY'), 6) AS median_ratio, round(min(ratio) FILTER (WHERE status <> 'EMPTY'), 6) AS min_ratio FROM x GROUP BY field")
 def gate_totals(spark, sf_dir):
     s, t = _sides(spark, sf_dir)
     out = parallel.gate_totals(parallel.gate(s, t, ["body", "head"]))

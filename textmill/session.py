@@ -1,4 +1,4 @@
-"""What a session needs before Python workers can run this package's functions."""
+"""What a session needs before Python workers can run this package's functions, and broadcasts behind a count."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 
@@ -26,3 +27,12 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(path)
         _shipped.add(app)
     return spark
+
+
+#: Rows that small() broadcasts at most.
+SMALL_ROWS = 200_000
+
+
+def small(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
+    """df with a broadcast hint if it has been counted to have few rows; Spark picks a join by shuffle else."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
