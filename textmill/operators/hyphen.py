@@ -28,7 +28,7 @@ def candidates(lines: DataFrame, g: Grammar | None = None) -> DataFrame:
     head = F.regexp_extract(F.rtrim("raw", F.lit(WHITE)), r"(?<!\p{L})(\p{L}++)-$", 1)
     tail = F.regexp_extract("_next.raw", r"^\s*(\p{L}+)", 1)
     marks = F.regexp_extract("_next.raw", rf"^\s*\p{{L}}+({MARKS})", 1)
-    d = d.select("doc_id", "line_no", F.col("_next.line_no").alias("next_no"), head.alias("head"), tail.alias("tail"), marks.alias("marks"))
+    d = d.filter(F.rtrim("raw", F.lit(WHITE)).endswith("-")).select("doc_id", "line_no", F.col("_next.line_no").alias("next_no"), head.alias("head"), tail.alias("tail"), marks.alias("marks"))
     return d.filter(F.length("head").between(LEAST, MOST) & F.length("tail").between(LEAST, MOST))
 
 
@@ -41,10 +41,9 @@ def document_words(lines: DataFrame) -> DataFrame:
 
 
 def decided(lines: DataFrame, g: Grammar | None = None, vocabulary: DataFrame | None = None) -> DataFrame:
-    """candidates() with has_joined, has_compound, merge. Only documents that have a candidate give their words, once for both kinds."""
+    """candidates() with has_joined, has_compound, merge. Both joins are on the key that the words are made distinct by, so that shuffle is made once."""
     c = candidates(lines, g).withColumns({"_j": F.lower(F.concat("head", "tail")), "_c": F.lower(F.concat_ws("-", "head", "tail"))})
-    some = lines.join(c.select(F.col("doc_id").alias("_d")).distinct(), F.col("doc_id") == F.col("_d"), "left_semi")
-    words = document_words(some)
+    words = document_words(lines)
     j = words.select(F.col("doc_id").alias("_jd"), F.col("word").alias("_jw"))
     p = words.select(F.col("doc_id").alias("_pd"), F.col("word").alias("_pw"))
     c = c.join(j, (F.col("doc_id") == F.col("_jd")) & (F.col("_j") == F.col("_jw")), "left").join(p, (F.col("doc_id") == F.col("_pd")) & (F.col("_c") == F.col("_pw")), "left")
