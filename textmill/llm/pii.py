@@ -24,7 +24,7 @@ ROUNDS = 10
 #: 270 * 270 days: up to 2099-08-04.
 DAYS = 72_900
 KINDS = ("email", "phone", "card", "ip", "ssn", "date")
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 NORTH = r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\)[ ]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}"
 ABROAD = r"\+[0-9]{1,3}(?:[ .-]\(?[0-9]{2,8}\)?){1,5}"
 CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
