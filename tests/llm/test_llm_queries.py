@@ -445,11 +445,66 @@ def test_large_groups(spark):
         rows.append((i, " ".join(v)))
     rows += [(1000 + i, " ".join(r.choice(WORDS) for _ in range(60))) for i in range(50)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = by_id(near_dup.near_duplicates(df).collect())
     sets, u = brute_near(rows)
+    got = by_id(near_dup.near_duplicates(df).collect())
     assert all(got[i].component_id == u.find(i) for i in sets)
 
 
+def test_depths(spark, monkeypatch):
+    """Regions far larger than a block: parts by depth, then whole regions in blocks dealt two and two."""
+    r = random.Random(11)
+    rows = []
+    for i in range(300):
+        v = [f"b{k}" for k in range(80)]
+        for k in r.sample(range(80), r.choice([1, 2, 3, 4, 6])):
+            v[k] = f"w{r.randrange(10**6)}"
+        rows.append((i, " ".join(v)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(near_dup.linked, "__defaults__", (False, 16))
+    sets, u = brute_near(rows)
+    got = by_id(near_dup.near_duplicates(df).collect())
+    assert len({u.find(i) for i in sets}) > 5 and all(got[i].component_id == u.find(i) for i in sets)
+
+
+def test_parted():
+    shared = np.array([0, 5, 4, 6, 6, 16, 4, 16])
+    assert near_dup.parted(shared, 10).tolist() == [4] * 8
+    assert near_dup.parted(shared, 3).tolist() == [5, 5, 7, 7, 7, 7, 5, 5]
+    assert near_dup.parted(np.array([0, *[16] * 9]), 3).tolist() == [16] * 10
+
+
+def test_overlaps():
+    g = np.random.default_rng(5)
+    sets = [np.unique(g.integers(0, 400, g.integers(1, 300)).astype(np.uint64)) for _ in range(30)]
+    sets += [np.unique(g.integers(0, 1 << 40, 50).astype(np.uint64)) for _ in range(3)]
+    got = near_dup.overlaps(sets)
+    assert all(got[i, j] == len(set(sets[i].tolist()) & set(sets[j].tolist())) for i in range(33) for j in range(i + 1, 33))
+
+
+def test_repeated_ids_with_different_texts(spark):
+    """A set is a node: a text isn't lost with an id that has another one, and repeated rows leave one."""
+    a, b, c = "one two three four five six seven", "a b c d e f g h i", "null id text that is long enough here"
+    rows = [(5, b, "x"), (5, a, "x"), (6, b, "x"), (7, b, None), (8, c, "y"), (8, c, "z"), (None, c, "y"), (9, "", ""), (9, "", ""), (10, None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, root string")
+    got = sorted(((r.doc_id or 0, r.component_id or 0, r.kept) for r in near_dup.near_duplicates(df).collect()))
+    assert got == [(0, 0, True), (5, 5, True), (5, 5, True), (6, 5, False), (7, 5, False), (8, 8, True), (8, 8, True), (9, 9, True), (9, 9, True), (10, 10, True)]
+    left = sorted((r.doc_id or 0, r.text or "") for r in near_dup.one_of_each(df).collect())
+    assert left == sorted([(5, b), (5, a), (8, c), (0, c), (9, ""), (9, ""), (10, "")])
+    joins = spark.createDataFrame([(3, a), (4, b), (9, a), (9, b)], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in near_dup.near_duplicates(joins).collect()} == {(3, 3), (4, 3), (9, 3)}
+    assert sorted((r.doc_id, r.text) for r in near_dup.one_of_each(joins).collect()) == [(3, a), (4, b)]
+
+
+def test_hot_keys(spark):
+    from textmill.llm.common import keyed_join
+
+    rows = spark.range(100).select("id", F.when(F.col("id") < 60, 1).when(F.col("id") < 90, 2).when(F.col("id") < 95, 3).alias("k"))
+    lookup = spark.createDataFrame([(1, 60, "a"), (2, 30, "b"), (3, 5, "c")], "k int, n long, v string")
+    for hot in (10, 1000):
+        got = {r.id: r.v for r in keyed_join(rows, lookup, "k", F.col("n"), hot=hot).collect()}
+        assert got == {i: "a" if i < 60 else "b" if i < 90 else "c" if i < 95 else None for i in range(100)}
+
+
 def test_components(spark):
     from textmill.llm.components import components
 
@@ -491,4 +546,4 @@ def test_null_ids(spark, tmp_path):
             assert got == [0, 0, 5, 5, 6], name
     assert sum(r.length for r in Q.op8_packing(spark, str(tmp_path)).collect()) > 20
     near = Q.op10_near_dup(spark, str(tmp_path)).filter("doc_id = 6").first()
-    assert near.component_id in (5, 6) and near.n_shingles == 3
+    assert near.component_id == 5 and near.n_shingles == 3 and not near.kept

@@ -9,10 +9,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.session import ship
+from textmill.session import ship, small  # noqa: F401
 
 _made: list[tuple[SparkSession, str]] = []
 
@@ -100,13 +100,18 @@ class BoundedCache(dict):
         return self
 
 
-#: Rows that small() broadcasts at most.
-SMALL_ROWS = 200_000
+#: Rows of a key from which keyed_join() takes it for hot.
+HOT_ROWS = 100_000
 
 
-def small(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has been counted to have few rows; Spark picks a join by shuffle else."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def keyed_join(rows: DataFrame, lookup: DataFrame, key: str, n: Column, how: str = "left", hot: int = HOT_ROWS) -> DataFrame:
+    """rows joined with lookup, which has one row for each key and knows how many rows a key has (n). Hot keys are at most a
+    `hot`-th of the rows, so they are joined by a counted broadcast, and no task gathers one; the others are joined by a shuffle."""
+    heavy = written(lookup.filter(n >= hot), "hot-keys")
+    if not heavy.limit(1).count():
+        return rows.join(lookup, key, how)
+    light = rows.join(small(heavy.select(key)), key, "left_anti").join(lookup.filter(n < hot), key, how)
+    return rows.join(small(heavy), key).unionByName(light)
 
 
 def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, list[int]]]:

@@ -1,23 +1,26 @@
-"""MinHash near-duplicates by fixed bands of signatures (not a sorted LSH forest), confirmed on full shingle sets.
-
-A text, lower-cased A-Z, gives the set of 64-bit hashes of its 5-word shingles, and SIGNATURE minima of it. Texts with
-equal sets are one class from the start. There are TREES orders of a signature's values: order t begins at value
-DEPTH * t and goes on around. Classes that share the first DEPTH values in an order form a region of that tree; those
-are all candidate neighbours. Prefixes are hashed to keys, nothing is sorted, and there are two fixed depths:
-
-1. deep: in each region the classes that share 2 * DEPTH values are candidates with the smallest of them, and so are, in
-   the region as a whole, each class and the smallest one (a number of candidates linear in the rows, however large the region);
-2. these candidates are confirmed on full sets and joined to components. A region whose classes are then all in one
-   component is done, however large: more links in it can't change the result;
-3. what is left is worked in full: all pairs of a region in different components, in blocks, compared by longer sketches (SKETCH
-   minima, a byte each) that are made for these classes only; a pair whose estimate is over LEAST_SKETCH is confirmed on full sets.
-
-Two texts of similarity 0.75 share no region with probability (1 - 0.75**DEPTH)**TREES (2.4e-5); a sketch
-falls under LEAST_SKETCH with a probability of about 1e-5. Nothing is capped: a region of any size is split over tasks.
+"""MinHash near-duplicates by an LSH forest of sorted signature orders, confirmed on full shingle sets.
+
+A text, lower-cased A-Z, gives the set of 64-bit hashes of its 5-word shingles, and SIGNATURE minima of it, 16 bits of each.
+Texts with equal sets are one class from the start; a class is a node, whatever ids its documents have. There are TREES
+orders of a signature's values: order t begins at value DEPTH * t and goes on around, KEY values long. Every order is sorted
+as a whole over the cluster (range partitions, so classes with a common prefix, however many, are spread), and there
+
+1. neighbours: two classes beside one another that share DEPTH values or more have the longest common prefixes that either
+   has in that order; these pairs, at most TREES for each class, are confirmed on full sets and joined to components;
+2. regions: the classes that share DEPTH values in an order. A region of up to BLOCK classes is taken at that depth; a larger
+   one is cut where prefixes part, deeper and deeper, until its parts are that small or signatures are equal. A part whose
+   classes are all in one component is done, since more links in it can't change the result. In the others all pairs of
+   different components are compared, first by signatures, then by full sets in blocks that give a spanning forest only;
+3. the rest: regions that were cut and are still in several components are compared as a whole, in blocks dealt two and two;
+   the rows of the largest component only meet the others. So depth decides the order of the work, never what is found.
+
+Two texts of similarity 0.75 share no region with a chance of (1 - 0.75**DEPTH)**TREES, 2.4e-5, and their signatures agree in
+less than LEAST_ESTIMATE with a chance below 2e-6. Nothing is capped. Rows written for a region are linear in its classes
+up to BLOCK of them, and grow by a BLOCK-th of the square in step 3 only.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing; fewer than five words
-are one shingle; of documents with the same id and different texts, the set with the smallest digest stands for the id
-in links, while n_shingles is each row's own; a null id is linked with nothing.
+are one shingle; a null id is linked with nothing; an id that occurs with different texts joins the components of its texts
+in near_duplicates() (it is one document there), but not in one_of_each(), where each row is a text of its own.
 """
 
 from __future__ import annotations
@@ -29,22 +32,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import BoundedCache, held, no_null_text, small, whole_runs, written
+from textmill.llm.common import BoundedCache, held, keyed_join, no_null_text, small, whole_runs, written
 from textmill.llm.components import components
 
 WORDS = 5
 NUM, DEN = 75, 100  # similarity of links: DEN * intersection >= NUM * union
 TREES, DEPTH = 28, 4
 SIGNATURE = TREES * DEPTH
-LEAST_ESTIMATE = 0.60
-SKETCH, LEAST_SKETCH = 1024, 0.69
-BLOCK = 256
+#: Values by which an order is sorted.
+KEY = 16
+LEAST_ESTIMATE = 0.55
+#: Classes, and shingles, that are compared with one another in one task.
+BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 _lower = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _random = np.random.default_rng(20240229)
 _odd = _random.integers(0, 1 << 63, SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _xor = _random.integers(0, 1 << 63, SIGNATURE, dtype=np.uint64)
-_odd2 = _random.integers(0, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_xor2 = _random.integers(0, 1 << 63, SKETCH, dtype=np.uint64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -74,83 +77,158 @@ class Shingler:
         return np.unique(_mixed(h))
 
 
-def _minima(h: np.ndarray, xor: np.ndarray, odd: np.ndarray) -> np.ndarray:
-    low = np.full(len(odd), np.iinfo(np.uint64).max, np.uint64)
-    for a in range(0, len(h), 512):
-        np.minimum(low, ((h[a : a + 512, None] ^ xor) * odd).min(axis=0), out=low)
-    return low
-
-
 def signature(h: np.ndarray) -> np.ndarray:
-    """SIGNATURE minima, as 32-bit values."""
-    return (_minima(h, _xor, _odd) >> np.uint64(32)).astype(np.uint32)
-
-
-def sketch(h: np.ndarray) -> np.ndarray:
-    """SKETCH minima of other orders, a byte of a hash of each."""
-    return (_mixed(_minima(h, _xor2, _odd2)) & np.uint64(255)).astype(np.uint8)
+    """SIGNATURE minima, 16 bits of a hash of each."""
+    low = np.full(SIGNATURE, np.iinfo(np.uint64).max, np.uint64)
+    for a in range(0, len(h), 512):
+        np.minimum(low, ((h[a : a + 512, None] ^ _xor) * _odd).min(axis=0), out=low)
+    return (_mixed(low) >> np.uint64(48)).astype("<u2")
 
 
 def signatures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_shingles, set_key (a 128-bit digest of the set; null for an empty set), sig for each row of docs, written to the shared folder."""
+    """doc_id, text_key, n_shingles, set_key (a 128-bit digest of the set; null for an empty set), sig for each row of docs, written to the shared folder."""
     import xxhash
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = held(Shingler)
         for b in batches:
             n, key, sig = [], [], []
-            for t in b.column(1).to_pylist():
+            for t in b.column(2).to_pylist():
                 h = s.hashes(t)
                 n.append(len(h))
                 key.append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
                 sig.append(signature(h).tobytes() if len(h) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.binary())], names=["doc_id", "n_shingles", "set_key", "sig"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.binary())], names=["doc_id", "text_key", "n_shingles", "set_key", "sig"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    out = docs.select(F.col(id_column).alias("doc_id"), no_null_text(text_column).alias("text")).mapInArrow(rows, f"doc_id {kind}, n_shingles long, set_key binary, sig binary")
-    return written(out, "signatures")
+    out = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text_column).alias("text_key"), no_null_text(text_column).alias("text"))
+    return written(out.mapInArrow(rows, f"doc_id {kind}, text_key long, n_shingles long, set_key binary, sig binary"), "signatures")
+
+
+def classes_of(sig: DataFrame) -> DataFrame:
+    """node, set_key, id (the smallest of its documents), n (rows), size (shingles), sig of each distinct set."""
+    valid = sig.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
+    c = valid.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"), F.min("n_shingles").cast("int").alias("size"), F.min("sig").alias("sig"))
+    return written(c.select(F.monotonically_increasing_id().alias("node"), "*"), "classes")  # numbered once: what is written stays
 
 
-def _values(order: int, depth: int):
-    """The first `depth` values of an order, as a hash: a tree's prefix."""
-    at = order * DEPTH
-    parts = [F.substring("sig", 4 * at + 1, 4 * min(depth, SIGNATURE - at))]
-    if at + depth > SIGNATURE:
-        parts.append(F.substring("sig", 1, 4 * (at + depth - SIGNATURE)))
-    return F.xxhash64(F.lit(order), *parts)
+def parted(shared: np.ndarray, most: int) -> np.ndarray:
+    """The depth of each row of a sorted region: DEPTH, or where more than `most` rows share that, as many more values as it
+    takes. shared: how many values a row has in common with the one before."""
+    depth = np.full(len(shared), DEPTH)
+    for d in range(DEPTH + 1, KEY + 1):
+        part = np.cumsum(shared < depth)
+        large = np.bincount(part)[part] > most
+        if not large.any():
+            break
+        depth[large] = d
+    return depth
 
 
-def regions(classes: DataFrame) -> DataFrame:
-    """region, deep (the hash of the longer prefix), id: rows of regions that have two classes at least."""
-    trees = F.explode(F.array(*(F.struct(_values(t, DEPTH).alias("region"), _values(t, 2 * DEPTH).alias("deep")) for t in range(TREES))))
-    rows = classes.select("id", trees.alias("t")).select("t.region", "t.deep", "id")
-    several = rows.groupBy("region").agg(F.count("*").alias("n"), F.min("id").alias("first")).filter(F.col("n") > 1)
-    return written(rows.join(several, "region"), "regions")
+def forest(classes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """region, part (of the region, by its own depth), prev (the neighbour before), node, size: the classes of each sorted order that share
+    DEPTH values with a neighbour. What begins or ends a range partition is there in any case."""
+    import xxhash
+
+    wide = F.concat("sig", F.substring("sig", 1, 2 * KEY))
+    orders = F.array(*(F.concat(F.unhex(F.lit(f"{t:02x}")), F.substring("_w", 2 * DEPTH * t + 1, 2 * KEY)) for t in range(TREES)))
+    rows_in = classes.select("node", "size", wide.alias("_w")).select("node", "size", F.explode(orders).alias("order"))
+    ordered = rows_in.repartitionByRange("order", "node").sortWithinPartitions("order", "node")
 
+    def digest(raw: bytes) -> int:
+        return xxhash.xxh3_64_intdigest(raw) - (1 << 63)
 
-def star_pairs(regions: DataFrame) -> DataFrame:
-    """Each class with the first of its region and the first of those that share its longer prefix."""
-    deep = regions.groupBy("region", "deep").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter(F.col("n") > 1)
-    near = regions.join(deep.drop("n"), ["region", "deep"]).select("a", F.col("id").alias("b"))
-    return near.unionByName(regions.select(F.col("first").alias("a"), F.col("id").alias("b"))).filter(F.col("a") < F.col("b")).distinct()
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(parts: list[tuple], edge: bool) -> Iterator[pa.RecordBatch]:
+            keys, node, size, shared = (np.concatenate(x) for x in zip(*parts, strict=True))
+            starts = np.flatnonzero(shared < DEPTH)
+            many = np.diff(np.append(starts, len(node)))
+            out: list[list] = [[], [], [], [], []]
+            for s, n in zip(starts.tolist(), many.tolist(), strict=True):
+                if n == 1 and not edge:
+                    continue
+                region = digest(keys[s, : 1 + 2 * DEPTH].tobytes())
+                own = shared[s : s + n].copy()
+                own[0] = 0
+                if n <= block:
+                    part = [region] * n
+                else:
+                    depth = parted(own, block)
+                    heads = np.flatnonzero(own < depth)
+                    part = []
+                    for a, z in zip(heads.tolist(), [*heads[1:].tolist(), n], strict=True):
+                        d = int(depth[a])
+                        part += [region if d == DEPTH else digest(keys[s + a, : 1 + 2 * d].tobytes())] * (z - a)
+                ids = node[s : s + n].tolist()
+                for c, v in zip(out, ([region] * n, part, [None, *ids[:-1]], ids, size[s : s + n].tolist()), strict=True):
+                    c += v
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:4]), pa.array(out[4], pa.int32())], names=["region", "part", "prev", "node", "size"])
+
+        held_: list[tuple] = []
+        first = True
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint8).reshape(b.num_rows, -1)
+            node, size = b.column(0).to_numpy(), b.column(1).to_numpy()
+            before = np.concatenate([held_[-1][0][-1:] if held_ else keys[:1] ^ 255, keys[:-1]])
+            same = np.concatenate([(keys[:, :1] == before[:, :1]), np.ascontiguousarray(keys[:, 1:]).view("<u2") == np.ascontiguousarray(before[:, 1:]).view("<u2")], axis=1)
+            shared = np.maximum(np.logical_and.accumulate(same, axis=1).sum(axis=1) - 1, 0)
+            cuts = np.flatnonzero(shared < DEPTH)
+            if not len(cuts):
+                held_.append((keys, node, size, shared))
+                continue
+            a, z = cuts[0], cuts[-1]
+            if held_:
+                yield from flush([*held_, (keys[:a], node[:a], size[:a], shared[:a])], first)
+                first = False
+            if z > a:
+                yield from flush([(keys[a:z], node[a:z], size[a:z], shared[a:z])], first)
+                first = False
+            held_ = [(keys[z:], node[z:], size[z:], shared[z:])]
+        if held_:
+            yield from flush(held_, True)
+
+    return written(ordered.select("node", "size", "order").mapInArrow(rows, "region long, part long, prev long, node long, size int"), "forest")
 
 
 def similar(pairs: DataFrame, classes: DataFrame, least: float = LEAST_ESTIMATE) -> DataFrame:
-    """The pairs whose signatures agree in a share of `least` or more."""
+    """The pairs (a, b) whose signatures agree in a share of `least` or more."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(-1, SIGNATURE) for c in (2, 3))
+                x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<u2").reshape(-1, SIGNATURE) for c in (2, 3))
                 yield b.select([0, 1]).filter(pa.array((x == y).mean(axis=1) >= least))
 
-    s = classes.select("id", "sig")
-    p = pairs.join(s.withColumnsRenamed({"id": "a", "sig": "x"}), "a").join(s.withColumnsRenamed({"id": "b", "sig": "y"}), "b").select("a", "b", "x", "y")
-    kind = pairs.schema["a"].dataType.simpleString()
-    return p.mapInArrow(rows, f"a {kind}, b {kind}")
+    s = classes.select("node", "sig")
+    p = pairs.join(s.withColumnsRenamed({"node": "a", "sig": "x"}), "a").join(s.withColumnsRenamed({"node": "b", "sig": "y"}), "b").select("a", "b", "x", "y")
+    return p.mapInArrow(rows, "a long, b long")
+
 
+def set_table(docs: DataFrame, need: DataFrame, repeated: bool) -> DataFrame:
+    """node, hashes (its set as sorted 64-bit integers) for the nodes of need (node, id, set_key), from docs (id, text); written to
+    the shared folder. repeated: ids may occur more than once."""
+    import xxhash
 
-def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = held(Shingler)
+        for b in batches:
+            nodes, out = [], []
+            for i, t, k in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
+                h = s.hashes(t or "")
+                if xxhash.xxh3_128_digest(h.tobytes()) == k:
+                    nodes.append(i)
+                    out.append(h.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(out, pa.binary())], names=["node", "hashes"])
+
+    some = docs.join(small(written(need, "needed")), "id").select("node", "text", "set_key")
+    sets = some.mapInArrow(rows, "node long, hashes binary")
+    return written(sets.groupBy("node").agg(F.first("hashes").alias("hashes")) if repeated else sets, "sets")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, repeated: bool = False) -> DataFrame:
     """The pairs (a < b) whose full sets reach the similarity; docs: id and text.
 
     Pairs are dealt by a and a salt, so a class with very many partners is spread; in a task a's set is made once and each
@@ -158,11 +236,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     """
     pairs = written(pairs, "candidates")
     salted = pairs.select("a", F.pmod(F.xxhash64("b"), F.lit(1 << 20)).cast("int").alias("salt"), "b")
-    sets = set_table(docs, classes.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id").select("id", "set_key"))
+    need = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "id", "set_key")
+    sets = set_table(docs, need, repeated)
     fewer = salted.groupBy("a").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts"))
     salted = salted.join(fewer, "a").select("a", F.pmod("salt", F.col("parts")).alias("salt"), "b")
-    heads = salted.select("a", "salt").distinct().join(sets.withColumnRenamed("id", "a"), "a").select("a", "salt", F.lit(None).cast(pairs.schema["b"].dataType).alias("b"), "hashes")
-    tails = salted.join(sets.withColumnRenamed("id", "b"), "b").select("a", "salt", "b", "hashes")
+    heads = salted.select("a", "salt").distinct().join(sets.withColumnRenamed("node", "a"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "hashes")
+    tails = salted.join(sets.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "hashes")
     dealt = heads.unionByName(tails).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,121 +256,186 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
                     both = len(mine) + len(h) - len(np.union1d(mine, h))
                     if DEN * both >= NUM * (len(mine) + len(h) - both):
                         keep.append(i)
-            kind = x.column(0).type
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], kind), pa.array([b[i] for i in keep], kind)], names=["a", "b"])
-
-    kind = pairs.schema["a"].dataType.simpleString()
-    return written(dealt.mapInArrow(rows, f"a {kind}, b {kind}"), "confirmed")
-
+            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"])
+
+    return written(dealt.mapInArrow(rows, "a long, b long"), "confirmed")
+
+
+def open_rows(rows: DataFrame, roots: DataFrame, block: int) -> DataFrame:
+    """group, x, y, own, node, root for rows (group, node, size) of the groups that are in several components: dealt to blocks of
+    which each two meet, but for those of the group's largest component among themselves."""
+    rows = rows.join(roots, "node", "left").select("group", "node", "size", F.coalesce("root", "node").alias("root"))
+    rows = written(rows, "group-rows")
+    per = rows.groupBy("group", "root").agg(F.count("*").alias("n"), F.sum("size").alias("w"))
+    most = F.max(F.struct("n", "w", "root"))
+    g = per.groupBy("group").agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.sum("w").alias("w"), most.alias("m")).filter(F.col("k") > 1)
+    blocks = lambda n, w: F.ceil(F.greatest(n / block, w / BLOCK_SHINGLES)).cast("int")
+    one = (F.col("n") <= block) & (F.col("w") <= BLOCK_SHINGLES)
+    g = g.select("group", F.when(one, F.lit(None)).otherwise(F.col("m.root")).alias("large"), F.when(one, 0).otherwise(blocks(F.col("m.n"), F.col("m.w"))).alias("ka"), F.when(one, 1).otherwise(blocks(F.col("n") - F.col("m.n"), F.col("w") - F.col("m.w"))).alias("kb"))
+    rows = rows.join(small(written(g, "open-groups")), "group")
+    major = F.coalesce(F.col("root") == F.col("large"), F.lit(False))
+    mark = F.xxhash64("node")
+    own = F.when(major, F.pmod(mark, F.greatest(F.col("ka"), F.lit(1)))).otherwise(F.col("ka") + F.pmod(mark, F.col("kb"))).cast("int")
+    rows = rows.withColumns({"own": own, "with": F.explode(F.sequence(F.when(major, F.col("ka")).otherwise(0), F.col("ka") + F.col("kb") - 1))})
+    return rows.select("group", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"), "own", "node", "root")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(group's table, first row, end, places of x's rows, places of y's rows, roots) of each block of rows (group, x, y, own, node, root, ...)."""
+    for t, edges in whole_runs(batches, 3):
+        x, y, own, roots = (t.column(c).to_numpy() for c in (1, 2, 3, 5))
+        for s, e in zip(edges, edges[1:], strict=False):
+            if e - s > 1:
+                left = np.flatnonzero(own[s:e] == x[s])
+                yield t, s, e, left, left if x[s] == y[s] else np.flatnonzero(own[s:e] == y[s]), roots[s:e]
+
+
+def screened(dealt: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of open_rows() that have, in their block, a class of another component with a signature like theirs."""
+    near = dealt.join(classes.select("node", "sig"), "node").select("group", "x", "y", "own", "node", "root", "sig")
+    near = near.repartition("group", "x", "y").sortWithinPartitions("group", "x", "y", "own", "node")
 
-def _of_sets(docs: DataFrame, need: DataFrame, name: str, made) -> DataFrame:
-    """id, NAME (made of the set) for the rows of docs (id, text) whose set has the digest in need (id, set_key); written to the shared folder."""
-    import xxhash
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, s, e, left, right, roots in _blocks(batches):
+            sig = np.frombuffer(b"".join(t.column(6).slice(s, e - s).to_pylist()), "<u2").reshape(-1, SIGNATURE)
+            live = np.zeros(e - s, bool)
+            for a in range(0, len(left), 64):
+                i = left[a : a + 64]
+                close = (roots[i, None] != roots[right]) & (np.count_nonzero(sig[i, None, :] == sig[right], axis=2) >= LEAST_ESTIMATE * SIGNATURE)
+                live[i] |= close.any(axis=1)
+                live[right] |= close.any(axis=0)
+            if live.any():
+                yield from t.slice(s, e - s).select([0, 1, 2, 3, 4, 5]).filter(pa.array(live)).combine_chunks().to_batches()
+
+    return written(near.mapInArrow(rows, "group long, x int, y int, own int, node long, root long"), "live-rows")
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections, above the diagonal. Shingles that few have are counted pair by pair, the others by products of 0-1 matrices."""
+    n = len(sets)
+    flat, row = np.concatenate(sets), np.repeat(np.arange(n), [len(h) for h in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    many = np.diff(np.append(first, len(flat)))
+    col, few = np.repeat(np.arange(len(first)), many), np.repeat(many <= 8, many)
+    both = np.zeros(n * n, np.int64)
+    for k in range(1, 8):
+        i = np.flatnonzero((col[k:] == col[:-k]) & few[k:])
+        if not len(i):
+            break
+        both += np.bincount(row[i] * n + row[i + k], minlength=n * n)
+    both = both.reshape(n, n)
+    often = np.flatnonzero(many > 8)
+    at = np.full(len(first), -1)
+    at[often] = np.arange(len(often))
+    place, row = at[col[~few]], row[~few]
+    for a in range(0, len(often), 4096):
+        mine = (place >= a) & (place < a + 4096)
+        m = np.zeros((n, min(4096, len(often) - a)), np.float32)
+        m[row[mine], place[mine] - a] = 1
+        both += np.triu(m @ m.T, 1).astype(np.int64)
+    return both
+
+
+def spanning(live: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: in each block, every class that is linked with one of another component, with the smallest class it is joined to."""
+    full = live.join(sets, "node").select("group", "x", "y", "own", "node", "root", "hashes")
+    full = full.repartition("group", "x", "y").sortWithinPartitions("group", "x", "y", "own", "node")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = held(Shingler)
-        for b in batches:
-            ids, out = [], []
-            for i, t, k in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
-                h = s.hashes(t or "")
-                if xxhash.xxh3_128_digest(h.tobytes()) == k:
-                    ids.append(i)
-                    out.append(made(h).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, b.column(0).type), pa.array(out, pa.binary())], names=["id", name])
-
-    some = docs.join(small(written(need, "needed")), "id").select("id", "text", "set_key")
-    return written(some.mapInArrow(rows, f"id {docs.schema['id'].dataType.simpleString()}, {name} binary"), name)
-
-
-def set_table(docs: DataFrame, need: DataFrame) -> DataFrame:
-    """id, hashes (sorted 64-bit integers)."""
-    return _of_sets(docs, need, "hashes", lambda h: h)
-
-
-def sketch_table(docs: DataFrame, need: DataFrame) -> DataFrame:
-    """id, mark; a row for each id."""
-    return _of_sets(docs, need, "mark", sketch).groupBy("id").agg(F.min("mark").alias("mark"))
-
-
-def open_rows(regions: DataFrame, roots: DataFrame) -> DataFrame:
-    """region, id, root, large (the region's largest component) for regions whose classes are in different components."""
-    root = F.coalesce("root", F.col("id")).alias("root")
-    rows = regions.select("region", "id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("region", "id", root)
-    count = rows.groupBy("region", "root").agg(F.count("*").alias("n")).groupBy("region").agg(F.count("*").alias("k"), F.max(F.struct("n", "root"))["root"].alias("large"))
-    return written(rows.join(count.filter(F.col("k") > 1).select("region", "large"), "region"), "open-regions")
-
-
-def dealt_rows(rows: DataFrame, marks: DataFrame) -> DataFrame:
-    """region, x, y, own, id, root, mark: rows dealt to blocks of about BLOCK rows of which each two meet. The rows of the
-    region's largest component only meet the others, so a large settled component isn't compared with itself."""
-    major = F.col("root") == F.col("large")
-    sizes = rows.groupBy("region").agg(F.ceil(F.count_if(major) / BLOCK).cast("int").alias("ka"), F.ceil(F.count_if(~major) / BLOCK).cast("int").alias("kb"))
-    rows = rows.join(sizes, "region").withColumn("other", ~major)
-    # blocks of the settled component are 0 .. ka - 1, the others follow; x <= y number the two blocks of a meeting
-    own = F.when(F.col("other"), F.col("ka") + F.pmod(F.xxhash64("id"), F.col("kb"))).otherwise(F.pmod(F.xxhash64("id"), F.greatest(F.col("ka"), F.lit(1)))).cast("int")
-    all_, others = F.sequence(F.lit(0), F.col("ka") + F.col("kb") - 1), F.sequence(F.col("ka"), F.col("ka") + F.col("kb") - 1)
-    dealt = rows.withColumn("own", own).withColumn("with", F.explode(F.when(F.col("other"), all_).otherwise(others)))
-    dealt = dealt.select("region", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"), "own", "id", "root")
-    dealt = dealt.join(marks, "id").repartition("region", "x", "y").sortWithinPartitions("region", "x", "y", "own", "id")
-    return dealt.select("region", "x", "y", "own", "id", "root", "mark")
-
-
-def rest_pairs(regions: DataFrame, classes: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFrame:
-    """All pairs of a region whose classes are in different components and whose sketches are similar."""
-    rows = open_rows(regions, roots)
-    need = classes.join(rows.select("id").distinct(), "id").select("id", "set_key")
-    dealt = dealt_rows(rows, sketch_table(docs, need))
-
-    def pairs_of(own: np.ndarray, x: int, y: int, ids: np.ndarray, roots: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        left = np.flatnonzero(own == x)
-        right = left if x == y else np.flatnonzero(own == y)
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for a in range(0, len(left), 32):
-            i = left[a : a + 32]
-            open_ = roots[i, None] != roots[right]
-            if not open_.any():
-                continue
-            close = np.count_nonzero(sig[i, None, :] == sig[right], axis=2) >= LEAST_SKETCH * SKETCH
-            p, q = np.nonzero(open_ & close)
-            found.append((ids[i[p]], ids[right[q]]))
-        if not found:
-            return ids[:0], ids[:0]
-        p, q = (np.concatenate(z) for z in zip(*found, strict=True))
-        return np.minimum(p, q), np.maximum(p, q)
-
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, edges in whole_runs(batches, 3):
-            v = [t.column(c).to_numpy() for c in range(6)]
-            sig = np.frombuffer(b"".join(t.column(6).to_pylist()), np.uint8).reshape(-1, SKETCH)
-            kind = t.column(4).type
-            for s, e in zip(edges, edges[1:], strict=False):
-                a, b = pairs_of(v[3][s:e], v[1][s], v[2][s], v[4][s:e], v[5][s:e], sig[s:e])
-                if len(a):
-                    a, b = np.unique(np.stack([a, b]), axis=1)
-                    yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], names=["a", "b"])
-
-    kind = classes.schema["id"].dataType.simpleString()
-    return dealt.mapInArrow(rows_of, f"a {kind}, b {kind}").distinct()
+        for t, s, e, left, right, roots in _blocks(batches):
+            sets_ = [np.frombuffer(h, np.uint64) for h in t.column(6).slice(s, e - s).to_pylist()]
+            node, size = t.column(4).slice(s, e - s).to_numpy(), np.array([len(h) for h in sets_])
+            both = overlaps(sets_)
+            may = np.zeros(both.shape, bool)
+            may[np.ix_(left, right)] = True
+            may |= may.T
+            linked = may & (roots[:, None] != roots) & (DEN * both >= NUM * (size[:, None] + size - both))
+            p, q = np.nonzero(np.triu(linked, 1))
+            label = np.arange(e - s)
+            while True:
+                new = label.copy()
+                np.minimum.at(new, p, label[q])
+                np.minimum.at(new, q, label[p])
+                if (new == label).all():
+                    break
+                label = new
+            b = np.flatnonzero(label != np.arange(e - s))
+            if len(b):
+                yield pa.RecordBatch.from_arrays([pa.array(node[label[b]], pa.int64()), pa.array(node[b], pa.int64())], names=["a", "b"])
+
+    return written(full.mapInArrow(rows, "a long, b long"), "region-links")
+
+
+def linked(classes: DataFrame, docs: DataFrame, repeated: bool = False, block: int = BLOCK) -> DataFrame:
+    """node, root for the classes that are in a component with others; docs: id and text."""
+    found = forest(classes, block)
+    pairs = found.filter(F.col("prev").isNotNull()).select(F.least("prev", "node").alias("a"), F.greatest("prev", "node").alias("b")).distinct()
+    links = confirmed(similar(pairs, classes), docs, classes, repeated)
+    roots = components(links)
+    parts = found.groupBy("region").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter(F.col("p") != F.col("q")).select("region")
+    cut = written(parts, "cut-regions")
+    for name, rows in (("part", found), ("region", found.join(small(cut), "region", "left_semi"))):
+        if name == "region" and not cut.limit(1).count():
+            break
+        live = screened(open_rows(rows.select(F.col(name).alias("group"), "node", "size").distinct() if name == "region" else rows.select(F.col(name).alias("group"), "node", "size"), roots, block), classes)
+        need = classes.join(live.select("node").distinct(), "node").select("node", "id", "set_key")
+        links = links.unionByName(spanning(live, set_table(docs, need, repeated)))
+        roots = components(links)
+    return roots
+
+
+def repeated_ids(sig: DataFrame) -> DataFrame:
+    """doc_id, several (has different sets) of the ids that more than one row has."""
+    valid = sig.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
+    ids = valid.groupBy("doc_id").agg(F.count("*").alias("n"), (F.min("set_key") != F.max("set_key")).alias("several"))
+    return written(ids.filter(F.col("n") > 1).select("doc_id", "several"), "repeated-ids")
+
+
+def placed(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """signatures(), the classes with their root and the smallest id of their component (set_key, n, root, first), and repeated_ids()."""
+    sig = signatures(docs, id_column, text_column)
+    classes, again = classes_of(sig), repeated_ids(sig)
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    roots = linked(classes, texts, bool(again.limit(1).count()))
+    own = classes.select("node", "set_key", "id", "n").join(roots, "node", "left").select("set_key", "id", "n", F.coalesce("root", "node").alias("root"))
+    own = written(own, "class-roots")
+    first = own.groupBy("root").agg(F.min("id").alias("first"))
+    return sig, written(own.join(first, "root").select("set_key", "n", "root", "first"), "placed"), again
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs."""
-    sig = signatures(docs, id_column, text_column)
-    by_set = sig.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull()).groupBy("set_key").agg(F.min("doc_id").alias("id"), F.min("sig").alias("sig"))
-    by_id = by_set.groupBy("id").agg(F.min(F.struct("set_key", "sig")).alias("s"))
-    classes = written(by_id.select("id", "s.set_key", "s.sig"), "classes")
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    found = regions(classes)
-    links = confirmed(similar(star_pairs(found), classes), texts, classes)
-    more = confirmed(rest_pairs(found, classes, components(links), texts), texts, classes)
-    same = sig.join(classes.select("set_key", "id"), "set_key").filter(F.col("doc_id") != F.col("id")).select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
-    roots = components(links.unionByName(more).unionByName(same))
-    r = roots.withColumnsRenamed({"node": "_node", "root": "_root"})
-    out = sig.select("doc_id", "n_shingles").join(r, F.col("doc_id") == F.col("_node"), "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("_root", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-
-
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """docs without the documents that near_duplicates() doesn't keep; all columns stay."""
-    gone = small(written(near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct(), "near-copies"))
-    return docs.alias("d").join(gone.alias("g"), F.col("d.doc_id") == F.col("g.doc_id"), "left_anti")
+    sig, place, again = placed(docs, id_column, text_column)
+    several = again.filter("several").select("doc_id")
+    if several.limit(1).count():  # an id with different texts is one document
+        ids = sig.join(several, "doc_id").select("doc_id", "set_key").distinct().join(place, "set_key").select("doc_id", "root").distinct()
+        low = ids.groupBy("doc_id").agg(F.min("root").alias("a"))
+        more = components(ids.join(low, "doc_id").select("a", F.col("root").alias("b")))
+        joined = place.join(more.select(F.col("root").alias("_top"), F.col("node").alias("root")), "root", "left").withColumn("root", F.coalesce("_top", "root")).drop("_top")
+        joined = written(joined, "joined")
+        place = joined.drop("first").join(joined.groupBy("root").agg(F.min("first").alias("first")), "root")
+    rows = sig.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
+    out = keyed_join(rows, place.select("set_key", "n", "first"), "set_key", F.col("n"))
+    return out.select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """docs with one row of each component: the smallest id, of its texts in the component the one with the smallest hash, of rows that
+    have both in common any one. Rows without words or without an id stay; all columns stay."""
+    sig, place, again = placed(docs, id_column, text_column)
+    rows = sig.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "text_key", "set_key")
+    rows = written(keyed_join(rows, place.select("set_key", "n", "root"), "set_key", F.col("n")).select("doc_id", "text_key", "root"), "row-roots")
+    best = rows.groupBy("root").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key")).alias("best")).filter(F.col("n") > 1)
+    best = written(best, "best-rows")
+    some = keyed_join(rows, best, "root", F.col("n"), "inner")
+    gone = small(written(some.filter((F.col("doc_id") != F.col("best.doc_id")) | (F.col("text_key") != F.col("best.text_key"))).select("doc_id", "text_key").distinct(), "near-copies"))
+    mine = (F.col(f"d.{id_column}") == F.col("g.doc_id")) & (F.xxhash64(f"d.{text_column}") == F.col("g.text_key"))
+    left = docs.alias("d").join(gone.alias("g"), mine, "left_anti")
+    if not again.limit(1).count():
+        return left
+    twice = small(written(rows.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).filter(F.col("n") > 1), "repeated-rows"))
+    once = left.alias("d").join(twice.alias("g"), mine, "left_anti")
+    same = left.alias("d").join(twice.alias("g"), mine, "left_semi").withColumn("_textmill_key", F.xxhash64(text_column))
+    return once.unionByName(same.dropDuplicates([id_column, "_textmill_key"]).drop("_textmill_key"))
