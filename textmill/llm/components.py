@@ -1,7 +1,9 @@
-"""Connected components of a table of links, by joins."""
+"""Connected components of a table of links, by contraction."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,23 +16,35 @@ ROUNDS = 120
 def components(links: DataFrame) -> DataFrame:
     """node, root (the smallest node that can be reached, itself included) for every node of links (a, b).
 
-    Each round gives a node's root the smallest grandparent among its neighbours' (hooking), each node the smallest of
-    its own, then each its root's root (pointer jumping), so rounds grow with the logarithm of a component's width. Every
-    round is written to the shared folder. Minima are made before the shuffle, so a hub is one row of each task.
+    In each round a node's hop is the least of its neighbours and itself, and from there once more; links are then drawn
+    between hops, and what has become a loop or a repetition goes, so a dense group shrinks to a few links at once and rounds
+    grow with the logarithm of a component's width. Hops and links of every round are written to the shared folder; a node's root
+    is where its hops lead. Minima are made before the shuffle, so a hub is one row of each task, and the table that
+    links are joined with has one row for each node, so that Spark can split a hub's links.
     """
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter(F.col("a") != F.col("b")).distinct()
-    both = written(both, "links")
-    f = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "node"), "roots")
+    kind = links.schema["a"].dataType
+    edges = written(_drawn(links.select("a", "b")), "links")
+    hops: list[DataFrame] = []
     for _ in range(ROUNDS):
-        up = f.select(F.col("node").alias("r"), F.col("root").alias("top"))
-        g = f.join(up, f["root"] == up["r"]).select("node", "root", "top")  # top: the root's root
-        g = written(g, "roots")
-        near = both.join(g.select(F.col("node").alias("b"), F.col("top")), "b").groupBy("a").agg(F.min("top").alias("low"))
-        seen = g.join(near, g["node"] == near["a"]).select("node", "root", "top", "low")
-        hooks = seen.filter(F.col("low") < F.col("root")).groupBy(F.col("root").alias("h")).agg(F.min("low").alias("hook"))
-        new = seen.join(hooks, seen["node"] == hooks["h"], "left").select("node", F.least("top", "low", "hook").alias("root"), F.col("root").alias("old"))
-        new = written(new, "roots")
-        f = new.select("node", "root")
-        if not new.filter(F.col("root") != F.col("old")).limit(1).count():
-            return f
-    raise RuntimeError("components didn't settle")
+        if not edges.limit(1).count():
+            break
+        least = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.least(F.min("b"), "a").alias("p"))
+        hop = least.select(F.col("a").alias("node"), "p").join(least.select(F.col("a").alias("p"), F.col("p").alias("hop")), "p").select("node", "hop")
+        hops.append(written(hop, "hops"))
+        of = lambda name, to: hops[-1].select(F.col("node").alias(name), F.col("hop").alias(to))
+        edges = written(_drawn(edges.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))), "links")
+    else:
+        raise RuntimeError("components didn't settle")
+    if not hops:
+        return links.sparkSession.createDataFrame([], "a int").select(F.lit(None).cast(kind).alias("node"), F.lit(None).cast(kind).alias("root"))
+    # what isn't a node any more in a later round has its root already
+    return written(reduce(_further, hops[1:], hops[0].withColumnRenamed("hop", "root")), "roots")
+
+
+def _drawn(links: DataFrame) -> DataFrame:
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter(F.col("a") != F.col("b")).distinct()
+
+
+def _further(roots: DataFrame, hop: DataFrame) -> DataFrame:
+    nxt = hop.select(F.col("node").alias("root"), F.col("hop").alias("_hop"))
+    return roots.join(nxt, "root", "left").select("node", F.coalesce("_hop", "root").alias("root"))

@@ -379,10 +379,10 @@ def linked(classes: DataFrame, docs: DataFrame, repeated: bool = False, block: i
     for name, rows in (("part", found), ("region", found.join(small(cut), "region", "left_semi"))):
         if name == "region" and not cut.limit(1).count():
             break
-        live = screened(open_rows(rows.select(F.col(name).alias("group"), "node", "size").distinct() if name == "region" else rows.select(F.col(name).alias("group"), "node", "size"), roots, block), classes)
+        live = screened(open_rows(rows.select(F.col(name).alias("group"), "node", "size"), roots, block), classes)
         need = classes.join(live.select("node").distinct(), "node").select("node", "id", "set_key")
-        links = links.unionByName(spanning(live, set_table(docs, need, repeated)))
-        roots = components(links)
+        links = spanning(live, set_table(docs, need, repeated))
+        roots = components(links.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
     return roots
 
 
