@@ -157,8 +157,48 @@ def test_rotation_estimate():
         code = np.where(rx > 0, 1, -1) / math.sqrt(d)
         errors.append((code @ ry) / (code @ rx) - 0.985)
     assert abs(np.mean(errors)) < 4 * np.std(errors) / math.sqrt(len(errors))
-    a, b = embedding_dup.pairs_of(np.stack([x, y, -x]), np.arange(3), np.arange(3), True, np.zeros((3, 1), np.int32), 0)
-    assert list(zip(a, b)) == [(0, 1)]
+    three = np.stack([x, y, -x])
+    signs, factor, steps, unit, residual = embedding_dup.stored(three)
+    every = np.arange(3)
+    may = embedding_dup.may_link(signs, factor, steps * unit[:, None], residual, every, every)
+    assert may[0, 1] and may[1, 0] and not may[0, 2] and (residual < 0.02).all()
+
+
+def test_pairs_are_screened():
+    """The bound rules out most pairs of unrelated vectors and none at the wanted cosine."""
+    g = np.random.default_rng(8)
+    x = g.standard_normal((400, 64))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    e = g.standard_normal((400, 64))
+    e -= (e * x).sum(axis=1)[:, None] * x
+    y = 0.9801 * x + math.sqrt(1 - 0.9801**2) * e / np.sqrt((e * e).sum(axis=1))[:, None]
+    both = np.concatenate([x, y])
+    signs, factor, steps, unit, residual = embedding_dup.stored(both)
+    may = embedding_dup.may_link(signs, factor, steps * unit[:, None], residual, np.arange(400), np.arange(400, 800))
+    assert may.diagonal().all() and may.mean() < 0.01
+
+
+def test_dense_buckets(spark, monkeypatch):
+    """Buckets of many blocks, and ids that have several vectors."""
+    g = np.random.default_rng(12)
+    base = g.standard_normal(16)
+    rows = [(i, 1, (base + 0.09 * g.standard_normal(16)).tolist()) for i in range(120)] + [(500, 1, base.tolist()), (500, 1, (-base).tolist()), (501, 1, (-base * 2 + 0.01).tolist())]
+    monkeypatch.setattr(embedding_dup.links_of, "__defaults__", (16,))
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in embedding_dup.near_duplicates(df.withColumn("key", F.lit(1)).withColumn("node", F.lit(2))).collect():
+        got[r.vec_id].append((r.n_links, r.component_id))
+    links, u = collections.Counter(), Union()
+    for i, (a, _, x) in enumerate(rows):
+        for b, _, y in rows[:i]:
+            x_, y_ = np.array(x), np.array(y)
+            if x_ @ y_ / math.sqrt((x_ @ x_) * (y_ @ y_)) >= 0.98:
+                links[a, i] += 1
+                links[b, next(k for k, r in enumerate(rows) if r[0] == b and r[2] == y)] += 1
+                u.join(a, b)
+    assert sum(links.values()) > 500
+    for i in {r[0] for r in rows}:
+        assert sorted(got[i]) == sorted((links[i, k], u.find(i)) for k, r in enumerate(rows) if r[0] == i)
 
 
 def tokenizer(name):
