@@ -331,6 +331,53 @@ def test_repeated_lines(spark):
     assert {i for i in got if not got[i].kept} == {1001, 1002, 1003, 1004}
 
 
+def brute_outliers(x):
+    """Squared distances by a search of the least determinant from 200 random starts, over exact nearest shares."""
+    g = np.random.default_rng(1)
+    noise, h = np.diag([n**2 for _, n in quality.FEATURES]), math.ceil(quality.SHARE * len(x))
+
+    def fit(rows, share):
+        return rows.mean(axis=0), quality.consistency(share) * np.cov(rows.T, bias=True) + noise
+
+    def far(m, c):
+        return np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+
+    best = None
+    for _ in range(200):
+        m, c = fit(x[g.choice(len(x), quality.P + 1, replace=False)], quality.SHARE)
+        for _ in range(15):
+            m, c = fit(x[np.argsort(far(m, c), kind="stable")[:h]], quality.SHARE)
+        if best is None or np.linalg.det(c) < best[0]:
+            best = np.linalg.det(c), m, c
+    m, c = fit(x[far(*best[1:]) <= quality.chi2_quantile(0.975, quality.P)], 0.975)
+    return far(m, c)
+
+
+def test_verdict_by_brute_force(spark):
+    """Distances are near an exhaustive search's, and the verdicts the same, with a fifth of a cell in one tight group away from the rest."""
+    r = random.Random(6)
+    rows = []
+    for i in range(450):
+        words = [r.choice(WORDS[12:]) for _ in range(r.randint(60, 160))]
+        lang = "en" if i < 300 else "de"
+        if lang == "en" and i % 10 < 2:
+            words = [w + "?!?!" if k % 2 else w + "#" for k, w in enumerate(words)]
+        elif r.random() < 0.5:
+            words = [w + r.choice([".", ",", "", ""]) for w in words]
+        rows.append((i, " ".join(words), lang, "a"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = by_id(quality.assess(df).collect())
+    x = by_id(quality.features(quality.text_counts(df)).collect())
+    for lang in ("en", "de"):
+        ids = [i for i, _, y, _ in rows if y == lang]
+        want = brute_outliers(np.array([[x[i][f"x{k}"] / quality.SCALE for k in range(quality.P)] for i in ids]))
+        cutoff = quality.chi2_quantile(1 - quality.REJECT, quality.P)
+        assert [got[i].kept for i in ids] == (want <= cutoff).tolist()
+        near = want < 20
+        assert near.sum() > 140 and np.median(np.abs(np.array([got[i].d2 for i in ids])[near] / want[near] - 1)) < 0.15
+    assert sum(not got[i].kept for i in got) == 60
+
+
 def test_each_statistic_can_reject():
     """Repeated lines, and repeated words within the base rule, pass the cutoff alone where a cell has no scatter of its own."""
     noise, cutoff = dict(quality.FEATURES), quality.chi2_quantile(1 - quality.REJECT, quality.P)

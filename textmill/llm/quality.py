@@ -2,9 +2,10 @@
 
 The counts of a text give a vector of transformed statistics (FEATURES). For each cell (language and source; where
 those have too few documents, the language; then all) the minimum-covariance-determinant estimate of centre and
-scatter is found by concentration steps: from medians and median deviations, the three quarters of the documents that
-lie nearest give the next centre and scatter, and so on; a last step takes all within the 97.5 % bound. A document whose
-Mahalanobis distance from its cell is over the cutoff is rejected.
+scatter is searched from STARTS, which are the same in every run: median deviations alone, and with the correlations of
+hyperbolic tangents and of spatial signs. A concentration step takes the three quarters of the documents that lie nearest, whose mean and
+scatter are the next estimate. Each start makes FIRST steps; the one with the least determinant in its cell goes on until no cell's determinant falls
+any more. A last step takes all within the 97.5 % bound. A document whose Mahalanobis distance from its cell is over the cutoff is rejected.
 
 Statistics are whole numbers (ten thousandths) and their sums decimals, so the estimates don't depend on the order of
 rows. Distances are ranked in bins of a thirty-second of a natural logarithm, so a cell's quantile is a sum of counts:
@@ -19,6 +20,7 @@ with the same id each get a row.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +30,9 @@ from textmill.llm.common import small, written
 #: Documents that a cell must have at least for estimates of its own.
 LEAST = 100
 SHARE = 0.75
-STEPS = 4
+#: Starts of the search, their steps before they are compared, and the most steps after that; a determinant that falls by less than FALL (of its logarithm) has settled.
+STARTS = ("deviations", "tangents", "signs")
+FIRST, STEPS, FALL = 2, 20, 1e-3
 #: Chance that a clean normal document is rejected: small beside the documents of a large corpus.
 REJECT = 1e-12
 SCALE = 10_000
@@ -126,60 +130,106 @@ def _cells(d: DataFrame) -> DataFrame:
     n_fine = usable.groupBy("_fine", "_coarse").agg(F.count("*").alias("n"))
     n_coarse = n_fine.filter(F.col("n") < LEAST).groupBy("_coarse").agg(F.sum("n").alias("nc"))
     names = n_fine.join(n_coarse, "_coarse", "left").select("_fine", F.when(F.col("n") >= LEAST, F.col("_fine")).when(F.col("nc") >= LEAST, F.col("_coarse")).otherwise(F.lit("all")).alias("cell"))
-    return d.join(written(names, "quality-cells"), "_fine", "left").drop("_fine", "_coarse")
+    return d.join(small(written(names, "quality-cells")), "_fine", "left").drop("_fine", "_coarse")
 
 
-def _estimate(rows: DataFrame, factor: float) -> DataFrame:
-    """cell, centres m0, ..., lower triangle c00, c10, c11, ... of the Cholesky factor of the scatter."""
-    wide = lambda c: c.cast("decimal(20,0)")
-    x = [F.col(f"x{i}") for i in range(P)]
-    sums = [F.count("*").alias("n"), *(F.sum(wide(x[i])).alias(f"s{i}") for i in range(P)), *(F.sum(wide(x[i] * x[j])).alias(f"q{i}{j}") for i in range(P) for j in range(i + 1))]
-    e = rows.groupBy("cell").agg(*sums)
-    n = F.col("n").cast("double")
-    e = e.withColumns({f"m{i}": F.col(f"s{i}").cast("double") / n for i in range(P)})
-    cov = {(i, j): factor * (F.col(f"q{i}{j}").cast("double") / n - F.col(f"m{i}") * F.col(f"m{j}")) + ((FEATURES[i][1] * SCALE) ** 2 if i == j else 0) for i in range(P) for j in range(i + 1)}
+def _factored(e: DataFrame, cov: dict, keep: list[str]) -> DataFrame:
+    """keep, centres m0, ..., lower triangle c00, c10, c11, ... of the Cholesky factor of cov, and logdet, its determinant's logarithm."""
     for i in range(P):
         for j in range(i + 1):
             rest = cov[i, j]
             for k in range(j):
                 rest = rest - F.col(f"c{i}{k}") * F.col(f"c{j}{k}")
             e = e.withColumn(f"c{i}{j}", F.sqrt(rest) if i == j else rest / F.col(f"c{j}{j}"))
-    return e.select("cell", *(f"m{i}" for i in range(P)), *(f"c{i}{j}" for i in range(P) for j in range(i + 1)))
+    logdet = sum((F.log(F.col(f"c{i}{i}")) for i in range(1, P)), F.log(F.col("c00"))) * 2
+    return e.select(*keep, *(f"m{i}" for i in range(P)), *(f"c{i}{j}" for i in range(P) for j in range(i + 1)), logdet.alias("logdet"))
+
+
+def _sums(x: list[Column]) -> list[Column]:
+    """n, s0, ..., q00, q10, ...: whole numbers, so that sums don't depend on the order of rows."""
+    wide = lambda c: c.cast("decimal(20,0)")
+    return [F.count("*").alias("n"), *(F.sum(wide(x[i])).alias(f"s{i}") for i in range(P)), *(F.sum(wide(x[i] * x[j])).alias(f"q{i}{j}") for i in range(P) for j in range(i + 1))]
+
+
+def _estimate(rows: DataFrame, factor: float, keep: list[str]) -> DataFrame:
+    """Centre and scatter of the rows of each cell (and start), with the noise of FEATURES added; see _factored()."""
+    e = rows.groupBy(*keep).agg(*_sums([F.col(f"x{i}") for i in range(P)]))
+    n = F.col("n").cast("double")
+    e = e.withColumns({f"m{i}": F.col(f"s{i}").cast("double") / n for i in range(P)})
+    cov = {(i, j): factor * (F.col(f"q{i}{j}").cast("double") / n - F.col(f"m{i}") * F.col(f"m{j}")) + ((FEATURES[i][1] * SCALE) ** 2 if i == j else 0) for i in range(P) for j in range(i + 1)}
+    return _factored(e, cov, keep)
 
 
 def _distance(rows: DataFrame, estimate: DataFrame, how: str = "inner") -> DataFrame:
-    """rows with d2, the squared Mahalanobis distance, by forward substitution."""
-    d = rows.join(estimate, "cell", how)
+    """rows with d2, the squared Mahalanobis distance, by forward substitution; a row for each start of the estimate. The estimate, a row
+    for each cell and start, is broadcast behind a count, so a hot cell stays where it is."""
+    d = rows.join(small(estimate), "cell", how)
     for i in range(P):
         y = F.col(f"x{i}") - F.col(f"m{i}")
         for j in range(i):
             y = y - F.col(f"c{i}{j}") * F.col(f"y{j}")
         d = d.withColumn(f"y{i}", y / F.col(f"c{i}{i}"))
     d2 = sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(1, P)), F.col("y0") * F.col("y0"))
-    return d.withColumn("d2", d2).drop(*estimate.columns[1:], *(f"y{i}" for i in range(P)))
+    return d.withColumn("d2", d2).drop(*(f"m{i}" for i in range(P)), *(f"c{i}{j}" for i in range(P) for j in range(i + 1)), "logdet", *(f"y{i}" for i in range(P)))
 
 
-def _nearest(d: DataFrame) -> DataFrame:
-    """The rows of d in the nearest SHARE of their cell, whole bins of distance at a time."""
+def _nearest(d: DataFrame, keep: list[str]) -> DataFrame:
+    """The rows of d in the nearest SHARE of their cell (and start), whole bins of distance at a time."""
     d = d.withColumn("bin", F.floor(F.log(F.col("d2") + 1e-9) * 32).cast("int"))
-    bins = d.groupBy("cell", "bin").agg(F.count("*").alias("k"))
-    up = Window.partitionBy("cell").orderBy("bin")
-    bins = bins.withColumns({"below": F.sum("k").over(up) - F.col("k"), "whole": F.sum("k").over(Window.partitionBy("cell"))})
-    last = bins.filter(F.col("below") < SHARE * F.col("whole")).groupBy("cell").agg(F.max("bin").alias("last"))
-    return d.join(last, "cell").filter(F.col("bin") <= F.col("last"))
+    bins = d.groupBy(*keep, "bin").agg(F.count("*").alias("k"))
+    up = Window.partitionBy(*keep).orderBy("bin")
+    bins = bins.withColumns({"below": F.sum("k").over(up) - F.col("k"), "whole": F.sum("k").over(Window.partitionBy(*keep))})
+    last = bins.filter(F.col("below") < SHARE * F.col("whole")).groupBy(*keep).agg(F.max("bin").alias("last"))
+    return d.join(small(written(last, "quality-bins")), keep).filter(F.col("bin") <= F.col("last"))
 
 
-def estimates(usable: DataFrame) -> DataFrame:
-    """The minimum-covariance-determinant estimate of each cell of usable (cell, x0, ...)."""
+def _starts(usable: DataFrame) -> DataFrame:
+    """cell, start and the estimates that the search begins with, for cells of LEAST documents and more."""
     middle = usable.groupBy("cell").agg(F.count("*").alias("n"), *(F.percentile(f"x{i}", F.lit(0.5)).alias(f"m{i}") for i in range(P))).filter(F.col("n") >= LEAST).drop("n")
     middle = written(middle, "quality-middle")
-    spread = usable.join(middle, "cell").groupBy("cell").agg(*(F.percentile(F.round(F.abs(F.col(f"x{i}") - F.col(f"m{i}"))), F.lit(0.5)).alias(f"d{i}") for i in range(P)))
-    start = middle.join(spread, "cell").select("cell", *(f"m{i}" for i in range(P)), *((F.sqrt(F.pow(1.4826 * F.col(f"d{i}"), 2) + (FEATURES[i][1] * SCALE) ** 2) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in range(P) for j in range(i + 1)))
-    estimate = written(start, "quality-estimate")
+    d = usable.join(small(middle), "cell")
+    spread = d.groupBy("cell").agg(*(F.percentile(F.round(F.abs(F.col(f"x{i}") - F.col(f"m{i}"))), F.lit(0.5)).alias(f"d{i}") for i in range(P)))
+    width = [F.sqrt(F.pow(1.4826 * F.col(f"d{i}"), 2) + (FEATURES[i][1] * SCALE) ** 2) for i in range(P)]
+    scale = written(middle.join(spread, "cell").select("cell", *(f"m{i}" for i in range(P)), *(width[i].alias(f"w{i}") for i in range(P))), "quality-scale")
+    d = usable.join(small(scale), "cell")
+    z = [(F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"w{i}") for i in range(P)]
+    length = F.sqrt(sum((x * x for x in z[1:]), z[0] * z[0]) + 1e-9)
+    whole = lambda c: F.round(c * SCALE).cast("long")
+    made = {"tangents": [whole(F.tanh(x)) for x in z], "signs": [whole(x / length) for x in z]}
+    out = []
+    for name in STARTS:
+        if name == "deviations":
+            e, r = scale, {(i, j): F.lit(0.0) for i in range(P) for j in range(i)}
+        else:
+            e = d.groupBy("cell").agg(*_sums(made[name])).join(small(scale), "cell")
+            n = F.col("n").cast("double")
+            c = {(i, j): F.col(f"q{i}{j}").cast("double") / n - F.col(f"s{i}").cast("double") / n * F.col(f"s{j}").cast("double") / n for i in range(P) for j in range(i + 1)}
+            # a statistic that doesn't vary goes with none
+            r = {(i, j): F.coalesce(F.try_divide(0.99 * c[i, j], F.sqrt(c[i, i] * c[j, j])), F.lit(0.0)) for i in range(P) for j in range(i)}
+        cov = {(i, j): F.col(f"w{i}") * F.col(f"w{j}") * (r[i, j] if i != j else F.lit(1.0)) for i in range(P) for j in range(i + 1)}
+        out.append(_factored(e.withColumn("start", F.lit(name)), cov, ["cell", "start"]))
+    return reduce(DataFrame.unionByName, out)
+
+
+def estimates(usable: DataFrame) -> DataFrame:
+    """The minimum-covariance-determinant estimate of each cell of usable (cell, x0, ...)."""
+    step = lambda e, keep: written(_estimate(_nearest(_distance(usable, e), keep), consistency(SHARE), keep), "quality-estimate")
+    tried = written(_starts(usable), "quality-starts")
+    for _ in range(FIRST):
+        tried = step(tried, ["cell", "start"])
+    names = [c for c in tried.columns if c not in ("cell", "start")]
+    best = tried.groupBy("cell").agg(F.min(F.struct("logdet", "start", *(c for c in names if c != "logdet"))).alias("e")).select("cell", *(F.col(f"e.{c}").alias(c) for c in names))
+    best = written(best, "quality-best")
     for _ in range(STEPS):
-        estimate = written(_estimate(_nearest(_distance(usable, estimate)), consistency(SHARE)), "quality-estimate")
-    near = _distance(usable, estimate).filter(F.col("d2") <= chi2_quantile(0.975, P))
-    return written(_estimate(near, consistency(0.975)), "quality-estimate")
+        further = step(best, ["cell"])
+        both = further.select("cell", F.struct(*names).alias("new")).join(best.select("cell", F.struct(*names).alias("old")), "cell")
+        fell = F.col("new.logdet") < F.col("old.logdet") - FALL
+        both = written(both.select("cell", fell.alias("fell"), F.when(fell, F.col("new")).otherwise(F.col("old")).alias("e")), "quality-best")
+        best = both.select("cell", *(F.col(f"e.{c}").alias(c) for c in names))
+        if not both.filter("fell").limit(1).count():
+            break
+    near = _distance(usable, best).filter(F.col("d2") <= chi2_quantile(0.975, P))
+    return written(_estimate(near, consistency(0.975), ["cell"]), "quality-estimate")
 
 
 def assess(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", key: bool = False) -> DataFrame:
