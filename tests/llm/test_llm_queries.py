@@ -111,6 +111,22 @@ def test_op1(spark, folder):
     assert "10.0.0." not in a.text and "user-" in a.text
 
 
+def test_pii_hostile_texts(spark):
+    """Long runs of every form end, and an address of any number of labels is one."""
+    texts = ["x@" + "a." * 100_000 + "a", "x" * 200_000 + "@", "1-" * 100_000, "+49 " + "12 " * 100_000, "1.2." * 50_000, "a@b" * 50_000, "(" * 100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(pii.pseudonymised(df, "k").collect())
+    assert got[0].n_email == 1 and got[0].text.startswith("user-") and len(got[0].text) < 100 and got[1].text == texts[1] and got[6].text == texts[6]
+
+
+def test_pii_key(spark, folder):
+    """A session without a key gets a random one and keeps it."""
+    spark.conf.unset(Q.KEY)
+    a = Q.op1_pii(spark, folder).collect()
+    assert len(spark.conf.get(Q.KEY)) == 32 and a == Q.op1_pii(spark, folder).collect()
+    spark.conf.unset(Q.KEY)
+
+
 def pii_luhn(s):
     d = [int(c) for c in reversed(s)]
     return sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(d)) % 10 == 0
@@ -233,7 +249,7 @@ def test_splitting_fuzz(kind):
         w = bpe.Words(P.path("byte_bpe_50k.json"))
         for t, n in zip(texts, c.count(texts), strict=True):
             words = bpe.split_words(t)
-            known = w.ids.ensure(words)
+            known = dict(zip(words, w.of(0, words)))
             ids = c.tokenizer.encode(t, add_special_tokens=False).ids
             assert n == len(ids) and b"".join(words).decode() == t
             assert np.frombuffer(b"".join(known[x] for x in words), "<u4").tolist() == ids
@@ -427,8 +443,30 @@ def test_mixture(spark):
     assert len(both) >= 5 and all(abs(c["a"] - c["b"]) <= 512 for c in both)
 
 
+def test_tempered_mixture_and_many_sources(spark, monkeypatch):
+    """Shares as a power of the tokens, and more sources than queues."""
+    rows = [(i, "word " * 300, "large" if i < 160 else "small" if i < 180 else f"s{i}") for i in range(200)]
+    df = spark.createDataFrame(rows + [(200, None, None)], "doc_id long, text string, source string").repartition(4)
+    monkeypatch.setattr(packing.queue_of, "__defaults__", (2,))
+    out = packing.pack(df, P.path("word_bpe_49k.json"), 256, 8, weights=0.5).collect()
+    assert {r.source for r in out} == {"large", "small", packing.OTHERS, None}
+    assert sum(r.length for r in out) == 200 * 301 + 1
+    totals = [("large", 160 * 301), ("small", 20 * 301), (packing.OTHERS, 20 * 301), (None, 1)]
+    want = dict(zip((s for s, _ in totals), packing.mixture(totals, 0.5)))
+    per = collections.Counter(r.source for r in out for _ in range(r.length) if 2 <= r.window < 6)
+    for name in ("large", "small", packing.OTHERS):
+        share = float(want[name] / (sum(want.values()) - want[None]))
+        assert abs(per[name] / sum(per.values()) - share) < 0.05
+    assert packing.mixture([("a", 10), ("b", 30)], {"a": 0.5}) == [0.5, 0] and packing.mixture([("a", 10), ("b", 30)], 1.0) == [0.25, 0.75]
+
+
+def test_batches_by_bytes():
+    items = ["é" * 600, "a" * 600, "\U0001f600" * 300, "b"]
+    assert [len(x) for x in token_counts.balanced(items, 1201)] == [1, 1, 2]
+
+
 def test_schedule():
-    s = packing.Schedule([1000, 50_000, 3], None, 4096, 256)
+    s = packing.Schedule([1000, 50_000, 3], packing.mixture([("a", 1000), ("b", 50_000), ("c", 3)], 0.7), 4096, 256)
     for k in range(s.windows + 1):
         for i in range(3):
             assert 0 <= s.served(i, k) <= s.totals[i] and s.served(i, k) <= s.served(i, k + 1)

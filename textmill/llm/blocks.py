@@ -215,8 +215,8 @@ def in_batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 4 << 20, ma
 
 
 def buckets_for(docs: DataFrame) -> int:
-    """Word buckets: as many as the scan has partitions, so a bucket's share of the words stays about a block's size."""
-    return max(64, min(16_384, docs.rdd.getNumPartitions()))
+    """Word buckets: twice as many as the scan has partitions, so a bucket's share of the words keeps its size as the input grows."""
+    return max(8, min(16_384, 2 * docs.rdd.getNumPartitions()))
 
 
 def block_table(docs: DataFrame, split: Callable[[str], list[bytes]], buckets: int, with_counts: bool = False, pairs: bool = False, most: int = BLOCK_BYTES) -> DataFrame:

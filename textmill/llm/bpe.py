@@ -1,8 +1,9 @@
 """BPE encoding and decoding through a table of distinct words.
 
 Texts are split into words at places that no pre-token crosses (before a single space, around a single line feed: see
-token_counts; before a full stop or comma behind a letter or digit). Every distinct word of the corpus is encoded once, in the task of its bucket, and its ids go back to the
-blocks whose texts have it; there ids are joined back by position. Decoding looks each id up in the id-to-piece table
+token_counts; before a full stop or comma behind a letter or digit). The words of all blocks meet by bucket; there each distinct word of the
+corpus is encoded once, whatever the vocabulary, and its ids go back to the
+blocks whose texts have it, where they are joined back by position. Decoding looks each id up in the id-to-piece table
 (as long as the vocabulary, so it can be broadcast) and joins the pieces of a text.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; special strings inside a text are taken as
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm import blocks
-from textmill.llm.common import BoundedCache, held, no_null_text
+from textmill.llm.common import no_null_text
 from textmill.llm.token_counts import balanced
 
 _two_spaces = re.compile(r"\s\s|^ | $|\n \Z|\0")
@@ -42,13 +43,23 @@ def split_words(text: str) -> list[bytes]:
 
 
 class Words:
+    """Ids of the words of one bucket, each encoded once. A bucket's distinct words are held until the next bucket begins; buckets
+    are so many that this is about a partition's share of the words (blocks.buckets_for)."""
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.ids = BoundedCache(self.encode, 500_000)
+        self.bucket, self.ids = None, {}
+
+    def of(self, bucket: int, words: list[bytes]) -> list[bytes]:
+        if bucket != self.bucket:
+            self.bucket, self.ids = bucket, {}
+        new = [w for w in words if w not in self.ids]
+        self.ids.update(zip(new, self.encode(new), strict=True))
+        return list(map(self.ids.__getitem__, words))
 
     def encode(self, words: list[bytes]) -> list[bytes]:
         out: list[bytes] = []
@@ -75,13 +86,11 @@ def _word_ids(table: DataFrame, path: str) -> DataFrame:
     """block, bucket, n, x (codes), y (number of ids of each), z (ids): each distinct word is encoded in its bucket's task."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = held(Words, path)
+        words = Words(path)
         for b in batches:
             out = []
-            for block, n, x, y in zip(*(b.column(c).to_pylist() for c in (1, 2, 3, 4)), strict=True):
-                keys = blocks.blob_words(x, n)
-                known = words.ids.ensure(keys)
-                ids = [known[k] for k in keys]
+            for bucket, block, n, x, y in zip(*(b.column(c).to_pylist() for c in range(5)), strict=True):
+                ids = words.of(bucket, blocks.blob_words(x, n))
                 out.append((block, n, y, blocks.planes(np.fromiter(map(len, ids), "<u4", n) // 4), blocks.planes(np.frombuffer(b"".join(ids), "<u4"))))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate([pa.int64(), pa.int64(), *[pa.binary()] * 3])], names=["block", "n", "x", "y", "z"])
 

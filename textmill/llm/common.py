@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from textmill.session import ship, small  # noqa: F401
 
-_made: list[tuple[SparkSession, str]] = []
+_made: dict[str, SparkSession] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,9 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The shared folder named by spark.checkpoint.dir. A temporary one stands in only where that is unset and all runs on this machine (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="textmill-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -40,20 +43,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/textmill/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _made.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _made[path] = spark
+    out._textmill_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that written() has returned: nothing may be read from them any more."""
+    for t in tables:
+        _delete(t._textmill_path)
+
+
+def _delete(path: str) -> None:
+    spark = _made.pop(path, None)
+    try:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the session has ended
+        pass
 
 
 def clean_scratch() -> None:
     """Deletes every table that written() has made; DataFrames built on them can't be used afterwards."""
-    while _made:
-        spark, path = _made.pop()
-        try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the session has ended
-            pass
+    for path in list(_made):
+        _delete(path)
 
 
 atexit.register(clean_scratch)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import written
+from textmill.llm.common import discard, written
 
 #: More rounds than any graph of 2**60 nodes takes.
 ROUNDS = 120
@@ -32,13 +32,16 @@ def components(links: DataFrame) -> DataFrame:
         hop = least.select(F.col("a").alias("node"), "p").join(least.select(F.col("a").alias("p"), F.col("p").alias("hop")), "p").select("node", "hop")
         hops.append(written(hop, "hops"))
         of = lambda name, to: hops[-1].select(F.col("node").alias(name), F.col("hop").alias(to))
-        edges = written(_drawn(edges.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))), "links")
+        before, edges = edges, written(_drawn(edges.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))), "links")
+        discard(before)
     else:
         raise RuntimeError("components didn't settle")
     if not hops:
         return links.sparkSession.createDataFrame([], "a int").select(F.lit(None).cast(kind).alias("node"), F.lit(None).cast(kind).alias("root"))
     # what isn't a node any more in a later round has its root already
-    return written(reduce(_further, hops[1:], hops[0].withColumnRenamed("hop", "root")), "roots")
+    roots = written(reduce(_further, hops[1:], hops[0].withColumnRenamed("hop", "root")), "roots")
+    discard(edges, *hops)
+    return roots
 
 
 def _drawn(links: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import BoundedCache, held, keyed_join, no_null_text, small, whole_runs, written
+from textmill.llm.common import BoundedCache, discard, held, keyed_join, no_null_text, small, whole_runs, written
 from textmill.llm.components import components
 
 WORDS = 5
@@ -258,7 +258,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, repeated: b
                         keep.append(i)
             yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"])
 
-    return written(dealt.mapInArrow(rows, "a long, b long"), "confirmed")
+    out = written(dealt.mapInArrow(rows, "a long, b long"), "confirmed")
+    discard(pairs, sets)
+    return out
 
 
 def open_rows(rows: DataFrame, roots: DataFrame, block: int) -> DataFrame:
@@ -381,7 +383,9 @@ def linked(classes: DataFrame, docs: DataFrame, repeated: bool = False, block: i
             break
         live = screened(open_rows(rows.select(F.col(name).alias("group"), "node", "size"), roots, block), classes)
         need = classes.join(live.select("node").distinct(), "node").select("node", "id", "set_key")
-        links = spanning(live, set_table(docs, need, repeated))
+        sets = set_table(docs, need, repeated)
+        links = spanning(live, sets)
+        discard(live, sets)
         roots = components(links.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
     return roots
 

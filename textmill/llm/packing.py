@@ -8,10 +8,12 @@ partition can place its documents from their offset in the queue alone: no windo
 carry over partitions by construction. Sequences are cut from the served stream every `length` tokens; the tokens left
 at its end are cut to powers of two, so there is no padding at all.
 
-The mixture is by default the corpus' own token shares (all queues then run dry in the last window). With other
-weights a queue that runs dry leaves its share to the rest, in phases.
+The mixture is a weight for each source, or an exponent: shares are then as the sources' tokens to that power, which gives
+small sources more than their own share (MIXTURE; 1 is the corpus' own mixture). A queue that runs dry leaves its
+share to the rest, in phases. Every token is packed.
 
-The mixture, one row for each source, is held on the driver as configuration; documents never are.
+At most QUEUES sources, those with the most documents and those that have a weight, are queues of their own; the others share one queue. So the schedule,
+which is held on the driver and in tasks, has a bounded size however many sources there are.
 
 Defined cases: a null or empty text has the end id alone; a null source is a queue of its own; documents with the same
 id are packed each; an empty table gives no pieces.
@@ -29,13 +31,16 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.llm.common import held, no_null_text, small, written
 from textmill.llm.token_counts import balanced
 
 END_ID = 1
+#: Shares of the sources in a window are as their tokens to this power.
+MIXTURE = 0.7
+QUEUES, OTHERS = 256, "(others)"
 
 
 #: A full stop or comma beside another mark, with which it is one word to the tokenizer.
@@ -116,8 +121,18 @@ class WordEncoder:
                 yield b"".join(map(known.__getitem__, words))
 
 
-def token_table(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
-    """doc_id, source, part, start (the tokens of the same source before it in the same part), n, ids: written to the shared folder."""
+def queue_of(docs: DataFrame, source_column: str, named: list[str], most: int = QUEUES) -> Column:
+    """The queue of a row: its source, or OTHERS where there are more sources than queues and the source is a small one without a weight."""
+    source = F.col(source_column).cast("string")
+    counts = docs.groupBy(source.alias("s")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "s").limit(most + 1).collect()  # bounded
+    if len(counts) <= most:
+        return source
+    own = sorted({r["s"] for r in counts[:most] if r["s"] is not None} | set(named))
+    return F.when(source.isNull() | source.isin(own), source).otherwise(F.lit(OTHERS))
+
+
+def token_table(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", named: list[str] | None = None) -> DataFrame:
+    """doc_id, source (its queue), part, start (the tokens of the same queue before it in the same part), n, ids: written to the shared folder."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, part, end = held(WordEncoder, path), TaskContext.get().partitionId(), np.array([END_ID], "<u2").tobytes()
@@ -133,16 +148,15 @@ def token_table(docs: DataFrame, path: str, id_column: str = "doc_id", text_colu
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([part] * len(ns), pa.int64()), pa.array(starts, pa.int64()), pa.array(ns, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "source", "part", "start", "n", "ids"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    table = docs.select(F.col(id_column).alias("doc_id"), F.col(source_column).cast("string").alias("source"), no_null_text(text_column).alias("text"))
+    table = docs.select(F.col(id_column).alias("doc_id"), queue_of(docs, source_column, named or []).alias("source"), no_null_text(text_column).alias("text"))
     return written(table.mapInArrow(rows, f"doc_id {kind}, source string, part long, start long, n long, ids binary"), "tokens")
 
 
 class Schedule:
     """The round robin in closed form, in whole numbers. Queues are numbered in the order of `totals`."""
 
-    def __init__(self, totals: list[int], weights: list[Fraction] | None, window: int, burst: int):
+    def __init__(self, totals: list[int], weights: list[Fraction], window: int, burst: int):
         self.window, self.burst, self.totals = window, burst, totals
-        weights = [Fraction(n) for n in totals] if weights is None else weights
         #: phases: first window, tokens served of each queue before it, share of each queue as a fraction
         self.starts: list[int] = []
         self.phases: list[tuple[list[int], list[tuple[int, int]]]] = []
@@ -184,6 +198,14 @@ class Schedule:
         return sum(self.served(j, k + (j < i)) for j in range(len(self.totals)))
 
 
+def mixture(totals: list[tuple[str | None, int]], weights: dict[str, float] | float) -> list[Fraction]:
+    """The weight of each queue of totals (source, tokens)."""
+    if isinstance(weights, dict):
+        return [Fraction(weights.get(s, 0)).limit_denominator(10**6) for s, _ in totals]
+    whole = sum(n**weights for _, n in totals) or 1
+    return [Fraction(max(1, round(10**6 * n**weights / whole)), 10**6) for _, n in totals]
+
+
 def sequences(total: int, length: int) -> tuple[int, list[int]]:
     """The number of full sequences, and the ends of the shorter ones, which have powers of two."""
     full, ends = total // length, []
@@ -195,14 +217,15 @@ def sequences(total: int, length: int) -> tuple[int, list[int]]:
     return full, ends
 
 
-def pack(docs: DataFrame, path: str, length: int = 2048, window_sequences: int = 64, weights: dict[str, float] | None = None, tokens: DataFrame | None = None, **columns: str) -> DataFrame:
-    """Pieces of documents in sequences: doc_id, source, start, length, ids_crc32, doc_tokens, sequence_id, offset, window."""
-    tokens = token_table(docs, path, **columns) if tokens is None else tokens
+def pack(docs: DataFrame, path: str, length: int = 2048, window_sequences: int = 64, weights: dict[str, float] | float = MIXTURE, tokens: DataFrame | None = None, **columns: str) -> DataFrame:
+    """Pieces of documents in sequences: doc_id, source, start, length, ids_crc32, doc_tokens, sequence_id, offset, window.
+    weights: of each source, or the power of its tokens that its share is as."""
+    tokens = token_table(docs, path, named=list(weights) if isinstance(weights, dict) else [], **columns) if tokens is None else tokens
     spark = tokens.sparkSession
     parts = written(tokens.groupBy("source", "part").agg(F.sum("n").alias("n")), "packing-parts")
     totals = sorted(((r["source"], r["n"]) for r in parts.groupBy("source").agg(F.sum("n").alias("n")).collect()), key=lambda x: (x[0] is None, x[0] or ""))
     number = {s: i for i, (s, _) in enumerate(totals)}
-    exact = None if weights is None else [Fraction(weights.get(s, 0)).limit_denominator(10**6) for s, _ in totals]
+    exact = mixture(totals, weights)
     schedule = Schedule([n for _, n in totals], exact, window_sequences * length, length)
     full, ends = sequences(sum(n for _, n in totals), length)
 

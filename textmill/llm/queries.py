@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,12 +12,15 @@ from textmill.llm import bpe, chat, embedding_dup, lm, near_dup, packing, pii, q
 from textmill.llm.common import table, written
 from textmill.llm.sql import SQL  # noqa: F401
 
-#: The pseudonyms' key where the session doesn't name one in spark.textmill.pii.key.
-DEMO_KEY = "textmill demonstration key"
+#: The setting that names the pseudonyms' key.
+KEY = "spark.textmill.pii.key"
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymised(table(spark, sf_dir, "documents"), spark.conf.get("spark.textmill.pii.key", DEMO_KEY))
+    """Without a key in the session's settings a random one is drawn for the session, so nobody can undo its pseudonyms."""
+    if not spark.conf.get(KEY, None):
+        spark.conf.set(KEY, secrets.token_hex(16))
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), spark.conf.get(KEY))
 
 
 def op2_embedding_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

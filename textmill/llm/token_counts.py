@@ -26,15 +26,20 @@ _two_spaces = re.compile(r"\s\s|^ | $|\n \Z")
 _cut = re.compile(r"(?<=\S)(?= \S)")
 
 
+def n_bytes(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode())
+
+
 def balanced(items: list[str], most: int = BATCH_BYTES) -> Iterator[list[str]]:
-    """Runs of items of about `most` characters each; a longer item stands alone."""
+    """Runs of items of `most` bytes of UTF-8 at most; a longer item stands alone."""
     batch, size = [], 0
     for x in items:
-        if batch and size + len(x) > most:
+        n = n_bytes(x)
+        if batch and size + n > most:
             yield batch
             batch, size = [], 0
         batch.append(x)
-        size += len(x)
+        size += n
     if batch:
         yield batch
 
