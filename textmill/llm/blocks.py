@@ -2,12 +2,11 @@
 
 A block is a run of a task's texts (BLOCK_BYTES of text, or BLOCK_WORDS distinct words, at most a text over). What has to
 be looked up for each distinct word goes through a shuffle once for each block that has the word, packed by word bucket,
-instead of once for each place; texts go through it as codes. Codes number a block's words by how often they occur, so most are small. The three kinds of rows are written
+instead of once for each place; texts go through it as codes. Codes number a block's words by how often they occur, so most are small. Two kinds of rows are written
 to the shared folder:
 
 d: a text; the first of each few carries the codes of all of them, packed together
 w: a bucket of a block's words with their codes (and counts)
-g: a bucket of a block's pairs
 """
 
 from __future__ import annotations
@@ -104,10 +103,10 @@ class _Codes(dict):
 
 
 class Block:
-    """One block under way. pairs: also gathers the pairs of neighbours of all texts, as hashes, with their counts in flagged texts."""
+    """One block under way."""
 
-    def __init__(self, number: int, buckets: int, pairs: int = 0, most: int = BLOCK_BYTES):
-        self.number, self.buckets, self.pairs, self.most = number, buckets, pairs, most
+    def __init__(self, number: int, buckets: int, most: int = BLOCK_BYTES):
+        self.number, self.buckets, self.most = number, buckets, most
         self.codes, self.bytes = _Codes(), 0
         self.texts: list[tuple] = []  # document, flag, codes
 
@@ -146,56 +145,11 @@ class Block:
             mine = order[cuts[k] : cuts[k + 1]]
             if len(mine):
                 yield "w", self.number, None, None, None, k, len(mine), word_blob([words[i] for i in mine]), squeezed(np.diff(new[mine], prepend=np.uint32(0))), squeezed(counts[mine].astype("<u4")) if with_counts else None
-        if self.pairs:
-            yield from self._pairs(hashes, counted, [c for _, flag, c in self.texts if not flag])
 
     def _texts(self, held: list[tuple], seq: int) -> Iterator[tuple]:
         for i, (doc, flag, codes) in enumerate(held):
             yield "d", self.number, seq + i, doc, flag, None, len(codes), ranks(np.concatenate([c for *_, c in held])) if i == 0 else None, None, None
 
-    def _pairs(self, hashes: np.ndarray, counted: list[np.ndarray], others: list[np.ndarray]) -> Iterator[tuple]:
-        found, n = distinct_pairs(hashes, counted)
-        more, _ = distinct_pairs(hashes, others)
-        own, found = found, np.union1d(found, more)
-        every = np.zeros(len(found), np.int64)
-        every[np.searchsorted(found, own)] = n
-        cuts = np.searchsorted(found >> np.uint64(40), np.arange(self.pairs + 1).astype(np.uint64))
-        for k in range(self.pairs):
-            a, b = cuts[k], cuts[k + 1]
-            if a < b:
-                rest = found[a:b] & np.uint64((1 << 40) - 1)
-                step = np.diff(rest, prepend=np.uint64(0))
-                yield "g", self.number, None, None, None, k, int(b - a), squeezed((step & np.uint64(0xFFFFFFFF)).astype("<u4")), squeezed((step >> np.uint64(32)).astype("u1")), squeezed(every[a:b].astype("<u4"))
-
-
-def distinct_pairs(hashes: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted distinct pairs of neighbours in texts (codes), start and end included, and how often each occurs."""
-    every, at = np.empty(sum(len(c) + 1 for c in texts), np.uint64), 0
-    for c in texts:
-        h = np.concatenate([[START], hashes[c], [END]]).astype(np.uint64)
-        every[at : at + len(c) + 1] = pair_hash(h[:-1], h[1:])
-        at += len(c) + 1
-    every.sort()
-    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
-    return every[first], np.diff(np.append(first, len(every)))
-
-
-START, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFE8D6A31)
-#: Buckets of pairs: the eight bits above the lower forty of a pair's hash.
-PAIR_BUCKETS = 256
-
-
-def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """48-bit hashes of pairs of word hashes."""
-    x = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b + np.uint64(0x7F4A7C159E3779B9) + (a >> np.uint64(7)))
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (x ^ (x >> np.uint64(32))) >> np.uint64(16)
-
-
-def pair_rest(x: bytes, y: bytes) -> np.ndarray:
-    return np.cumsum(loose(x, "<u4").astype(np.uint64) | (loose(y, "u1").astype(np.uint64) << np.uint64(32)))
-
 
 def record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
@@ -219,7 +173,7 @@ def buckets_for(docs: DataFrame) -> int:
     return max(8, min(16_384, 2 * docs.rdd.getNumPartitions()))
 
 
-def block_table(docs: DataFrame, split: Callable[[str], list[bytes]], buckets: int, with_counts: bool = False, pairs: bool = False, most: int = BLOCK_BYTES) -> DataFrame:
+def block_table(docs: DataFrame, split: Callable[[str], list[bytes]], buckets: int, with_counts: bool = False, most: int = BLOCK_BYTES) -> DataFrame:
     """The rows above for docs (doc_id, flag, text): flagged texts are counted."""
     id_type = docs.schema["doc_id"].dataType
     fields = FIELDS.format(id=id_type.simpleString())
@@ -233,7 +187,7 @@ def block_table(docs: DataFrame, split: Callable[[str], list[bytes]], buckets: i
             for b in batches:
                 for doc, flag, text in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
                     if block is None:
-                        block = Block(base, buckets, PAIR_BUCKETS if pairs else 0, most)
+                        block = Block(base, buckets, most)
                         base += 1
                     block.add(doc, flag, split(text), len(text))
                     if block.full():

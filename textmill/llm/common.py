@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import tempfile
 import uuid
@@ -55,6 +56,12 @@ def discard(*tables: DataFrame) -> None:
         _delete(t._textmill_path)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of plans that nothing refers to any more: what was made of them has been written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _delete(path: str) -> None:
     spark = _made.pop(path, None)
     try:

@@ -1,19 +1,21 @@
-"""LM scoring: word counts and a log-frequency Bloom filter of pair counts.
+"""LM scoring: word counts and a log-frequency Bloom filter of the counts of pairs and triples of neighbours.
 
-Training texts give exact word counts (over dictionary blocks, see blocks) and the counts of pairs of neighbours, start
-and end included. Pair counts are quantised to levels, the logarithm to base BASE; the filter holds a pair once for each
+Training texts give exact word counts (over dictionary blocks, see blocks) and the counts of pairs and triples, with start
+and end. These are quantised to levels, the logarithm to base BASE; the filter holds an n-gram once for each
 level up to its own, so a count is read by probing level after level until one isn't there, and errors only raise it. The
 largest count seen says how many levels there are.
-The filter is cut into PAIR_BUCKETS segments. A segment is built in the task that sums its bucket's pairs, as large as all
-of them need to leave it FILL full (FILTER_BYTES are the least in all), so every counted pair is in it whatever the corpus.
-Nothing is broadcast: the same task holds the bucket's pairs of every block, trained on or not, probes its segment for
+The filter is cut into segments, BUCKETS for each order. A segment is built in the task that sums its bucket's n-grams, as large as all
+of them need to leave it FILL full (FILTER_BYTES are the least in all), so every counted n-gram is in it whatever the corpus.
+Nothing is broadcast, since a filter that holds all of them grows with the corpus: the same task holds the bucket's n-grams of every block, trained on or not, probes its segment for
 them, and the levels go back to their blocks as the word counts do.
 
-A text's score sums log10 of (pair + STRENGTH * unigram) / (history + STRENGTH), where unigram is (c + 1) / (N + V + 1) and
-history the exact count of the word before.
+A text's score sums log10 of (triple + STRENGTH * below) / (pair before + STRENGTH), where below is
+(pair + STRENGTH * unigram) / (word before + STRENGTH), and unigram (c + 1) / (N + V + 1). Word counts are exact. Of a level's range
+the least is taken for what is divided and the largest for the pair divided by, so that what a context gives
+to all words adds up to one at most, but for the filter's errors (an absent n-gram reads as present with a chance of FILL ** PROBES).
 
 Defined cases: a null or empty text has one token, its end; a document with a null id counts as one with the empty id; if no
-document is in training, N and V are 0 and every word is new; repeated rows are texts of their own.
+document is in training, N and V are 0 and every word is new; repeated rows are texts of their own; columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -27,16 +29,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm import blocks
-from textmill.llm.common import no_null_text, written
+from textmill.llm.common import no_null_text, sweep, written
 
 #: The least size of the filter.
 FILTER_BYTES = 32 << 20
 #: Share of a segment's bits that are set at most: an absent pair is read as present with a chance of FILL ** PROBES.
 FILL = 0.2
-#: Smaller blocks than for encoding alone: a block's pairs are sorted in memory.
+#: Smaller blocks than for encoding alone: a block's n-grams are sorted in memory.
 BLOCK_BYTES = 12 << 20
 PROBES = 3
+#: Buckets of each order: the eight bits above the lower forty of an n-gram's hash.
+BUCKETS = 256
 BASE = 1.5
+START, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFE8D6A31)
 STRENGTH = 4.0
 _lower = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -45,6 +50,29 @@ def split_words(text: str) -> list[bytes]:
     return text.encode().translate(_lower).split()
 
 
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    import xxhash
+
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), "<u8", len(words))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def _both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return _mixed((a * np.uint64(0x9E3779B97F4A7C15)) ^ (b + np.uint64(0x7F4A7C159E3779B9) + (a >> np.uint64(7))))
+
+
+def grams(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """48-bit hashes of the pair and the triple that end at each token, the text's end included, of a text's word hashes."""
+    chain = np.concatenate([[START, START], h, [END]]).astype(np.uint64)
+    pairs = _both(chain[:-1], chain[1:])
+    return pairs[1:] >> np.uint64(16), _both(pairs[:-1], chain[2:]) >> np.uint64(16)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(0)) % 7 == 2
 
@@ -54,8 +82,6 @@ def _word_sums(table: DataFrame) -> DataFrame:
     its tokens and distinct words. Rows of a bucket come together; they stay packed until both passes over them are made."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         names = ["block", "n", "x", "y", "z", "tokens", "distinct"]
         kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 3, pa.int64(), pa.int64()]
 
@@ -71,8 +97,7 @@ def _word_sums(table: DataFrame) -> DataFrame:
                 for block, n, x, y, _ in held[at : at + 16]:
                     words = blocks.blob_words(x, n)
                     c = np.fromiter((total.get(w, 0) for w in words), "<i8", n)
-                    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), "<u8", n)
-                    out.append((block, n, y, blocks.squeezed(c), h.tobytes(), *sums))
+                    out.append((block, n, y, blocks.squeezed(c), hashes_of(words).tobytes(), *sums))
                     sums = (0, 0)
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=names)
 
@@ -102,11 +127,14 @@ def levels_of(counts: np.ndarray) -> np.ndarray:
     return (1 + np.floor(np.log(counts) / math.log(BASE) + 1e-9)).astype(np.int64)
 
 
-def count_of(level: np.ndarray) -> np.ndarray:
-    """The count that stands for a level: the middle of its range; 0 for none."""
-    low = np.ceil(np.power(BASE, level - 1) - 1e-9)
-    high = np.maximum(low, np.ceil(np.power(BASE, level) - 1e-9) - 1)
-    return np.where(level > 0, (low + high) / 2, 0.0)
+def least_of(level: np.ndarray) -> np.ndarray:
+    """The least count of a level; 0 for none."""
+    return np.where(level > 0, np.ceil(np.power(BASE, level - 1) - 1e-9), 0.0)
+
+
+def most_of(level: np.ndarray) -> np.ndarray:
+    """The largest count of a level; 0 for none."""
+    return np.where(level > 0, np.maximum(least_of(level), np.ceil(np.power(BASE, level) - 1e-9) - 1), 0.0)
 
 
 def segment_bytes(counts: np.ndarray, least: int) -> int:
@@ -125,31 +153,93 @@ def segment(pairs: np.ndarray, counts: np.ndarray, size: int) -> bytes:
     return np.packbits(flags, bitorder="little").tobytes()
 
 
-def _pair_levels(table: DataFrame, least: int) -> DataFrame:
-    """block, n (a bucket), x (what the filter says of the levels of the block's pairs in it, in their order). A bucket's sorted
-    pairs are summed block by block, no pair is in two buckets, and rows stay packed until both passes over them are made."""
+def _packed(steps: np.ndarray) -> tuple[bytes, bytes]:
+    """Sorted numbers under 2**40 as differences, low words and high bytes."""
+    d = np.diff(steps, prepend=np.uint64(0))
+    return blocks.squeezed((d & np.uint64(0xFFFFFFFF)).astype("<u4")), blocks.squeezed((d >> np.uint64(32)).astype("u1"))
+
+
+def _loose(x: bytes, y: bytes) -> np.ndarray:
+    return np.cumsum(blocks.loose(x, "<u4").astype(np.uint64) | (blocks.loose(y, "u1").astype(np.uint64) << np.uint64(32)))
+
+
+def _gram_rows(table: DataFrame) -> DataFrame:
+    """bucket (of pairs, then of triples), block, x, y (a block's distinct n-grams in it, sorted), z (their counts in training texts)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("x", pa.binary()), ("y", pa.binary()), ("z", pa.binary())])
+
+        def of_block(block: int, words: list, texts: list) -> Iterator[tuple]:
+            h = np.zeros(max((int(codes.max()) for codes, _ in words), default=-1) + 1, np.uint64)
+            for codes, mine in words:
+                h[codes] = mine
+            made = [(flag, grams(h[c])) for flag, c in texts]
+            for order in (0, 1):
+                found, n = _distinct([g[order] for flag, g in made if flag])
+                more, _ = _distinct([g[order] for flag, g in made if not flag])
+                every = np.union1d(found, more)
+                counts = np.zeros(len(every), "<u4")
+                counts[np.searchsorted(every, found)] = n
+                cuts = np.searchsorted(every >> np.uint64(40), np.arange(BUCKETS + 1).astype(np.uint64))
+                for k in range(BUCKETS):
+                    a, b = cuts[k], cuts[k + 1]
+                    if a < b:
+                        yield order * BUCKETS + k, block, *_packed(every[a:b] & np.uint64((1 << 40) - 1)), blocks.squeezed(counts[a:b])
+
+        def all_rows() -> Iterator[tuple]:
+            at, words, texts, packed = None, [], [], blocks.Packed()
+            for b in batches:
+                for block, seq, flag, n, x, y in zip(*(b.column(c).to_pylist() for c in range(6)), strict=True):
+                    if block != at:
+                        if texts:
+                            yield from of_block(at, words, texts)
+                        at, words, texts = block, [], []
+                    if seq < 0:
+                        words.append((blocks.word_codes(y), hashes_of(blocks.blob_words(x, n))))
+                    else:
+                        texts.append((flag, packed.take(x, n)))
+            if texts:
+                yield from of_block(at, words, texts)
+
+        yield from blocks.in_batches(all_rows(), schema)
+
+    whole = table.select("block", F.coalesce("seq", F.lit(-1)).alias("seq"), "flag", "n", "x", "y")
+    whole = whole.repartition("block").sortWithinPartitions("block", "seq")
+    return whole.mapInArrow(rows, "bucket int, block long, x binary, y binary, z binary")
+
+
+def _distinct(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct numbers and how often each occurs."""
+    every = np.concatenate([np.zeros(0, np.uint64), *parts])
+    every.sort()
+    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
+    return every[first], np.diff(np.append(first, len(every)))
+
+
+def _levels(table: DataFrame, least: int) -> DataFrame:
+    """block, n (a bucket), x (what the filter says of the levels of the block's n-grams in it, in their order). A bucket's sorted
+    n-grams are summed block by block, none is in two buckets, and rows stay packed until both passes over them are made."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def summed(some: list) -> tuple[np.ndarray, np.ndarray]:
-            pairs, inverse = np.unique(np.concatenate([p for p, _ in some]), return_inverse=True)
-            return pairs, np.bincount(inverse, np.concatenate([c for _, c in some]), len(pairs))
+            found, inverse = np.unique(np.concatenate([p for p, _ in some]), return_inverse=True)
+            return found, np.bincount(inverse, np.concatenate([c for _, c in some]), len(found))
 
         def finish(bucket: int, held: list) -> Iterator[pa.RecordBatch]:
             some = [(np.zeros(0, np.uint64), np.zeros(0))]
             for _, x, y, z in held:
-                counts = loose(z, "<u4")
-                some.append((pair_rest(x, y)[counts > 0], counts[counts > 0]))
-                if len(some) > 64:  # keeps what is unpacked near the number of distinct pairs
+                counts = blocks.loose(z, "<u4")
+                some.append((_loose(x, y)[counts > 0], counts[counts > 0]))
+                if len(some) > 64:  # keeps what is unpacked near the number of distinct n-grams
                     some = [summed(some)]
-            pairs, counts = summed(some)
+            found, counts = summed(some)
             size = segment_bytes(counts, least)
-            made = Filter({0: segment(pairs, counts, size)}, size, int(levels_of(counts).max(initial=0)))
+            made = Filter({0: segment(found, counts, size)}, size, int(levels_of(counts).max(initial=0)))
             for at in range(0, len(held), 64):
                 part = held[at : at + 64]
-                levels = [blocks.squeezed(made.levels(pair_rest(x, y)).astype("u1")) for _, x, y, _ in part]
+                levels = [blocks.squeezed(made.levels(_loose(x, y)).astype("u1")) for _, x, y, _ in part]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([bucket] * len(part), pa.int64()), pa.array(levels, pa.binary())], names=["block", "n", "x"])
 
-        loose, pair_rest = blocks.loose, blocks.pair_rest
         at, held = None, []
         for b in batches:
             for bucket, *row in zip(*(b.column(c).to_pylist() for c in range(5)), strict=True):
@@ -161,8 +251,8 @@ def _pair_levels(table: DataFrame, least: int) -> DataFrame:
         if held:
             yield from finish(at, held)
 
-    g = table.filter(F.col("kind") == "g").select("bucket", "block", "x", "y", "z").repartition("bucket").sortWithinPartitions("bucket")
-    return written(g.mapInArrow(rows, "block long, n long, x binary"), "pair-levels")
+    g = _gram_rows(table).repartition("bucket").sortWithinPartitions("bucket")
+    return written(g.mapInArrow(rows, "block long, n long, x binary"), "gram-levels")
 
 
 #: The level of the largest count that there can be.
@@ -193,17 +283,24 @@ class Filter:
             level[open_] = k
         return level
 
-    def counts(self, pairs: np.ndarray) -> np.ndarray:
-        """What the filter says of each pair's count."""
-        return count_of(self.levels(pairs))
+
+def levels_back(found: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
+    """The level of each n-gram, from those of the distinct ones in the order of their hashes, which is that of a block's buckets."""
+    distinct, inverse = np.unique(found, return_inverse=True)
+    level = np.concatenate([np.zeros(0, "u1"), *parts])
+    if len(level) != len(distinct):
+        raise ValueError(f"{len(distinct)} n-grams in a block, levels of {len(level)}")
+    return level.astype(np.int64)[inverse]
 
 
 def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs."""
     rows_in = docs.select(F.col(id_column).alias("doc_id"), (~held_out(id_column)).alias("flag"), no_null_text(text_column).alias("text"))
-    table = blocks.block_table(rows_in, split_words, blocks.buckets_for(docs), with_counts=True, pairs=True, most=BLOCK_BYTES)
+    table = blocks.block_table(rows_in, split_words, blocks.buckets_for(docs), with_counts=True, most=BLOCK_BYTES)
     sums = _word_sums(table)
-    levels = _pair_levels(table, filter_bytes // blocks.PAIR_BUCKETS)
+    sweep(docs.sparkSession)
+    levels = _levels(table, filter_bytes // (2 * BUCKETS))
+    sweep(docs.sparkSession)
     ends = table.filter((F.col("kind") == "d") & F.col("flag")).count()
     tokens, distinct = sums.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     total, kinds = tokens + ends, distinct + (ends > 0)
@@ -217,19 +314,22 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, id_column: str = "d
             for codes, y, z in words:
                 c[codes], h[codes] = y, z
             begins = np.cumsum([0, *(len(codes) + 1 for *_, codes in texts)])
-            own, history, pairs = np.empty(begins[-1], np.int64), np.empty(begins[-1], np.int64), np.empty(begins[-1], np.uint64)
+            own, history = np.empty(begins[-1], np.int64), np.empty(begins[-1], np.int64)
+            found = np.empty((2, begins[-1]), np.uint64)
             for (*_, codes), s, e in zip(texts, begins, begins[1:], strict=False):
                 own[s : e - 1], own[e - 1] = c[codes], ends
                 history[s], history[s + 1 : e] = ends, c[codes]
-                chain = np.concatenate([[blocks.START], h[codes], [blocks.END]]).astype(np.uint64)
-                pairs[s:e] = blocks.pair_hash(chain[:-1], chain[1:])
-            found, inverse = np.unique(pairs, return_inverse=True)  # in the order of the block's buckets of pairs
-            level = np.concatenate([blocks.loose(parts[k], "u1") for k in sorted(parts)])
-            if len(level) != len(found):
-                raise ValueError(f"{len(found)} pairs in a block, levels of {len(level)}")
-            both = np.minimum(count_of(level.astype(np.int64))[inverse], np.minimum(own, history))
+                found[0, s:e], found[1, s:e] = grams(h[codes])
+            pair, triple = (levels_back(found[k], [blocks.loose(parts[i], "u1") for i in sorted(parts) if i // BUCKETS == k]) for k in (0, 1))
             base = np.log10(own + 1) - less
-            p = np.log10((both + STRENGTH * np.power(10, base)) / (history + STRENGTH))
+            two = np.minimum(least_of(pair), np.minimum(own, history))
+            before = np.empty(begins[-1])  # the pair that a triple's third word follows; of a text's first word, two starts
+            before[1:] = most_of(pair[:-1])
+            before[begins[:-1]] = ends
+            before = np.minimum(before, history)
+            three = np.minimum(np.minimum(least_of(triple), most_of(pair)), before)
+            p = (two + STRENGTH * np.power(10, base)) / (history + STRENGTH)
+            p = np.log10((three + STRENGTH * p) / (before + STRENGTH))
             at = begins[:-1]
             sums = zip(np.add.reduceat((own > 0).astype(np.int64), at).tolist(), np.add.reduceat(base, at).tolist(), np.add.reduceat(p, at).tolist(), strict=True)
             out = [(doc, not flag, len(codes) + 1, known, total, b, q) for (doc, flag, codes), (known, b, q) in zip(texts, sums, strict=True)]
