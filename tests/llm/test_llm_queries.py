@@ -496,11 +496,11 @@ def test_filter():
     pairs = np.unique(g.integers(0, 1 << 40, 20_000, dtype=np.uint64))
     counts = g.integers(1, 50, len(pairs))
     size = lm.segment_bytes(counts, 8)
-    f = lm.Filter({0: lm.segment(pairs, counts, size)}, size)
+    f = lm.Filter(lm.segment(pairs, counts, size))
     said, want = f.levels(pairs), lm.levels_of(counts)
     assert (said >= want).all() and (said > want).mean() < 0.02
     assert (f.levels(g.integers(0, 1 << 40, 5000, dtype=np.uint64)) > 0).mean() < 0.02
-    low, high = lm.least_of(want), lm.most_of(want)
+    low, high = lm.LEAST_OF[want], lm.MOST_OF[want]
     assert (low <= counts).all() and (counts <= high).all() and (high[counts < 4] == low[counts < 4]).all()
 
 
@@ -513,7 +513,7 @@ def brute_scores(toks, train):
         two.update(zip(w[1:], w[2:]))
         three.update(zip(w, w[1:], w[2:]))
     n, v, starts = sum(one.values()), len(one), len(train)
-    ends = lambda f, c: float(f(lm.levels_of(np.array([c])))[0]) if c else 0.0
+    ends = lambda f, c: float(f[lm.levels_of(np.array([c]))][0]) if c else 0.0
     out = {}
     for i, ws in toks.items():
         w, exact, quantised = [b"\n", b"\n", *ws, b"\n"], 0.0, 0.0
@@ -523,9 +523,9 @@ def brute_scores(toks, train):
             c2, c3 = two[w[k - 1], w[k]], three[w[k - 2], w[k - 1], w[k]]
             q = (c2 + lm.STRENGTH * p) / (h + lm.STRENGTH)
             exact += math.log10((c3 + lm.STRENGTH * q) / (b + lm.STRENGTH))
-            b = min(ends(lm.most_of, b), h) if k > 2 else b
-            q = (min(ends(lm.least_of, c2), one[w[k]], h) + lm.STRENGTH * p) / (h + lm.STRENGTH)
-            quantised += math.log10((min(ends(lm.least_of, c3), b) + lm.STRENGTH * q) / (b + lm.STRENGTH))
+            b = min(ends(lm.MOST_OF, b), h) if k > 2 else b
+            q = (min(ends(lm.LEAST_OF, c2), one[w[k]], h) + lm.STRENGTH * p) / (h + lm.STRENGTH)
+            quantised += math.log10((min(ends(lm.LEAST_OF, c3), b) + lm.STRENGTH * q) / (b + lm.STRENGTH))
         out[i] = exact, quantised
     return out
 
@@ -536,7 +536,7 @@ def test_scores_by_brute_force(spark):
     texts += texts[:10]
     toks = {i: t.encode().translate(LOW).split() for i, t in enumerate(texts)}
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    got = by_id(lm.score(df, filter_bytes=8 * 512).collect())
+    got = by_id(lm.score(df, filter_bytes=1).collect())
     train = [i for i in toks if not got[i].held_out]
     assert 0 < len(train) < len(texts)
     want = brute_scores(toks, train)
@@ -556,16 +556,15 @@ def test_context_is_a_distribution():
     counts = np.minimum(g.zipf(1.5, 500), 10**6)
     total = counts.sum()
     level = lm.levels_of(counts)
-    assert lm.least_of(level).sum() <= total <= lm.most_of(lm.levels_of(np.array([total])))[0]
+    assert lm.LEAST_OF[level].sum() <= total <= lm.MOST_OF[lm.levels_of(np.array([total]))][0]
 
 
 def test_large_counts():
     """Counts have no top level: millions are read back within their level."""
     counts = np.array([1, 11_222, 20_000, 3_000_000, 7_000_000_000])
     pairs = np.arange(5, dtype=np.uint64) * np.uint64(1_000_003)
-    size = 1 << 14
-    said = lm.Filter({0: lm.segment(pairs, counts, size)}, size).levels(pairs)
-    assert (lm.least_of(said) <= counts).all() and (counts <= lm.most_of(said)).all()
+    said = lm.Filter(lm.segment(pairs, counts, 1 << 14)).levels(pairs)
+    assert (lm.LEAST_OF[said] <= counts).all() and (counts <= lm.MOST_OF[said]).all()
 
 
 def brute_near(docs):

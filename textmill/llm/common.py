@@ -6,6 +6,7 @@ import atexit
 import gc
 import re
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -58,8 +59,10 @@ def discard(*tables: DataFrame) -> None:
 
 def sweep(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of plans that nothing refers to any more: what was made of them has been written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first round lets go of what the second finds
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def _delete(path: str) -> None:

@@ -4,7 +4,7 @@ Training texts give exact word counts (over dictionary blocks, see blocks) and t
 and end. These are quantised to levels, the logarithm to base BASE; the filter holds an n-gram once for each
 level up to its own, so a count is read by probing level after level until one isn't there, and errors only raise it. The
 largest count seen says how many levels there are.
-The filter is cut into segments, BUCKETS for each order. A segment is built in the task that sums its bucket's n-grams, as large as all
+The filter is cut into segments, about four for each partition of the input and order. A segment is built in the task that sums its bucket's n-grams, as large as all
 of them need to leave it FILL full (FILTER_BYTES are the least in all), so every counted n-gram is in it whatever the corpus.
 Nothing is broadcast, since a filter that holds all of them grows with the corpus: the same task holds the bucket's n-grams of every block, trained on or not, probes its segment for
 them, and the levels go back to their blocks as the word counts do.
@@ -38,8 +38,8 @@ FILL = 0.2
 #: Smaller blocks than for encoding alone: a block's n-grams are sorted in memory.
 BLOCK_BYTES = 12 << 20
 PROBES = 3
-#: Buckets of each order: the eight bits above the lower forty of an n-gram's hash.
-BUCKETS = 256
+#: Bits of an n-gram's hash; the upper ones are its bucket.
+BITS = 48
 BASE = 1.5
 START, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFE8D6A31)
 STRENGTH = 4.0
@@ -66,11 +66,40 @@ def _both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _mixed((a * np.uint64(0x9E3779B97F4A7C15)) ^ (b + np.uint64(0x7F4A7C159E3779B9) + (a >> np.uint64(7))))
 
 
-def grams(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """48-bit hashes of the pair and the triple that end at each token, the text's end included, of a text's word hashes."""
-    chain = np.concatenate([[START, START], h, [END]]).astype(np.uint64)
-    pairs = _both(chain[:-1], chain[1:])
-    return pairs[1:] >> np.uint64(16), _both(pairs[:-1], chain[2:]) >> np.uint64(16)
+class Chain:
+    """A block's texts (codes into h, the hashes of words) one after another, each with two starts before and its end behind.
+    What is said of each token, the ends included, comes in the order of the texts."""
+
+    def __init__(self, h: np.ndarray, texts: list[np.ndarray]):
+        self.sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        begins = np.concatenate([[0], np.cumsum(self.sizes + 2)[:-1]])
+        self.codes = np.zeros(int((self.sizes + 2).sum()), np.int64)  # 0: start, 1: end
+        for b, c in zip(begins.tolist(), texts, strict=True):
+            self.codes[b + 2 : b + 2 + len(c)] = c
+            self.codes[b + 2 : b + 2 + len(c)] += 2
+            self.codes[b + 2 + len(c)] = 1
+        self.token = np.ones(len(self.codes), bool)
+        self.token[begins] = self.token[begins + 1] = False
+        self.hashes = np.concatenate([[START, END], h]).astype(np.uint64)
+
+    def own(self, of: np.ndarray) -> np.ndarray:
+        """What `of` (start, end, words) has of each token."""
+        return of[self.codes[self.token]]
+
+    def before(self, of: np.ndarray) -> np.ndarray:
+        """What `of` has of the word, or start, before each token."""
+        return of[self.codes[:-1][self.token[1:]]]
+
+    def grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes, of BITS bits, of the pair and the triple that end at each token."""
+        chain, token, down = self.hashes[self.codes], self.token[2:], np.uint64(64 - BITS)
+        pairs = _both(chain[:-1], chain[1:])
+        return pairs[1:][token] >> down, _both(pairs[:-1], chain[2:])[token] >> down
+
+
+def bucket_bits(docs: DataFrame) -> int:
+    """So many bits for buckets that there are two to four of each order for a partition of the scan: a bucket keeps its size as the input grows."""
+    return max(4, min(16, math.ceil(math.log2(2 * max(1, docs.rdd.getNumPartitions())))))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -127,14 +156,16 @@ def levels_of(counts: np.ndarray) -> np.ndarray:
     return (1 + np.floor(np.log(counts) / math.log(BASE) + 1e-9)).astype(np.int64)
 
 
-def least_of(level: np.ndarray) -> np.ndarray:
-    """The least count of a level; 0 for none."""
-    return np.where(level > 0, np.ceil(np.power(BASE, level - 1) - 1e-9), 0.0)
+def _ends() -> tuple[np.ndarray, np.ndarray]:
+    low, n = [0.0], 1
+    while low[-1] < 1 << 63:
+        low.append(float(math.ceil(BASE ** (n - 1) - 1e-9)))
+        n += 1
+    return np.array(low[:-1]), np.array([0.0, *(max(a, b - 1) for a, b in zip(low[1:], low[2:], strict=False))])
 
 
-def most_of(level: np.ndarray) -> np.ndarray:
-    """The largest count of a level; 0 for none."""
-    return np.where(level > 0, np.maximum(least_of(level), np.ceil(np.power(BASE, level) - 1e-9) - 1), 0.0)
+#: The least and the largest count of each level; 0 for level 0.
+LEAST_OF, MOST_OF = _ends()
 
 
 def segment_bytes(counts: np.ndarray, least: int) -> int:
@@ -154,16 +185,20 @@ def segment(pairs: np.ndarray, counts: np.ndarray, size: int) -> bytes:
 
 
 def _packed(steps: np.ndarray) -> tuple[bytes, bytes]:
-    """Sorted numbers under 2**40 as differences, low words and high bytes."""
-    d = np.diff(steps, prepend=np.uint64(0))
-    return blocks.squeezed((d & np.uint64(0xFFFFFFFF)).astype("<u4")), blocks.squeezed((d >> np.uint64(32)).astype("u1"))
+    """Sorted numbers as differences: the three low bytes, which don't compress, and the rest, which does."""
+    d = np.diff(steps, prepend=np.uint64(0)).astype("<u8")
+    return np.ascontiguousarray(d.view("u1").reshape(-1, 8)[:, :3]).tobytes(), blocks.squeezed((d >> np.uint64(24)).astype("<u4").view("u1").reshape(-1, 4).T.copy())
 
 
 def _loose(x: bytes, y: bytes) -> np.ndarray:
-    return np.cumsum(blocks.loose(x, "<u4").astype(np.uint64) | (blocks.loose(y, "u1").astype(np.uint64) << np.uint64(32)))
+    low = np.frombuffer(x, "u1").reshape(-1, 3)
+    d = np.zeros((len(low), 8), "u1")
+    d[:, :3] = low
+    d[:, 3:7] = blocks.loose(y, "u1").reshape(4, -1).T
+    return np.cumsum(d.view("<u8").reshape(-1))
 
 
-def _gram_rows(table: DataFrame) -> DataFrame:
+def _gram_rows(table: DataFrame, bits: int) -> DataFrame:
     """bucket (of pairs, then of triples), block, x, y (a block's distinct n-grams in it, sorted), z (their counts in training texts)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,18 +208,15 @@ def _gram_rows(table: DataFrame) -> DataFrame:
             h = np.zeros(max((int(codes.max()) for codes, _ in words), default=-1) + 1, np.uint64)
             for codes, mine in words:
                 h[codes] = mine
-            made = [(flag, grams(h[c])) for flag, c in texts]
-            for order in (0, 1):
-                found, n = _distinct([g[order] for flag, g in made if flag])
-                more, _ = _distinct([g[order] for flag, g in made if not flag])
-                every = np.union1d(found, more)
-                counts = np.zeros(len(every), "<u4")
-                counts[np.searchsorted(every, found)] = n
-                cuts = np.searchsorted(every >> np.uint64(40), np.arange(BUCKETS + 1).astype(np.uint64))
-                for k in range(BUCKETS):
+            chain = Chain(h, [c for _, c in texts])
+            flags = np.repeat(np.array([flag for flag, _ in texts]), chain.sizes).astype(np.uint64)
+            for order, found in enumerate(chain.grams()):
+                every, counts = _distinct(found, flags)
+                cuts = np.searchsorted(every, np.arange((1 << bits) + 1).astype(np.uint64) << np.uint64(BITS - bits))
+                for k in range(1 << bits):
                     a, b = cuts[k], cuts[k + 1]
                     if a < b:
-                        yield order * BUCKETS + k, block, *_packed(every[a:b] & np.uint64((1 << 40) - 1)), blocks.squeezed(counts[a:b])
+                        yield (order << bits) + k, block, *_packed(every[a:b] & np.uint64((1 << BITS - bits) - 1)), blocks.squeezed(counts[a:b].astype("<u4"))
 
         def all_rows() -> Iterator[tuple]:
             at, words, texts, packed = None, [], [], blocks.Packed()
@@ -208,15 +240,15 @@ def _gram_rows(table: DataFrame) -> DataFrame:
     return whole.mapInArrow(rows, "bucket int, block long, x binary, y binary, z binary")
 
 
-def _distinct(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted distinct numbers and how often each occurs."""
-    every = np.concatenate([np.zeros(0, np.uint64), *parts])
+def _distinct(found: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct numbers and how often each occurs with a flag."""
+    every = (found << np.uint64(1)) | flags
     every.sort()
-    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
-    return every[first], np.diff(np.append(first, len(every)))
+    first = np.flatnonzero(np.concatenate([[True], every[1:] >> np.uint64(1) != every[:-1] >> np.uint64(1)]))
+    return every[first] >> np.uint64(1), np.add.reduceat(every & np.uint64(1), first)
 
 
-def _levels(table: DataFrame, least: int) -> DataFrame:
+def _levels(table: DataFrame, bits: int, least: int) -> DataFrame:
     """block, n (a bucket), x (what the filter says of the levels of the block's n-grams in it, in their order). A bucket's sorted
     n-grams are summed block by block, none is in two buckets, and rows stay packed until both passes over them are made."""
 
@@ -234,7 +266,7 @@ def _levels(table: DataFrame, least: int) -> DataFrame:
                     some = [summed(some)]
             found, counts = summed(some)
             size = segment_bytes(counts, least)
-            made = Filter({0: segment(found, counts, size)}, size, int(levels_of(counts).max(initial=0)))
+            made = Filter(segment(found, counts, size), int(levels_of(counts).max(initial=0)))
             for at in range(0, len(held), 64):
                 part = held[at : at + 64]
                 levels = [blocks.squeezed(made.levels(_loose(x, y)).astype("u1")) for _, x, y, _ in part]
@@ -251,33 +283,24 @@ def _levels(table: DataFrame, least: int) -> DataFrame:
         if held:
             yield from finish(at, held)
 
-    g = _gram_rows(table).repartition("bucket").sortWithinPartitions("bucket")
+    g = _gram_rows(table, bits).repartition("bucket").sortWithinPartitions("bucket")
     return written(g.mapInArrow(rows, "block long, n long, x binary"), "gram-levels")
 
 
-#: The level of the largest count that there can be.
-MOST_LEVELS = int(levels_of(np.array([(1 << 63) - 1]))[0])
+class Filter:
+    """A segment; most: the level of its largest count, where that is known."""
 
+    def __init__(self, raw: bytes, most: int = len(LEAST_OF) - 1):
+        self.bits, self.most = np.frombuffer(raw, np.uint8), most
 
-class Filter:
-    """Segments of one size; most: the level of their largest count, where that is known."""
-
-    def __init__(self, segments: dict[int, bytes], size: int, most: int = MOST_LEVELS):
-        self.bits = np.zeros((max(segments, default=0) + 1, size), np.uint8)
-        for k, b in segments.items():
-            self.bits[k] = np.frombuffer(b, np.uint8)
-        self.flat, self.size, self.most = self.bits.reshape(-1), size, most
-
-    def levels(self, pairs: np.ndarray) -> np.ndarray:
-        """What the filter says of each pair's level."""
-        level = np.zeros(len(pairs), np.int64)
-        base = (pairs >> np.uint64(40)).astype(np.int64) * self.size
-        rest = pairs & np.uint64((1 << 40) - 1)
-        open_ = np.arange(len(pairs))
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        """What the filter says of each n-gram's level."""
+        level = np.zeros(len(grams), np.int64)
+        open_ = np.arange(len(grams))
         for k in range(1, self.most + 1):
             for p in range(PROBES):
-                at = _places(rest[open_], k, p, 8 * self.size).astype(np.int64)
-                open_ = open_[self.flat[base[open_] + (at >> 3)] >> (at & 7).astype(np.uint8) & 1 == 1]
+                at = _places(grams[open_], k, p, 8 * len(self.bits)).astype(np.int64)
+                open_ = open_[self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1]
             if not len(open_):
                 break
             level[open_] = k
@@ -299,7 +322,8 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, id_column: str = "d
     table = blocks.block_table(rows_in, split_words, blocks.buckets_for(docs), with_counts=True, most=BLOCK_BYTES)
     sums = _word_sums(table)
     sweep(docs.sparkSession)
-    levels = _levels(table, filter_bytes // (2 * BUCKETS))
+    bits = bucket_bits(docs)
+    levels = _levels(table, bits, max(8, filter_bytes >> bits + 1))
     sweep(docs.sparkSession)
     ends = table.filter((F.col("kind") == "d") & F.col("flag")).count()
     tokens, distinct = sums.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
@@ -313,24 +337,20 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, id_column: str = "d
             c, h = np.zeros(top, np.int64), np.zeros(top, np.uint64)
             for codes, y, z in words:
                 c[codes], h[codes] = y, z
-            begins = np.cumsum([0, *(len(codes) + 1 for *_, codes in texts)])
-            own, history = np.empty(begins[-1], np.int64), np.empty(begins[-1], np.int64)
-            found = np.empty((2, begins[-1]), np.uint64)
-            for (*_, codes), s, e in zip(texts, begins, begins[1:], strict=False):
-                own[s : e - 1], own[e - 1] = c[codes], ends
-                history[s], history[s + 1 : e] = ends, c[codes]
-                found[0, s:e], found[1, s:e] = grams(h[codes])
-            pair, triple = (levels_back(found[k], [blocks.loose(parts[i], "u1") for i in sorted(parts) if i // BUCKETS == k]) for k in (0, 1))
+            chain = Chain(h, [codes for *_, codes in texts])
+            at = np.concatenate([[0], np.cumsum(chain.sizes)[:-1]])
+            counts = np.concatenate([[ends, ends], c])
+            own, history = chain.own(counts), chain.before(counts)
+            pair, triple = (levels_back(g, [blocks.loose(parts[i], "u1") for i in sorted(parts) if i >> bits == k]) for k, g in enumerate(chain.grams()))
             base = np.log10(own + 1) - less
-            two = np.minimum(least_of(pair), np.minimum(own, history))
-            before = np.empty(begins[-1])  # the pair that a triple's third word follows; of a text's first word, two starts
-            before[1:] = most_of(pair[:-1])
-            before[begins[:-1]] = ends
+            two = np.minimum(LEAST_OF[pair], np.minimum(own, history))
+            before = np.empty(len(own))  # the pair that a triple's third word follows; of a text's first word, two starts
+            before[1:] = MOST_OF[pair[:-1]]
+            before[at] = ends
             before = np.minimum(before, history)
-            three = np.minimum(np.minimum(least_of(triple), most_of(pair)), before)
+            three = np.minimum(np.minimum(LEAST_OF[triple], MOST_OF[pair]), before)
             p = (two + STRENGTH * np.power(10, base)) / (history + STRENGTH)
             p = np.log10((three + STRENGTH * p) / (before + STRENGTH))
-            at = begins[:-1]
             sums = zip(np.add.reduceat((own > 0).astype(np.int64), at).tolist(), np.add.reduceat(base, at).tolist(), np.add.reduceat(p, at).tolist(), strict=True)
             out = [(doc, not flag, len(codes) + 1, known, total, b, q) for (doc, flag, codes), (known, b, q) in zip(texts, sums, strict=True)]
             for k in range(0, len(out), 1000):
