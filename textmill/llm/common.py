@@ -20,11 +20,17 @@ from textmill.session import ship, small  # noqa: F401
 _made: dict[str, SparkSession] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the input folder. Arrow batches are kept small for the Python workers: texts can be long."""
+def prepared(spark: SparkSession) -> None:
+    """Sends this package to the executors, and keeps Arrow batches small for the Python workers of this session: texts can be long."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    for key, value in (("maxRecordsPerBatch", "1000"), ("maxBytesPerBatch", str(8 << 20))):
+        if spark.conf.get(f"spark.sql.execution.arrow.{key}", None) != value:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the input folder."""
+    prepared(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -43,6 +49,7 @@ def scratch_root(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared folder and read again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
+    prepared(spark)
     path = f"{scratch_root(spark)}/textmill/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

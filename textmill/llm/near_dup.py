@@ -139,13 +139,14 @@ def forest(classes: DataFrame, block: int = BLOCK) -> DataFrame:
         return xxhash.xxh3_64_intdigest(raw) - (1 << 63)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(parts: list[tuple], edge: bool) -> Iterator[pa.RecordBatch]:
+        def flush(parts: list[tuple], begins: bool, ends: bool) -> Iterator[pa.RecordBatch]:
             keys, node, size, shared = (np.concatenate(x) for x in zip(*parts, strict=True))
             starts = np.flatnonzero(shared < DEPTH)
             many = np.diff(np.append(starts, len(node)))
             out: list[list] = [[], [], [], [], []]
+            last = starts[-1]
             for s, n in zip(starts.tolist(), many.tolist(), strict=True):
-                if n == 1 and not edge:
+                if n == 1 and not (begins and s == 0 or ends and s == last):
                     continue
                 region = digest(keys[s, : 1 + 2 * DEPTH].tobytes())
                 own = shared[s : s + n].copy()
@@ -181,14 +182,14 @@ def forest(classes: DataFrame, block: int = BLOCK) -> DataFrame:
                 continue
             a, z = cuts[0], cuts[-1]
             if held_:
-                yield from flush([*held_, (keys[:a], node[:a], size[:a], shared[:a])], first)
+                yield from flush([*held_, (keys[:a], node[:a], size[:a], shared[:a])], first, False)
                 first = False
             if z > a:
-                yield from flush([(keys[a:z], node[a:z], size[a:z], shared[a:z])], first)
+                yield from flush([(keys[a:z], node[a:z], size[a:z], shared[a:z])], first, False)
                 first = False
             held_ = [(keys[z:], node[z:], size[z:], shared[z:])]
         if held_:
-            yield from flush(held_, True)
+            yield from flush(held_, first, True)
 
     return written(ordered.select("node", "size", "order").mapInArrow(rows, "region long, part long, prev long, node long, size int"), "forest")
 
