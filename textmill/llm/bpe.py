@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm import blocks
-from textmill.llm.common import no_null_text
+from textmill.llm.common import no_null_text, tokenizer
 from textmill.llm.token_counts import balanced
 
 _two_spaces = re.compile(r"\s\s|^ | $|\n \Z|\0")
@@ -47,11 +47,7 @@ class Words:
     are so many that this is about a partition's share of the words (blocks.buckets_for)."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer = tokenizer(path)
         self.bucket, self.ids = None, {}
 
     def of(self, bucket: int, words: list[bytes]) -> list[bytes]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import os
 import re
 import tempfile
 import time
@@ -94,6 +95,18 @@ def no_null_text(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def tokenizer(path: str):
+    """The tokenizer file at path, without truncation or padding. It encodes in the calling thread: a Python worker has one core, and
+    a pool of threads in each would cost half as much again."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path)
+    t.no_truncation()
+    t.no_padding()
+    return t
+
+
 _held: dict[tuple, object] = {}
 
 

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.llm.common import held, no_null_text, small, written
+from textmill.llm.common import held, no_null_text, small, written, tokenizer
 from textmill.llm.token_counts import balanced
 
 END_ID = 1
@@ -57,13 +57,9 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, limit: int = 200_000):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = tokenizer(path)
         if self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
             raise ValueError(f"{path}: ids don't fit 16 bits")
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
         self.limit, self.words, self.older = limit, {}, {}
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -113,8 +109,8 @@ class WordEncoder:
         return self.words
 
     def many(self, texts: list[str]) -> Iterator[bytes]:
-        """ids of each text; new words are encoded together for about a megabyte of texts."""
-        for batch in balanced(texts):
+        """ids of each text; new words are encoded together for a few megabytes of texts."""
+        for batch in balanced(texts, 4 << 20):
             cut = [self.cut(t) for t in batch]
             known = self.known(set().union(*cut))
             for words in cut:

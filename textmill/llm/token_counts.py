@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import BoundedCache, held, no_null_text
+from textmill.llm.common import BoundedCache, held, no_null_text, tokenizer
 
 BATCH_BYTES = 1 << 20
 _two_spaces = re.compile(r"\s\s|^ | $|\n \Z")
@@ -61,11 +61,7 @@ class Counter:
     """Counts tokens with one tokenizer file of the tokenizers library; holds bounded caches of piece lengths."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer = tokenizer(path)
         self.plain = BoundedCache(lambda keys: self.lengths(keys, ""), 200_000)
         self.spaced = BoundedCache(lambda keys: self.lengths(keys, " "), 600_000)
         self.line_feed = self.lengths(["\n"], "")[0]
