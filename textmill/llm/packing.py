@@ -56,7 +56,7 @@ class WordEncoder:
     tokens that end a word tell them apart.
     """
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.tokenizer = tokenizer(path)
         if self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
             raise ValueError(f"{path}: ids don't fit 16 bits")
