@@ -169,6 +169,15 @@ def test_sources(spark, tmp_path, capsys):
     assert '"num_records": 2' in (tmp_path / "s.json").read_text()
 
 
+def test_write_splits(spark, tmp_path):
+    df = spark.createDataFrame([("1", "train"), ("2", "dev"), ("3", "train"), ("4", None)], "id string, split string")
+    tables.write_splits(df, f"{tmp_path}/s")
+    of = lambda name: sorted(r.id for r in spark.read.json(f"{tmp_path}/s/split={name}").collect())
+    assert of("train") == ["1", "3"] and of("dev") == ["2"]
+    tables.write_splits(df, f"{tmp_path}/p", form="parquet")
+    assert spark.read.parquet(f"{tmp_path}/p").count() == 4
+
+
 def test_all_customers_published(spark, tmp_path):
     """Customers of six digits and more are published as well."""
     from textmill.plans import queries as plans

@@ -128,16 +128,16 @@ def dedup_keep_longest(spark, sf_dir):
     return curate.keep_longest(d, ["lang", "source", "head"], F.length("text"), ["doc_id"]).select("doc_id", "lang", "source", "n_chars")
 
 
-RECORDS = """r AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN ' no evidence was found' WHEN 1 THEN 'Please See the previous section.' WHEN 2 THEN NULL WHEN 3 THEN '  ' ELSE left(text, 80) END AS evidence,
-CASE doc_id % 3 WHEN 0 THEN 'None' WHEN 1 THEN '' ELSE left(text, 30) END AS considerations FROM documents),
+RECORDS = """r AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN ' no evidence was found' WHEN 1 THEN 'Please See the previous section.' WHEN 2 THEN NULL WHEN 3 THEN '  ' ELSE text END AS evidence,
+CASE doc_id % 3 WHEN 0 THEN 'None' WHEN 1 THEN '' ELSE text END AS considerations FROM documents),
 f AS (SELECT *, coalesce(regexp_matches(evidence, '(?i)\\bsee\\s+(the\\s+)?previous\\s+sections?\\b'), false) AS refers,
 coalesce(regexp_matches(trim(evidence), '(?i)^(No evidence|No studies were found|Not applicable)'), false) AND (trim(coalesce(considerations, '')) IN ('', 'None', 'None.', 'N/A')) AS place FROM r)"""
 
 
 def _records(spark, sf_dir):
     k, n, text = F.col("doc_id") % 5, F.col("doc_id") % 3, F.col("text")
-    evidence = F.when(k == 0, " no evidence was found").when(k == 1, "Please See the previous section.").when(k == 2, F.lit(None)).when(k == 3, "  ").otherwise(F.left(text, F.lit(80)))
-    return documents(spark, sf_dir).select("doc_id", evidence.alias("evidence"), F.when(n == 0, "None").when(n == 1, "").otherwise(F.left(text, F.lit(30))).alias("considerations"))
+    evidence = F.when(k == 0, " no evidence was found").when(k == 1, "Please See the previous section.").when(k == 2, F.lit(None)).when(k == 3, "  ").otherwise(text)
+    return documents(spark, sf_dir).select("doc_id", evidence.alias("evidence"), F.when(n == 0, "None").when(n == 1, "").otherwise(text).alias("considerations"))
 
 
 @query(f"WITH {RECORDS} SELECT doc_id, CASE WHEN coalesce(regexp_matches(evidence, '\\S'), false) THEN evidence ELSE 'No evidence reported.' END AS evidence, considerations FROM f WHERE NOT refers AND NOT place")
@@ -150,15 +150,15 @@ def removal_counters(spark, sf_dir):
     return curate.removal_counts(_records(spark, sf_dir), G)
 
 
-BENT = """b AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN left(text, 50) || '. 2.1. Heading here' ELSE left(text, 50) END AS topic, CASE WHEN doc_id % 3 = 0 THEN 'a word- broken, here' WHEN doc_id % 6 = 1 THEN 'ends. 3 Heading ' ELSE left(text, 40) END AS evidence FROM documents)"""
+BENT = """b AS (SELECT doc_id, lang, CASE WHEN doc_id % 4 = 0 THEN text || '. 2.1. Heading here' ELSE text END AS topic, CASE WHEN doc_id % 3 = 0 THEN text || ' the ' || lang || '- broken, here' WHEN doc_id % 6 = 1 THEN text || 'ends. 3 Heading ' ELSE text END AS evidence FROM documents)"""
 LEAK = r"\.\s\d+(?:\.\d+){0,3}\.?\s\p{Lu}[^.:]*$"
 HYPH = r"\p{Ll}-\s+\p{Ll}"
 
 
 def _bent(spark, sf_dir):
     k, text = F.col("doc_id"), F.col("text")
-    evidence = F.when(k % 3 == 0, "a word- broken, here").when(k % 6 == 1, "ends. 3 Heading ").otherwise(F.left(text, F.lit(40)))
-    return documents(spark, sf_dir).select("doc_id", F.when(k % 4 == 0, F.concat(F.left(text, F.lit(50)), F.lit(". 2.1. Heading here"))).otherwise(F.left(text, F.lit(50))).alias("topic"), evidence.alias("evidence"))
+    evidence = F.when(k % 3 == 0, F.concat(text, F.lit(" the "), "lang", F.lit("- broken, here"))).when(k % 6 == 1, F.concat(text, F.lit("ends. 3 Heading "))).otherwise(text)
+    return documents(spark, sf_dir).select("doc_id", F.when(k % 4 == 0, F.concat(text, F.lit(". 2.1. Heading here"))).otherwise(text).alias("topic"), evidence.alias("evidence"))
 
 
 @query(f"WITH {BENT} SELECT * FROM (SELECT doc_id, CASE WHEN regexp_matches(rtrim(topic), '{LEAK}') THEN 'topic' WHEN regexp_matches(rtrim(evidence), '{LEAK}') THEN 'evidence' END AS field FROM b) WHERE field IS NOT NULL")
@@ -166,7 +166,7 @@ def first_violation(spark, sf_dir):
     return audit.leaks(_bent(spark, sf_dir), ["topic", "evidence"], ["doc_id"])
 
 
-@query(f"WITH {BENT} SELECT doc_id, 'evidence' AS field, 'word- broken' AS words FROM b WHERE regexp_matches(evidence, '{HYPH}')")
+@query(f"WITH {BENT} SELECT doc_id, 'evidence' AS field, lang || '- broken' AS words FROM b WHERE regexp_matches(evidence, '{HYPH}')")
 def hyphen_audit(spark, sf_dir):
     return audit.hyphens(_bent(spark, sf_dir), ["topic", "evidence"], ["doc_id"])
 
@@ -195,9 +195,9 @@ def numeric_suffix_sort(spark, sf_dir):
     return d.select("id", "suffix", F.row_number().over(Window.partitionBy("source").orderBy("suffix")).cast("long").alias("place"))
 
 
-@query("SELECT 'doc_' || row_number() OVER (ORDER BY source, doc_id) AS id, doc_id FROM documents WHERE lang <> 'en'")
+@query("SELECT 'doc_' || row_number() OVER (ORDER BY source, doc_id) AS id, doc_id FROM documents")
 def sequential_ids(spark, sf_dir):
-    d = documents(spark, sf_dir).filter(F.col("lang") != "en").select("source", "doc_id")
+    d = documents(spark, sf_dir).select("source", "doc_id")
     return curate.with_ids(d, "doc", ["source", "doc_id"]).drop("source")
 
 
@@ -227,8 +227,8 @@ def justification(spark, sf_dir):
     return _parts(spark, sf_dir).select("p_partkey", publish.justification(F.col("sub"), F.col("focus"), G.justification_labels).alias("justification"))
 
 
-@query("""SELECT 'cust_' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS id, 'market' AS source, c_mktsegment AS topic, c_name AS question, CAST(c_nationkey AS VARCHAR) AS judgement, CAST(c_nationkey AS VARCHAR) AS short_answer,
-concat_ws(chr(10), '- Topic: ' || c_mktsegment, '- Question: ' || c_name) AS query, 'train' AS split FROM customer WHERE c_nationkey % 5 <> 0 AND c_custkey < 100000""")
+@query("""SELECT 'cust_' || lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(5, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0') AS id, 'market' AS source, c_mktsegment AS topic, c_name AS question, CAST(c_nationkey AS VARCHAR) AS judgement, CAST(c_nationkey AS VARCHAR) AS short_answer,
+concat_ws(chr(10), '- Topic: ' || c_mktsegment, '- Question: ' || c_name) AS query, 'train' AS split FROM customer WHERE c_nationkey % 5 <> 0""")
 def alias_publish(spark, sf_dir):
     c = read(spark, sf_dir, "customer")
     raw = c.select(F.col("c_custkey"), F.col("c_mktsegment").alias("Tema "), F.col("c_name").alias("Clinical-Question"), F.when(F.col("c_nationkey") % 5 != 0, F.col("c_nationkey").cast("string")).otherwise("  ").alias("JUDGEMENT"))
@@ -256,7 +256,14 @@ def hyphen_decisions(spark, sf_dir):
     return hyphen.decided(_broken(spark, sf_dir)).select("doc_id", F.col("line_no").cast("long").alias("line_no"), "head", "tail", "has_joined", "has_compound", "merge")
 
 
-@query()
+@query(rf"""WITH {BROKEN}, full_ AS (SELECT *, lead(raw) OVER w AS nraw, lead(line_no) OVER w AS next_no FROM lines WHERE regexp_matches(raw, '\S') WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)),
+c AS (SELECT doc_id, line_no, next_no, regexp_extract(regexp_replace(raw, '\s+$', ''), '(\p{{L}}+)-$', 1) AS head, regexp_extract(nraw, '^\s*(\p{{L}}+)', 1) AS tail, regexp_extract(nraw, '^\s*\p{{L}}+([.,;:!?)\]»”\x22]*)', 1) AS marks FROM full_),
+j AS (SELECT DISTINCT doc_id, lower(unnest(regexp_extract_all(raw, '\p{{L}}+'))) AS w FROM full_),
+p AS (SELECT DISTINCT doc_id, lower(regexp_extract(r, '^(\p{{L}}+-\p{{L}}+)', 1)) AS w FROM (SELECT doc_id, unnest(regexp_extract_all(raw, '[\p{{L}}-]+')) AS r FROM full_) WHERE regexp_matches(r, '^\p{{L}}+-\p{{L}}+')),
+m AS (SELECT c.doc_id, line_no, next_no, tail || marks AS taken FROM c JOIN j ON c.doc_id = j.doc_id AND lower(head || tail) = j.w LEFT JOIN p ON c.doc_id = p.doc_id AND lower(head || '-' || tail) = p.w WHERE length(head) BETWEEN 2 AND 20 AND length(tail) BETWEEN 2 AND 20 AND p.w IS NULL),
+b AS (SELECT f.doc_id, f.line_no, t.taken, CASE WHEN g.taken IS NULL THEN raw ELSE regexp_extract(raw, '^\s*') || regexp_replace(substr(raw, length(regexp_extract(raw, '^\s*')) + length(g.taken) + 1), '^\s+', '') END AS body
+FROM full_ f LEFT JOIN m t ON f.doc_id = t.doc_id AND f.line_no = t.line_no LEFT JOIN m g ON f.doc_id = g.doc_id AND f.line_no = g.next_no)
+SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, CASE WHEN taken IS NULL THEN body ELSE regexp_replace(body, '-\s*$', '') || taken END AS raw FROM b""")
 def hyphen_merge(spark, sf_dir):
     return hyphen.merged(_broken(spark, sf_dir)).withColumn("line_no", F.col("line_no").cast("long"))
 
@@ -288,9 +295,9 @@ def carry_forward_sections(spark, sf_dir):
     return d.groupBy("conv_id", "part").agg(F.min("question").alias("question"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), " ").alias("answer"))
 
 
-@query(f"WITH {CARRIED} SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN left(text, 10) END AS own, last_value(CASE WHEN turn % 3 = 0 THEN left(text, 10) END IGNORE NULLS) OVER (PARTITION BY conv_id, part ORDER BY turn ROWS UNBOUNDED PRECEDING) AS inherited FROM c")
+@query(f"WITH {CARRIED} SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN text END AS own, last_value(CASE WHEN turn % 3 = 0 THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id, part ORDER BY turn ROWS UNBOUNDED PRECEDING) AS inherited FROM c")
 def inherit_within_key(spark, sf_dir):
-    own = F.when(F.col("turn") % 3 == 0, F.left("text", F.lit(10)))
+    own = F.when(F.col("turn") % 3 == 0, F.col("text"))
     return _carried(spark, sf_dir).select("conv_id", "turn", own.alias("own"), F.last(own, ignorenulls=True).over(Window.partitionBy("conv_id", "part").orderBy("turn")).alias("inherited"))
 
 
@@ -311,9 +318,9 @@ def prefix_boundary(spark, sf_dir):
     return d.join(b, F.left("raw", F.lit(4)) == F.col("prefix"), "left_semi").select("doc_id", F.col("line_no").cast("long").alias("line_no"))
 
 
-@query(r"SELECT doc_id, CAST(len(regexp_extract_all(t, '[:;]')) AS BIGINT) AS n_marks, len(regexp_extract_all(t, '[:;]')) >= 3 AS tabular FROM (SELECT doc_id, replace(left(text, 300), ', ', ': ') AS t FROM documents)")
+@query(r"SELECT doc_id, CAST(len(regexp_extract_all(t, '[:;]')) AS BIGINT) AS n_marks, len(regexp_extract_all(t, '[:;]')) >= 3 AS tabular FROM (SELECT doc_id, replace(text, ', ', ': ') AS t FROM documents)")
 def tabular_test(spark, sf_dir):
-    t = F.replace(F.left("text", F.lit(300)), F.lit(", "), F.lit(": "))
+    t = F.replace(F.col("text"), F.lit(", "), F.lit(": "))
     return documents(spark, sf_dir).select("doc_id", F.regexp_count(t, F.lit("[:;]")).cast("long").alias("n_marks"), chunk.is_tabular(t).alias("tabular"))
 
 
@@ -411,7 +418,7 @@ def segment_guides(spark, sf_dir):
     """Conversations as guides: system turns are topics, user turns lettered questions, assistant turns answers."""
     c = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.regexp_replace("text", r"\s+", " ").alias("text"))
     r, t = F.col("role"), F.col("text")
-    made = F.when(r == "system", F.array(F.concat(F.lit("Topic 1 "), F.left(t, F.lit(20))), F.left(t, F.lit(40)), F.lit("Context"))).when(r == "user", F.array(F.concat(F.lit("a) "), t))).otherwise(F.array(F.concat(F.lit("Verdict: "), F.left(t, F.lit(30))), F.concat(F.lit("Evidence 1: "), t), F.lit("Considerations: None")))
+    made = F.when(r == "system", F.array(F.concat(F.lit("Topic 1 "), t), t, F.lit("Context"))).when(r == "user", F.array(F.concat(F.lit("a) "), t))).otherwise(F.array(F.concat(F.lit("Verdict: "), t), F.concat(F.lit("Evidence 1: "), t), F.lit("Considerations: None")))
     d = c.select(F.col("conv_id").cast("string").alias("doc_id"), "turn", F.posexplode(made).alias("p", "raw"))
     return segment.segmented(d.select("doc_id", (F.col("turn") * 4 + F.col("p")).alias("line_no"), "raw"), G)
 

@@ -88,6 +88,11 @@ def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
     (df.coalesce(1) if one_file else df).write.mode("overwrite").csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
+def write_splits(df: DataFrame, path: str, split: str = "split", form: str = "json") -> None:
+    """An output for each split, in one pass and without a shuffle: folders split=NAME, whose rows keep all other columns."""
+    df.write.mode("overwrite").partitionBy(split).format(form).save(path)
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """df written as a stage table and read again."""
     df.write.mode("overwrite").parquet(path)
