@@ -76,6 +76,37 @@ def test_split(spark):
     assert everything == 60
 
 
+def test_split_by_brute_force(spark):
+    """Each part is what ranking every stratum gives, with null strata, null keys and parts that end in one head."""
+    import random
+    from collections import defaultdict
+    from hashlib import md5
+
+    r = random.Random(5)
+    rows = [(i if i % 97 else None, r.choice(["a", "a", "a", "b", None])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, s string").repartition(5)
+    for sizes in ([0], [7, 3], [1200, 1, 900]):
+        got = split.cut(df, "s", "id", sizes).collect()
+        assert len(got) == len(rows)
+        left = defaultdict(list)
+        for k, s in rows:
+            left[s].append(("" if k is None else md5(f"{k}|42".encode()).hexdigest(), k))
+        for v in left.values():
+            v.sort(key=lambda x: x[0])
+        want = []
+        for part, size in enumerate(sizes):
+            n = sum(map(len, left.values()))
+            exact = {s: len(v) * size / n for s, v in left.items() if v}
+            quota = {s: int(e) for s, e in exact.items()}
+            for s in sorted(exact, key=lambda s: (-(exact[s] - int(exact[s])), s is not None, s or ""))[: size - sum(quota.values())]:
+                quota[s] += 1
+            for s, q in quota.items():
+                want += [(s, k, part) for _, k in left[s][:q]]
+                left[s] = left[s][q:]
+        want += [(s, k, len(sizes)) for s, v in left.items() for _, k in v]
+        assert sorted(map(repr, want)) == sorted(repr((x.s, x.id, x.part)) for x in got)
+
+
 def test_audits(spark):
     df = spark.createDataFrame([(1, "A b. C", None), (2, " ", "x"), (3, "End. 2. Head", "well- known")], "n int, a string, b string")
     assert [(r.n, r.missing) for r in audit.incomplete(df, ["a", "b"], ["n"]).orderBy("n").collect()] == [(1, "b"), (2, "a")]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.patterns import Grammar, any_of
 from textmill.functions.text import is_nonblank, strip
-from textmill.session import small
+from textmill.session import small, written
 
 
 def keep_longest(rows: DataFrame, key: list[str], length: Column, order: list[str]) -> DataFrame:
@@ -67,17 +67,19 @@ def removal_counts(rows: DataFrame, g: Grammar) -> DataFrame:
 
 def with_ids(rows: DataFrame, prefix: str, order: list[str], name: str = "id") -> DataFrame:
     """rows with prefix_1, prefix_2, ... in order, without a window over the whole table: rows are range-partitioned by
-    order, and each partition's rows are numbered from the sum of those before it."""
+    order, once, and written with their partition and place in it; each partition goes on from the sum of those before it.
+
+    Ranges are sampled anew in each run of a plan, so places and counts must come from one run: hence the written table."""
     spark = rows.sparkSession
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    ranged = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    counts = ranged.groupBy("_p").count().orderBy("_p").collect()  # one row for each partition
+    at = F.monotonically_increasing_id()  # the partition above 33 bits of the place
+    ranged = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", at), "numbered")
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
     base, bases = 0, []
-    for r in counts:
+    for r in ranged.groupBy(part.alias("_p")).count().orderBy("_p").collect():  # one row for each partition
         bases.append((r["_p"], base))
         base += r["count"]
-    b = spark.createDataFrame(bases or [(0, 0)], "_p int, _base long")
-    out = ranged.join(F.broadcast(b), "_p").withColumn(name, F.concat(F.lit(f"{prefix}_"), (F.col("_base") + F.col("_n")).cast("string")))
+    b = spark.createDataFrame(bases or [(0, 0)], "_p long, _base long")
+    out = ranged.join(F.broadcast(b), part == F.col("_p")).withColumn(name, F.concat(F.lit(f"{prefix}_"), (F.col("_base") + place + 1).cast("string")))
     return out.select(name, *[c for c in rows.columns if c != name])
 
 
@@ -90,8 +92,13 @@ def suffix_number(c: Column) -> Column:
     return F.regexp_extract(c, r"(\d+)$", 1).try_cast("bigint")
 
 
+def suffix_order(name: str = "id") -> list[Column]:
+    """By the number an id ends with, then by the id."""
+    return [suffix_number(F.col(name)), F.col(name)]
+
+
 def by_suffix(rows: DataFrame, group: str = "guidebook", name: str = "id") -> DataFrame:
-    return rows.orderBy(group, suffix_number(F.col(name)), name)
+    return rows.orderBy(group, *suffix_order(name))
 
 
 def patched(rows: DataFrame, patches: DataFrame, fields: list[str], key: str = "id", order: tuple[str, ...] = ()) -> DataFrame:
@@ -130,6 +137,10 @@ def rebuilt(splits: dict[str, DataFrame], position: int = 1) -> DataFrame:
     return out.select(*rest[:position], "split", *rest[position:])
 
 
+def priority(order: tuple[str, ...] = ("test", "dev", "train")) -> Column:
+    """The place of a row's split in `order`; other splits come behind."""
+    return reduce(lambda c, p: c.when(F.col("split") == p[1], p[0]), enumerate(order), F.when(F.lit(False), -1)).otherwise(len(order))
+
+
 def by_priority(rows: DataFrame, order: tuple[str, ...] = ("test", "dev", "train"), then: tuple[str, ...] = ()) -> DataFrame:
-    rank = reduce(lambda c, p: c.when(F.col("split") == p[1], p[0]), enumerate(order), F.when(F.lit(False), -1)).otherwise(len(order))
-    return rows.orderBy(rank, *then)
+    return rows.orderBy(priority(order), *then)

@@ -20,8 +20,10 @@ def id_parity(source: DataFrame, target: DataFrame, key: str = "id") -> DataFram
 def pairs(source: DataFrame, target: DataFrame, fields: list[str], key: str = "id") -> DataFrame:
     """key, field, src, mt for ids of both sides; fields are taken once each."""
     fields = list(dict.fromkeys(fields))
-    side = lambda df, name: df.select(key, *[F.coalesce(F.col(f).cast("string"), F.lit("")).alias(f) for f in fields]).unpivot(key, fields, "field", name)
-    return side(source, "src").join(side(target, "mt"), [key, "field"])
+    side = lambda df, name: df.select(key, F.struct(*[F.coalesce(F.col(f).cast("string"), F.lit("")).alias(f) for f in fields]).alias(name))
+    both = side(source, "_s").join(side(target, "_t"), key)  # a record crosses the shuffle once, whatever its fields
+    each = F.array(*[F.struct(F.lit(f).alias("field"), F.col("_s")[f].alias("src"), F.col("_t")[f].alias("mt")) for f in fields])
+    return both.select(key, F.inline(each))
 
 
 def gate(source: DataFrame, target: DataFrame, fields: list[str], exempt: DataFrame | None = None, key: str = "id", floor: float = FLOOR, shortest: int = SHORTEST) -> DataFrame:

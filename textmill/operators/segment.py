@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.patterns import Grammar
 from textmill.functions.text import capitalised, clean_line, cut_narration, is_bullet, strip_footnotes
+from textmill.session import small
 
 LOOKAHEAD = 8
 
@@ -41,13 +42,24 @@ def _doc():
     return Window.partitionBy("doc_id").orderBy("line_no")
 
 
-def _so_far():
-    return _doc().rowsBetween(Window.unboundedPreceding, 0)
+def carried(value: Column, key: tuple[str, ...] = ("doc_id",), order: str = "line_no", here: bool = True) -> Column:
+    """The last value that isn't null, of the rows of a key up to this one; here: this one's too."""
+    return F.last(value, ignorenulls=True).over(Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0 if here else -1))
+
+
+def counted(event: Column, key: tuple[str, ...] = ("doc_id",), order: str = "line_no") -> Column:
+    """How many rows of a key up to this one have the event: the number of the section that it is in."""
+    return F.sum(event.cast("int")).over(Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+
+
+def ahead(event: Column, key: tuple[str, ...] = ("doc_id",), order: str = "line_no") -> Column:
+    """Whether the next row of a key has the event."""
+    return F.coalesce(F.lead(event).over(Window.partitionBy(*key).orderBy(order)), F.lit(False))
 
 
 def _last(value: Column, here: bool = False) -> Column:
     """The last value before a line, or up to it."""
-    return F.last(value, ignorenulls=True).over(_doc().rowsBetween(Window.unboundedPreceding, 0 if here else -1))
+    return carried(value, here=here)
 
 
 def real_items(lines: DataFrame, g: Grammar) -> DataFrame:
@@ -58,14 +70,37 @@ def real_items(lines: DataFrame, g: Grammar) -> DataFrame:
     return d.withColumns({"_jn": j, "_bn": b}).withColumn("item", F.col("lettered") & F.col("_jn").isNotNull() & (F.col("_bn").isNull() | (F.col("_jn") < F.col("_bn")))).drop("_j", "_jn", "_bn")
 
 
+def begins(lines: DataFrame, titles: DataFrame, lengths: list[int] | None = None, text: str = "text") -> DataFrame:
+    """lines with `boundary`: the line begins with one of titles (title; and doc, where a title is for one document only).
+
+    A join on equality for each length that titles have, by a counted broadcast where they are few; nothing compares all lines with all titles."""
+    if lengths is None:
+        lengths = sorted(r[0] for r in titles.select(F.length("title")).distinct().collect() if r[0])  # as many as titles have lengths
+    own = "doc" in titles.columns
+    out, hits = lines, F.lit(False)
+    for n in lengths:
+        t = titles.filter(F.length("title") == n).select(F.col("title").alias(f"_t{n}"), *([F.col("doc").alias(f"_d{n}")] if own else [])).distinct()
+        on = F.left(F.col(text), F.lit(n)) == F.col(f"_t{n}")
+        out = out.join(small(t), on & (F.col("doc_id").cast("string") == F.col(f"_d{n}")) if own else on, "left")
+        hits = hits | F.col(f"_t{n}").isNotNull()
+    return out.withColumn("boundary", hits).select(*lines.columns, "boundary")
+
+
 def boundaries(lines: DataFrame, g: Grammar) -> DataFrame:
     """lines with `boundary`: the line begins with a literal registered for its document."""
     if not g.boundaries:
         return lines.withColumn("boundary", F.lit(False))
-    spark = lines.sparkSession
-    b = spark.createDataFrame(list(g.boundaries), "_d string, _title string").groupBy("_d").agg(F.collect_set("_title").alias("_titles"))
-    out = lines.join(F.broadcast(b), F.col("doc_id").cast("string") == F.col("_d"), "left")  # configuration: as long as the grammar's list
-    return out.withColumn("boundary", F.coalesce(F.exists("_titles", lambda t: F.startswith(F.col("text"), t)), F.lit(False))).drop("_d", "_titles")
+    titles = lines.sparkSession.createDataFrame(list(g.boundaries), "doc string, title string")
+    return begins(lines, titles, sorted({len(t) for _, t in g.boundaries if t}))
+
+
+def orphan_titles(lines: DataFrame, g: Grammar) -> DataFrame:
+    """lines with _ot and _os: the topic and subtopic registered for a document's nth (column `orphan`, from 0) heading without a topic; null for other lines."""
+    if not g.orphans:
+        return lines.withColumns({"_ot": F.lit(None).cast("string"), "_os": F.lit(None).cast("string")})
+    table = lines.sparkSession.createDataFrame(list(g.orphans), "_od string, _on int, _ot string, _os string")
+    on = (F.col("doc_id").cast("string") == F.col("_od")) & (F.col("orphan") == F.col("_on"))
+    return lines.join(F.broadcast(table), on, "left").drop("_od", "_on")  # configuration
 
 
 def classified(lines: DataFrame, g: Grammar) -> DataFrame:
@@ -75,7 +110,7 @@ def classified(lines: DataFrame, g: Grammar) -> DataFrame:
         "us": _has(g.umbrella_start), "ue": _has(g.umbrella_end), "nar": _marker(g.narration), "ss": _has(g.sub_start), "cx": _has(g.context), "ts": _has(g.topic_start),
         "lab": _has(g.label), "low": F.col("text").rlike(r"^\p{Ll}"), "heading": _has(g.intervention) | (F.col("text").isin(*g.pairs) if g.pairs else F.lit(False)),
         "mark": F.when(_marker(g.judgement), "judgement").when(_marker(g.evidence), "evidence").when(_marker(g.considerations), "considerations"),
-        "next_item": F.coalesce(F.lead("lettered").over(_doc()), F.lit(False)),
+        "next_item": ahead(F.col("lettered")),
     })
     # 1: a heading before an item
     d = d.withColumn("r1", F.col("heading") & F.col("next_item"))
@@ -90,7 +125,7 @@ def classified(lines: DataFrame, g: Grammar) -> DataFrame:
     d = d.withColumn("left3", F.col("left2") & ~F.col("r6") & ~F.col("r7") & ~F.col("r8"))
     # topic
     event = F.when(F.col("r6"), 0).when(F.col("left3"), F.when(F.col("ts"), 1).when(F.col("cx"), 0))
-    d = d.withColumns({"t_open": F.coalesce(_last(event), F.lit(0)) == 1, "t_no": F.sum((F.col("left3") & F.col("ts")).cast("int")).over(_so_far())})
+    d = d.withColumns({"t_open": F.coalesce(_last(event), F.lit(0)) == 1, "t_no": counted(F.col("left3") & F.col("ts"))})
     within = F.col("left3") & ~F.col("ts") & F.col("t_open")
     topic = Window.partitionBy("doc_id", "t_no").orderBy("line_no")
     d = d.withColumn("_in", within)
@@ -108,7 +143,7 @@ def classified(lines: DataFrame, g: Grammar) -> DataFrame:
     })
     d = d.withColumn("left4", F.col("left3") & ~F.col("r9") & ~F.col("_inside"))
     d = d.withColumns({"r14": F.col("left4") & F.col("cx"), "left5": F.col("left4") & ~F.col("cx")})
-    d = d.withColumns({"r15": F.col("left5") & F.col("item"), "orphan": F.when(F.col("r14"), F.sum(F.col("r14").cast("int")).over(_so_far()) - 1)})
+    d = d.withColumns({"r15": F.col("left5") & F.col("item"), "orphan": F.when(F.col("r14"), counted(F.col("r14")) - 1)})
     d = d.withColumn("r16", F.col("left5") & ~F.col("r15") & F.col("lab"))
     plain = F.col("left5") & ~F.col("r15") & ~F.col("r16")
     all_ = F.col("r2") | F.col("r6") | F.col("r9") | F.col("r14")
@@ -133,9 +168,27 @@ def classified(lines: DataFrame, g: Grammar) -> DataFrame:
     return d.withColumn("rule", rule).select("doc_id", "line_no", "text", "bullet", "rule", "nar", "mark", "mode", "u_close", "t_cut", "orphan")
 
 
-def _joined(value: Column, window) -> Column:
-    """The texts of a window's frame, in order, with single spaces."""
-    return F.trim(F.array_join(F.collect_list(value).over(window), " "))
+def _sections(d: DataFrame) -> DataFrame:
+    """_doc, _kind, _no, _text: the lines that each layer has collected, one row for each time it was opened. A layer collects nothing
+    once it is closed, so a section's lines are those before its close."""
+    kind = F.when(F.col("rule") == 4, "u").when(F.col("rule") == 8, "s").when(F.col("rule") == 13, "t")
+    no = F.when(F.col("rule") == 4, F.col("u_no")).when(F.col("rule") == 8, F.col("s_no")).otherwise(F.col("t_no"))
+    parts = d.filter(F.col("rule").isin(4, 8, 13)).select(F.col("doc_id").alias("_doc"), kind.alias("_kind"), no.alias("_no"), "line_no", "text")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"]), " ")
+    return parts.groupBy("_doc", "_kind", "_no").agg(F.trim(text).alias("_text"))
+
+
+def _title(kind: str | None = None, value: Column | None = None) -> Column:
+    """A title: a text, or the section that it is the text of."""
+    return F.struct(F.lit(kind).cast("string").alias("kind"), (F.col(f"{kind}_no") if kind else F.lit(None)).cast("int").alias("no"), (F.lit("") if value is None else value).alias("text"))
+
+
+def _read(rows: DataFrame, sections: DataFrame, title: str) -> DataFrame:
+    """rows with a title as its text; empty for none."""
+    s = sections.select(*[F.col(c).alias(f"{c}_{title}") for c in sections.columns])
+    on = F.col("doc_id").eqNullSafe(F.col(f"_doc_{title}")) & (F.col(f"{title}.kind") == F.col(f"_kind_{title}")) & (F.col(f"{title}.no") == F.col(f"_no_{title}"))
+    out = rows.join(s, on, "left").withColumn(title, F.coalesce(F.col(f"_text_{title}"), F.col(f"{title}.text"), F.lit("")))
+    return out.select(*rows.columns)
 
 
 def segmented(lines: DataFrame, g: Grammar, late_intervention: bool = False) -> DataFrame:
@@ -144,26 +197,19 @@ def segmented(lines: DataFrame, g: Grammar, late_intervention: bool = False) ->
     rule = F.col("rule")
     is_ = lambda *n: rule.isin(*n)
     reset = is_(2, 6, 9, 14, 18)
-    d = d.withColumns({"row": F.sum((reset | is_(15, 16)).cast("int")).over(_so_far()), "q": F.sum((reset | is_(15)).cast("int")).over(_so_far())})
-    # buffers of the collecting layers: the texts since the layer was opened
-    d = d.withColumns({"u_no": F.sum(is_(2).cast("int")).over(_so_far()), "s_no": F.sum(is_(6).cast("int")).over(_so_far()), "t_no": F.sum(is_(9).cast("int")).over(_so_far())})
-    upto = lambda c: Window.partitionBy("doc_id", c).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    u_text, s_text, t_text = _joined(F.when(is_(4), F.col("text")), upto("u_no")), _joined(F.when(is_(8), F.col("text")), upto("s_no")), _joined(F.when(is_(13), F.col("text")), upto("t_no"))
-    d = d.withColumns({
-        "u_buffer": F.when(F.col("u_close"), u_text), "s_buffer": F.when(is_(7), s_text), "t_buffer": F.when(is_(10, 11) | F.col("t_cut"), t_text),
-        "u_divided": F.coalesce(F.max(F.when(is_(4) & F.col("nar"), 1)).over(upto("u_no")), F.lit(0)) == 1,
-    })
-    if g.orphans:
-        table = d.sparkSession.createDataFrame(list(g.orphans), "_od string, _on int, _ot string, _os string")
-        d = d.join(F.broadcast(table), (F.col("doc_id").cast("string") == F.col("_od")) & (F.col("orphan") == F.col("_on")), "left")  # configuration
-    else:
-        d = d.withColumns({"_ot": F.lit(None).cast("string"), "_os": F.lit(None).cast("string")})
+    d = d.withColumns({"row": counted(reset | is_(15, 16)), "q": counted(reset | is_(15))})
+    # the collecting layers: lines carry the number of the section that a title is the text of, and the rows fetch the text in the end
+    d = d.withColumns({"u_no": counted(is_(2)), "s_no": counted(is_(6)), "t_no": counted(is_(9))})
+    sections = _sections(d)
+    section = Window.partitionBy("doc_id", "u_no").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("u_divided", F.coalesce(F.max(F.when(is_(4) & F.col("nar"), 1)).over(section), F.lit(0)) == 1)
+    d = orphan_titles(d, g)
     empty = F.lit("")
     d = d.withColumn("pending", _last(F.when(is_(1), F.struct(F.col("text").alias("v"))).when(is_(15, 20, 23), F.struct(F.lit(None).cast("string").alias("v")))))
     # a line's own event, then the last one up to it: a close of the umbrella comes before what the line does else
-    topic = F.when(is_(14), F.coalesce("_ot", empty)).when(F.col("t_buffer").isNotNull(), F.col("t_buffer")).when(F.col("u_close"), F.col("u_buffer"))
+    topic = F.when(is_(14), _title(value=F.coalesce("_ot", empty))).when(is_(10, 11) | F.col("t_cut"), _title("t")).when(F.col("u_close"), _title("u"))
     divided = F.when(is_(9, 14), False).when(is_(11), True).when(F.col("u_close"), F.col("u_divided"))
-    sub = F.when(reset, empty).when(is_(7), F.col("s_buffer"))
+    sub = F.when(reset, _title()).when(is_(7), _title("s"))
     adopted = F.when(is_(15), F.col("pending.v"))
     intervention = F.when(is_(9, 18), empty).when(is_(14), F.coalesce("_os", empty)).when(adopted.isNotNull(), adopted).when(F.col("u_close"), empty)
     d = d.withColumns({"topic": _last(topic, True), "divided": _last(divided, True), "sub": _last(sub, True), "intervention": _last(intervention, True)})
@@ -184,15 +230,16 @@ def segmented(lines: DataFrame, g: Grammar, late_intervention: bool = False) ->
     rows = rows.withColumn("_old", F.last("_own", ignorenulls=True).over(by_question.rowsBetween(Window.unboundedPreceding, -1)))
     none = F.array().cast(rows.schema["judgement"].dataType)
     rows = rows.filter(F.size(F.concat(*[F.col(c) for c in ANSWERS])) > 0).withColumn("judgement", F.when(F.col("_own").isNotNull(), F.col("_own")).when(F.col("label") != "", F.coalesce("_old", none)).otherwise(none))
-    by_sub = F.coalesce("divided", F.lit(False)) & (F.coalesce("sub", empty) != "")
+    rows = _read(_read(rows, sections, "topic"), sections, "sub")
+    by_sub = F.coalesce("divided", F.lit(False)) & (F.col("sub") != "")
     answer = lambda c: capitalised(strip_footnotes(text(F.col(c)), g)).alias(c)
     return rows.select(
         "doc_id",
         F.col("row").cast("long").alias("row_no"),
         F.col("doc_id").cast("string").alias("guidebook"),
-        cut_narration(F.coalesce("topic", empty), g).alias("topic"),
+        cut_narration(F.col("topic"), g).alias("topic"),
         F.when(by_sub, F.col("sub")).otherwise(F.coalesce("intervention", empty)).alias("subtopic"),
         "question",
-        F.when(F.col("label") != "", F.col("label")).when(~by_sub, F.coalesce("sub", empty)).otherwise(empty).alias("focus"),
+        F.when(F.col("label") != "", F.col("label")).when(~by_sub, F.col("sub")).otherwise(empty).alias("focus"),
         *[answer(c) for c in ANSWERS],
     )

@@ -1,9 +1,12 @@
-"""What a session needs before Python workers can run this package's functions, and broadcasts behind a count."""
+"""What a session needs before Python workers can run this package's functions, tables in the shared folder, and broadcasts behind a count."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +32,60 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_made: dict[str, SparkSession] = {}
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder named by spark.checkpoint.dir. A temporary one stands in only where that is unset and all runs on this machine (tests)."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="textmill-")
+        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses; what is written there is deleted when the driver ends."""
+    path = f"{scratch_root(spark)}/textmill/{name}-{uuid.uuid4().hex}"
+    _made[path] = spark
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written as Parquet to the shared folder and read again: cuts lineage and survives lost executors."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._textmill_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that written() has returned: nothing may be read from them any more."""
+    for t in tables:
+        _delete(t._textmill_path)
+
+
+def _delete(path: str) -> None:
+    spark = _made.pop(path, None)
+    try:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the session has ended
+        pass
+
+
+def clean_scratch() -> None:
+    """Deletes every table that written() has made; DataFrames built on them can't be used afterwards."""
+    for path in list(_made):
+        _delete(path)
+
+
+atexit.register(clean_scratch)
+
 #: Rows that small() broadcasts at most.
 SMALL_ROWS = 200_000
 
