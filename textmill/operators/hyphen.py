@@ -56,6 +56,11 @@ def decided(lines: DataFrame, g: Grammar | None = None, vocabulary: DataFrame |
     return c.withColumn("merge", merge).select("doc_id", "line_no", "next_no", "head", "tail", "marks", "has_joined", "has_compound", "merge")
 
 
+def merge_counts(decisions: DataFrame) -> DataFrame:
+    """doc_id, n, n_merged: the candidates of decided(), and those that are merged."""
+    return decisions.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if("merge").alias("n_merged"))
+
+
 def merged(lines: DataFrame, g: Grammar | None = None, vocabulary: DataFrame | None = None) -> DataFrame:
     """lines with the second part of each merged word, and marks directly behind it, moved up to the first."""
     d = decided(lines, g, vocabulary).filter("merge")

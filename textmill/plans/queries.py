@@ -3,6 +3,9 @@ footnotes, broken words, stock phrases) are put in by the query and its SQL alik
 
 from __future__ import annotations
 
+import io
+from contextlib import redirect_stdout
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +14,8 @@ from textmill.functions.names import inserted
 from textmill.functions.patterns import Grammar
 from textmill.operators import audit, chunk, curate, hyphen, model, parallel, publish, segment
 from textmill.operators import split as splits
+from textmill.session import new_path
+from textmill.sources import tables
 from textmill.sources.tables import explode_lines
 
 G = Grammar()
@@ -192,7 +197,7 @@ def split_union_tag(spark, sf_dir):
 def numeric_suffix_sort(spark, sf_dir):
     d = documents(spark, sf_dir).select("source", F.concat_ws("_", "source", F.col("doc_id").cast("string")).alias("id"))
     d = d.withColumn("suffix", curate.suffix_number(F.col("id")))
-    return d.select("id", "suffix", F.row_number().over(Window.partitionBy("source").orderBy("suffix")).cast("long").alias("place"))
+    return d.select("id", "suffix", F.row_number().over(Window.partitionBy("source").orderBy(*curate.suffix_order("id"))).cast("long").alias("place"))
 
 
 @query("SELECT 'doc_' || row_number() OVER (ORDER BY source, doc_id) AS id, doc_id FROM documents")
@@ -276,14 +281,13 @@ w AS (SELECT *, min(CASE WHEN j THEN line_no END) OVER (PARTITION BY doc_id ORDE
 SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, lettered, lettered AND jn IS NOT NULL AND (bn IS NULL OR jn < bn) AS item, next_lettered FROM w""")
 def heading_lookahead(spark, sf_dir):
     d = segment.real_items(lines(spark, sf_dir).withColumnRenamed("raw", "text"), LOOK)
-    ahead = F.coalesce(F.lead("lettered").over(Window.partitionBy("doc_id").orderBy("line_no")), F.lit(False))
-    return d.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "lettered", "item", ahead.alias("next_lettered"))
+    return d.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "lettered", "item", segment.ahead(F.col("lettered")).alias("next_lettered"))
 
 
 def _carried(spark, sf_dir):
-    w = Window.partitionBy("conv_id").orderBy("turn")
+    at = (("conv_id",), "turn")
     c = read(spark, sf_dir, "conversations")
-    return c.withColumns({"question": F.last(F.when(F.col("role") == "user", F.col("text")), ignorenulls=True).over(w), "part": F.sum((F.col("role") != "assistant").cast("long")).over(w)})
+    return c.withColumns({"question": segment.carried(F.when(F.col("role") == "user", F.col("text")), *at), "part": segment.counted(F.col("role") != "assistant", *at)})
 
 
 CARRIED = "c AS (SELECT *, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER w AS question, sum((role <> 'assistant')::BIGINT) OVER w AS part FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING))"
@@ -298,24 +302,22 @@ def carry_forward_sections(spark, sf_dir):
 @query(f"WITH {CARRIED} SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN text END AS own, last_value(CASE WHEN turn % 3 = 0 THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id, part ORDER BY turn ROWS UNBOUNDED PRECEDING) AS inherited FROM c")
 def inherit_within_key(spark, sf_dir):
     own = F.when(F.col("turn") % 3 == 0, F.col("text"))
-    return _carried(spark, sf_dir).select("conv_id", "turn", own.alias("own"), F.last(own, ignorenulls=True).over(Window.partitionBy("conv_id", "part").orderBy("turn")).alias("inherited"))
+    return _carried(spark, sf_dir).select("conv_id", "turn", own.alias("own"), segment.carried(own, ("conv_id", "part"), "turn").alias("inherited"))
 
 
 @query("""WITH e AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS ordinal FROM conversations WHERE role = 'assistant')
 SELECT conv_id, turn, CAST(ordinal AS BIGINT) AS ordinal, CASE WHEN ordinal = 0 AND conv_id % 2 = 0 THEN 'first' WHEN ordinal = 1 AND conv_id % 2 = 0 THEN 'second' ELSE '' END AS topic FROM e""")
 def orphan_lookup(spark, sf_dir):
-    n = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1
-    e = read(spark, sf_dir, "conversations").filter(F.col("role") == "assistant").select("conv_id", "turn", n.cast("long").alias("ordinal"))
-    table = spark.createDataFrame([(0, 0, "first"), (0, 1, "second")], "parity long, nth long, topic string")
-    return e.join(F.broadcast(table), (F.col("conv_id") % 2 == F.col("parity")) & (F.col("ordinal") == F.col("nth")), "left").select("conv_id", "turn", "ordinal", F.coalesce("topic", F.lit("")).alias("topic"))
+    n = segment.counted(F.lit(True), ("conv_id",), "turn") - 1
+    e = read(spark, sf_dir, "conversations").filter(F.col("role") == "assistant").select("conv_id", "turn", (F.col("conv_id") % 2).alias("doc_id"), n.cast("long").alias("orphan"))
+    out = segment.orphan_titles(e, Grammar(orphans=(("0", 0, "first", ""), ("0", 1, "second", ""))))
+    return out.select("conv_id", "turn", F.col("orphan").alias("ordinal"), F.coalesce("_ot", F.lit("")).alias("topic"))
 
 
 @query(rf"WITH {LINES}, b AS (SELECT DISTINCT left(text, 4) AS prefix FROM benchmark) SELECT doc_id, CAST(line_no AS BIGINT) AS line_no FROM lines WHERE regexp_matches(raw, '\S') AND EXISTS (SELECT 1 FROM b WHERE starts_with(raw, prefix))")
 def prefix_boundary(spark, sf_dir):
-    """Prefixes of one length are an equi-join; lengths differ by few, so a table of them joins by (length, prefix)."""
-    b = read(spark, sf_dir, "benchmark").select(F.left("text", F.lit(4)).alias("prefix")).distinct()
-    d = lines(spark, sf_dir)
-    return d.join(b, F.left("raw", F.lit(4)) == F.col("prefix"), "left_semi").select("doc_id", F.col("line_no").cast("long").alias("line_no"))
+    b = read(spark, sf_dir, "benchmark").select(F.left("text", F.lit(4)).alias("title")).distinct()
+    return segment.begins(lines(spark, sf_dir), b, text="raw").filter("boundary").select("doc_id", F.col("line_no").cast("long").alias("line_no"))
 
 
 @query(r"SELECT doc_id, CAST(len(regexp_extract_all(t, '[:;]')) AS BIGINT) AS n_marks, len(regexp_extract_all(t, '[:;]')) >= 3 AS tabular FROM (SELECT doc_id, replace(text, ', ', ': ') AS t FROM documents)")
@@ -356,7 +358,9 @@ g AS (SELECT *, length(trim(mt, ' ' || chr(10))) / length(trim(src, ' ' || chr(1
 @query(f"WITH {SIDES} SELECT id, field, round(ratio, 6) AS ratio, CASE WHEN trim(mt, ' ' || chr(10)) = '' THEN 'EMPTY' WHEN ratio < 0.3 THEN CASE WHEN id % 3 = 0 AND field = 'body' THEN 'pending' ELSE 'truncated' END ELSE 'ok' END AS status FROM g")
 def parallel_gate(spark, sf_dir):
     s, t = _sides(spark, sf_dir)
-    exempt = s.filter(F.col("id") % 3 == 0).select("id", F.lit("body").alias("field"))
+    path = new_path(spark, "flags") + ".jsonl"
+    tables.write_jsonl(s.filter(F.col("id") % 3 == 0).select(F.col("id").cast("string").alias("id"), F.lit("body").alias("field")), path)
+    exempt = tables.read_flags(spark, path)
     return parallel.gate(s, t, ["body", "head"], exempt).withColumn("ratio", F.round("ratio", 6))
 
 
@@ -447,3 +451,211 @@ def flagship(spark, sf_dir):
     d = documents(spark, sf_dir).select("doc_id", "lang", "source", T.clean_field(F.col("text")).alias("text")).withColumn("head", F.left("text", F.lit(20)))
     kept = curate.keep_longest(d, ["lang", "source", "head"], F.length("text"), ["doc_id"])
     return kept.groupBy("lang").agg(F.count("*").alias("n"), F.round(F.avg(T.is_nonblank(F.col("text")).cast("double")) * 100, 6).alias("nonblank"))
+
+
+# what the queries above leave out: sinks and readers, by a round trip through the shared folder, and smaller functions
+
+
+@query("SELECT form, doc_id, lang, text FROM documents, (VALUES ('csv'), ('jsonl'), ('orc'), ('parquet')) AS f(form)")
+def table_formats(spark, sf_dir):
+    """Written and read again in each form: line feeds, quotes and commas in cells survive."""
+    d = documents(spark, sf_dir).select(F.col("doc_id").cast("string").alias("doc_id"), "lang", "text")
+    out = None
+    for form, write in (("csv", tables.write_csv), ("jsonl", tables.write_jsonl), ("orc", lambda x, p: x.write.orc(p)), ("parquet", lambda x, p: x.write.parquet(p))):
+        path = f"{new_path(spark, 'forms')}.{form}"
+        write(d, path)
+        back = tables.read_table(spark, path, d.schema).select(F.lit(form).alias("form"), F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+NATIONS = "n_nationkey int, n_regionkey int, n_name string"
+
+
+def _nation_file(spark, sf_dir):
+    """The 25 nations as one JSON Lines file, in order: a table of one size at every scale."""
+    path = new_path(spark, "nations") + ".jsonl"
+    n = read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("n_nationkey"), F.col("n_regionkey").cast("int").alias("n_regionkey"), "n_name")
+    tables.write_jsonl(n.coalesce(1).sortWithinPartitions("n_nationkey"), path, one_file=True)
+    return path
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY n_nationkey) AS INTEGER) AS line_no, CAST(n_nationkey AS INTEGER) AS n_nationkey, n_name FROM nation")
+def jsonl_line_numbers(spark, sf_dir):
+    from pyspark.sql.types import StructType
+
+    return tables.read_jsonl(spark, _nation_file(spark, sf_dir), StructType.fromDDL(NATIONS)).select("line_no", "n_nationkey", "n_name")
+
+
+@query("SELECT CAST(n_regionkey AS INTEGER) AS n_regionkey, CAST(min(line_no) AS INTEGER) AS line_no, max_by(n_name, line_no) AS n_name FROM (SELECT *, row_number() OVER (ORDER BY n_nationkey) AS line_no FROM nation) GROUP BY 1")
+def jsonl_last_wins(spark, sf_dir):
+    from pyspark.sql.types import StructType
+
+    records = tables.read_jsonl(spark, _nation_file(spark, sf_dir), StructType.fromDDL(NATIONS))
+    return tables.last_by_id(records, "n_regionkey").select("n_regionkey", "line_no", "n_name")
+
+
+@query("SELECT CAST(2 * row_number() OVER (ORDER BY n_nationkey) - 2 AS BIGINT) AS line_no, n_name AS raw FROM nation")
+def text_line_scan(spark, sf_dir):
+    """A file of lines, each followed by a blank one that is counted and left out."""
+    path = new_path(spark, "text")
+    read(spark, sf_dir, "nation").coalesce(1).sortWithinPartitions("n_nationkey").select(F.concat("n_name", F.lit("\n")).alias("value")).write.text(path)
+    return tables.read_lines(spark, path).select(F.col("line_no").cast("long").alias("line_no"), "raw")
+
+
+@query("SELECT doc_id, lang, 'staged' AS kind FROM documents UNION ALL SELECT doc_id, lang, 'curated' FROM documents")
+def stage_tables(spark, sf_dir):
+    """A stage table is replaced, a curated copy is not; a missing path is skipped."""
+    d = documents(spark, sf_dir).select("doc_id", "lang")
+    other = d.withColumn("lang", F.lit("?"))
+    staged, curated = new_path(spark, "staged"), new_path(spark, "curated") + ".parquet"
+    tables.stage(other, staged)
+    tables.copy_if_absent(d, curated)
+    tables.copy_if_absent(other, curated)
+    with redirect_stdout(io.StringIO()):
+        found = [x for x in (tables.read_or_none(spark, p) for p in (curated, f"{curated}.missing.parquet")) if x is not None]
+    parts = [tables.stage(d, staged).withColumn("kind", F.lit("staged")), *[x.withColumn("kind", F.lit("curated")) for x in found]]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+@query("SELECT 'all' AS section, 'num_records' AS key, count(*) AS value FROM documents UNION ALL SELECT 'splits', CASE doc_id % 3 WHEN 0 THEN 'test' ELSE 'train' END, count(*) FROM documents GROUP BY 2 UNION ALL SELECT 'topics', source, count(*) FROM documents GROUP BY 2")
+def summary_sink(spark, sf_dir):
+    """The published summary, read back from its JSON."""
+    path = new_path(spark, "summary") + ".json"
+    with redirect_stdout(io.StringIO()):
+        tables.write_summary(publish_summary(spark, sf_dir), path)
+    kind = "map<string, long>"
+    said = tables.read_table(spark, path, f"`all` {kind}, splits {kind}, topics {kind}")
+    return said.unpivot([], ["all", "splits", "topics"], "section", "m").select("section", F.explode("m").alias("key", "value"))
+
+
+@query("SELECT doc_id, lang, CASE doc_id % 10 WHEN 0 THEN 'test' WHEN 1 THEN 'dev' ELSE 'train' END AS split FROM documents")
+def split_outputs(spark, sf_dir):
+    """An output for each split, and all of them read back."""
+    path = new_path(spark, "splits")
+    tables.write_splits(split_union_tag(spark, sf_dir), path)
+    return spark.read.schema("doc_id long, lang string, split string").json(path)
+
+
+@query("SELECT source, count(*) AS n FROM documents GROUP BY 1")
+def frequency_table(spark, sf_dir):
+    return audit.frequencies(documents(spark, sf_dir), "source")
+
+
+@query("SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY CASE split WHEN 'test' THEN 0 WHEN 'dev' THEN 1 WHEN 'train' THEN 2 ELSE 3 END, doc_id) AS place FROM (SELECT doc_id, source, CASE doc_id % 4 WHEN 0 THEN 'train' WHEN 1 THEN 'test' WHEN 2 THEN 'dev' ELSE 'other' END AS split FROM documents)")
+def priority_order(spark, sf_dir):
+    k = F.col("doc_id") % 4
+    d = documents(spark, sf_dir).select("doc_id", "source", F.when(k == 0, "train").when(k == 1, "test").when(k == 2, "dev").otherwise("other").alias("split"))
+    return d.select("doc_id", F.row_number().over(Window.partitionBy("source").orderBy(curate.priority(), "doc_id")).cast("long").alias("place"))
+
+
+@query(rf"""WITH {LINES}, bent AS (SELECT doc_id, line_no, CASE line_no % 5 WHEN 1 THEN ' garden HANDBOOK' WHEN 2 THEN '12 Annual edition ' WHEN 3 THEN 'Garden handbook 7' WHEN 4 THEN 'Garden handbook: ' || raw ELSE raw END AS raw FROM lines WHERE regexp_matches(raw, '\S'))
+SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, line_no % 5 IN (1, 2, 3) AS furniture, CASE WHEN line_no % 5 IN (1, 2, 3) THEN '' ELSE trim(regexp_replace(raw, '^[ •▪\-–*]+', '')) END AS text FROM bent""")
+def page_furniture(spark, sf_dir):
+    k, raw = F.col("line_no") % 5, F.col("raw")
+    bent = F.when(k == 1, " garden HANDBOOK").when(k == 2, "12 Annual edition ").when(k == 3, "Garden handbook 7").when(k == 4, F.concat(F.lit("Garden handbook: "), raw)).otherwise(raw)
+    return lines(spark, sf_dir).select("doc_id", F.col("line_no").cast("long").alias("line_no"), T.is_furniture(T.strip(bent), G).alias("furniture"), T.clean_line(bent, G).alias("text"))
+
+
+@query(r"SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN regexp_extract(regexp_extract(c, '(?is)^(.*?)\bquestion\b', 1), '(?s)^(.*[.?!]) ', 1) ELSE c END AS text FROM (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN replace(text, 'uestion', 'u') || '. So this Question is divided into parts.' ELSE replace(text, 'uestion', 'u') END AS c FROM documents)")
+def narration_cut(spark, sf_dir):
+    text = F.replace("text", F.lit("uestion"), F.lit("u"))
+    c = F.when(F.col("doc_id") % 2 == 0, F.concat(text, F.lit(". So this Question is divided into parts."))).otherwise(text)
+    return documents(spark, sf_dir).select("doc_id", T.cut_narration(c, Grammar(narration=r"question is divided into")).alias("text"))
+
+
+@query(r"SELECT doc_id, CAST(doc_id % 3 = 0 AS INTEGER) AS has, CASE WHEN doc_id % 3 = 0 THEN ltrim(text, ' ' || chr(10) || chr(9) || chr(13)) END AS text FROM documents")
+def marker_split(spark, sf_dir):
+    c = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Before. VERDICT: "), "text")).otherwise(F.col("text"))
+    return documents(spark, sf_dir).select("doc_id", c.rlike(f"(?iu){G.judgement}").cast("int").alias("has"), T.after_marker(c, G.judgement).alias("text"))
+
+
+@query(r"SELECT doc_id, replace(t, ', ', ' DNA, ') AS text, CAST(2 * ((length(t) - length(replace(t, ', ', ''))) / 2) AS BIGINT) AS n FROM (SELECT doc_id, regexp_replace(text, '[0-9]', '', 'g') AS t FROM documents)")
+def footnote_acronyms(spark, sf_dir):
+    """Numbers glued to an acronym, put into texts whose own digits are taken out."""
+    c = F.replace(F.regexp_replace("text", "[0-9]", ""), F.lit(", "), F.lit(" DNA4,12, "))
+    return documents(spark, sf_dir).select("doc_id", T.strip_footnotes(c, G).alias("text"), T.footnote_count(c, G).alias("n"))
+
+
+@query("SELECT lang, format('{:,.2f}%', 100.0 * count(quality) / count(*)) AS labelled FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang")
+def percent_text(spark, sf_dir):
+    return _labelled(spark, sf_dir).groupBy("lang").agg(T.percent(F.count("quality") * 100.0 / F.count("*")).alias("labelled"))
+
+
+@query(r"SELECT doc_id AS id, field, t AS text FROM (SELECT doc_id, unnest(['text', 'lang', 'options.A', 'options.B', 'options.C']) AS field, unnest([text, lang, source, 'NaN', CASE WHEN doc_id % 2 = 0 THEN lang ELSE ' ' END]) AS t FROM documents) WHERE field <> 'options.B' AND regexp_matches(t, '\S')")
+def flatten_options(spark, sf_dir):
+    return model.flattened(_with_options(spark, sf_dir), ["text", "lang"], "options")
+
+
+def _with_options(spark, sf_dir):
+    c = F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise(" ")
+    options = F.create_map(F.lit("A"), "source", F.lit("B"), F.lit("NaN"), F.lit("C"), c)
+    return documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "text", "lang", options.alias("options"))
+
+
+@query("SELECT doc_id AS id, lang || '!' AS lang, source || '!' AS a, 'NaN' AS b, CASE WHEN doc_id % 2 = 0 THEN lang || '!' ELSE ' ' END AS c FROM documents")
+def scatter_options(spark, sf_dir):
+    """Texts that were flattened, marked and put back; what wasn't flattened stays."""
+    r = _with_options(spark, sf_dir).drop("text")
+    texts = model.flattened(r, ["lang"], "options").withColumn("text", F.concat("text", F.lit("!")))
+    out, o = model.scattered(r, texts, ["lang"], "options"), F.col("options")
+    return out.select("id", "lang", o["A"].alias("a"), o["B"].alias("b"), o["C"].alias("c"))
+
+
+SENTENCES = r"list_filter(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: regexp_matches(x, '\S'))"
+
+
+@query(f"SELECT doc_id, CAST(generate_subscripts(s, 1) - 1 AS BIGINT) AS n, unnest(s) AS sentence FROM (SELECT doc_id, CASE WHEN len({SENTENCES}) > 0 THEN {SENTENCES} ELSE [text] END AS s FROM documents)")
+def sentence_split(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", F.posexplode(chunk.sentences(F.col("text"))).alias("n", "sentence")).withColumn("n", F.col("n").cast("long"))
+
+
+@query(r"SELECT doc_id, length(text) <= 1800 AND len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) <= 200 AS fits FROM documents")
+def budget_test(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", chunk.fits(F.col("text"), 200).alias("fits"))
+
+
+@query(f"WITH {SIDES}, x AS (SELECT id, field, ratio, CASE WHEN trim(mt, ' ' || chr(10)) = '' THEN 'EMPTY' WHEN ratio < 0.3 THEN 'truncated' ELSE 'ok' END AS status FROM g) SELECT id, field, round(ratio, 6) AS ratio, status FROM x WHERE status <> 'ok' ORDER BY id, field LIMIT 20")
+def gate_failures(spark, sf_dir):
+    """The first twenty failures, as the gate reports them."""
+    s, t = _sides(spark, sf_dir)
+    return parallel.failures(parallel.gate(s, t, ["body", "head"])).withColumn("ratio", F.round("ratio", 6))
+
+
+@query(rf"""WITH {BROKEN}, full_ AS (SELECT * FROM lines WHERE regexp_matches(raw, '\S')),
+c AS (SELECT doc_id, regexp_extract(regexp_replace(raw, '\s+$', ''), '(\p{{L}}+)-$', 1) AS head, regexp_extract(lead(raw) OVER (PARTITION BY doc_id ORDER BY line_no), '^\s*(\p{{L}}+)', 1) AS tail FROM full_),
+j AS (SELECT DISTINCT doc_id, lower(unnest(regexp_extract_all(raw, '\p{{L}}+'))) AS w FROM full_),
+p AS (SELECT DISTINCT doc_id, lower(regexp_extract(r, '^(\p{{L}}+-\p{{L}}+)', 1)) AS w FROM (SELECT doc_id, unnest(regexp_extract_all(raw, '[\p{{L}}-]+')) AS r FROM full_) WHERE regexp_matches(r, '^\p{{L}}+-\p{{L}}+')),
+v AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '\p{{L}}+'))) AS w FROM benchmark)
+SELECT c.doc_id, count(*) AS n, count_if(CASE WHEN j.w IS NOT NULL AND p.w IS NULL THEN true WHEN j.w IS NULL AND p.w IS NOT NULL THEN false ELSE v.w IS NOT NULL END) AS n_merged
+FROM c LEFT JOIN j ON c.doc_id = j.doc_id AND lower(head || tail) = j.w LEFT JOIN p ON c.doc_id = p.doc_id AND lower(head || '-' || tail) = p.w LEFT JOIN v ON lower(head || tail) = v.w
+WHERE length(head) BETWEEN 2 AND 20 AND length(tail) BETWEEN 2 AND 20 GROUP BY c.doc_id""")
+def merge_counts(spark, sf_dir):
+    """Broken words by document, and those that are merged, where the words of benchmark are the fallback vocabulary."""
+    words = read(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
+    return hyphen.merge_counts(hyphen.decided(_broken(spark, sf_dir), vocabulary=words))
+
+
+PHASES = "ph AS (SELECT 'before' AS phase, text, source FROM documents UNION ALL SELECT 'after', text, source FROM documents WHERE doc_id % 4 <> 0)"
+
+
+@query(rf"""WITH {PHASES}, x AS (SELECT phase, source, regexp_matches(text, '\S') AS full_, {COUNTS} FROM ph), a AS (SELECT phase, CAST(count(*) AS DOUBLE) AS n, CAST(count_if(NOT full_) AS DOUBLE) AS bad, CAST(sum(sentences) AS DOUBLE) AS s, CAST(sum(words) AS DOUBLE) AS w, 100.0 * count(source) / count(*) AS p, 100.0 * count_if(full_) / count(*) AS f FROM x GROUP BY phase)
+SELECT phase, unnest(['rows', 'incomplete', 'sentences', 'words', 'present source', 'nonblank text']) AS key, round(unnest([n, bad, s, w, p, f]), 6) AS value FROM a""")
+def phase_report(spark, sf_dir):
+    d = documents(spark, sf_dir)
+    out = audit.phase_report(d, d.filter(F.col("doc_id") % 4 != 0), ["text"], ["source"], ["text"])
+    return out.withColumn("value", F.round("value", 6))
+
+
+@query("""SELECT p_partkey, p_brand AS short_answer, '- Topic: ' || p_name || chr(10) || '- Question: ' || p_type AS query, 'ecnedivE: ' || p_brand || chr(10) || 'snoitaredisnoC: ' || p_size AS justification FROM part WHERE p_size % 2 = 0
+UNION ALL SELECT p_partkey, 'old', 'old', 'old' FROM part WHERE p_size % 2 <> 0""")
+def composites_rebuilt(spark, sf_dir):
+    """Composites made anew from translated parts, under translated labels; records without a guidebook keep theirs."""
+    p = read(spark, sf_dir, "part")
+    old = {c: F.lit("old") for c in ("short_answer", "query", "justification")}
+    r = p.select("p_partkey", F.when(F.col("p_size") % 2 == 0, "guide").alias("guidebook"), F.col("p_name").alias("topic"), F.lit(" ").alias("subtopic"), F.col("p_type").alias("question"), F.lit("").alias("focus"), F.col("p_brand").alias("judgement"), F.col("p_brand").alias("evidence"), F.col("p_size").cast("string").alias("considerations")).withColumns(old)
+    labels = model.translated_labels(G.justification_labels, model.stub_translator)
+    return model.rebuilt_composites(r, G, "en", labels=labels).select("p_partkey", *old)
