@@ -330,7 +330,33 @@ def _texts(spark, sf_dir):
     return documents(spark, sf_dir).select(F.col("doc_id").alias("id"), F.lit("text").alias("field"), F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n")).alias("text"))
 
 
-@query()
+def _chunks_sql(texts: str, budget: int) -> str:
+    """Tables up to `chunks` (id, field, para, piece, text, tokens) of the texts (id, field, text) that a query gives; packing is a recursion over a paragraph's pieces."""
+    words = r"list_filter(regexp_split_to_array({}, '\s+'), lambda x: x <> '')"
+    n = lambda t: f"len({words.format(t)})"
+    cuts = lambda t, marks: rf"list_filter(string_split(regexp_replace({t}, '([{marks}])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: regexp_matches(x, '\S'))"
+    alone = lambda t: f"(length({t}) <= 1800 AND {n(t)} <= {budget} AND ({n(t)} <= {budget * 0.75} OR len({cuts(t, '.!?')}) <= 1))"
+    by_words = "list_transform(range(0, greatest(len(w), 1), 40), lambda i: array_to_string(w[i + 1 : i + 40], ' '))"
+    return rf"""RECURSIVE tx AS ({texts}), t1 AS (SELECT *, {alone('text')} AS whole FROM tx WHERE regexp_matches(text, '\S')),
+pl AS (SELECT id, field, CASE WHEN whole THEN [text] ELSE list_filter(string_split(text, chr(10) || chr(10)), lambda x: regexp_matches(x, '\S')) END AS ps FROM t1),
+pa AS (SELECT id, field, unnest(ps) AS p, generate_subscripts(ps, 1) - 1 AS para FROM pl),
+pb AS (SELECT *, {alone('p')} AS whole, CASE WHEN length(p) <= 1800 AND {n('p')} <= {budget} THEN CAST(floor({budget * 0.75}) AS INTEGER) ELSE {budget} END AS goal FROM pa),
+sl AS (SELECT *, CASE WHEN whole OR len({cuts('p', '.!?')}) = 0 THEN [p] ELSE {cuts('p', '.!?')} END AS ss FROM pb),
+se AS (SELECT id, field, para, goal, whole, unnest(ss) AS s, generate_subscripts(ss, 1) AS si FROM sl),
+sn AS (SELECT *, {n('s')} AS n, {cuts('s', ':;')} AS parts, len(regexp_extract_all(s, '[:;]')) >= 3 AS tabular FROM se),
+sp AS (SELECT *, CASE WHEN whole OR (n <= {budget} AND NOT tabular) THEN 'whole' WHEN len(parts) > 1 THEN 'parts' WHEN n <= {budget} THEN 'whole' ELSE 'words' END AS way FROM sn),
+pp AS (SELECT id, field, para, goal, si, way, unnest(us) AS u, generate_subscripts(us, 1) AS ui FROM (SELECT *, CASE way WHEN 'parts' THEN parts ELSE [s] END AS us FROM sp)),
+pw AS (SELECT *, {words.format('u')} AS w FROM pp),
+pq AS (SELECT *, CASE WHEN way = 'words' OR (way = 'parts' AND len(w) > {budget}) THEN {by_words} ELSE [u] END AS vs FROM pw),
+pv AS (SELECT id, field, para, goal, si, ui, way = 'parts' AS stands, unnest(vs) AS v, generate_subscripts(vs, 1) AS vi FROM pq),
+pc AS (SELECT id, field, para, goal, stands, v, {n('v')} AS n, row_number() OVER (PARTITION BY id, field, para ORDER BY si, ui, vi) AS k FROM pv),
+run AS (SELECT *, 0 AS piece, CASE WHEN stands THEN NULL ELSE n END AS open_ FROM pc WHERE k = 1
+UNION ALL SELECT pc.*, CASE WHEN NOT pc.stands AND open_ + pc.n <= pc.goal THEN piece ELSE piece + 1 END, CASE WHEN pc.stands THEN NULL WHEN open_ + pc.n <= pc.goal THEN open_ + pc.n ELSE pc.n END
+FROM run JOIN pc ON pc.id = run.id AND pc.field = run.field AND pc.para = run.para AND pc.k = run.k + 1),
+chunks AS (SELECT id, field, para, piece, string_agg(v, ' ' ORDER BY k) AS text, sum(n) AS tokens FROM run GROUP BY id, field, para, piece)"""
+
+
+@query(f"WITH {_chunks_sql('SELECT doc_id AS id, $$text$$ AS field, replace(text, chr(10), chr(10) || chr(10)) AS text FROM documents', 120)} SELECT id, field, CAST(para AS BIGINT) AS para, CAST(piece AS BIGINT) AS piece, text, CAST(tokens AS BIGINT) AS tokens FROM chunks")
 def pack_budget(spark, sf_dir):
     d = chunk.chunks(_texts(spark, sf_dir), 120)
     return d.select("id", "field", F.col("para").cast("long").alias("para"), F.col("piece").cast("long").alias("piece"), "text", T.token_count(F.col("text")).alias("tokens"))
@@ -410,14 +436,23 @@ def freq_before_after(spark, sf_dir):
     return audit.before_after(d, curate.keep_longest(d, ["lang", "source", "head"], F.length("text"), ["doc_id"]), "lang")
 
 
-@query()
+@query(rf"""WITH {_chunks_sql("SELECT conv_id || '_' || turn AS id, unnest(['role', 'text']) AS field, unnest([role, text]) AS text FROM conversations", 400)},
+m AS (SELECT id, field, para, piece, array_to_string(list_transform(string_split(text, ' '), lambda x: reverse(x)), ' ') AS text FROM chunks),
+mp AS (SELECT id, field, para, string_agg(text, ' ' ORDER BY piece) AS text FROM m GROUP BY id, field, para), mt AS (SELECT id, field, string_agg(text, chr(10) || chr(10) ORDER BY para) AS text FROM mp GROUP BY id, field)
+SELECT c.conv_id || '_' || c.turn AS id, coalesce(r.text, c.role) AS role, coalesce(t.text, c.text) AS text FROM conversations c LEFT JOIN mt r ON r.id = c.conv_id || '_' || c.turn AND r.field = 'role' LEFT JOIN mt t ON t.id = c.conv_id || '_' || c.turn AND t.field = 'text'""")
 def model_stub_map(spark, sf_dir):
     """Flatten, chunk, run the stub, put together, scatter."""
     c = read(spark, sf_dir, "conversations").select(F.concat_ws("_", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"), "role", "text")
     return model.translated(c, ["role", "text"], model.stub_translator)
 
 
-@query()
+@query(r"""WITH c AS (SELECT conv_id, turn, role, trim(regexp_replace(text, '\s+', ' ', 'g')) AS t, role = 'user' AND coalesce(lead(role) OVER (PARTITION BY conv_id ORDER BY turn) = 'assistant', false) AS item FROM conversations),
+d AS (SELECT *, sum((role = 'system' OR item)::INT) OVER w AS part, last_value(CASE WHEN role = 'system' THEN t END IGNORE NULLS) OVER w AS topic FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)),
+e AS (SELECT *, max((role = 'assistant')::INT) OVER (PARTITION BY conv_id, part ORDER BY turn ROWS UNBOUNDED PRECEDING) = 1 AS answered FROM d),
+r AS (SELECT conv_id, part, max(topic) AS topic, max(CASE WHEN item THEN 'a) ' || t END) AS question, string_agg(CASE WHEN role = 'assistant' THEN t END, ' ' ORDER BY turn) AS said,
+string_agg(CASE WHEN role = 'assistant' THEN 'None' WHEN role = 'user' AND NOT item AND answered THEN 'a) ' || t END, ' ' ORDER BY turn) AS considerations FROM e GROUP BY conv_id, part HAVING count_if(role = 'assistant') > 0),
+u AS (SELECT *, CASE WHEN regexp_matches(said, '\p{L}') THEN regexp_extract(said, '(?s)^(\P{L}*)(\p{L})(.*)$', 1) || upper(regexp_extract(said, '(?s)^(\P{L}*)(\p{L})(.*)$', 2)) || regexp_extract(said, '(?s)^(\P{L}*)(\p{L})(.*)$', 3) ELSE said END AS said_ FROM r)
+SELECT CAST(conv_id AS VARCHAR) AS doc_id, CAST(part AS BIGINT) AS row_no, CAST(conv_id AS VARCHAR) AS guidebook, coalesce(topic, '') AS topic, '' AS subtopic, coalesce(question, '') AS question, '' AS focus, said_ AS judgement, said_ AS evidence, considerations FROM u""")
 def segment_guides(spark, sf_dir):
     """Conversations as guides: system turns are topics, user turns lettered questions, assistant turns answers."""
     c = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.regexp_replace("text", r"\s+", " ").alias("text"))
