@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-import atexit
 import gc
 import os
-import re
-import tempfile
 import time
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,9 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.session import ship, small  # noqa: F401
-
-_made: dict[str, SparkSession] = {}
+from textmill import session
+from textmill.session import discard, ship, small  # noqa: F401
 
 
 def prepared(spark: SparkSession) -> None:
@@ -35,34 +30,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir. A temporary one stands in only where that is unset and all runs on this machine (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="textmill-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared folder and read again: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    prepared(spark)
-    path = f"{scratch_root(spark)}/textmill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    _made[path] = spark
-    out._textmill_path = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Deletes tables that written() has returned: nothing may be read from them any more."""
-    for t in tables:
-        _delete(t._textmill_path)
+    prepared(df.sparkSession)
+    return session.written(df, name)
 
 
 def sweep(spark: SparkSession) -> None:
@@ -73,24 +44,6 @@ def sweep(spark: SparkSession) -> None:
         time.sleep(0.2)
 
 
-def _delete(path: str) -> None:
-    spark = _made.pop(path, None)
-    try:
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # the session has ended
-        pass
-
-
-def clean_scratch() -> None:
-    """Deletes every table that written() has made; DataFrames built on them can't be used afterwards."""
-    for path in list(_made):
-        _delete(path)
-
-
-atexit.register(clean_scratch)
-
-
 def no_null_text(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
