@@ -200,6 +200,26 @@ def test_sources(spark, tmp_path, capsys):
     assert '"num_records": 2' in (tmp_path / "s.json").read_text()
 
 
+def test_lines_of_a_file_in_blocks(spark, tmp_path):
+    """Numbers go on from block to block, whichever tasks read them."""
+    said = [f"line {i} " + "x" * (i * 37 % 101) if i % 5 else "" for i in range(3000)]
+    for name in ("a.txt", "b.txt"):
+        (tmp_path / name).write_text("\n".join(said) + "\n")
+    (tmp_path / "r.jsonl").write_text("\r\n".join(f'{{"id": "{i}"}}' if i % 3 else "" for i in range(2000)))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+        got = tables.read_lines(spark, f"file://{tmp_path}/*.txt", keep_blank=True).collect()
+        records = tables.read_jsonl(spark, f"file://{tmp_path}/r.jsonl", spark.createDataFrame([], "id string").schema).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for name in ("a.txt", "b.txt"):
+        assert sorted((r.line_no, r.raw) for r in got if r.doc_id == name) == list(enumerate(said))
+    assert sorted((r.line_no, r.id) for r in records) == [(i + 1, str(i)) for i in range(2000) if i % 3]
+
+
 def test_write_splits(spark, tmp_path):
     df = spark.createDataFrame([("1", "train"), ("2", "dev"), ("3", "train"), ("4", None)], "id string, split string")
     tables.write_splits(df, f"{tmp_path}/s")

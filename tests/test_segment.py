@@ -178,3 +178,15 @@ def test_lookahead(spark):
     for gap, kept in ((6, True), (7, False)):
         got = run(spark, {"d9": ["a) item"] + ["text"] * gap + ["Verdict: yes"]})["d9"]
         assert (got[0][2] != "") == kept
+
+
+def test_long_sections(spark):
+    """A title of many lines is gathered once, not anew for each line."""
+    import time
+
+    n = 30_000
+    raw = ["Topic 1 x", *[f"part {i}" for i in range(n)], "Context", "a) Why?", "Verdict: yes"]
+    df = spark.createDataFrame([("d", i, x) for i, x in enumerate(raw)], "doc_id string, line_no int, raw string")
+    began = time.time()
+    rows = segment.segmented(df, Grammar()).collect()
+    assert [(r.topic, r.question, r.judgement) for r in rows] == [(" ".join(raw[1 : n + 1]), "a) Why?", "Yes")] and time.time() - began < 60

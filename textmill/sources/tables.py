@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textmill.session import small, written
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -44,10 +46,24 @@ def read_or_none(spark: SparkSession, path: str, **kw) -> DataFrame | None:
     return None
 
 
+def _numbered(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """path, name, no (from 0), line for each line of the files at path, of any size: files are read in blocks by many tasks.
+
+    A line's number is its place in its block, after the lines of its file's blocks before. Blocks depend on how a plan is run, so the
+    lines are written with theirs, once, and counted from there: one row for each block."""
+    m = F.col("_metadata")
+    read = spark.read.options(**options).text(path).select(m["file_path"].alias("path"), m["file_name"].alias("name"), m["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    kept = written(read, "lines")
+    blocks = kept.groupBy("path", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = blocks.select("path", "block", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("offset"))
+    return kept.join(small(offsets), ["path", "block"]).select("path", "name", (F.col("at") + F.col("offset")).cast("int").alias("no"), "line")
+
+
 def read_lines(spark: SparkSession, path: str, keep_blank: bool = False) -> DataFrame:
-    """doc_id (the file's name), line_no, raw for each line that isn't blank, in order."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("doc_id"), F.col("value").alias("text"))
-    return explode_lines(whole, keep_blank)
+    """doc_id (the file's name), line_no (from 0, blank lines counted), raw for each line that isn't blank."""
+    lines = _numbered(spark, path).select(F.col("name").alias("doc_id"), F.col("no").alias("line_no"), F.col("line").alias("raw"))
+    return lines if keep_blank else lines.filter(F.col("raw").rlike(r"(?U)\S"))
 
 
 def explode_lines(docs: DataFrame, keep_blank: bool = False) -> DataFrame:
@@ -58,9 +74,9 @@ def explode_lines(docs: DataFrame, keep_blank: bool = False) -> DataFrame:
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Records of a JSON Lines file, with line_no; a bad line is an error that names the file and line."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r\n|\n")).alias("i", "line"))
+    lines = _numbered(spark, path, lineSep="\n").withColumnsRenamed({"path": "file", "no": "i"})
     bad = "_bad"
-    parsed = whole.filter(F.col("line").rlike(r"(?U)\S")).withColumn("r", F.from_json("line", T.StructType([*schema.fields, T.StructField(bad, T.StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}))
+    parsed = lines.filter(F.col("line").rlike(r"(?U)\S")).withColumn("r", F.from_json("line", T.StructType([*schema.fields, T.StructField(bad, T.StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}))
     said = F.concat_ws(":", "file", (F.col("i") + 1).cast("string"), F.lit(" bad JSON"))
     checked = parsed.withColumn("line_no", F.when(F.col(f"r.{bad}").isNotNull(), F.raise_error(said).cast("int")).otherwise(F.col("i") + 1))
     return checked.select("line_no", *[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
