@@ -19,7 +19,7 @@ less than LEAST_ESTIMATE with a chance below 2e-6. Nothing is capped. Rows writt
 up to BLOCK of them, and grow by a BLOCK-th of the square in step 3 only.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing; fewer than five words
-are one shingle; a null id is linked with nothing; an id that occurs with different texts joins the components of its texts
+are one shingle; in near_duplicates() a null id is linked with nothing, in one_of_each() its row counts like others; an id that occurs with different texts joins the components of its texts
 in near_duplicates() (it is one document there), but not in one_of_each(), where each row is a text of its own.
 """
 
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import BoundedCache, discard, held, keyed_join, no_null_text, small, whole_runs, written
+from textmill.llm.common import BoundedCache, discard, held, keyed_join, no_null_text, prepared, small, whole_runs, written
 from textmill.llm.components import components
 
 WORDS = 5
@@ -105,10 +105,13 @@ def signatures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     return written(out.mapInArrow(rows, f"doc_id {kind}, text_key long, n_shingles long, set_key binary, sig binary"), "signatures")
 
 
-def classes_of(sig: DataFrame) -> DataFrame:
-    """node, set_key, id (the smallest of its documents), n (rows), size (shingles), sig of each distinct set."""
-    valid = sig.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-    c = valid.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"), F.min("n_shingles").cast("int").alias("size"), F.min("sig").alias("sig"))
+def classes_of(sig: DataFrame, unnamed: bool = False) -> DataFrame:
+    """node, set_key, id (the smallest of its documents), text_key (of that one's text), n (rows), size (shingles), sig of each distinct set.
+    unnamed: rows without an id count as well; a class of such rows alone has no id."""
+    valid = sig.filter(F.col("set_key").isNotNull() & (F.col("doc_id").isNotNull() | F.lit(unnamed)))
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key"))  # rows without an id come last
+    c = valid.groupBy("set_key").agg(least.alias("l"), F.count("*").alias("n"), F.min("n_shingles").cast("int").alias("size"), F.min("sig").alias("sig"))
+    c = c.select("set_key", F.col("l.doc_id").alias("id"), F.col("l.text_key").alias("text_key"), "n", "size", "sig")
     return written(c.select(F.monotonically_increasing_id().alias("node"), "*"), "classes")  # numbered once: what is written stays
 
 
@@ -209,8 +212,8 @@ def similar(pairs: DataFrame, classes: DataFrame, least: float = LEAST_ESTIMATE)
 
 
 def set_table(docs: DataFrame, need: DataFrame, repeated: bool) -> DataFrame:
-    """node, hashes (its set as sorted 64-bit integers) for the nodes of need (node, id, set_key), from docs (id, text); written to
-    the shared folder. repeated: ids may occur more than once."""
+    """node, hashes (its set as sorted 64-bit integers) for the nodes of need (node, id, text_key, set_key), from docs (id, text); written to
+    the shared folder. repeated: rows may share id and text."""
     import xxhash
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +227,8 @@ def set_table(docs: DataFrame, need: DataFrame, repeated: bool) -> DataFrame:
                     out.append(h.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(out, pa.binary())], names=["node", "hashes"])
 
-    some = docs.join(small(written(need, "needed")), "id").select("node", "text", "set_key")
+    n = small(written(need, "needed")).withColumnsRenamed({"id": "_id", "text_key": "_key"})
+    some = docs.join(n, (F.xxhash64("text") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id"))).select("node", "text", "set_key")
     sets = some.mapInArrow(rows, "node long, hashes binary")
     return written(sets.groupBy("node").agg(F.first("hashes").alias("hashes")) if repeated else sets, "sets")
 
@@ -237,7 +241,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, repeated: b
     """
     pairs = written(pairs, "candidates")
     salted = pairs.select("a", F.pmod(F.xxhash64("b"), F.lit(1 << 20)).cast("int").alias("salt"), "b")
-    need = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "id", "set_key")
+    need = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "id", "text_key", "set_key")
     sets = set_table(docs, need, repeated)
     fewer = salted.groupBy("a").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts"))
     salted = salted.join(fewer, "a").select("a", F.pmod("salt", F.col("parts")).alias("salt"), "b")
@@ -383,7 +387,7 @@ def linked(classes: DataFrame, docs: DataFrame, repeated: bool = False, block: i
         if name == "region" and not cut.limit(1).count():
             break
         live = screened(open_rows(rows.select(F.col(name).alias("group"), "node", "size"), roots, block), classes)
-        need = classes.join(live.select("node").distinct(), "node").select("node", "id", "set_key")
+        need = classes.join(live.select("node").distinct(), "node").select("node", "id", "text_key", "set_key")
         sets = set_table(docs, need, repeated)
         links = spanning(live, sets)
         discard(live, sets)
@@ -391,17 +395,17 @@ def linked(classes: DataFrame, docs: DataFrame, repeated: bool = False, block: i
     return roots
 
 
-def repeated_ids(sig: DataFrame) -> DataFrame:
+def repeated_ids(sig: DataFrame, unnamed: bool = False) -> DataFrame:
     """doc_id, several (has different sets) of the ids that more than one row has."""
-    valid = sig.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
+    valid = sig.filter(F.col("set_key").isNotNull() & (F.col("doc_id").isNotNull() | F.lit(unnamed)))
     ids = valid.groupBy("doc_id").agg(F.count("*").alias("n"), (F.min("set_key") != F.max("set_key")).alias("several"))
     return written(ids.filter(F.col("n") > 1).select("doc_id", "several"), "repeated-ids")
 
 
-def placed(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def placed(docs: DataFrame, id_column: str, text_column: str, unnamed: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """signatures(), the classes with their root and the smallest id of their component (set_key, n, root, first), and repeated_ids()."""
     sig = signatures(docs, id_column, text_column)
-    classes, again = classes_of(sig), repeated_ids(sig)
+    classes, again = classes_of(sig, unnamed), repeated_ids(sig, unnamed)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     roots = linked(classes, texts, bool(again.limit(1).count()))
     own = classes.select("node", "set_key", "id", "n").join(roots, "node", "left").select("set_key", "id", "n", F.coalesce("root", "node").alias("root"))
@@ -411,7 +415,9 @@ def placed(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of docs."""
+    """doc_id, n_shingles, component_id, kept for each row of docs: an empty table gives none, texts are taken whole, other columns are not read.
+    Rows without an id are linked with nothing."""
+    prepared(docs.sparkSession)
     sig, place, again = placed(docs, id_column, text_column)
     several = again.filter("several").select("doc_id")
     if several.limit(1).count():  # an id with different texts is one document
@@ -427,16 +433,19 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """docs with one row of each component: the smallest id, of its texts in the component the one with the smallest hash, of rows that
-    have both in common any one. Rows without words or without an id stay; all columns stay."""
-    sig, place, again = placed(docs, id_column, text_column)
-    rows = sig.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "text_key", "set_key")
+    """docs with one row of each component: the smallest id (rows without one come last and count like others), of its texts in the component the
+    one with the smallest hash, of rows that have both in common any one. Rows without words stay; all columns stay, whatever their names.
+    An empty table stays empty; texts are taken whole, however long."""
+    sig, place, again = placed(docs, id_column, text_column, unnamed=True)
+    rows = sig.filter(F.col("set_key").isNotNull()).select("doc_id", "text_key", "set_key")
     rows = written(keyed_join(rows, place.select("set_key", "n", "root"), "set_key", F.col("n")).select("doc_id", "text_key", "root"), "row-roots")
-    best = rows.groupBy("root").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key")).alias("best")).filter(F.col("n") > 1)
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key"))
+    best = rows.groupBy("root").agg(F.count("*").alias("n"), least.alias("best")).filter(F.col("n") > 1)
     best = written(best, "best-rows")
     some = keyed_join(rows, best, "root", F.col("n"), "inner")
-    gone = small(written(some.filter((F.col("doc_id") != F.col("best.doc_id")) | (F.col("text_key") != F.col("best.text_key"))).select("doc_id", "text_key").distinct(), "near-copies"))
-    mine = (F.col(f"d.{id_column}") == F.col("g.doc_id")) & (F.xxhash64(f"d.{text_column}") == F.col("g.text_key"))
+    other = ~F.col("doc_id").eqNullSafe(F.col("best.doc_id")) | (F.col("text_key") != F.col("best.text_key"))
+    gone = small(written(some.filter(other).select("doc_id", "text_key").distinct(), "near-copies"))
+    mine = F.col(f"d.{id_column}").eqNullSafe(F.col("g.doc_id")) & (F.xxhash64(f"d.{text_column}") == F.col("g.text_key"))
     left = docs.alias("d").join(gone.alias("g"), mine, "left_anti")
     if not again.limit(1).count():
         return left

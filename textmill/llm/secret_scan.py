@@ -18,8 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import no_null_text
-from textmill.session import ship
+from textmill.llm.common import held, no_null_text, prepared
 
 KINDS = ("assign", "access", "hex", "checked")
 BASE = KINDS[:3]
@@ -91,20 +90,13 @@ def redact(text: str, spans: list[Span]) -> str:
     return "".join([*out, text[at:]])
 
 
-_scanner: list[Scanner] = []
-
-
-def _the_scanner() -> Scanner:
-    if not _scanner:
-        _scanner.append(Scanner())
-    return _scanner[0]
-
-
 def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id and found (kind, start, end by start, then kind) for each row of docs."""
+    """doc_id and found (kind, start, end by start, then kind) for each row of docs: repeated rows have a row each, an empty table gives none,
+    and other columns of docs, whatever their names, are not read."""
+    prepared(docs.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = _the_scanner()
+        s = held(Scanner)
         spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for b in batches:
             found = [[dict(zip(("kind", "start", "end"), x, strict=True)) for x in s.spans(t)] for t in b.column(1).to_pylist()]
@@ -125,12 +117,12 @@ def digests(scanned: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """docs with the secrets in its texts replaced, and n_chars, where there is such a column, counted anew; all columns and rows stay. A null text stays null."""
-    ship(docs.sparkSession)
+    prepared(docs.sparkSession)
 
-    @F.pandas_udf("string")
-    def clean(texts):
-        s = _the_scanner()
-        return texts.map(lambda t: t if t is None else redact(t, s.spans(t)))
+    @F.arrow_udf("string")
+    def clean(texts: pa.Array) -> pa.Array:
+        s = held(Scanner)
+        return pa.array([t if t is None else redact(t, s.spans(t)) for t in texts.to_pylist()], pa.string())
 
     out = docs.withColumn(text_column, clean(F.col(text_column)))
     if "n_chars" in docs.columns:
