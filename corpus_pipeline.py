@@ -1,7 +1,7 @@
 """The corpus pipeline: stages over documents, each written and read again by the caller.
 
 Defined cases: a null or empty text fails the quality rules; rows without an id, and rows that share one, are rows of their own, and of equal or
-near-equal texts one row stays whatever its id; null languages and sources are a cell and a queue of their own; empty tables give no pieces;
+near-equal texts one row stays, whether it has an id or not; null languages and sources are a cell and a queue of their own; empty tables give no pieces;
 other columns, whatever their names, are kept up to the last stage.
 """
 
