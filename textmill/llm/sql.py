@@ -27,4 +27,12 @@ links AS (SELECT a, b FROM i JOIN k p ON a = p.doc_id JOIN k q ON b = q.doc_id W
 {COMPONENTS}
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, d.doc_id) AS component_id, coalesce(root, d.doc_id) = d.doc_id AS kept FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id LEFT JOIN roots ON d.doc_id = node"""
 
-SQL = {"op2_embedding_dup": OP2, "op5_chat": OP5, "op10_near_dup": OP10}
+OP13 = r"""WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = v.label AS same, v.vec_id, CAST(list_inner_product(a.e, v.e) AS BIGINT) AS score FROM v a JOIN v ON a.vec_id <> v.vec_id AND len(a.e) = len(v.e) WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score, row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS k
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 3"""
+
+SQL = {"op2_embedding_dup": OP2, "op5_chat": OP5, "op10_near_dup": OP10, "op13_hard_negatives": OP13}
