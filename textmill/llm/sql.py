@@ -35,4 +35,21 @@ n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.sc
 FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
 SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 3"""
 
-SQL = {"op2_embedding_dup": OP2, "op5_chat": OP5, "op10_near_dup": OP10, "op13_hard_negatives": OP13}
+# CRC-32 by its bits; a batch's number by day; a version dies in the first batch whose horizon has a later version of its client
+OP11 = r"""WITH crc AS (SELECT DISTINCT change_id, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(change_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+lambda acc, x: list_reduce(list_prepend(xor(acc, x), list_transform(range(8), lambda i: CAST(i AS BIGINT))), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, CAST(3988292384 AS BIGINT)) ELSE a >> 1 END)), CAST(4294967295 AS BIGINT)) % 4 AS shift FROM client_changes),
+d AS (SELECT DISTINCT * FROM client_changes WHERE valid_at IS NOT NULL),
+c AS (SELECT d.*, greatest(0, least(9, CAST(floor((date_diff('day', DATE '1970-01-01', CAST(valid_at AS DATE)) + coalesce(shift, 0) - 19723) * 10 / 152) AS BIGINT))) AS b FROM d LEFT JOIN crc ON d.change_id = crc.change_id),
+s AS (SELECT *, row_number() OVER () AS r, coalesce(greatest(0, least(9, CAST(floor((date_diff('day', DATE '1970-01-01', CAST(arrived_at AS DATE)) - 19723) * 10 / 152) AS BIGINT))), 9) AS b FROM sales),
+n AS (SELECT unnest(range(10)) AS b),
+w AS (SELECT n.b, (SELECT max(valid_at) FROM c WHERE c.b < n.b) - INTERVAL 36 HOUR AS wc, (SELECT max(sold_at) FROM s WHERE s.b < n.b) - INTERVAL 36 HOUR AS ws FROM n),
+h AS (SELECT b, wc, CASE WHEN wc IS NOT NULL AND ws IS NOT NULL THEN least(wc, ws) END AS h FROM w),
+v AS (SELECT c.*, row_number() OVER (ORDER BY c.valid_at, c.seq NULLS FIRST, c.change_id NULLS FIRST, floor(100 * c.balance + 0.5) NULLS FIRST, c.op NULLS FIRST) AS k FROM c JOIN h USING (b) WHERE h.wc IS NULL OR c.valid_at >= h.wc),
+dead AS (SELECT v.k, min(h.b) AS dead FROM v JOIN h ON h.b >= v.b AND v.valid_at <= h.h JOIN v u ON u.client_id = v.client_id AND u.k > v.k AND u.valid_at <= h.h AND u.b <= h.b GROUP BY v.k),
+live AS (SELECT v.*, coalesce(dead, 99) AS dead FROM v LEFT JOIN dead USING (k)),
+e AS (SELECT s.*, CASE WHEN sold_at IS NULL THEN s.b ELSE coalesce((SELECT min(h.b) FROM h WHERE h.b >= s.b AND s.sold_at < h.h), 10) END AS out FROM s),
+f AS (SELECT e.r, count(*) AS n_held, max(l.k) FILTER (l.valid_at <= e.sold_at) AS k FROM e JOIN live l ON l.client_id = e.client_id AND l.b <= e.out AND l.dead >= e.out GROUP BY e.r)
+SELECT 'sale' AS rec, e.sale_id AS id, CAST(e.out AS BIGINT) AS batch, coalesce(f.n_held, 0) AS n_held, live.change_id, CAST(floor(100 * live.balance + 0.5) AS BIGINT) AS balance_cents, live.op FROM e LEFT JOIN f ON e.r = f.r LEFT JOIN live ON live.k = f.k
+UNION ALL SELECT 'change', c.change_id, CAST(c.b AS BIGINT), NULL, NULL, NULL, NULL FROM c JOIN h USING (b) WHERE c.valid_at < h.wc"""
+
+SQL = {"op2_embedding_dup": OP2, "op5_chat": OP5, "op10_near_dup": OP10, "op11_enrichment": OP11, "op13_hard_negatives": OP13}
