@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import bpe, chat, embedding_dup, enrichment, hard_negatives, lm, near_dup, packing, pii, quality, secret_scan, token_counts
+from textmill.llm import bpe, chat, embedding_dup, enrichment, hard_negatives, html_text, lm, near_dup, packing, pii, quality, secret_scan, token_counts
 from textmill.llm.common import table, written
 from textmill.llm.sql import SQL  # noqa: F401
 
@@ -66,9 +66,13 @@ def op11_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrichment.enriched(table(spark, sf_dir, "sales"), table(spark, sf_dir, "client_changes"))
 
 
+def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_embedding_dup, op3_token_counts, op4_bpe, op5_chat, op6_secret_scan, op7_quality, op8_packing, op9_lm, op10_near_dup, op11_enrichment, op13_hard_negatives)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_embedding_dup, op3_token_counts, op4_bpe, op5_chat, op6_secret_scan, op7_quality, op8_packing, op9_lm, op10_near_dup, op11_enrichment, op12_html, op13_hard_negatives)}
