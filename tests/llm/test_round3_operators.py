@@ -148,11 +148,11 @@ def test_bounds_hold():
 
 
 def test_huge_components(spark):
-    """Scores beyond 64 bits are compared exactly and given as the nearest number."""
-    rows = [(0, 0, [3e15, 1.0]), (1, 0, [3e15, 0.0]), (2, 1, [2e15, 0.0]), (3, 1, [1e-3, 5.0])]
+    """A score beyond 64 bits counts as the nearest number."""
+    rows = [(0, 0, [3e15, 1.0]), (1, 0, [3e15, 0.0]), (2, 1, [9 / 256, 0.0]), (3, 1, [1e-3, 5.0]), (4, 1, [2e15, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
     got = [tuple(r) for r in hard_negatives.hard_negatives(df, F.col("vec_id") == 0).collect()]
-    assert got == [(0, 1, 1, 2, (1 << 63) - 1, (1 << 63) - 1)]
+    assert got == [(0, 1, 1, 2, (1 << 63) - 1, 9 * 256 * 3 * 10**15)]
 
 
 # pages
@@ -232,5 +232,5 @@ def test_odd_pages(spark, model):
     rows = [(1, None, None, "k"), (None, "u", "", "k"), (2, "u", "<nav><a href=x>Home</a></nav>", "k"), (2, "u", "<nav><a href=x>Home</a></nav>", "k"), (3, "u", "<article><h1>Title here.</h1>" + "<p>Some words of a text that is told at length.</p>" * 20_000 + "</article>", "k")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     got = sorted((r.page_id or 0, r.n_chars) for r in html_text.extracted(df, model).collect())
-    assert [g[0] for g in got] == [0, 1, 2, 2, 3] and [g[1] for g in got[:4]] == [0, 0, 0, 0] and got[4][1] == 11 + 20_000 * 46
+    assert [g[0] for g in got] == [0, 1, 2, 2, 3] and [g[1] for g in got[:4]] == [0, 0, 0, 0] and got[4][1] == 11 + 20_000 * 45
     assert html_text.extracted(df.filter("1 = 0"), model).collect() == []

@@ -16,7 +16,7 @@ ends, and a label of any size is spread over all blocks. A block gives an anchor
 Defined cases: rows whose id, label or vector is null, or that hold a null or non-finite component, take no part (nor do components so large that
 `scale` times them isn't finite); vectors of different lengths don't meet; rows are told apart by themselves, so a repeated anchor gives its answers
 again, and another row with an anchor's id counts as another row; anchors without positives, and windows without rows, give nothing, as an empty
-table does; other columns, whatever their names, are not read. Scores beyond 64 bits are compared exactly and given as the nearest 64-bit number.
+table does; other columns, whatever their names, are not read. A score beyond 64 bits counts as the nearest 64-bit number.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from textmill.llm.common import discard, prepared, whole_runs, written
 CELLS = 64
 SAMPLE = 4096
 ROWS, ANCHORS = 8192, 8192
-EXACT = float(1 << 53)
+EXACT, LARGEST = float(1 << 53), float(1 << 63)
 
 
 def usable(df: DataFrame, anchor: Column) -> DataFrame:
@@ -120,11 +120,11 @@ class Block:
         slack = 1e-12 * len(q) * self.largest * float(np.abs(q).max(initial=0.0))  # for sums that doubles can't hold
         out = []
         for t, spare in ((np.minimum(x, y), -slack), (np.maximum(x, y), slack)):
-            tables = (t[0::2, :, None] + t[1::2, None, :]).reshape(len(self.at), -1)
+            tables = (t[0::2, :, None] + t[1::2, None, :]).reshape(len(self.at), self.cells**2)
             total = np.full(part.stop - part.start, spare)
             for table, at in zip(tables, self.at, strict=True):
                 total += table.take(at[part])
-            out.append(total)
+            out.append(np.clip(total, -LARGEST, LARGEST))
         return out[0], out[1]
 
     def scores(self, q: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -132,12 +132,13 @@ class Block:
         if len(q) * self.largest * float(np.abs(q).max(initial=0.0)) < EXACT:
             return (self.vecs[rows] @ q).astype(np.int64)
         whole = [int(v) for v in q.tolist()]
-        return np.array([sum(int(a) * b for a, b in zip(v, whole, strict=True)) for v in self.vecs[rows].tolist()], object)
+        exact = (sum(int(a) * b for a, b in zip(v, whole, strict=True)) for v in self.vecs[rows].tolist())
+        return np.array([max(-(1 << 63), min((1 << 63) - 1, s)) for s in exact], np.int64)
 
 
 def best(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best, by score, then smaller id, then row."""
-    return np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], ids[i], rows[i]))[:k], int) if scores.dtype == object else np.lexsort((rows, ids, -scores))[:k]
+    return np.lexsort((rows, ids, ~scores))[:k]
 
 
 def kth(values: np.ndarray, k: int) -> float:
@@ -158,8 +159,6 @@ def _dealt(file: DataFrame, anchors: DataFrame, rows: int, per: int) -> DataFram
 
 def _answers(ends: dict[int, np.ndarray], positives: int, negatives: int, low: int, high: int, mine: bool):
     """A function of dealt rows that gives (anchor, anchor_id, place, positive_id, positive_score, row, other_id, score): the best rows of each block."""
-    clip = lambda s: max(-(1 << 63), min((1 << 63) - 1, int(s)))
-
     def of_anchor(block: Block, q: np.ndarray, label: int, row: int, ids: np.ndarray, rows: np.ndarray, wanted: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         own = block.of_label(label)
         if mine:
@@ -186,9 +185,7 @@ def _answers(ends: dict[int, np.ndarray], positives: int, negatives: int, low: i
             inside.append(open_ & (most >= kth(least[(least >= a) & (most <= z)], negatives)))
         some = np.logical_or.reduce(inside)
         s = np.zeros(len(may), np.int64)
-        got = block.scores(q, may[some])
-        s = s.astype(got.dtype)
-        s[some] = got
+        s[some] = block.scores(q, may[some])
         for (j, a, z), open_ in zip(live, inside, strict=True):
             hit = np.flatnonzero(open_ & (s >= a) & (s <= z))
             top = hit[best(s[hit], ids[may[hit]], rows[may[hit]], negatives)]
@@ -210,7 +207,7 @@ def _answers(ends: dict[int, np.ndarray], positives: int, negatives: int, low: i
                 for q, label, row, vec_id, pid, pscore in heads:
                     for j, at, scores in of_anchor(block, q, label, row, ids, rows, pscore or []):
                         n = len(at)
-                        for c, v in zip(out, ([row] * n, [vec_id] * n, [j] * n, [pid[j] if pid else None] * n, [pscore[j] if pscore else None] * n, rows[at].tolist(), ids[at].tolist(), [clip(x) for x in scores]), strict=True):
+                        for c, v in zip(out, ([row] * n, [vec_id] * n, [j] * n, [pid[j] if pid else None] * n, [pscore[j] if pscore else None] * n, rows[at].tolist(), ids[at].tolist(), scores.tolist()), strict=True):
                             c += v
             kinds_ = [pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 5]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds_, strict=True)], names=ANSWER)

@@ -136,14 +136,14 @@ class Reader:
             if m[1]:
                 if tag == "br":
                     say(" ")
-                if tag in BLOCKS:
+                if tag in BLOCKS and not hidden:
                     flush()
                 if open_.get(tag):
                     while stack[-1][0] != tag:
                         pop()
                     pop()
                 continue
-            if tag in BLOCKS:
+            if tag in BLOCKS and not hidden:
                 flush()
             elif tag == "br":
                 say(" ")
