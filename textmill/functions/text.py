@@ -72,7 +72,7 @@ NUMBERS = rf"{_RANGE}(?:[,.]{_RANGE})*+"
 def footnotes_general(g: Grammar | None = None) -> str:
     """A number glued to a lower-case letter or a closing mark, but not behind a unit or a name that carries numbers."""
     g = g or Grammar()
-    return rf"(?<!(?iu:{any_of(g.units)}))(?<!{any_of(g.numbered)})(?<=[\p{{Ll}})%\]”’»\"])({NUMBERS})"
+    return rf"(?=\d)(?<=[\p{{Ll}})%\]”’»\"])(?<!(?iu:{any_of(g.units)}))(?<!{any_of(g.numbered)})({NUMBERS})"
 
 
 def footnotes_acronym(g: Grammar) -> str:
@@ -125,10 +125,13 @@ def has_hyphen(c: Column) -> Column:
 
 
 def hyphen_words(c: Column) -> Column:
-    """The words around the first residual hyphen, without marks at their ends."""
-    found = F.regexp_extract(c, r"(?U)(\S*\p{Ll}-\s+\p{Ll}\S*)", 1)
-    words = F.transform(F.split(found, r"(?U)\s+"), lambda w: F.regexp_replace(w, r"^[^\p{L}\-]+|[^\p{L}\-]+$", ""))
-    return F.when(has_hyphen(c), F.array_join(words, " "))
+    """The words around the first residual hyphen, without marks at their ends. The hyphen is found first and the words are cut around it, so
+    a text of any length is read once."""
+    at = F.regexp_instr(c, F.lit(f"(?U){HYPHEN}"))
+    spaced = lambda x: F.translate(x, WHITE, " " * len(WHITE))
+    words = F.array(F.substring_index(spaced(F.substr(c, F.lit(1), at + 1)), " ", -1), F.substring_index(F.ltrim(spaced(F.substr(c, at + 2))), " ", 1))
+    trimmed = F.transform(words, lambda w: F.regexp_replace(w, r"^[^\p{L}\-]++|(?<![^\p{L}\-])[^\p{L}\-]++$", ""))
+    return F.when(has_hyphen(c), F.array_join(trimmed, " "))
 
 
 def strip_label(c: Column) -> Column:
