@@ -92,7 +92,7 @@ def horizons(rows: DataFrame) -> list[tuple[int, int]]:
 
 
 def dealt(rows: DataFrame, bucket: int = BUCKET, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """rows with bucket and hot, those of hot clients once for each cell that they are in; and the table of all buckets. Both are written."""
+    """rows with bucket and hot, those of hot clients once for each cell that they are in; and the table of all buckets, which is written."""
     per = rows.filter(F.col("client") != NEVER).groupBy("client").agg(F.count_if(F.col("kind") == SALE).alias("s"), F.count_if(F.col("kind") == CHANGE).alias("v")).filter(F.col("s") + F.col("v") > hot)
     of = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / hot)).cast("int")
     large = written(per.select("client", of("s").alias("ks"), of("v").alias("kv")), "hot-clients")
@@ -101,7 +101,7 @@ def dealt(rows: DataFrame, bucket: int = BUCKET, hot: int = HOT) -> tuple[DataFr
     own = F.pmod(F.when(F.col("client") == NEVER, F.xxhash64("row", "id")).otherwise(F.xxhash64("client")), F.lit(buckets)).cast("long")
     if not large.limit(1).count():
         out = rows.select(own.alias("bucket"), F.lit(False).alias("hot"), "*")
-        return written(out, "dealt"), written(rows.sparkSession.range(buckets).select(F.col("id").alias("bucket")), "buckets")
+        return out, written(rows.sparkSession.range(buckets).select(F.col("id").alias("bucket")), "buckets")
     cell = lambda i, j: F.xxhash64("client", i, j).bitwiseOR(F.lit(1 << 62))
     each = lambda k: F.sequence(F.lit(0), F.col(k) - 1)
     mark = lambda c, k: F.pmod(F.xxhash64(c), F.col(k)).cast("int")
@@ -110,7 +110,7 @@ def dealt(rows: DataFrame, bucket: int = BUCKET, hot: int = HOT) -> tuple[DataFr
     out = wide.select(F.col("ks").isNotNull().alias("hot"), F.posexplode(cells).alias("_copy", "bucket"), *rows.columns)
     out = out.withColumn("row", F.when((F.col("kind") == CHANGE) & (F.col("_copy") > 0), F.lit(-1)).otherwise(F.col("row"))).drop("_copy")  # one copy says whether it is late
     all_cells = large.select("client", "ks", F.explode(each("kv")).alias("i")).select("client", "i", F.explode(each("ks")).alias("j")).select(cell(F.col("i"), F.col("j")).alias("bucket"))
-    return written(out, "dealt"), written(rows.sparkSession.range(buckets).select(F.col("id").alias("bucket")).unionByName(all_cells), "buckets")
+    return out, written(rows.sparkSession.range(buckets).select(F.col("id").alias("bucket")).unionByName(all_cells), "buckets")
 
 
 def _packed(t: pa.Table) -> bytes:
@@ -320,7 +320,7 @@ def enriched(sales: DataFrame, changes: DataFrame, bucket: int = BUCKET, hot: in
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     out = combined(spark.read.schema(ANSWER).parquet(sink))
-    discard(rows, feed, buckets)
+    discard(rows, buckets)
     return out
 
 
