@@ -5,7 +5,9 @@ A line that ends with letters and a hyphen, and the next line that is not blank
 the document; where that doesn't decide, a vocabulary may say that the joined word is one. Candidates are decided on the
 lines as they were, so in a chain of broken lines each break is decided alone, from the left.
 
-All of it is windows within a document and joins on (document, word): nothing scans a text for each candidate.
+Candidates come first: a line counts as text by one look at its first character where that suffices, and of a document's words only those that
+are some candidate's get past one aggregation by (document, word), which notes beside each word whether a candidate asks for it and whether it
+stands in the document. Candidates are joined with these hits alone. Nothing scans a text for each candidate, and no shuffle or sort has all words.
 """
 
 from __future__ import annotations
@@ -14,15 +16,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.functions.patterns import Grammar
-from textmill.functions.text import WHITE, clean_line
+from textmill.functions.text import WHITE, clean_line, is_furniture, strip
+from textmill.session import written
 
 LEAST, MOST = 2, 20
 MARKS = r"[.,;:!?)\]»”\"]*"
 
 
+def is_text(raw: Column, g: Grammar | None = None) -> Column:
+    """Whether a line is neither blank nor page furniture: clean_line() leaves something of it. What begins with a letter or a digit and has no
+    control bytes is left as it is, so the patterns for the others aren't tried on it."""
+    plain = F.lit(True) if g is None else ~is_furniture(strip(raw), g)
+    return F.when(raw.rlike(r"(?U)^\s*+[\p{L}\p{N}][^\x07\x1f]*+$"), plain).otherwise((clean_line(raw, g) != "") & raw.rlike(r"(?U)\S"))
+
+
 def candidates(lines: DataFrame, g: Grammar | None = None) -> DataFrame:
     """doc_id, line_no, next_no, head, tail, marks for each broken word of lines (doc_id, line_no, raw)."""
-    full = lines.filter((clean_line(F.col("raw"), g) != "") & F.col("raw").rlike(r"(?U)\S"))
+    full = lines.filter(is_text(F.col("raw"), g))
     following = F.lead(F.struct("line_no", "raw")).over(Window.partitionBy("doc_id").orderBy("line_no"))
     d = full.withColumn("_next", following)
     head = F.regexp_extract(F.rtrim("raw", F.lit(WHITE)), r"(?<!\p{L})(\p{L}++)-$", 1)
@@ -33,19 +43,26 @@ def candidates(lines: DataFrame, g: Grammar | None = None) -> DataFrame:
 
 
 def document_words(lines: DataFrame) -> DataFrame:
-    """doc_id, word for the maximal runs of letters that can be a joined word, and the hyphenated pairs, that stand in each document."""
+    """doc_id, word for the runs of letters that can be a joined word, and the hyphenated pairs, in each line."""
     runs = F.filter(F.regexp_extract_all("raw", F.lit(r"\p{L}+"), F.lit(0)), lambda w: F.length(w).between(2 * LEAST, 2 * MOST))
-    pairs = F.when(F.contains("raw", F.lit("-")), F.regexp_extract_all("raw", F.lit(r"(?<![\p{L}-])(\p{L}++-\p{L}++)"), F.lit(1)))
-    words = F.concat(runs, F.coalesce(pairs, F.array().cast("array<string>")))
-    return lines.select("doc_id", F.explode(F.array_distinct(F.transform(words, F.lower))).alias("word")).distinct()
+    pairs = F.regexp_extract_all("raw", F.lit(r"(?<![\p{L}-])(\p{L}++-\p{L}++)"), F.lit(1))
+    words = F.when(F.contains("raw", F.lit("-")), F.concat(runs, pairs)).otherwise(runs)
+    return lines.select("doc_id", F.explode(F.when(F.lower("raw") == F.col("raw"), words).otherwise(F.transform(words, F.lower))).alias("word"))
+
+
+def hits(lines: DataFrame, asked: DataFrame) -> DataFrame:
+    """The (doc_id, word) of asked that stand in the document, once each."""
+    both = document_words(lines).withColumn("_asked", F.lit(False)).unionByName(asked.withColumn("_asked", F.lit(True)))
+    return both.groupBy("doc_id", "word").agg(F.bool_or("_asked").alias("_asked"), F.bool_and("_asked").alias("_only")).filter(F.col("_asked") & ~F.col("_only")).select("doc_id", "word")
 
 
 def decided(lines: DataFrame, g: Grammar | None = None, vocabulary: DataFrame | None = None) -> DataFrame:
-    """candidates() with has_joined, has_compound, merge. Both joins are on the key that the words are made distinct by, so that shuffle is made once."""
+    """candidates() with has_joined, has_compound, merge."""
     c = candidates(lines, g).withColumns({"_j": F.lower(F.concat("head", "tail")), "_c": F.lower(F.concat_ws("-", "head", "tail"))})
-    words = document_words(lines)
-    j = words.select(F.col("doc_id").alias("_jd"), F.col("word").alias("_jw"))
-    p = words.select(F.col("doc_id").alias("_pd"), F.col("word").alias("_pw"))
+    c = written(c, "broken-words")  # made once, asked twice
+    found = hits(lines, c.select("doc_id", F.explode(F.array("_j", "_c")).alias("word")))
+    j = found.filter(~F.contains("word", F.lit("-"))).select(F.col("doc_id").alias("_jd"), F.col("word").alias("_jw"))
+    p = found.filter(F.contains("word", F.lit("-"))).select(F.col("doc_id").alias("_pd"), F.col("word").alias("_pw"))
     c = c.join(j, (F.col("doc_id") == F.col("_jd")) & (F.col("_j") == F.col("_jw")), "left").join(p, (F.col("doc_id") == F.col("_pd")) & (F.col("_c") == F.col("_pw")), "left")
     c = c.withColumns({"has_joined": F.col("_jw").isNotNull(), "has_compound": F.col("_pw").isNotNull()})
     known: Column = F.lit(False)

@@ -86,6 +86,16 @@ def clean_scratch() -> None:
 
 atexit.register(clean_scratch)
 
+_for_life: dict[str, object] = {}
+
+
+def kept(key: str, make):
+    """make(), once in the life of a Python worker, whatever tasks and stages it serves: for models, which are dear to load."""
+    if key not in _for_life:
+        _for_life[key] = make()
+    return _for_life[key]
+
+
 #: Rows that small() broadcasts at most.
 SMALL_ROWS = 200_000
 
