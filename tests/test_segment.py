@@ -190,3 +190,53 @@ def test_long_sections(spark):
     began = time.time()
     rows = segment.segmented(df, Grammar()).collect()
     assert [(r.topic, r.question, r.judgement) for r in rows] == [(" ".join(raw[1 : n + 1]), "a) Why?", "Yes")] and time.time() - began < 60
+
+
+def by_sections(spark, docs, block, **kw):
+    df = spark.createDataFrame([(d, i, t) for d, ls in docs.items() for i, t in enumerate(ls)], "doc_id string, line_no int, raw string")
+    out = {}
+    for r in segment.segmented_in_sections(df.repartition(4), G, block=block, **kw).orderBy("doc_id", "row_no").collect():
+        out.setdefault(r.doc_id, []).append((r.row_no, r.guidebook, r.topic, r.subtopic, r.question, r.focus, r.judgement, r.evidence, r.considerations))
+    return out
+
+
+def test_sections_are_the_fold(spark):
+    """Cut at topics, with values carried over blocks of 9 lines, random documents give what the fold gives, in both readings."""
+    rnd = random.Random(12)
+    docs = {f"d{k}": [rnd.choice(POOL) for _ in range(rnd.randint(5, 200))] for k in range(250)}
+    for late in (False, True):
+        got = by_sections(spark, docs, 9, late_intervention=late)
+        for d, ls in docs.items():
+            want = [tidy(r) for r in fold(d, ls, late)]
+            assert [tuple(x.strip() for x in r[2:]) for r in got.get(d, [])] == [tuple(x.strip() for x in r) for r in want], (d, late, ls)
+            assert all(r[1] == d for r in got.get(d, []))
+    df = spark.createDataFrame([(d, i, t) for d, ls in docs.items() for i, t in enumerate(ls)], "doc_id string, line_no int, raw string")
+    whole = sorted(map(tuple, segment.segmented(df, G).collect()))
+    assert whole == sorted(map(tuple, segment.segmented_in_sections(df, G, block=16).collect()))
+
+
+def test_a_very_long_document(spark):
+    """A document of 150000 lines is cut into thousands of sections, and equals the fold."""
+    rnd = random.Random(13)
+    raw = [rnd.choice(POOL) for _ in range(150_000)]
+    got = by_sections(spark, {"d1": raw}, 4096)["d1"]
+    want = [tidy(r) for r in fold("d1", raw)]
+    assert [tuple(x.strip() for x in r[2:]) for r in got] == [tuple(x.strip() for x in r) for r in want]
+    numbers = [r[0] for r in got]
+    assert numbers == sorted(set(numbers))
+
+
+def test_blocks(spark):
+    """Places, carried values and counts by blocks equal those of one window."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from textmill.operators import blocks
+
+    d = spark.range(3000).select((F.col("id") % 3).alias("k"), F.when(F.col("id") % 7 != 0, F.xxhash64("id") % 1000).alias("o"), "id", F.when(F.xxhash64("id", F.lit(1)) % 5 == 0, F.col("id")).alias("v"))
+    d = d.withColumn("k", F.when(F.col("k") > 0, F.col("k")))
+    b = blocks.in_blocks(d, ["k"], ["o", "id"], 50)
+    b = blocks.counted(blocks.carried(b, F.col("v"), "last", ["k"]), F.col("v").isNotNull(), "n", ["k"])
+    w = Window.partitionBy("k").orderBy("o", "id")
+    want = d.select("id", (F.row_number().over(w) - 1).cast("long"), F.last("v", True).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.count("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    assert sorted(map(str, b.select("id", "_place", "last", "n").collect())) != [] and {tuple(r) for r in b.select("id", "_place", "last", "n").collect()} == {tuple(r) for r in want.collect()}

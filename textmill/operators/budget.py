@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.functions.text import is_nonblank
+from textmill.operators import blocks as by_blocks
 from textmill.operators import chunk
 from textmill.session import kept, ship, written
 
@@ -131,13 +132,7 @@ def _runs(tokens: pa.Array, alone: pa.Array, goal: pa.Array, state: pa.Array, be
 def grouped(rows: DataFrame, key: tuple[str, ...] = ("id", "field"), block: int = BLOCK) -> DataFrame:
     """key, para, piece, text: consecutive pieces of a paragraph (key, para, sent, goal, item) packed to its goal, as chunk.packed() packs them."""
     k = [*key, "para"]
-    # a piece's place in its paragraph, without one task seeing a whole text: places in a range partition behind the counts of those before
-    numbered = written(rows.repartitionByRange(*k, "sent").sortWithinPartitions(*k, "sent").select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_at")), "pieces")
-    per = numbered.groupBy(*k, "_p").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
-    w = Window.partitionBy(*k).orderBy("_p")
-    per = per.select(*k, "_p", (F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.col("_first")).alias("_offset"))
-    same = lambda a, b, names: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in names]
-    at = numbered.alias("a").join(per.alias("b"), same("a", "b", [*k, "_p"])).select("a.*", (F.col("_at") + F.col("_offset")).alias("_place"))
+    at = by_blocks.placed(rows, k, ["sent"], "pieces")
     blocks = at.groupBy(*k, F.floor(F.col("_place") / block).alias("block")).agg(F.min("goal").alias("goal"), F.array_sort(F.collect_list(F.struct("_place", "item"))).alias("_items"))
     blocks = blocks.select(*k, "block", "goal", F.transform("_items", lambda x: x["item"]).alias("items"))
     blocks = written(blocks.withColumn("n_blocks", F.count("*").over(Window.partitionBy(*k))), "piece-blocks")
@@ -152,7 +147,7 @@ def grouped(rows: DataFrame, key: tuple[str, ...] = ("id", "field"), block: int
     step = lambda a, x: F.concat(a, F.array(F.struct(F.get(x["t"]["state"], F.element_at(a, -1)["state"]).alias("state"), (F.element_at(a, -1)["begun"] + F.get(x["t"]["begun"], F.element_at(a, -1)["state"])).alias("begun"))))
     entries = steps.groupBy(*k).agg(ordered.alias("_o"), begin.alias("_b"))
     entries = entries.select(*k, F.posexplode(F.aggregate("_o", F.array("_b"), step)).alias("block", "e"))
-    placed = many.alias("a").join(entries.alias("b"), [*same("a", "b", k), F.col("a.block") == F.col("b.block")]).select("a.*", "e")
+    placed = many.alias("a").join(entries.alias("b"), [by_blocks.same("a", "b", [*k, "block"])]).select("a.*", "e")
     runs = placed.select(*k, F.posexplode(F.arrays_zip("items", runs_of(tokens, alone, F.col("goal").cast("int"), F.col("e.state"), F.col("e.begun")).alias("run"))).alias("_i", "x"), "block")
     runs = runs.select(*k, F.col("x.run").cast("int").alias("piece"), F.struct("block", "_i", F.col("x.items.text").alias("t")).alias("x"))
     joined = runs.groupBy(*k, "piece").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["t"]), " ").alias("text"))

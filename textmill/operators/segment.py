@@ -2,8 +2,9 @@
 
 A line is an umbrella's, else a sub-question's, else a topic's, else plain; each layer is the last event that a line of the
 layers below can see, so no state runs over lines. Plain lines open questions and labels and fill answers. Each flush
-begins a new row, so a row's number is a running count, and its fields are gathered by it. Everything is partitioned by document:
-a task holds one document's lines.
+begins a new row, so a row's number is a running count, and its fields are gathered by it. segmented() partitions by document: a task holds one
+document's lines. segmented_in_sections() takes documents of any length: it finds the topics' first lines by values carried over blocks of lines, cuts
+documents there, where but three things go on (a heading that waits for its question, and two counts), and hands these on over one row a section.
 
 Choices where sources differ: the intervention heading before a question belongs to it and not to the row before
 (`late_intervention` restores that); a label directly behind a label keeps the mode from before both; a boundary line that also has an
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 
 from textmill.functions.patterns import Grammar
 from textmill.functions.text import capitalised, clean_line, cut_narration, is_bullet, strip_footnotes
-from textmill.session import small
+from textmill.operators import blocks as by_blocks
+from textmill.session import small, written
 
 LOOKAHEAD = 8
 
@@ -62,11 +64,12 @@ def _last(value: Column, here: bool = False) -> Column:
     return carried(value, here=here)
 
 
-def real_items(lines: DataFrame, g: Grammar) -> DataFrame:
+def real_items(lines: DataFrame, g: Grammar, key: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """lines with `lettered` (its shape) and `item`: lettered, and a judgement stands within LOOKAHEAD lines, itself included, before the next lettered one."""
+    w = Window.partitionBy(*key).orderBy("line_no")
     d = lines.withColumns({"lettered": _has(g.lettered), "_j": _marker(g.judgement)})
-    j = F.min(F.when(F.col("_j"), F.col("line_no"))).over(_doc().rowsBetween(0, LOOKAHEAD - 1))
-    b = F.min(F.when(F.col("lettered"), F.col("line_no"))).over(_doc().rowsBetween(1, LOOKAHEAD - 1))
+    j = F.min(F.when(F.col("_j"), F.col("line_no"))).over(w.rowsBetween(0, LOOKAHEAD - 1))
+    b = F.min(F.when(F.col("lettered"), F.col("line_no"))).over(w.rowsBetween(1, LOOKAHEAD - 1))
     return d.withColumns({"_jn": j, "_bn": b}).withColumn("item", F.col("lettered") & F.col("_jn").isNotNull() & (F.col("_bn").isNull() | (F.col("_jn") < F.col("_bn")))).drop("_j", "_jn", "_bn")
 
 
@@ -94,24 +97,33 @@ def boundaries(lines: DataFrame, g: Grammar) -> DataFrame:
     return begins(lines, titles, sorted({len(t) for _, t in g.boundaries if t}))
 
 
-def orphan_titles(lines: DataFrame, g: Grammar) -> DataFrame:
+def orphan_titles(lines: DataFrame, g: Grammar, name: Column | None = None) -> DataFrame:
     """lines with _ot and _os: the topic and subtopic registered for a document's nth (column `orphan`, from 0) heading without a topic; null for other lines."""
     if not g.orphans:
         return lines.withColumns({"_ot": F.lit(None).cast("string"), "_os": F.lit(None).cast("string")})
     table = lines.sparkSession.createDataFrame(list(g.orphans), "_od string, _on int, _ot string, _os string")
-    on = (F.col("doc_id").cast("string") == F.col("_od")) & (F.col("orphan") == F.col("_on"))
+    on = ((F.col("doc_id") if name is None else name).cast("string") == F.col("_od")) & (F.col("orphan") == F.col("_on"))
     return lines.join(F.broadcast(table), on, "left").drop("_od", "_on")  # configuration
 
 
-def classified(lines: DataFrame, g: Grammar) -> DataFrame:
-    """lines with the layer that takes each (`rule`) and the events that the fields are made of."""
-    d = boundaries(real_items(lines, g), g)
-    d = d.withColumns({
+def looked_at(lines: DataFrame, g: Grammar, key: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """lines with what each shows by itself and the lines behind it."""
+    d = boundaries(real_items(lines, g, key), g)
+    return d.withColumns({
         "us": _has(g.umbrella_start), "ue": _has(g.umbrella_end), "nar": _marker(g.narration), "ss": _has(g.sub_start), "cx": _has(g.context), "ts": _has(g.topic_start),
         "lab": _has(g.label), "low": F.col("text").rlike(r"^\p{Ll}"), "heading": _has(g.intervention) | (F.col("text").isin(*g.pairs) if g.pairs else F.lit(False)),
         "mark": F.when(_marker(g.judgement), "judgement").when(_marker(g.evidence), "evidence").when(_marker(g.considerations), "considerations"),
-        "next_item": ahead(F.col("lettered")),
+        "next_item": ahead(F.col("lettered"), key),
     })
+
+
+def classified(lines: DataFrame, g: Grammar) -> DataFrame:
+    """lines with the layer that takes each (`rule`) and the events that the fields are made of."""
+    return ruled(looked_at(lines, g), g)
+
+
+def ruled(d: DataFrame, g: Grammar) -> DataFrame:
+    """classified() of looked_at()."""
     # 1: a heading before an item
     d = d.withColumn("r1", F.col("heading") & F.col("next_item"))
     # umbrella
@@ -193,19 +205,58 @@ def _read(rows: DataFrame, sections: DataFrame, title: str) -> DataFrame:
 
 def segmented(lines: DataFrame, g: Grammar, late_intervention: bool = False) -> DataFrame:
     """Records of lines (doc_id, line_no, raw): doc_id, row_no, guidebook, topic, subtopic, question, focus, judgement, evidence, considerations."""
-    d = classified(cleaned(lines, g), g)
-    rule = F.col("rule")
-    is_ = lambda *n: rule.isin(*n)
-    reset = is_(2, 6, 9, 14, 18)
+    return records(classified(cleaned(lines, g), g), g, late_intervention)
+
+
+def _is(*n: int) -> Column:
+    return F.col("rule").isin(*n)
+
+
+RESET = (2, 6, 9, 14, 18)
+
+
+def _waiting() -> Column:
+    """A heading that waits for its question from this line on, or that none does."""
+    return F.when(_is(1), F.struct(F.col("text").alias("v"))).when(_is(15, 20, 23), F.struct(F.lit(None).cast("string").alias("v")))
+
+
+def segmented_in_sections(lines: DataFrame, g: Grammar, late_intervention: bool = False, block: int = by_blocks.BLOCK) -> DataFrame:
+    """segmented(), where a task holds the lines of a section (up to the next topic) or of a block, and never a whole document."""
+    key = ["doc_id"]
+    d = by_blocks.in_blocks(cleaned(lines, g), key, ["line_no"], block)
+    d = looked_at(by_blocks.with_next(d, LOOKAHEAD, block), g, ("doc_id", "_block")).filter("_own").drop("_own")
+    d = written(d, "looked-at")
+    # where the umbrella and the sub-question are open, as ruled() has it
+    r1 = F.col("heading") & F.col("next_item")
+    u = by_blocks.carried(d, F.when(~r1, F.when(F.col("us"), 1).when(F.col("ue"), 0)), "_u", key)
+    left = ~r1 & ~F.col("us") & ((F.coalesce("_u", F.lit(0)) == 0) | F.col("ue"))
+    s = by_blocks.carried(u, F.when(left, F.when(F.col("ss"), 1).when(F.col("cx"), 0)), "_s", key)
+    topic = left & ~F.col("ss") & F.col("ts") & (F.coalesce("_s", F.lit(0)) == 0)
+    cut = by_blocks.counted(s, topic, "_section", key).drop("_u", "_s", "_place", "_block")
+    d = written(ruled(cut.withColumn("doc_id", F.struct("doc_id", "_section")).drop("_section"), g), "ruled")
+    # what goes on behind a cut, by one row a section
+    ends = d.groupBy("doc_id").agg(F.max_by(_waiting(), F.when(_waiting().isNotNull(), F.col("line_no"))).alias("_w"), F.count_if(_is(*RESET, 15, 16)).alias("_n"), F.count_if(_is(14)).alias("_o"))
+    before = Window.partitionBy("doc_id.doc_id").orderBy("doc_id._section").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(F.col("doc_id").alias("_d"), F.last("_w", ignorenulls=True).over(before).alias("_waits"), *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(to) for c, to in (("_n", "_rows"), ("_o", "_orphans"))))
+    d = d.join(small(written(ends, "sections")), F.col("doc_id").eqNullSafe(F.col("_d"))).drop("_d")
+    return records(d, g, late_intervention, cut=True)
+
+
+def records(d: DataFrame, g: Grammar, late_intervention: bool = False, cut: bool = False) -> DataFrame:
+    """The records of classified lines. cut: doc_id is (doc_id, _section), and lines have what goes on behind a cut."""
+    is_, reset = _is, _is(*RESET)
+    name = F.col("doc_id.doc_id" if cut else "doc_id")
+    if cut:
+        d = d.withColumn("orphan", F.col("orphan") + F.col("_orphans"))
     d = d.withColumns({"row": counted(reset | is_(15, 16)), "q": counted(reset | is_(15))})
     # the collecting layers: lines carry the number of the section that a title is the text of, and the rows fetch the text in the end
     d = d.withColumns({"u_no": counted(is_(2)), "s_no": counted(is_(6)), "t_no": counted(is_(9))})
     sections = _sections(d)
     section = Window.partitionBy("doc_id", "u_no").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("u_divided", F.coalesce(F.max(F.when(is_(4) & F.col("nar"), 1)).over(section), F.lit(0)) == 1)
-    d = orphan_titles(d, g)
+    d = orphan_titles(d, g, name)
     empty = F.lit("")
-    d = d.withColumn("pending", _last(F.when(is_(1), F.struct(F.col("text").alias("v"))).when(is_(15, 20, 23), F.struct(F.lit(None).cast("string").alias("v")))))
+    d = d.withColumn("pending", F.coalesce(_last(_waiting()), *([F.col("_waits")] if cut else [])))
     # a line's own event, then the last one up to it: a close of the umbrella comes before what the line does else
     topic = F.when(is_(14), _title(value=F.coalesce("_ot", empty))).when(is_(10, 11) | F.col("t_cut"), _title("t")).when(F.col("u_close"), _title("u"))
     divided = F.when(is_(9, 14), False).when(is_(11), True).when(F.col("u_close"), F.col("u_divided"))
@@ -222,7 +273,7 @@ def segmented(lines: DataFrame, g: Grammar, late_intervention: bool = False) ->
     d = d.withColumns({"field": field, "said": said})
     part = lambda f: F.array_sort(F.collect_list(F.when(F.col("field") == f, F.struct("line_no", "said"))))
     end = lambda c: F.max_by(c, "line_no").alias(c)
-    rows = d.groupBy("doc_id", "q", "row").agg(*[part(f).alias(f) for f in ("question", "label", *ANSWERS)], end("topic"), end("divided"), end("sub"), end("intervention"))
+    rows = d.groupBy("doc_id", "q", "row").agg(*[part(f).alias(f) for f in ("question", "label", *ANSWERS)], end("topic"), end("divided"), end("sub"), end("intervention"), (F.first("_rows") if cut else F.max(F.lit(0))).alias("_rows"))
     text = lambda c: F.array_join(F.transform(c, lambda x: x["said"]), " ")
     by_question = Window.partitionBy("doc_id", "q").orderBy("row")
     rows = rows.withColumns({"question": F.trim(text(F.flatten(F.collect_list("question").over(by_question.rowsBetween(Window.unboundedPreceding, 0))))), "label": F.trim(text(F.col("label")))})
@@ -234,9 +285,9 @@ def segmented(lines: DataFrame, g: Grammar, late_intervention: bool = False) ->
     by_sub = F.coalesce("divided", F.lit(False)) & (F.col("sub") != "")
     answer = lambda c: capitalised(strip_footnotes(text(F.col(c)), g)).alias(c)
     return rows.select(
-        "doc_id",
-        F.col("row").cast("long").alias("row_no"),
-        F.col("doc_id").cast("string").alias("guidebook"),
+        name.alias("doc_id"),
+        (F.col("row") + F.col("_rows")).cast("long").alias("row_no"),
+        name.cast("string").alias("guidebook"),
         cut_narration(F.col("topic"), g).alias("topic"),
         F.when(by_sub, F.col("sub")).otherwise(F.coalesce("intervention", empty)).alias("subtopic"),
         "question",
