@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.text import is_nonblank, length_ratio, strip
+from textmill.operators.blocks import same
+from textmill.operators.ranks import medians
+from textmill.session import written
 
 FLOOR, SHORTEST, WORST, EXCERPT, FAILURES = 0.30, 40, 20, 200, 20
 
@@ -42,7 +45,10 @@ def gate_totals(checked: DataFrame) -> DataFrame:
     """field, n, n_empty, n_truncated, n_pending, and the median and least ratio of what isn't empty."""
     of = lambda s: F.count_if(F.col("status") == s)
     ratio = F.when(F.col("status") != "EMPTY", F.col("ratio"))
-    return checked.groupBy("field").agg(F.count("*").alias("n"), of("EMPTY").alias("n_empty"), of("truncated").alias("n_truncated"), of("pending").alias("n_pending"), F.median(ratio).alias("median_ratio"), F.min(ratio).alias("min_ratio"))
+    checked = written(checked.select("field", "status", "ratio"), "checked")
+    out = checked.groupBy("field").agg(F.count("*").alias("n"), of("EMPTY").alias("n_empty"), of("truncated").alias("n_truncated"), of("pending").alias("n_pending"), F.min(ratio).alias("min_ratio"))
+    m = medians(checked, ratio, ["field"])
+    return out.alias("a").join(m.alias("b"), same("a", "b", ["field"]), "left").select("a.field", "n", "n_empty", "n_truncated", "n_pending", F.col("median").alias("median_ratio"), "min_ratio")
 
 
 def failed(checked: DataFrame) -> DataFrame:
@@ -70,10 +76,14 @@ def quality_pairs(source: DataFrame, target: DataFrame, fields: list[str], key:
 
 
 def quality_summary(scored: DataFrame, score: str = "qe_score") -> DataFrame:
-    """field (null: all), n, mean, median, min, max, stdev (0 for one): one aggregation by grouping sets."""
+    """field (null: all), n, mean, median, min, max, stdev (0 for one): one aggregation by grouping sets, and medians by selection."""
     c = F.col(score)
+    scored = written(scored.select("field", score), "scored")
     by = scored.groupingSets([[F.col("field")], []], F.col("field"))
-    return by.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.median(c).alias("median"), F.min(c).alias("min"), F.max(c).alias("max"), F.coalesce(F.stddev_samp(c), F.when(F.count(c) == 1, F.lit(0.0))).alias("stdev"))
+    out = by.agg(F.grouping("field").alias("_all"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.min(c).alias("min"), F.max(c).alias("max"), F.coalesce(F.stddev_samp(c), F.when(F.count(c) == 1, F.lit(0.0))).alias("stdev"))
+    each = scored.select("field", score, F.lit(0).cast("byte").alias("_all")).unionByName(scored.select(F.lit(None).cast(scored.schema["field"].dataType).alias("field"), score, F.lit(1).cast("byte").alias("_all")))
+    m = medians(each, c, ["field", "_all"])
+    return out.alias("a").join(m.alias("b"), same("a", "b", ["field", "_all"]), "left").select("a.field", "n", "mean", "median", "min", "max", "stdev")
 
 
 def worst(scored: DataFrame, score: str = "qe_score", order: tuple[str, ...] = ("id", "field"), k: int = WORST) -> DataFrame:
