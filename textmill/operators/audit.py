@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.text import has_hyphen, has_leak, hyphen_words, is_nonblank, sentence_count, token_count, word_count
+from textmill.sources.stages import StageTable
 
 
 def presence(rows: DataFrame, optional: list[str], mandatory: list[str], by: list[str] = ()) -> DataFrame:
@@ -81,6 +82,36 @@ def report(counters: dict[str, dict[str, float]], spark) -> DataFrame:
     return spark.createDataFrame(rows, "ord int, section string, key string, value double")
 
 
+class Run:
+    """Counters of a run's stages, gathered in the stages' own pass: each stage's rows are observed as they are written, so a report scans nothing."""
+
+    def __init__(self) -> None:
+        self._stages: list[tuple[str, Observation, list[str]]] = []
+
+    def stage(self, section: str, df: DataFrame, to: StageTable, **counters: Column) -> DataFrame:
+        """df written as a new version of a stage table and read again, with `rows` and counters (aggregates over df's rows) noted under the section."""
+        seen = Observation()
+        of = {"rows": F.count(F.lit(1)), **counters}
+        version = to.write(df.observe(seen, *[F.coalesce(c.cast("double"), F.lit(0.0)).alias(k) for k, c in of.items()]))
+        self._stages.append((section, seen, list(of)))
+        return to.read(version)
+
+    def counters(self) -> dict[str, dict[str, float]]:
+        """What each stage has noted, in the order of the stages; `removed` is what a stage has less than the one before."""
+        out: dict[str, dict[str, float]] = {}
+        before = None
+        for section, seen, keys in self._stages:
+            got = seen.get
+            out[section] = {k: got[k] for k in keys}
+            if before is not None:
+                out[section]["removed"] = before - got["rows"]
+            before = got["rows"]
+        return out
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        return report(self.counters(), spark)
+
+
 def phase_report(before: DataFrame, after: DataFrame, mandatory: list[str], optional: list[str], fields: list[str]) -> DataFrame:
     """Completeness and totals of two snapshots as phase, key, value: one plan over both."""
     both = before.withColumn("phase", F.lit("before")).unionByName(after.withColumn("phase", F.lit("after")))

@@ -9,6 +9,7 @@ from textmill.functions.text import is_nonblank, length_ratio, strip
 from textmill.operators.blocks import same
 from textmill.operators.ranks import medians
 from textmill.session import written
+from textmill.sources.stages import StageTable
 
 FLOOR, SHORTEST, WORST, EXCERPT, FAILURES = 0.30, 40, 20, 200, 20
 
@@ -60,14 +61,35 @@ def failures(checked: DataFrame, key: str = "id", most: int = FAILURES) -> DataF
     return failed(checked).orderBy(key, "field").limit(most)
 
 
-def check_gate(checked: DataFrame, parity: DataFrame, key: str = "id") -> None:
-    """An error that names the first failures and counts the others, if there is any."""
+def gate_error(checked: DataFrame, parity: DataFrame, key: str = "id") -> str | None:
+    """What check_gate() says, or None if all is well. checked should be written: it is read twice."""
     p = parity.first()
     bad = failures(checked, key).collect()
-    if bad or p["missing_in_target"] or p["missing_in_source"]:
-        more = failed(checked).count() - len(bad) if len(bad) == FAILURES else 0
-        said = [f"{r[key]} {r['field']} {r['status']} {r['ratio']:.0%}" for r in bad] + ([f"and {more} more"] if more else [])
-        raise ValueError(f"missing in target {p['missing_in_target']}, in source {p['missing_in_source']}; " + "; ".join(said))
+    if not (bad or p["missing_in_target"] or p["missing_in_source"]):
+        return None
+    more = failed(checked).count() - len(bad) if len(bad) == FAILURES else 0
+    said = [f"{r[key]} {r['field']} {r['status']} {r['ratio']:.0%}" for r in bad] + ([f"and {more} more"] if more else [])
+    return f"missing in target {p['missing_in_target']}, in source {p['missing_in_source']}; " + "; ".join(said)
+
+
+def check_gate(checked: DataFrame, parity: DataFrame, key: str = "id") -> DataFrame:
+    """An error that names the first failures and counts the others, if there is any; else the checked rows. The gate's plan runs once: what it has found is written, and read for the failures."""
+    kept = written(checked, "gate")
+    if error := gate_error(kept, parity, key):
+        raise ValueError(error)
+    return kept
+
+
+def gated(checked: DataFrame, parity: DataFrame, to: StageTable, side: StageTable, key: str = "id") -> int:
+    """checked as a new version of the stage table `to`, if the gate passes. If not, `to` stays as it is, all failures are a new version of `side`, and the error is check_gate's.
+    The gate's plan runs once, as it is written; the assertion is made on what was written, before it can be read as a version."""
+
+    def check(rows: DataFrame) -> None:
+        if error := gate_error(rows, parity, key):
+            side.write(failed(rows))
+            raise ValueError(error)
+
+    return to.write(checked, check)
 
 
 def quality_pairs(source: DataFrame, target: DataFrame, fields: list[str], key: str = "id", shortest: int = 1) -> DataFrame:

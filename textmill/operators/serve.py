@@ -106,3 +106,14 @@ def served(texts: DataFrame, loader: Loader, text: str = "text", out: str = "tex
     done = made.filter(F.col(ERROR).isNull()).select(*texts.columns, *([out] if out not in texts.columns else []))
     failed = made.filter(F.col(ERROR).isNotNull()).select(*(c for c in columns if c != "error"), F.col(ERROR).alias("error"))
     return Served(done, failed, made.groupBy(F.col(MODEL).alias("model")).agg(F.count("*").alias("rows")))
+
+
+def failing_stub() -> Callable[[list[str], int], list[str]]:
+    """A deterministic stand-in that can't do texts with "the" in them: each word reversed."""
+
+    def run(texts: list[str], most: int) -> list[str]:
+        if any("the" in t for t in texts):
+            raise ValueError("a text with the")
+        return [" ".join(w[::-1] for w in t.split(" ")) for t in texts]
+
+    return run

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from textmill.functions import text as T
 from textmill.functions.names import inserted
 from textmill.functions.patterns import Grammar
-from textmill.operators import audit, chunk, curate, hyphen, model, parallel, publish, segment
+from textmill.operators import audit, budget, chunk, curate, hyphen, model, parallel, publish, segment, serve
 from textmill.operators import split as splits
 from textmill.session import new_path
 from textmill.sources import tables
+from textmill.sources.stages import StageTable
 from textmill.sources.tables import explode_lines
 
 G = Grammar()
@@ -455,11 +456,24 @@ u AS (SELECT *, CASE WHEN regexp_matches(said, '\p{L}') THEN regexp_extract(said
 SELECT CAST(conv_id AS VARCHAR) AS doc_id, CAST(part AS BIGINT) AS row_no, CAST(conv_id AS VARCHAR) AS guidebook, coalesce(topic, '') AS topic, '' AS subtopic, coalesce(question, '') AS question, '' AS focus, said_ AS judgement, said_ AS evidence, considerations FROM u""")
 def segment_guides(spark, sf_dir):
     """Conversations as guides: system turns are topics, user turns lettered questions, assistant turns answers."""
+    return segment.segmented(_guides(spark, sf_dir), G)
+
+
+SQL["segment_sections"] = SQL["segment_guides"]
+
+
+@query()
+def segment_sections(spark, sf_dir):
+    """The same guides, cut at their topics, with values carried over blocks of lines: no task holds a document."""
+    return segment.segmented_in_sections(_guides(spark, sf_dir), G)
+
+
+def _guides(spark, sf_dir):
     c = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.regexp_replace("text", r"\s+", " ").alias("text"))
     r, t = F.col("role"), F.col("text")
     made = F.when(r == "system", F.array(F.concat(F.lit("Topic 1 "), t), t, F.lit("Context"))).when(r == "user", F.array(F.concat(F.lit("a) "), t))).otherwise(F.array(F.concat(F.lit("Verdict: "), t), F.concat(F.lit("Evidence 1: "), t), F.lit("Considerations: None")))
     d = c.select(F.col("conv_id").cast("string").alias("doc_id"), "turn", F.posexplode(made).alias("p", "raw"))
-    return segment.segmented(d.select("doc_id", (F.col("turn") * 4 + F.col("p")).alias("line_no"), "raw"), G)
+    return d.select("doc_id", (F.col("turn") * 4 + F.col("p")).alias("line_no"), "raw")
 
 
 @query("SELECT id, split, lang FROM (SELECT 'd_' || doc_id AS id, CASE doc_id % 3 WHEN 0 THEN 'test' ELSE 'train' END AS split, lang FROM documents)")
@@ -694,3 +708,49 @@ def composites_rebuilt(spark, sf_dir):
     r = p.select("p_partkey", F.when(F.col("p_size") % 2 == 0, "guide").alias("guidebook"), F.col("p_name").alias("topic"), F.lit(" ").alias("subtopic"), F.col("p_type").alias("question"), F.lit("").alias("focus"), F.col("p_brand").alias("judgement"), F.col("p_brand").alias("evidence"), F.col("p_size").cast("string").alias("considerations")).withColumns(old)
     labels = model.translated_labels(G.justification_labels, model.stub_translator)
     return model.rebuilt_composites(r, G, "en", labels=labels).select("p_partkey", *old)
+
+
+COLONS = "SELECT doc_id AS id, $$text$$ AS field, replace(replace(text, chr(10), chr(10) || chr(10)), ', ', ': ') AS text FROM documents"
+
+
+@query(f"WITH {_chunks_sql(COLONS, 60)} SELECT id, field, CAST(para AS BIGINT) AS para, CAST(piece AS BIGINT) AS piece, text FROM chunks")
+def plan_by_counter(spark, sf_dir):
+    """Chunks by the lengths that a counter in the workers gives, as a tokenizer would; colons stand where the texts have commas, so sentences are cut as tables."""
+    texts = _texts(spark, sf_dir).withColumn("text", F.replace("text", F.lit(", "), F.lit(": ")))
+    out = budget.planned(texts, budget.white_space_counter, 60)
+    return out.select("id", "field", F.col("para").cast("long").alias("para"), F.col("piece").cast("long").alias("piece"), "text")
+
+
+@query("SELECT doc_id, CASE WHEN contains(text, 'the') THEN NULL ELSE array_to_string(list_transform(string_split(text, ' '), lambda x: reverse(x)), ' ') END AS said, CASE WHEN contains(text, 'the') THEN 'ValueError: a text with the' END AS error FROM documents")
+def model_quarantine(spark, sf_dir):
+    """A stub that fails on batches with some texts: those go to the table of failures, alone, and their batch mates don't."""
+    got = serve.served(documents(spark, sf_dir).select("doc_id", "text"), serve.failing_stub, out="said")
+    none = F.lit(None).cast("string")
+    return got.done.select("doc_id", "said", none.alias("error")).unionByName(got.failed.select("doc_id", none.alias("said"), "error"))
+
+
+@query(r"""WITH a AS (SELECT * FROM documents), b AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY lang, source, left(text, 20) ORDER BY length(text) DESC, doc_id) = 1), c AS (SELECT * FROM b WHERE NOT regexp_matches(text, '^[Tt]he'))
+SELECT CAST(ord AS INTEGER) AS ord, section, key, CAST(value AS DOUBLE) AS value FROM (SELECT 0 AS ord, 'read' AS section, 'rows' AS key, count(*) AS value FROM a UNION ALL SELECT 1, 'read', 'characters', sum(length(text)) FROM a
+UNION ALL SELECT 2, 'dedup', 'rows', count(*) FROM b UNION ALL SELECT 3, 'dedup', 'characters', sum(length(text)) FROM b UNION ALL SELECT 4, 'dedup', 'removed', (SELECT count(*) FROM a) - count(*) FROM b
+UNION ALL SELECT 5, 'filter', 'rows', count(*) FROM c UNION ALL SELECT 6, 'filter', 'without source', count_if(source IS NULL) FROM c UNION ALL SELECT 7, 'filter', 'removed', (SELECT count(*) FROM b) - count(*) FROM c)""")
+def run_report(spark, sf_dir):
+    """Three stages and their counters, observed as the stages are written: nothing is scanned for the report."""
+    root, run = new_path(spark, "run"), audit.Run()
+    at = lambda name: StageTable(spark, f"{root}/{name}")
+    size = F.sum(F.length("text"))
+    a = run.stage("read", documents(spark, sf_dir), at("read"), characters=size)
+    b = run.stage("dedup", curate.keep_longest(a.withColumn("head", F.left("text", F.lit(20))), ["lang", "source", "head"], F.length("text"), ["doc_id"]).drop("head"), at("dedup"), characters=size)
+    run.stage("filter", b.filter(~F.col("text").rlike("^[Tt]he")), at("filter"), **{"without source": F.count_if(F.col("source").isNull())})
+    return run.report(spark)
+
+
+@query("SELECT doc_id, lang, version FROM (SELECT doc_id, lang FROM documents), (SELECT unnest([1, 3]) AS version) UNION ALL SELECT doc_id, '?', 2 FROM documents WHERE doc_id % 2 = 0")
+def stage_versions(spark, sf_dir):
+    """Three versions of a stage table: the rows, others in their place, and the first ones again; each is read as it was."""
+    d = documents(spark, sf_dir).select("doc_id", "lang")
+    t = StageTable(spark, new_path(spark, "versions"))
+    t.write(d)
+    t.write(d.filter("doc_id % 2 = 0").withColumn("lang", F.lit("?")))
+    t.restore(1)
+    parts = [t.read(v).withColumn("version", F.lit(v)) for v in t.versions()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

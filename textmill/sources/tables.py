@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill.session import small, written
+from textmill.sources.stages import StageTable
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -110,9 +111,9 @@ def write_splits(df: DataFrame, path: str, split: str = "split", form: str = "js
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
-    """df written as a stage table and read again."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df written as a new version of the stage table at path, and read again; earlier versions stay (see stages)."""
+    t = StageTable(df.sparkSession, path)
+    return t.read(t.write(df))
 
 
 def copy_if_absent(df: DataFrame, path: str) -> DataFrame:
