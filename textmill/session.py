@@ -69,11 +69,16 @@ def discard(*tables: DataFrame) -> None:
         _delete(t._textmill_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder, by the file system that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _delete(path: str) -> None:
     spark = _made.pop(path, None)
     try:
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        remove(spark, path)
     except Exception:  # the session has ended
         pass
 
