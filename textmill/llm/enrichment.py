@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from textmill.llm.common import discard, prepared, small, written
-from textmill.session import new_path
+from textmill.session import new_path, remove
 
 BATCHES, FIRST_DAY, DAYS = 10, 19723, 152
 #: Microseconds that a watermark lies behind, and of a day.
@@ -115,7 +115,7 @@ def dealt(rows: DataFrame, bucket: int = BUCKET, hot: int = HOT) -> tuple[DataFr
 
 def _packed(t: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, t.schema) as w:
+    with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
         w.write_table(t)
     return sink.getvalue().to_pybytes()
 
@@ -258,11 +258,18 @@ class Pages(StatefulProcessor):
         return self._frame("sale", sales, rest, base, found, under, np.where(has, sums[at_], 0))
 
     def _frame(self, rec: str, rows: pa.Table, rest: pa.Table, base: pa.Table, found: np.ndarray, under: np.ndarray, n: np.ndarray) -> pd.DataFrame:
-        out = {"rec": rec, "row": _ints(rows, "row"), "id": _ints(rows, "id"), "sold": _ints(rows, "at"), "hot": rows.column("hot").to_numpy(zero_copy_only=False), "batch": self.batch, "n_rest": n}
-        for side, t, at in (("rest", rest, found), ("base", base, under)):
-            for c in _SIDE:
-                values = np.append(t.column(c).to_numpy(zero_copy_only=False), [None if c == "op" else NEVER])
-                out[f"{side}_{c}"] = values[at]  # what isn't found is the last
+        hot, sold = rows.column("hot").to_numpy(zero_copy_only=False), _ints(rows, "at")
+        of = lambda t, c, at: np.append(t.column(c).to_numpy(zero_copy_only=False), [None if c == "op" else NEVER])[at]  # noqa: E731  what isn't found is the last
+        sides = {side: {c: of(t, c, at) for c in _SIDE} for side, t, at in (("rest", rest, found), ("base", base, under))}
+        # what no other cell adds to is put together here, and what that took isn't written
+        r, b = sides["rest"], sides["base"]
+        later = (b["at"] > r["at"]) | (b["at"] == r["at"]) & ((b["seq"] > r["seq"]) | (b["seq"] == r["seq"]) & (b["id"] > r["id"]))
+        own = ~hot & (under >= 0) & (b["at"] <= sold) & later
+        n = n + (~hot & (under >= 0))
+        out = {"rec": rec, "row": np.where(hot, _ints(rows, "row"), 0), "id": _ints(rows, "id"), "sold": np.where(hot, sold, 0), "hot": hot, "batch": self.batch, "n_rest": n}
+        out |= {f"rest_{c}": np.where(own, b[c], r[c]) for c in _SIDE} | {f"base_{c}": np.where(hot, b[c], None if c == "op" else NEVER) for c in _SIDE}
+        for c in ("at", "seq"):
+            out[f"rest_{c}"] = np.where(hot | (out[f"rest_{c}"] == NEVER), out[f"rest_{c}"], 0)
         return pd.DataFrame(out)
 
     def _drain(self) -> None:
@@ -315,6 +322,7 @@ def enriched(sales: DataFrame, changes: DataFrame, bucket: int = BUCKET, hot: in
             answers = stream.groupBy("bucket").transformWithStateInPandas(Pages(b, late, horizon, b == BATCHES), ANSWER, "Append", "None")
             query = answers.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
             query.awaitTermination()
+            remove(spark, source)  # what a batch was fed is in the checkpoint now
     finally:
         cloudpickle.unregister_pickle_by_value(sys.modules[__name__])
         for k, v in before.items():
