@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm import blocks
-from textmill.llm.common import no_null_text, tokenizer
+from textmill.llm.common import no_null_text, prepared, tokenizer
 from textmill.llm.token_counts import balanced
 
 _two_spaces = re.compile(r"\s\s|^ | $|\n \Z|\0")
@@ -96,6 +96,7 @@ def _word_ids(table: DataFrame, path: str) -> DataFrame:
 
 def encode_decode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit integers), text (decoded from ids) for each row of docs."""
+    prepared(docs.sparkSession)
     rows_in = docs.select(F.col(id_column).alias("doc_id"), F.lit(False).alias("flag"), no_null_text(text_column).alias("text"))
     table = blocks.block_table(rows_in, split_words, blocks.buckets_for(docs))
     pieces = docs.sparkSession.sparkContext.broadcast(piece_table(path))

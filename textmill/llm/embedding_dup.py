@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import keyed_join, small, whole_runs, written
+from textmill.llm.common import keyed_join, prepared, small, whole_runs, written
 from textmill.llm.components import components
 
 COSINE = 0.98
@@ -241,6 +241,7 @@ def links_of(classes: DataFrame, bits: int, tables: int, dtype: str, block: int
 
 def near_duplicates(embeddings: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of embeddings (vec_id, label, embedding)."""
+    prepared(embeddings.sparkSession)
     v = written(vectors(embeddings), "vectors")
     valid = v.filter(F.col("key").isNotNull() & F.col("vec_id").isNotNull())
     classes = valid.groupBy("label", "dim", "key").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.min("vec").alias("vec"))

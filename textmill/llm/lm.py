@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm import blocks
-from textmill.llm.common import no_null_text, sweep, written
+from textmill.llm.common import no_null_text, prepared, sweep, written
 
 #: The least size of the filter.
 FILTER_BYTES = 32 << 20
@@ -318,6 +318,7 @@ def levels_back(found: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
 
 def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs."""
+    prepared(docs.sparkSession)
     rows_in = docs.select(F.col(id_column).alias("doc_id"), (~held_out(id_column)).alias("flag"), no_null_text(text_column).alias("text"))
     table = blocks.block_table(rows_in, split_words, blocks.buckets_for(docs), with_counts=True, most=BLOCK_BYTES)
     sums = _word_sums(table)

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.llm.common import held, no_null_text, small, written, tokenizer
+from textmill.llm.common import held, no_null_text, prepared, small, tokenizer, written
 from textmill.llm.token_counts import balanced
 
 END_ID = 1
@@ -216,6 +216,7 @@ def sequences(total: int, length: int) -> tuple[int, list[int]]:
 def pack(docs: DataFrame, path: str, length: int = 2048, window_sequences: int = 64, weights: dict[str, float] | float = MIXTURE, tokens: DataFrame | None = None, **columns: str) -> DataFrame:
     """Pieces of documents in sequences: doc_id, source, start, length, ids_crc32, doc_tokens, sequence_id, offset, window.
     weights: of each source, or the power of its tokens that its share is as."""
+    prepared(docs.sparkSession)
     tokens = token_table(docs, path, named=list(weights) if isinstance(weights, dict) else [], **columns) if tokens is None else tokens
     spark = tokens.sparkSession
     parts = written(tokens.groupBy("source", "part").agg(F.sum("n").alias("n")), "packing-parts")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import BoundedCache, held, no_null_text, tokenizer
+from textmill.llm.common import BoundedCache, held, no_null_text, prepared, tokenizer
 
 BATCH_BYTES = 1 << 20
 _two_spaces = re.compile(r"\s\s|^ | $|\n \Z")
@@ -84,6 +84,7 @@ class Counter:
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) for each row of docs, by the tokenizer file at path."""
+    prepared(docs.sparkSession)
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = held(Counter, path)
