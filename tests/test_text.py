@@ -74,3 +74,30 @@ def test_hostile_texts_end(spark):
 def test_footnotes_behind_units_and_names(spark):
     items = ["kg/m2 x", "Mg/M21, y", "km/h3 z", "Media4 a", "it’5 b", "a1,2345 b", "a1-2-3x", "a7.8, b", "kg/m2,3 x"]
     assert values(spark, lambda c: T.strip_footnotes(c, G), items) == ["kg/m2 x", "Mg/M21, y", "km/h z", "Media4 a", "it’ b", "a,2345 b", "a1-2-3x", "a, b", "kg/m2,3 x"]
+
+
+def test_words_around_a_hyphen(spark):
+    """The words are those that the whole pattern finds, in random texts of several scripts, and a text of a million characters takes seconds."""
+    import random
+    import re
+    import time
+
+    from pyspark.sql import functions as F
+
+    r = random.Random(5)
+    texts = ["".join(r.choice("ab-- \n\t.,(1éÄя) ") for _ in range(r.randint(0, 60))) for _ in range(4000)] + ["x(well- known2), more- or"]
+    got = [x.w for x in spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").select(T.hyphen_words(F.col("t")).alias("w")).collect()]
+
+    def words(t):
+        if not re.search(r"[abxeéяlmorwknu]-[ \t\n]+[abxeéяlmorwknu]", t):
+            return None
+        return " ".join(w.strip("0123456789.,()") for w in re.search(r"(\S*[abxeéяlmorwknu]-\s+[abxeéяlmorwknu]\S*)", t)[1].split())
+
+    assert got == [words(t) for t in texts]
+    began = time.time()
+    n = 1_000_000
+    text = F.concat(F.repeat(F.lit("ab1"), n // 3), F.lit("x- yz"), F.repeat(F.lit("1"), n), F.lit("a"))
+    assert spark.range(1).select(F.length(T.hyphen_words(text)).alias("n")).first().n > n
+    notes = F.concat(F.repeat(F.lit("Media b c)d"), n // 11), F.lit("e12, f"))
+    assert spark.range(1).select(F.right(T.strip_footnotes(notes), F.lit(4)).alias("e")).first().e == "e, f"
+    assert time.time() - began < 30

@@ -262,12 +262,12 @@ def hyphen_decisions(spark, sf_dir):
     return hyphen.decided(_broken(spark, sf_dir)).select("doc_id", F.col("line_no").cast("long").alias("line_no"), "head", "tail", "has_joined", "has_compound", "merge")
 
 
-@query(rf"""WITH {BROKEN}, full_ AS (SELECT *, lead(raw) OVER w AS nraw, lead(line_no) OVER w AS next_no FROM lines WHERE regexp_matches(raw, '\S') WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)),
-c AS (SELECT doc_id, line_no, next_no, regexp_extract(regexp_replace(raw, '\s+$', ''), '(\p{{L}}+)-$', 1) AS head, regexp_extract(nraw, '^\s*(\p{{L}}+)', 1) AS tail, regexp_extract(nraw, '^\s*\p{{L}}+([.,;:!?)\]»”\x22]*)', 1) AS marks FROM full_),
-j AS (SELECT DISTINCT doc_id, lower(unnest(regexp_extract_all(raw, '\p{{L}}+'))) AS w FROM full_),
-p AS (SELECT DISTINCT doc_id, lower(regexp_extract(r, '^(\p{{L}}+-\p{{L}}+)', 1)) AS w FROM (SELECT doc_id, unnest(regexp_extract_all(raw, '[\p{{L}}-]+')) AS r FROM full_) WHERE regexp_matches(r, '^\p{{L}}+-\p{{L}}+')),
-m AS (SELECT c.doc_id, line_no, next_no, tail || marks AS taken FROM c JOIN j ON c.doc_id = j.doc_id AND lower(head || tail) = j.w LEFT JOIN p ON c.doc_id = p.doc_id AND lower(head || '-' || tail) = p.w WHERE length(head) BETWEEN 2 AND 20 AND length(tail) BETWEEN 2 AND 20 AND p.w IS NULL),
-b AS (SELECT f.doc_id, f.line_no, t.taken, CASE WHEN g.taken IS NULL THEN raw ELSE regexp_extract(raw, '^\s*') || regexp_replace(substr(raw, length(regexp_extract(raw, '^\s*')) + length(g.taken) + 1), '^\s+', '') END AS body
+@query(rf"""WITH {BROKEN}, full_ AS MATERIALIZED (SELECT *, lead(raw) OVER w AS nraw, lead(line_no) OVER w AS next_no FROM lines WHERE regexp_matches(raw, '\S') WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)),
+c AS MATERIALIZED (SELECT doc_id, line_no, next_no, regexp_extract(regexp_replace(raw, '\s+$', ''), '(\p{{L}}+)-$', 1) AS head, regexp_extract(nraw, '^\s*(\p{{L}}+)', 1) AS tail, regexp_extract(nraw, '^\s*\p{{L}}+([.,;:!?)\]»”\x22]*)', 1) AS marks FROM full_),
+j AS MATERIALIZED (SELECT DISTINCT doc_id, lower(unnest(regexp_extract_all(raw, '\p{{L}}+'))) AS w FROM full_),
+p AS MATERIALIZED (SELECT DISTINCT doc_id, lower(regexp_extract(r, '^(\p{{L}}+-\p{{L}}+)', 1)) AS w FROM (SELECT doc_id, unnest(regexp_extract_all(raw, '[\p{{L}}-]+')) AS r FROM full_) WHERE regexp_matches(r, '^\p{{L}}+-\p{{L}}+')),
+m AS MATERIALIZED (SELECT c.doc_id, line_no, next_no, tail || marks AS taken FROM c JOIN j ON c.doc_id = j.doc_id AND lower(head || tail) = j.w LEFT JOIN p ON c.doc_id = p.doc_id AND lower(head || '-' || tail) = p.w WHERE length(head) BETWEEN 2 AND 20 AND length(tail) BETWEEN 2 AND 20 AND p.w IS NULL),
+b AS MATERIALIZED (SELECT f.doc_id, f.line_no, t.taken, CASE WHEN g.taken IS NULL THEN raw ELSE regexp_extract(raw, '^\s*') || regexp_replace(substr(raw, length(regexp_extract(raw, '^\s*')) + length(g.taken) + 1), '^\s+', '') END AS body
 FROM full_ f LEFT JOIN m t ON f.doc_id = t.doc_id AND f.line_no = t.line_no LEFT JOIN m g ON f.doc_id = g.doc_id AND f.line_no = g.next_no)
 SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, CASE WHEN taken IS NULL THEN body ELSE regexp_replace(body, '-\s*$', '') || taken END AS raw FROM b""")
 def hyphen_merge(spark, sf_dir):
