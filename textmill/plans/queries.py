@@ -754,3 +754,52 @@ def stage_versions(spark, sf_dir):
     t.restore(1)
     parts = [t.read(v).withColumn("version", F.lit(v)) for v in t.versions()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+PARTS_OF = Grammar(boundaries=tuple((str(k), "Closing") for k in range(10)))
+
+
+@query(r"""WITH c AS (SELECT conv_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS t, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS k, conv_id BETWEEN 0 AND 9 AS ends FROM conversations WHERE role = 'assistant' AND text IS NOT NULL),
+r AS (SELECT conv_id, k * CASE WHEN ends THEN 5 ELSE 4 END + 3 AS row_no, t, 'part ' || t AS focus, t AS evidence_, false AS labelled FROM c
+UNION ALL SELECT conv_id, k * CASE WHEN ends THEN 5 ELSE 4 END + 4, t, '1. In sand of the dunes', CASE WHEN ends THEN t ELSE t || ' and more' END, true FROM c),
+u AS (SELECT *, CASE WHEN regexp_matches(t, '\p{L}') THEN regexp_extract(t, '(?s)^(\P{L}*)(\p{L})(.*)$', 1) || upper(regexp_extract(t, '(?s)^(\P{L}*)(\p{L})(.*)$', 2)) || regexp_extract(t, '(?s)^(\P{L}*)(\p{L})(.*)$', 3) ELSE t END AS judged,
+regexp_extract(evidence_, '(?s)^(\P{L}*)(\p{L})(.*)$', 1) || upper(regexp_extract(evidence_, '(?s)^(\P{L}*)(\p{L})(.*)$', 2)) || regexp_extract(evidence_, '(?s)^(\P{L}*)(\p{L})(.*)$', 3) AS shown FROM r)
+SELECT CAST(conv_id AS VARCHAR) AS doc_id, CAST(row_no AS BIGINT) AS row_no, trim('x ' || t) AS topic, '' AS subtopic, 'a) why? and how' AS question, trim(focus) AS focus, judged AS judgement, CASE WHEN NOT labelled THEN '' WHEN regexp_matches(evidence_, '\p{L}') THEN shown ELSE evidence_ END AS evidence FROM u""")
+def segment_parts(spark, sf_dir):
+    """Answers as guides with all that a guide can have: an umbrella, a sub-question, a wrapped label that takes the verdict before it, and a section that ends where a registered line begins."""
+    c = read(spark, sf_dir, "conversations").filter((F.col("role") == "assistant") & F.col("text").isNotNull())
+    t = F.regexp_replace("text", r"\s+", " ")
+    said = ["Umbrella 1 of all", ("x ", t), "Preview ends", "Sub-question 1", ("part ", t), "Context", "a) why?", "and how", ("Verdict: ", t), "1. In sand", "of the dunes", ("Evidence 1: ", t), "Closing remarks", "and more"]
+    # the registered line ends an answer only in the documents that it is registered for; elsewhere it isn't there
+    lines_ = [F.lit(x) if isinstance(x, str) else F.concat(F.lit(x[0]), x[1]) for x in said]
+    made = F.filter(F.array(*lines_), lambda x: (x != "Closing remarks") | F.col("conv_id").between(0, 9))
+    d = c.select(F.col("conv_id").cast("string").alias("doc_id"), "turn", F.posexplode(made).alias("p", "raw"))
+    out = segment.segmented(d.select("doc_id", (F.col("turn") * 20 + F.col("p")).alias("line_no"), "raw"), PARTS_OF)
+    return out.select("doc_id", "row_no", "topic", "subtopic", "question", "focus", "judgement", "evidence")
+
+
+@query(f"WITH {_quota('documents', 125, 't')}, rest AS (SELECT * EXCLUDE (drawn) FROM t WHERE NOT drawn), {_quota('rest', 63, 'v')} SELECT split, CAST(count(*) AS BIGINT) AS n, split <> 'train' AS asserted FROM (SELECT 'test' AS split FROM t WHERE drawn UNION ALL SELECT CASE WHEN drawn THEN 'dev' ELSE 'train' END FROM v) GROUP BY split")
+def split_sizes(spark, sf_dir):
+    """The sizes of the splits, which have been asserted to be what was asked for."""
+    out = splits.split(documents(spark, sf_dir).select("doc_id", "source"), "source", "doc_id", 125, 63)
+    splits.check_sizes(out, test=125, dev=63)
+    return out.groupBy("split").agg(F.count("*").alias("n")).withColumn("asserted", F.col("split") != "train")
+
+
+SHAPES = Grammar(pairs=("Lime and ash",))
+#: What is put before the lines in turn; what ends with a bar stands for the whole line.
+BEFORE = ("", "a) ", "Topic 1 ", "Sub-question 2 ", "Umbrella 3 ", "Preview ends ", "List of questions", "Intervention ", "4. ", "Context|", "context|", "Lime and ash|", "Contexts|", "A) ")
+_SHAPED = "CASE WHEN contains(b, '|') THEN replace(b, '|', '') ELSE b || raw END"
+
+
+@query(rf"""WITH {LINES}, s AS (SELECT doc_id, line_no, {_SHAPED} AS t FROM (SELECT *, [{", ".join(f"'{x}'" for x in BEFORE)}][line_no % {len(BEFORE)} + 1] AS b FROM lines WHERE regexp_matches(raw, '\S')))
+SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, regexp_matches(t, '^[a-z]\)\s') AS lettered, t = 'Context' AS context, regexp_matches(t, '^Topic\s+\d+') AS topic, regexp_matches(t, '^Sub-question\s+\d+') AS sub, regexp_matches(t, '^Umbrella\s+\d+') AS umbrella,
+regexp_matches(t, '^(Preview ends|List of questions)([^\p{{L}}\p{{N}}_]|$)') AS preview, regexp_matches(t, '^Intervention([^\p{{L}}\p{{N}}_]|$)') OR t = 'Lime and ash' AS heading, regexp_matches(t, '^\d+\.\s') AS label, regexp_matches(t, '^\p{{Ll}}') AS lower_case FROM s""")
+def line_shapes(spark, sf_dir):
+    """The structural tests of lines, each planted on whole lines and before others."""
+    d = lines(spark, sf_dir)
+    b = F.element_at(F.array(*map(F.lit, BEFORE)), (F.col("line_no") % len(BEFORE) + 1).cast("int"))
+    text = F.when(F.contains(b, F.lit("|")), F.replace(b, F.lit("|"), F.lit(""))).otherwise(F.concat(b, F.col("raw")))
+    out = segment.looked_at(d.select("doc_id", "line_no", text.alias("text"), F.lit(False).alias("bullet")), SHAPES)
+    names = {"lettered": "lettered", "cx": "context", "ts": "topic", "ss": "sub", "us": "umbrella", "ue": "preview", "heading": "heading", "lab": "label", "low": "lower_case"}
+    return out.select("doc_id", F.col("line_no").cast("long").alias("line_no"), *(F.col(k).alias(v) for k, v in names.items()))
