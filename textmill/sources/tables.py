@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from textmill.session import small, written
 from textmill.sources.stages import StageTable
+from textmill.sources.workbook import read_workbook
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -18,7 +19,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """csv, tsv and tab, jsonl and ndjson, json (an array or object over many lines), parquet, orc; xlsx and xls only where pandas can read them.
+    """csv, tsv and tab, jsonl and ndjson, json (an array or object over many lines), parquet, orc, xlsx (its first sheet, read on the executors).
 
     Cells of CSV are text; nothing but an empty cell is null.
     """
@@ -32,10 +33,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
         return r.json(path, multiLine=True, mode="FAILFAST")
     if suffix in ("parquet", "orc"):
         return r.format(suffix).load(path)
-    if suffix in ("xlsx", "xls"):
-        import pandas
-
-        return spark.createDataFrame(pandas.read_excel(path, dtype=str))
+    if suffix == "xlsx":
+        return read_workbook(spark, path)
     raise ValueError(f"no reader for {path}")
 
 
