@@ -63,7 +63,9 @@ def folder(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def bare(spark, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("empty"))
-    for name, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("embeddings", "vec_id long, label int, embedding array<float>"), ("conversations", "conv_id long, turn long, role string, text string")):
+    for name, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("embeddings", "vec_id long, label int, embedding array<float>"), ("conversations", "conv_id long, turn long, role string, text string"),
+                         ("pages", "page_id long, url string, html string"), ("sales", "sale_id long, client_id long, status string, total double, sold_at timestamp_ntz, arrived_at timestamp_ntz, priority int"),
+                         ("client_changes", "change_id long, client_id long, seq long, op string, valid_at timestamp_ntz, source string, segment string, city string, balance double")):
         spark.createDataFrame([], schema).write.parquet(f"{d}/{name}.parquet")
     return d
 
@@ -710,7 +712,7 @@ def test_null_ids(spark, tmp_path):
     rows = [(None, "a b c d e f g", "en", "s", 1), (None, None, None, None, None), (5, "a b c d e f g", "en", "s", 1), (5, "other words here in this one text", "en", None, 1), (6, "a b c d e f g", None, "s", 1)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     for name, query in Q.QUERIES.items():
-        if name not in ("op2_embedding_dup", "op5_chat", "op8_packing"):
+        if name not in ("op2_embedding_dup", "op5_chat", "op8_packing", "op11_enrichment", "op12_html", "op13_hard_negatives"):
             got = sorted(r.doc_id or 0 for r in query(spark, str(tmp_path)).collect())
             assert got == [0, 0, 5, 5, 6], name
     assert sum(r.length for r in Q.op8_packing(spark, str(tmp_path)).collect()) > 20

@@ -234,3 +234,30 @@ def test_odd_pages(spark, model):
     got = sorted((r.page_id or 0, r.n_chars) for r in html_text.extracted(df, model).collect())
     assert [g[0] for g in got] == [0, 1, 2, 2, 3] and [g[1] for g in got[:4]] == [0, 0, 0, 0] and got[4][1] == 11 + 20_000 * 45
     assert html_text.extracted(df.filter("1 = 0"), model).collect() == []
+
+
+OFF = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+s = SparkSession.builder.master("local-cluster[1,2,1024]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{folder}").getOrCreate()
+import public_tokenizers
+from textmill.llm import html_text, near_dup, secret_scan, token_counts
+d = s.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g")], "doc_id long, text string")
+n = token_counts.count_tokens(d, public_tokenizers.path("byte_bpe_50k.json"), 1024).count()
+left = [r.doc_id for r in near_dup.one_of_each(d).collect()]
+pages = html_text.extracted(s.createDataFrame([(1, "u", "<p>x")], "page_id long, url string, html string"), html_text.Labeller()).count()
+print("SAID", n, left, pages, secret_scan.scan(d).count())
+"""
+
+
+def test_off_the_workers_path(tmp_path):
+    """Public functions work on a caller's own table, where the workers of a cluster can't import the package by themselves."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", OFF.format(root=root, folder=tmp_path)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "SAID 2 [1] 1 2" in run.stdout, run.stderr[-2000:]

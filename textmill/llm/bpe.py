@@ -7,7 +7,8 @@ blocks whose texts have it, where they are joined back by position. Decoding loo
 (as long as the vocabulary, so it can be broadcast) and joins the pieces of a text.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; special strings inside a text are taken as
-the library takes them by default; a text without boundaries is one word; repeated rows and ids each give a row.
+the library takes them by default; a text without boundaries is one word; repeated rows and ids each give a row, an empty
+table none; columns other than the id and the text, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ the least is taken for what is divided and the largest for the pair divided by,
 to all words adds up to one at most, but for the filter's errors (an absent n-gram reads as present with a chance of FILL ** PROBES).
 
 Defined cases: a null or empty text has one token, its end; a document with a null id counts as one with the empty id; if no
-document is in training, N and V are 0 and every word is new; repeated rows are texts of their own; columns other than id and text are not read.
+document is in training, N and V are 0 and every word is new; repeated rows are texts of their own, an empty table has none; columns other than id and text are not read.
 """
 
 from __future__ import annotations

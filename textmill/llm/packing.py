@@ -16,7 +16,7 @@ At most QUEUES sources, those with the most documents and those that have a weig
 which is held on the driver and in tasks, has a bounded size however many sources there are.
 
 Defined cases: a null or empty text has the end id alone; a null source is a queue of its own; documents with the same
-id are packed each; an empty table gives no pieces.
+id are packed each; an empty table gives no pieces; a text of any length is cut where a sequence ends; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

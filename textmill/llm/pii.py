@@ -12,7 +12,7 @@ date   days of DAYS from 1900-01-01, as yyyy-mm-dd, dd/mm/yyyy or dd.mm.yyyy: st
 email  no number: a keyed digest stands for the part before the @, and the domain is example.invalid
 
 Defined cases: a null text stays null; an empty one stays empty; what looks like a number but fails its validation
-stays; repeated rows each give a row; columns other than the two named are kept out. A text may be of any length: no
+stays; repeated rows each give a row; columns other than the two named are kept out; a null id stays null, an empty table empty. A text may be of any length: no
 expression here steps back over a repeated group.
 
 Not taken for personal data: telephone numbers in one run of digits (8855559639, +491701234567), days with the month first

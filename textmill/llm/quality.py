@@ -14,7 +14,7 @@ documents of a cell would else reject any document that isn't zero.
 
 Defined cases: a null or empty text has no words, fails the base rule and takes no part in the estimates; null language
 or source is a value like any other; a cell with fewer than LEAST documents even when pooled rejects nothing; documents
-with the same id each get a row.
+with the same id each get a row, an empty table gives none; assess() reads no other columns, whatever their names, and keep() keeps them all.
 """
 
 from __future__ import annotations
