@@ -68,7 +68,7 @@ def _micros(c: str):
 
 
 def staged(sales: DataFrame, changes: DataFrame) -> DataFrame:
-    """batch and the columns of a feed but bucket and hot: sales and distinct changes, written once."""
+    """batch and the columns of a feed but bucket and hot: sales and distinct changes, written once, in a folder for each batch, so feeding one reads no other."""
     day = lambda c: F.datediff(F.to_date(F.col(c)), F.lit("1970-01-01").cast("date"))
     none = F.lit(NEVER)
     long = lambda c: F.coalesce(c.cast("long"), none)
@@ -77,7 +77,11 @@ def staged(sales: DataFrame, changes: DataFrame) -> DataFrame:
     shift = F.coalesce(F.pmod(F.crc32(F.col("change_id").cast("string")), F.lit(4)), F.lit(0))
     c = changes.filter(F.col("valid_at").isNotNull()).distinct().select(batch_of(day("valid_at") + shift).alias("batch"), F.lit(CHANGE).alias("kind"), none.alias("row"), long(F.col("change_id")).alias("id"), long(F.col("client_id")).alias("client"),
                      _micros("valid_at").alias("at"), long(F.col("seq")).alias("seq"), long(F.floor(100 * F.col("balance") + 0.5)).alias("cents"), F.col("op").cast("string").alias("op"))
-    return written(s.unionByName(c), "staged")
+    both, path = s.unionByName(c), new_path(sales.sparkSession, "staged")
+    both.write.partitionBy("batch").parquet(path)
+    out = sales.sparkSession.read.schema(both.schema).parquet(path)
+    out._textmill_path = path
+    return out
 
 
 def horizons(rows: DataFrame) -> list[tuple[int, int]]:
