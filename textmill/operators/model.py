@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,20 +71,21 @@ def applied(texts: DataFrame, loader: Loader, text: str = "text", out: str = "te
 
 
 def scored(pairs: DataFrame, loader: Callable[[], Callable[[list[str], list[str]], list[float]]], batch: int = 16) -> DataFrame:
-    """pairs (..., src, mt) with qe_score."""
+    """pairs (..., src, mt) with qe_score. A worker holds one Arrow batch, which session.ship() bounds in rows and bytes, and the texts of one call."""
     ship(pairs.sparkSession)
     schema = ", ".join(f"`{n}` {t}" for n, t in pairs.dtypes) + ", qe_score double"
+    names = [*pairs.columns, "qe_score"]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = loader()
-        for frame in frames:
+        for b in frames:
+            src, mt = (b.column(b.schema.names.index(c)) for c in ("src", "mt"))
             scores: list[float] = []
-            for at in range(0, len(frame), batch):
-                part = frame.iloc[at : at + batch]
-                scores += f(part["src"].tolist(), part["mt"].tolist())
-            yield frame.assign(qe_score=scores)
+            for at in range(0, b.num_rows, batch):
+                scores += f(src.slice(at, batch).to_pylist(), mt.slice(at, batch).to_pylist())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64(), from_pandas=True)], names=names)
 
-    return pairs.mapInPandas(run, schema=schema)
+    return pairs.mapInArrow(run, schema=schema)
 
 
 def stub_translator() -> Callable[[list[str], int], list[str]]:
