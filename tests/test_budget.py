@@ -116,3 +116,15 @@ def test_a_text_of_very_many_sentences(spark):
 
 def test_no_texts(spark):
     assert budget.planned(spark.createDataFrame([], "id long, field string, text string, para int, goal int"), words).collect() == []
+
+
+def test_short_texts_are_placed_by_one_shuffle(spark, monkeypatch):
+    """No range partitions, so nothing is measured a second time for their bounds; a longer text goes through them, and both give the fold's chunks."""
+    n = []
+    placed = budget.by_blocks.placed
+    monkeypatch.setattr(budget.by_blocks, "placed", lambda *a: n.append(1) or placed(*a))
+    docs = spark.createDataFrame([(1, "f", "Row: x y. " * 30), (2, "f", "One two! Three? " * 10), (None, "f", None)], "id long, field string, text string")
+    want = sorted(map(tuple, chunk.chunks(docs, 20).collect()))
+    for block, calls in ((2048, 0), (4, 1)):
+        got = budget.planned(docs, words, 20, KEY, block=block).select(*KEY, "para", "piece", "text").collect()
+        assert sorted(map(tuple, got)) == want and len(n) == calls

@@ -4,6 +4,8 @@ A tokenizer is Python and can't run inside a DataFrame's lambdas, so lengths are
 rows of their own, then the parts of those few sentences that are over the budget or tabular. Each is one Arrow call for a batch of rows, with no shuffle
 between. Pieces are then gathered in blocks of a paragraph's order, BLOCK at most:
 
+Texts of up to LONG characters a piece of BLOCK are placed by one shuffle on their paragraphs, longer ones by range partitions.
+
 * a paragraph of one block is packed by a fold in its row, as chunk.plan() packs it;
 * of a longer one, each block gives a table: for each number of tokens that a run may have when the block begins, the number it has behind it, and how many
   runs begin in it. Following the tables (one row a block) gives every block the state it begins with, whatever the length of the text,
@@ -28,6 +30,8 @@ from textmill.session import kept, ship, written
 #: Makes a tokenizer's function in a worker: a list of texts in, their numbers of tokens out.
 Counter = Callable[[], Callable[[list[str]], list[int]]]
 BLOCK = 2048
+#: Characters that a text may have, for each piece that a block may have, to be placed by its key: a paragraph of it has LONG / 2 blocks at most.
+LONG = 64
 
 
 def white_space_counter() -> Callable[[list[str]], list[int]]:
@@ -134,10 +138,13 @@ def _runs(tokens: pa.Array, alone: pa.Array, goal: pa.Array, state: pa.Array, be
     return pa.array(out, pa.list_(pa.int64()))
 
 
-def grouped(rows: DataFrame, key: tuple[str, ...] = ("id", "field"), block: int = BLOCK) -> DataFrame:
-    """key, para, piece, text: consecutive pieces of a paragraph (key, para, sent, goal, item) packed to its goal, as chunk.packed() packs them."""
+def grouped(short: DataFrame, long: DataFrame | None = None, key: tuple[str, ...] = ("id", "field"), block: int = BLOCK) -> DataFrame:
+    """key, para, piece, text: consecutive pieces of a paragraph (key, para, sent, goal, item) packed to its goal, as chunk.packed() packs them. short: of
+    paragraphs that a task may sort; long: of others."""
     k = [*key, "para"]
-    at = by_blocks.placed(rows, k, ["sent"], "pieces")
+    at = short.withColumn("_place", (F.row_number().over(Window.partitionBy(*k).orderBy("sent")) - 1).cast("long"))
+    if long is not None:
+        at = at.unionByName(by_blocks.placed(long, k, ["sent"], "pieces"))
     blocks = at.groupBy(*k, F.floor(F.col("_place") / block).alias("block")).agg(F.min("goal").alias("goal"), F.array_sort(F.collect_list(F.struct("_place", "item"))).alias("_items"))
     blocks = blocks.select(*k, "block", "goal", F.transform("_items", lambda x: x["item"]).alias("items"))
     blocks = written(blocks.withColumn("n_blocks", F.count("*").over(Window.partitionBy(*k))), "piece-blocks")
@@ -163,4 +170,8 @@ def planned(texts: DataFrame, make: Counter, budget: int = chunk.BUDGET, key: tu
     """key, para, piece, text for each chunk of texts (key, text): chunk.chunks() by the lengths of a tokenizer. name: of the tokenizer,
     so that plans share one in a worker."""
     ship(texts.sparkSession)
-    return grouped(pieces(texts, make, budget, key, name), key, block)
+    name = name or uuid.uuid4().hex
+    is_long = F.coalesce(F.length("text") > LONG * block, F.lit(False))
+    cut = lambda some: pieces(some, make, budget, key, name)
+    long = cut(texts.filter(is_long)) if texts.filter(is_long).limit(1).count() else None
+    return grouped(cut(texts.filter(~is_long)), long, key, block)
