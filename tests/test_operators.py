@@ -172,6 +172,18 @@ def test_parallel(spark):
     assert [r.id for r in parallel.worst(scored, k=2).collect()] == ["3", "1"]
 
 
+def test_quoted_empty_and_long_texts(spark, tmp_path):
+    d = str(tmp_path)
+    df = spark.createDataFrame([("1", None, "\x00,"), ("2", "", ""), ("3", '""', None)], "id string, a string, b string")
+    tables.write_csv(df, f"{d}/t.csv")
+    for schema in (df.schema, None):
+        assert {tuple(r) for r in tables.read_table(spark, f"{d}/t.csv", schema, quoted_empty=True).collect()} == {("1", None, "\x00,"), ("2", "", ""), ("3", '""', None)}
+    assert {tuple(r) for r in tables.read_table(spark, f"{d}/t.csv").collect()} == {("1", None, "\x00,"), ("2", None, None), ("3", '""', None)}
+    n = 20_000_001
+    tables.write_jsonl(spark.range(1).select(F.repeat(F.lit("x"), F.lit(n)).alias("text")), f"{d}/t.jsonl")
+    assert tables.read_table(spark, f"{d}/t.jsonl", "text string").select(F.length("text")).first()[0] == n
+
+
 def test_sources(spark, tmp_path, capsys):
     d = str(tmp_path)
     df = spark.createDataFrame([("1", "é\"x\",\n", None), ("2", "NA", "")], "id string, a string, b string")

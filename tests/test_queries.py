@@ -34,6 +34,18 @@ def test_query(spark, con, name):
     assert got == want
 
 
+def test_table_formats_odd_cells(spark, tmp_path):
+    """Empty texts, nulls, NUL beside what CSV puts in quotes, and carriage returns come back from each form as the SQL has them."""
+    bits = ["", "a", "é", " ", "\n", "\r", "\r\n", '"', ",", "\\", "\x00", "null"]
+    texts = [None, *(a + b + c for a in bits for b in bits for c in bits)]
+    rows = [(i, t, (None, "", "en", "\x00,")[i % 4]) for i, t in enumerate(texts)] + [(None, None, None), (None, "", "")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    c = duckdb.connect()
+    c.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = sorted(c.sql(plans.SQL["table_formats"]).fetchall(), key=repr)
+    assert sorted((tuple(r) for r in plans.QUERIES["table_formats"](spark, str(tmp_path)).collect()), key=repr) == want and len(want) == 4 * len(rows)
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
